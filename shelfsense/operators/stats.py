@@ -37,11 +37,14 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     g = list(group_cols)
     key = g + ["column"]
     long = to_long(df, cols, g).where(F.col("v").isNotNull())
+    # One pass over the input: count per distinct value (map-side combined).
     vc = long.groupBy(*key, "v").agg(F.count(F.lit(1)).alias("c"))
 
-    # Value-range buckets from approximate quantiles (bounded-size sketch per key).
+    # Bucket edges at quantiles of the *distinct* values: every bucket then
+    # holds about the same number of vc rows, which is what bounds the
+    # per-bucket window below. The sketch is bounded-size per key.
     edges_p = [i / buckets for i in range(1, buckets)]
-    edges = long.groupBy(*key).agg(F.percentile_approx("v", edges_p, accuracy).alias("edges"))
+    edges = vc.groupBy(*key).agg(F.percentile_approx("v", edges_p, accuracy).alias("edges"))
     vb = (vc.join(edges, key)
             .withColumn("b", F.size(F.filter("edges", lambda e: e <= F.col("v"))))
             .drop("edges"))
@@ -67,14 +70,14 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 .withColumn("start", F.col("end") - F.col("c") + 1)
                 .select(*key, "v", "start", "end"))
 
-    def pick(rank_col: str, out: str) -> DataFrame:
-        t = targets.select(*key, "q_index", F.col(rank_col).alias("__r"))
-        return (ranked.join(t, key)
-                .where((F.col("__r") >= F.col("start")) & (F.col("__r") <= F.col("end")))
-                .select(*key, "q_index", F.col("v").alias(out)))
-
-    res = (targets.join(pick("lo", "v_lo"), key + ["q_index"])
-                  .join(pick("hi", "v_hi"), key + ["q_index"]))
+    # Both neighbours of every target position in one join + aggregate.
+    t = targets.select(*key, "q_index", "prob", "pos", "lo", "hi")
+    hit_lo = (F.col("lo") >= F.col("start")) & (F.col("lo") <= F.col("end"))
+    hit_hi = (F.col("hi") >= F.col("start")) & (F.col("hi") <= F.col("end"))
+    res = (ranked.join(t, key).where(hit_lo | hit_hi)
+                 .groupBy(*key, "q_index", "prob", "pos", "lo", "hi")
+                 .agg(F.max(F.when(hit_lo, F.col("v"))).alias("v_lo"),
+                      F.max(F.when(hit_hi, F.col("v"))).alias("v_hi")))
     value = F.when(F.col("lo") == F.col("hi"), F.col("v_lo")).otherwise(
         F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo")))
     return res.select(*key, "q_index", "prob", value.alias("value"))
@@ -105,20 +108,25 @@ def describe(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ())
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair (pairwise complete), in one pass.
+    """Pearson correlation of every pair (pairwise complete), long form (a, b, corr).
 
-    Long form (a, b, corr); the k*k aggregates are computed by one ``agg``.
+    Each row is exploded into its k(k+1)/2 unordered pairs and one grouped
+    ``corr`` runs over them: partial aggregation keeps the shuffle at
+    k(k+1)/2 rows per partition, and the plan stays small enough for codegen.
     """
-    exprs = []
-    for a in cols:
-        for b in cols:
-            x, y = nan_to_null(F.col(a).cast("double")), nan_to_null(F.col(b).cast("double"))
-            both = x.isNotNull() & y.isNotNull()
-            exprs.append(F.corr(F.when(both, x), F.when(both, y)).alias(f"{a}__{b}"))
-    wide = df.agg(*exprs)
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                               F.col(f"{a}__{b}").alias("corr")) for a in cols for b in cols])
-    return wide.select(F.explode(pairs).alias("p")).select("p.a", "p.b", "p.corr")
+    cols = list(cols)
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    xs = [nan_to_null(F.col(c).cast("double")) for c in cols]
+    arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), xs[i].alias("x"), xs[j].alias("y"))
+                    for i, j in pairs])
+    exploded = (df.select(F.explode(arr).alias("p")).select("p.*")
+                  .where(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    tri = exploded.groupBy("i", "j").agg(F.corr("x", "y").alias("corr"))
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "k int, name string")
+    full = tri.unionByName(tri.where("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "corr"))
+    na, nb = names.select(F.col("k").alias("i"), F.col("name").alias("a")), \
+        names.select(F.col("k").alias("j"), F.col("name").alias("b"))
+    return full.join(F.broadcast(na), "i").join(F.broadcast(nb), "j").select("a", "b", "corr")
 
 
 def covariance_moments(df: DataFrame, cols: Sequence[str]):

@@ -59,3 +59,264 @@ def features_series(spark, sf_dir):
 def labels_reconstructed(spark, sf_dir):
     return base.labelled(spark, sf_dir).select(
         "store_id", "product_id", "dt", "risk_label_current", "risk_label")
+
+
+# --- helpers --------------------------------------------------------------------
+
+from shelfsense.config import (CATEGORICAL_FEATURES, NUMERICAL_FEATURES, SCENARIOS,  # noqa: E402
+                               SERIES_KEYS)
+from shelfsense.operators import features as feat  # noqa: E402
+from shelfsense.operators import labels as lab  # noqa: E402
+from shelfsense.operators import metrics as met  # noqa: E402
+from shelfsense.operators import profile as prof  # noqa: E402
+from shelfsense.operators import stats  # noqa: E402
+
+FEATURE_11 = ["inventory_lag1", "units_sold_lag1", "rolling7_inventory", "inventory_change",
+              "inventory_change_pct", "days_of_stock", "inventory_vs_rolling7", "sales_velocity",
+              "coverage_ratio", "forecast_error", "order_to_inventory"]
+KEYS = SERIES_KEYS + ["dt"]
+
+
+def r6(c):
+    """Round a float result whose last bits depend on summation order."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def _round_cols(df: DataFrame, cols) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, r6(c))
+    return df
+
+
+# --- label variants ---------------------------------------------------------------
+
+@query("labels_stage1")
+def labels_stage1(spark, sf_dir):
+    """Raw stock, clipped demand, Stockout wins, next-day target (no feature drop)."""
+    df = lab.label(feat.clean_demand(base.panel(spark, sf_dir)), variant="stage1")
+    return df.select(*KEYS, "risk_label_current", "risk_label")
+
+
+@query("labels_pipeline")
+def labels_pipeline(spark, sf_dir):
+    """Raw stock, clipped demand, Overstock written last, after the feature drop."""
+    df = lab.label(base.features(spark, sf_dir), variant="pipeline")
+    return df.select(*KEYS, "risk_label_current", "risk_label")
+
+
+@query("labels_explorer")
+def labels_explorer(spark, sf_dir):
+    """Raw stock vs unclipped demand, Stockout first, same-day label."""
+    df = lab.label(base.panel(spark, sf_dir), variant="explorer")
+    return df.select(*KEYS, "risk_label")
+
+
+@query("labels_reconstructed_tail2")
+def labels_reconstructed_tail2(spark, sf_dir):
+    """The doubled next-day shift: the last two rows of every series go."""
+    df = base.labelled(spark, sf_dir, RiskParams(drop_tail=2))
+    return df.select(*KEYS, "risk_label_current", "risk_label")
+
+
+@query("features_flat")
+def features_flat(spark, sf_dir):
+    """Flat feature variant with the coverage / days-of-stock label."""
+    df = lab.label(feat.flat_features(base.panel(spark, sf_dir)), variant="ratio")
+    return df.select(*KEYS, "inventory_level", "units_sold", "demand_forecast", *FEATURE_11, "risk_label")
+
+
+@query("labelled_splits")
+def labelled_splits(spark, sf_dir):
+    """Temporal split and train-median fill of days of stock / sales velocity."""
+    return base.split_frame(spark, sf_dir).select(
+        *KEYS, "split", "days_of_stock", "sales_velocity", "risk_label")
+
+
+@query("split_sizes")
+def split_sizes(spark, sf_dir):
+    """Rows and day span per split, with the leakage check."""
+    df = lab.split_column(base.labelled(spark, sf_dir))
+    return lab.leakage_check(df)
+
+
+@query("scenario_shares")
+def scenario_shares(spark, sf_dir):
+    """Three threshold scenarios in one pass (3-row scenario table, broadcast
+    cross join), class counts with zeros and percent, pivoted per scenario."""
+    sc = spark.createDataFrame(SCENARIOS, "scenario string, theta_low double, theta_high double, sales_vel double")
+    df = base.features(spark, sf_dir).select("inventory_reconstructed", "demand_forecast_clean", "units_sold")
+    x = df.crossJoin(F.broadcast(sc))
+    stock, dem = F.col("inventory_reconstructed"), F.col("demand_forecast_clean")
+    cur = (F.when((stock > dem * F.col("theta_high")) & (F.col("units_sold") < dem * F.col("sales_vel")),
+                  "Overstock Risk")
+           .when(stock < dem * F.col("theta_low"), "Stockout Risk").otherwise("Safe Zone"))
+    x = x.withColumn("risk_label_current", cur)
+    counts = prof.label_counts(x, "risk_label_current", ["scenario", "theta_low", "theta_high", "sales_vel"])
+    for c in ("overstock", "safe", "stockout"):
+        counts = counts.withColumn(f"{c}_pct", F.col(c).cast("double") * 100.0 / F.col("n_total").cast("double"))
+    return counts
+
+
+# --- profiling ----------------------------------------------------------------------
+
+@query("shape_summary")
+def shape_summary(spark, sf_dir):
+    return prof.shape_summary(base.panel(spark, sf_dir))
+
+
+@query("distinct_counts")
+def distinct_counts(spark, sf_dir):
+    return prof.distinct_counts(base.panel(spark, sf_dir), ["store_id", "product_id"] + CATEGORICAL_FEATURES)
+
+
+@query("distinct_values")
+def distinct_values(spark, sf_dir):
+    return prof.distinct_values(base.panel(spark, sf_dir), ["store_id", "product_id"] + CATEGORICAL_FEATURES)
+
+
+@query("missing_values")
+def missing_values(spark, sf_dir):
+    """Missing values per column right after feature creation (before the drop)."""
+    df = feat.series_features(base.panel(spark, sf_dir), drop_incomplete=False)
+    return prof.missing_values(df)
+
+
+@query("duplicate_rows")
+def duplicate_rows(spark, sf_dir):
+    """All copies of repeated (region, category, day, holiday) rows."""
+    df = base.panel(spark, sf_dir).select("region", "category", "dt", "holiday_promotion")
+    return prof.duplicate_rows(df)
+
+
+@query("label_value_counts")
+def label_value_counts(spark, sf_dir):
+    return prof.value_counts(base.labelled(spark, sf_dir), "risk_label")
+
+
+@query("crosstab_dims")
+def crosstab_dims(spark, sf_dir):
+    """Category / Region / Seasonality x next-day class (stage-1 labels)."""
+    df = lab.label(feat.clean_demand(base.panel(spark, sf_dir)), variant="stage1")
+    parts = [prof.crosstab(df, d).withColumnRenamed(d, "value").withColumn("dimension", F.lit(d))
+             for d in ("category", "region", "seasonality")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("subgroup_breakdown")
+def subgroup_breakdown(spark, sf_dir):
+    """Counts and % within each region (explorer labels)."""
+    return prof.subgroup_breakdown(lab.label(base.panel(spark, sf_dir), variant="explorer"), "region")
+
+
+@query("explorer_top200")
+def explorer_top200(spark, sf_dir):
+    """Membership filters, then the 200 most recent rows."""
+    df = lab.label(base.panel(spark, sf_dir), variant="explorer")
+    df = prof.filter_panel(df, ["SIZED", "PROMO"], ["AMERICA", "ASIA", "EUROPE"],
+                           [f"NATION_{i}" for i in range(25)])
+    return prof.top_recent(df, 200, ["dt", "store_id", "product_id", "category", "region",
+                                     "inventory_level", "units_sold", "demand_forecast", "risk_label"])
+
+
+@query("rows_affected")
+def rows_affected(spark, sf_dir):
+    return prof.rows_affected(base.panel(spark, sf_dir))
+
+
+@query("reconstruction_summary")
+def reconstruction_summary(spark, sf_dir):
+    return prof.reconstruction_summary(feat.reconstruct_inventory(base.panel(spark, sf_dir)))
+
+
+@query("summary_stats")
+def summary_stats(spark, sf_dir):
+    """count, mean, std, min, quartiles, max of the model's numeric inputs."""
+    out = stats.describe(base.features(spark, sf_dir), NUMERICAL_FEATURES)
+    return _round_cols(out, ["mean", "std", "p25", "p50", "p75"])
+
+
+@query("ratio_quantiles")
+def ratio_quantiles(spark, sf_dir):
+    """Stock / clipped demand at 0, 20, 40, 60, 80, 100 %."""
+    df = feat.inv_demand_ratio(base.panel(spark, sf_dir))
+    out = stats.quantiles_long(df, ["inv_demand_ratio"], [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])
+    return _round_cols(out.select("prob", "value"), ["value"])
+
+
+@query("median_by_class")
+def median_by_class(spark, sf_dir):
+    """Median coverage ratio and days of stock per next-day class."""
+    out = stats.quantiles_long(base.labelled(spark, sf_dir), ["coverage_ratio", "days_of_stock"],
+                               [0.5], ["risk_label"])
+    return _round_cols(out.select("risk_label", "column", F.col("value").alias("median")), ["median"])
+
+
+@query("correlation_matrix")
+def correlation_matrix(spark, sf_dir):
+    out = stats.correlation_matrix(base.features(spark, sf_dir), FEATURE_11)
+    return _round_cols(out, ["corr"])
+
+
+@query("vif")
+def vif_q(spark, sf_dir):
+    return stats.vif(base.features(spark, sf_dir), NUMERICAL_FEATURES)
+
+
+@query("histogram_units_sold")
+def histogram_units_sold(spark, sf_dir):
+    return stats.histogram(base.panel(spark, sf_dir), "units_sold", 40)
+
+
+@query("histogram_ratio")
+def histogram_ratio(spark, sf_dir):
+    """Stock / demand ratio clipped at 20, 100 bins."""
+    return stats.histogram(feat.inv_demand_ratio(base.panel(spark, sf_dir)), "inv_demand_ratio", 100, upper=20)
+
+
+@query("boxplot_stats")
+def boxplot_stats(spark, sf_dir):
+    out = stats.boxplot_stats(base.panel(spark, sf_dir), ["inventory_level", "units_sold", "demand_forecast"])
+    return _round_cols(out, ["q1", "median", "q3", "iqr", "lo_fence", "hi_fence"])
+
+
+# --- weights and metric algebra --------------------------------------------------------
+
+@query("class_weights")
+def class_weights(spark, sf_dir):
+    df = lab.split_column(base.labelled(spark, sf_dir)).filter("split = 'train'")
+    return met.class_weights(df)
+
+
+@query("weighted_train_rows")
+def weighted_train_rows(spark, sf_dir):
+    """Each train row with its balanced class weight (dict lookup as a join)."""
+    df = lab.split_column(base.labelled(spark, sf_dir)).filter("split = 'train'")
+    return met.with_class_weight(df, met.class_weights(df)).select(*KEYS, "risk_label", "weight")
+
+
+def _rule_predictions(spark, sf_dir):
+    """Stage-1 labels; today's rule label is the prediction of tomorrow's."""
+    df = lab.label(feat.clean_demand(base.panel(spark, sf_dir)), variant="stage1")
+    return lab.split_column(df).withColumnRenamed("risk_label_current", "prediction_label")
+
+
+@query("rule_baseline_confusion")
+def rule_baseline_confusion(spark, sf_dir):
+    conf = met.confusion(_rule_predictions(spark, sf_dir), "risk_label", "prediction_label", ["split"])
+    return met.normalise_rows(conf, ["split"])
+
+
+@query("rule_baseline_per_class")
+def rule_baseline_per_class(spark, sf_dir):
+    conf = met.confusion(_rule_predictions(spark, sf_dir), "risk_label", "prediction_label", ["split"])
+    return met.per_class(conf, ["split"])
+
+
+@query("rule_baseline_metrics")
+def rule_baseline_metrics(spark, sf_dir):
+    out = met.metric_table(_rule_predictions(spark, sf_dir), "risk_label", "prediction_label", ["split"])
+    return _round_cols(out, ["precision_macro", "recall_macro", "f1_macro", "precision_weighted",
+                             "recall_weighted", "f1_weighted"])

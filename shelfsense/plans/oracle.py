@@ -25,3 +25,301 @@ sql("features_series", _FEAT + " SELECT * FROM features")
 
 sql("labels_reconstructed", _LAB +
     " SELECT store_id, product_id, dt, risk_label_current, risk_label FROM labelled")
+
+# --- label variants ------------------------------------------------------------------
+
+_STAGE1 = with_ctes(RETAIL_DAILY, CLEAN) + """,
+s1 AS (SELECT *, """ + rule_sql("inventory_level", "demand_forecast_clean", precedence="stockout") + """ AS risk_label_current FROM rd_clean),
+stage1 AS (SELECT * FROM (SELECT *, lead(risk_label_current) OVER (PARTITION BY store_id, product_id ORDER BY dt) AS risk_label FROM s1) WHERE risk_label IS NOT NULL)
+"""
+sql("labels_stage1", _STAGE1 + " SELECT store_id, product_id, dt, risk_label_current, risk_label FROM stage1")
+
+sql("labels_pipeline", _FEAT + """,
+p AS (SELECT *, """ + rule_sql("inventory_level", "demand_forecast_clean") + """ AS risk_label_current FROM features)
+SELECT store_id, product_id, dt, risk_label_current, risk_label FROM (
+  SELECT *, lead(risk_label_current) OVER (PARTITION BY store_id, product_id ORDER BY dt) AS risk_label FROM p)
+WHERE risk_label IS NOT NULL""")
+
+sql("labels_explorer", with_ctes(RETAIL_DAILY) + """
+SELECT store_id, product_id, dt, """ + rule_sql("inventory_level", "demand_forecast", precedence="stockout")
+    + """ AS risk_label FROM retail_daily""")
+
+sql("labels_reconstructed_tail2", _FEAT + """,
+c AS (SELECT *, """ + rule_sql("inventory_reconstructed", "demand_forecast_clean") + """ AS risk_label_current FROM features),
+s AS (SELECT *, lead(risk_label_current) OVER w AS risk_label, lead(dt, 2) OVER w AS dt2
+      FROM c WINDOW w AS (PARTITION BY store_id, product_id ORDER BY dt))
+SELECT store_id, product_id, dt, risk_label_current, risk_label FROM s WHERE dt2 IS NOT NULL""")
+
+sql("features_flat", with_ctes(RETAIL_DAILY) + """,
+f0 AS (
+  SELECT *,
+    coalesce(lag(CAST(inventory_level AS DOUBLE)) OVER (PARTITION BY store_id, product_id ORDER BY dt),
+             CAST(inventory_level AS DOUBLE)) AS inventory_lag1,
+    coalesce(lag(CAST(units_sold AS DOUBLE)) OVER (PARTITION BY store_id, product_id ORDER BY dt),
+             CAST(units_sold AS DOUBLE)) AS units_sold_lag1,
+    avg(inventory_level) OVER (PARTITION BY store_id, product_id ORDER BY dt
+                               ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling7_inventory
+  FROM retail_daily),
+f1 AS (
+  SELECT *, inventory_level - inventory_lag1 AS inventory_change,
+    coalesce((inventory_level - inventory_lag1) / nullif(inventory_lag1, 0), 0.0) AS inventory_change_pct,
+    inventory_level - rolling7_inventory AS inventory_vs_rolling7,
+    coalesce(inventory_level / nullif(CAST(units_sold AS DOUBLE), 0), 0.0) AS days_of_stock,
+    coalesce(units_sold / nullif(demand_forecast, 0), 0.0) AS sales_velocity,
+    coalesce(inventory_level / nullif(demand_forecast, 0), 0.0) AS coverage_ratio,
+    units_sold - demand_forecast AS forecast_error,
+    coalesce(demand_forecast / nullif(CAST(inventory_level AS DOUBLE), 0), 0.0) AS order_to_inventory
+  FROM f0)
+SELECT store_id, product_id, dt, inventory_level, units_sold, demand_forecast, inventory_lag1,
+  units_sold_lag1, rolling7_inventory, inventory_change, inventory_change_pct, days_of_stock,
+  inventory_vs_rolling7, sales_velocity, coverage_ratio, forecast_error, order_to_inventory,
+  CASE WHEN coverage_ratio < 0.2 OR days_of_stock < 3 THEN 'Stockout Risk'
+       WHEN coverage_ratio > 2.0 AND days_of_stock > 30 THEN 'Overstock Risk'
+       ELSE 'Safe Zone' END AS risk_label
+FROM f1""")
+
+SPLIT = """,
+split_lab AS (
+  SELECT *, CASE WHEN dt < DATE '2000-02-01' THEN 'train' WHEN dt < DATE '2001-02-01' THEN 'val'
+                 ELSE 'test' END AS split FROM labelled),
+med AS (SELECT quantile_cont(days_of_stock, 0.5) AS m_dos, quantile_cont(sales_velocity, 0.5) AS m_sv
+        FROM split_lab WHERE split = 'train'),
+filled AS (
+  SELECT s.* REPLACE (coalesce(days_of_stock, m_dos) AS days_of_stock,
+                      coalesce(sales_velocity, m_sv) AS sales_velocity)
+  FROM split_lab s CROSS JOIN med)
+"""
+_SPLIT = _LAB + SPLIT
+
+sql("labelled_splits", _SPLIT +
+    " SELECT store_id, product_id, dt, split, days_of_stock, sales_velocity, risk_label FROM filled")
+
+sql("split_sizes", _SPLIT + """
+SELECT split, count(*) AS n_rows, min(dt) AS min_dt, max(dt) AS max_dt,
+  CASE WHEN split = 'train' THEN max(dt) < DATE '2000-02-01'
+       WHEN split = 'val' THEN min(dt) >= DATE '2000-02-01' AND max(dt) < DATE '2001-02-01'
+       ELSE min(dt) >= DATE '2001-02-01' END AS ok
+FROM split_lab GROUP BY split""")
+
+sql("scenario_shares", _FEAT + """,
+sc(scenario, theta_low, theta_high, sales_vel) AS (VALUES
+  ('Scenario 1', 1.2::DOUBLE, 4.5::DOUBLE, 0.8::DOUBLE),
+  ('Scenario 2', 1.0::DOUBLE, 1.5::DOUBLE, 0.5::DOUBLE),
+  ('Scenario 3', 1.6::DOUBLE, 2.4::DOUBLE, 0.7::DOUBLE)),
+x AS (
+  SELECT scenario, theta_low, theta_high, sales_vel,
+    CASE WHEN inventory_reconstructed > demand_forecast_clean * theta_high
+              AND units_sold < demand_forecast_clean * sales_vel THEN 'Overstock Risk'
+         WHEN inventory_reconstructed < demand_forecast_clean * theta_low THEN 'Stockout Risk'
+         ELSE 'Safe Zone' END AS l
+  FROM features CROSS JOIN sc),
+c AS (
+  SELECT scenario, theta_low, theta_high, sales_vel, count(*) AS n_total,
+    sum(CASE WHEN l = 'Overstock Risk' THEN 1 ELSE 0 END) AS overstock,
+    sum(CASE WHEN l = 'Safe Zone' THEN 1 ELSE 0 END) AS safe,
+    sum(CASE WHEN l = 'Stockout Risk' THEN 1 ELSE 0 END) AS stockout
+  FROM x GROUP BY ALL)
+SELECT *, CAST(overstock AS DOUBLE) * 100.0 / CAST(n_total AS DOUBLE) AS overstock_pct,
+  CAST(safe AS DOUBLE) * 100.0 / CAST(n_total AS DOUBLE) AS safe_pct,
+  CAST(stockout AS DOUBLE) * 100.0 / CAST(n_total AS DOUBLE) AS stockout_pct
+FROM c""")
+
+# --- profiling ---------------------------------------------------------------------------
+
+_RD = with_ctes(RETAIL_DAILY)
+sql("shape_summary", _RD + """
+SELECT count(*) AS n_rows, min(dt) AS start_dt, max(dt) AS end_dt,
+  count(DISTINCT store_id) AS n_stores, count(DISTINCT product_id) AS n_products, 7 AS n_numeric_cols
+FROM retail_daily""")
+
+_CATS = ["store_id", "product_id", "category", "region", "weather_condition", "seasonality"]
+sql("distinct_counts", _RD + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count(DISTINCT {c}) AS n_distinct FROM retail_daily" for c in _CATS))
+sql("distinct_values", _RD + " " + " UNION ".join(
+    f"SELECT DISTINCT '{c}' AS column, CAST({c} AS VARCHAR) AS value FROM retail_daily WHERE {c} IS NOT NULL"
+    for c in _CATS))
+
+_FEAT_ALL_COLS = ["store_id", "product_id", "dt", "category", "region", "weather_condition",
+                  "seasonality", "inventory_level", "units_sold", "units_ordered", "demand_forecast",
+                  "price", "discount", "competitor_pricing", "holiday_promotion", "demand_forecast_clean",
+                  "inventory_reconstructed", "inventory_lag1", "units_sold_lag1", "rolling7_inventory",
+                  "inventory_change", "inventory_change_pct", "days_of_stock", "inventory_vs_rolling7",
+                  "sales_velocity", "coverage_ratio", "forecast_error", "order_to_inventory"]
+_FEAT_NOFILTER = FEATURES.replace(
+    "WHERE inventory_lag1 IS NOT NULL AND rolling7_inventory IS NOT NULL", "")
+
+
+def _missing(c: str) -> str:
+    dbl = c not in ("store_id", "product_id", "dt", "category", "region", "weather_condition",
+                    "seasonality", "inventory_level", "units_sold", "units_ordered", "discount",
+                    "holiday_promotion")
+    cond = f"({c} IS NULL OR isnan({c}))" if dbl else f"{c} IS NULL"
+    return (f"SELECT '{c}' AS column, sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS n_missing, "
+            f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) "
+            f"AS pct_missing FROM features")
+
+
+sql("missing_values", with_ctes(RETAIL_DAILY, CLEAN, _FEAT_NOFILTER) + " "
+    + " UNION ALL ".join(_missing(c) for c in _FEAT_ALL_COLS))
+
+sql("duplicate_rows", _RD + """
+SELECT region, category, dt, holiday_promotion FROM (
+  SELECT region, category, dt, holiday_promotion,
+    count(*) OVER (PARTITION BY region, category, dt, holiday_promotion) AS c
+  FROM retail_daily) WHERE c > 1""")
+
+sql("label_value_counts", _LAB + """
+SELECT risk_label, n, CAST(n AS DOUBLE) * 100.0 / CAST(sum(n) OVER () AS DOUBLE) AS pct
+FROM (SELECT risk_label, count(*) AS n FROM labelled WHERE risk_label IS NOT NULL GROUP BY risk_label)""")
+
+sql("crosstab_dims", _STAGE1 + " " + " UNION ALL ".join(f"""
+SELECT {d} AS value, sum(CASE WHEN risk_label = 'Overstock Risk' THEN 1 ELSE 0 END) AS overstock,
+  sum(CASE WHEN risk_label = 'Safe Zone' THEN 1 ELSE 0 END) AS safe,
+  sum(CASE WHEN risk_label = 'Stockout Risk' THEN 1 ELSE 0 END) AS stockout, '{d}' AS dimension
+FROM stage1 GROUP BY {d}""" for d in ("category", "region", "seasonality")))
+
+_EXPL = with_ctes(RETAIL_DAILY) + """,
+expl AS (SELECT *, """ + rule_sql("inventory_level", "demand_forecast", precedence="stockout") + """ AS risk_label
+         FROM retail_daily)
+"""
+sql("subgroup_breakdown", _EXPL + """
+SELECT region, n_total, overstock, safe, stockout,
+  CASE WHEN n_total > 0 THEN CAST(overstock AS DOUBLE) * 100.0 / n_total ELSE 0.0 END AS overstock_pct,
+  CASE WHEN n_total > 0 THEN CAST(safe AS DOUBLE) * 100.0 / n_total ELSE 0.0 END AS safe_pct,
+  CASE WHEN n_total > 0 THEN CAST(stockout AS DOUBLE) * 100.0 / n_total ELSE 0.0 END AS stockout_pct
+FROM (SELECT region, count(*) AS n_total,
+        sum(CASE WHEN risk_label = 'Overstock Risk' THEN 1 ELSE 0 END) AS overstock,
+        sum(CASE WHEN risk_label = 'Safe Zone' THEN 1 ELSE 0 END) AS safe,
+        sum(CASE WHEN risk_label = 'Stockout Risk' THEN 1 ELSE 0 END) AS stockout
+      FROM expl GROUP BY region)""")
+
+sql("explorer_top200", _EXPL + """
+SELECT dt, store_id, product_id, category, region, inventory_level, units_sold, demand_forecast, risk_label
+FROM expl
+WHERE category IN ('SIZED', 'PROMO') AND region IN ('AMERICA', 'ASIA', 'EUROPE')
+  AND store_id IN (""" + ", ".join(f"'NATION_{i}'" for i in range(25)) + """)
+ORDER BY dt DESC, store_id, product_id LIMIT 200""")
+
+sql("rows_affected", _RD + """
+SELECT sum(CASE WHEN demand_forecast < 0 THEN 1 ELSE 0 END) AS n_demand_negative,
+  sum(CASE WHEN demand_forecast < 1 THEN 1 ELSE 0 END) AS n_demand_below_1, count(*) AS n_rows
+FROM retail_daily""")
+
+sql("reconstruction_summary", with_ctes(RETAIL_DAILY, CLEAN) + """
+SELECT avg(inventory_level) AS mean_level, avg(inventory_reconstructed) AS mean_reconstructed,
+  min(inventory_reconstructed) AS min_reconstructed,
+  CAST(sum(CASE WHEN inventory_reconstructed = 0 THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / count(*)
+    AS pct_zero_reconstructed
+FROM recon""")
+
+_NUM = ["inventory_reconstructed", "units_sold", "units_ordered", "price", "discount",
+        "units_sold_lag1", "inventory_change_pct", "days_of_stock", "sales_velocity",
+        "coverage_ratio", "forecast_error", "order_to_inventory"]
+sql("summary_stats", _FEAT + " " + " UNION ALL ".join(f"""
+SELECT '{c}' AS column, count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std,
+  min(v) AS min, round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50,
+  round(quantile_cont(v, 0.75), 6) AS p75, max(v) AS max
+FROM (SELECT CAST({c} AS DOUBLE) AS v FROM features)""" for c in _NUM))
+
+_RATIO = with_ctes(RETAIL_DAILY) + """,
+ratio AS (SELECT inventory_level / CASE WHEN demand_forecast < 1 THEN 1.0::DOUBLE ELSE demand_forecast END
+          AS inv_demand_ratio FROM retail_daily)
+"""
+sql("ratio_quantiles", _RATIO + """
+SELECT prob, round(value, 6) AS value FROM (
+  SELECT unnest([0.0, 0.2, 0.4, 0.6, 0.8, 1.0]::DOUBLE[]) AS prob, unnest(qs) AS value
+  FROM (SELECT quantile_cont(inv_demand_ratio, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]::DOUBLE[]) AS qs FROM ratio))""")
+
+sql("median_by_class", _LAB + """
+SELECT risk_label, 'coverage_ratio' AS column, round(quantile_cont(coverage_ratio, 0.5), 6) AS median
+FROM labelled GROUP BY risk_label
+UNION ALL
+SELECT risk_label, 'days_of_stock' AS column, round(quantile_cont(days_of_stock, 0.5), 6) AS median
+FROM labelled GROUP BY risk_label""")
+
+_F11 = ["inventory_lag1", "units_sold_lag1", "rolling7_inventory", "inventory_change",
+        "inventory_change_pct", "days_of_stock", "inventory_vs_rolling7", "sales_velocity",
+        "coverage_ratio", "forecast_error", "order_to_inventory"]
+sql("correlation_matrix", _FEAT + " " + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM features"
+    for a in _F11 for b in _F11))
+
+
+def _hist(src: str, col: str, bins: int) -> str:
+    return f"""
+b AS (SELECT min({col}) AS lo, max({col}) AS hi FROM {src} WHERE {col} IS NOT NULL),
+c AS (SELECT CASE WHEN hi = lo THEN 0 ELSE least(CAST(floor(({col} - lo) / ((hi - lo) / {bins})) AS INT), {bins - 1}) END AS bin,
+             count(*) AS n
+      FROM {src}, b WHERE {col} IS NOT NULL GROUP BY 1),
+g AS (SELECT CAST(range AS INT) AS bin FROM range({bins}))
+SELECT g.bin, lo + g.bin * ((hi - lo) / {bins}) AS bin_lo, lo + (g.bin + 1) * ((hi - lo) / {bins}) AS bin_hi,
+  coalesce(c.n, 0) AS n
+FROM g CROSS JOIN b LEFT JOIN c ON g.bin = c.bin"""
+
+
+sql("histogram_units_sold", _RD + "," + _hist("(SELECT CAST(units_sold AS DOUBLE) AS x FROM retail_daily)", "x", 40))
+sql("histogram_ratio", _RATIO + "," + _hist(
+    "(SELECT CASE WHEN inv_demand_ratio > 20 THEN 20.0::DOUBLE ELSE inv_demand_ratio END AS x FROM ratio)", "x", 100))
+
+sql("boxplot_stats", _RD + """,
+long AS (SELECT 'inventory_level' AS "column", CAST(inventory_level AS DOUBLE) AS v FROM retail_daily
+         UNION ALL SELECT 'units_sold', CAST(units_sold AS DOUBLE) FROM retail_daily
+         UNION ALL SELECT 'demand_forecast', demand_forecast FROM retail_daily),
+q AS (SELECT "column", quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+             quantile_cont(v, 0.75) AS q3 FROM long GROUP BY "column"),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_fence, q3 + 1.5 * (q3 - q1) AS hi_fence FROM q)
+SELECT f."column", round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(iqr, 6) AS iqr,
+  round(lo_fence, 6) AS lo_fence, round(hi_fence, 6) AS hi_fence,
+  min(CASE WHEN v BETWEEN lo_fence AND hi_fence THEN v END) AS whisker_lo,
+  max(CASE WHEN v BETWEEN lo_fence AND hi_fence THEN v END) AS whisker_hi,
+  sum(CASE WHEN v BETWEEN lo_fence AND hi_fence THEN 0 ELSE 1 END) AS n_outliers
+FROM long JOIN f USING ("column")
+GROUP BY f."column", q1, median, q3, iqr, lo_fence, hi_fence""")
+
+# --- weights and metric algebra ----------------------------------------------------------
+
+_CW = _SPLIT + """,
+cw AS (SELECT risk_label, count(*) AS n_class FROM split_lab WHERE split = 'train' GROUP BY risk_label),
+cw2 AS (SELECT risk_label, n_class, sum(n_class) OVER () AS n_total, count(*) OVER () AS k FROM cw)
+"""
+sql("class_weights", _CW + """
+SELECT risk_label, n_class, n_total, k,
+  CAST(n_total AS DOUBLE) / (CAST(k AS DOUBLE) * CAST(n_class AS DOUBLE)) AS weight FROM cw2""")
+
+sql("weighted_train_rows", _CW + """
+SELECT s.store_id, s.product_id, s.dt, s.risk_label,
+  CAST(n_total AS DOUBLE) / (CAST(k AS DOUBLE) * CAST(n_class AS DOUBLE)) AS weight
+FROM split_lab s JOIN cw2 USING (risk_label) WHERE s.split = 'train'""")
+
+_RULE = _STAGE1 + """,
+rp AS (SELECT *, risk_label_current AS prediction_label,
+         CASE WHEN dt < DATE '2000-02-01' THEN 'train' WHEN dt < DATE '2001-02-01' THEN 'val'
+              ELSE 'test' END AS split FROM stage1),
+cls(c) AS (VALUES ('Overstock Risk'), ('Safe Zone'), ('Stockout Risk')),
+grid AS (SELECT s.split, a.c AS actual, p.c AS predicted FROM (SELECT DISTINCT split FROM rp) s, cls a, cls p),
+cnt AS (SELECT split, risk_label AS actual, prediction_label AS predicted, count(*) AS n FROM rp GROUP BY ALL),
+conf AS (SELECT g.split, g.actual, g.predicted, coalesce(c.n, 0) AS n FROM grid g
+         LEFT JOIN cnt c USING (split, actual, predicted)),
+pa AS (SELECT split, actual AS cls, sum(n) AS support, sum(CASE WHEN actual = predicted THEN n ELSE 0 END) AS tp
+       FROM conf GROUP BY split, actual),
+pp AS (SELECT split, predicted AS cls, sum(n) AS n_pred FROM conf GROUP BY split, predicted),
+pc AS (SELECT split, cls, support, tp, n_pred,
+         coalesce(CAST(tp AS DOUBLE) / CAST(nullif(n_pred, 0) AS DOUBLE), 0.0) AS precision,
+         coalesce(CAST(tp AS DOUBLE) / CAST(nullif(support, 0) AS DOUBLE), 0.0) AS recall,
+         coalesce(2.0 * CAST(tp AS DOUBLE) / CAST(nullif(support + n_pred, 0) AS DOUBLE), 0.0) AS f1
+       FROM pa JOIN pp USING (split, cls))
+"""
+sql("rule_baseline_confusion", _RULE + """
+SELECT split, actual, predicted, n,
+  coalesce(CAST(n AS DOUBLE) / CAST(nullif(sum(n) OVER (PARTITION BY split, actual), 0) AS DOUBLE), 0.0) AS share
+FROM conf""")
+sql("rule_baseline_per_class", _RULE + " SELECT * FROM pc")
+sql("rule_baseline_metrics", _RULE + """
+SELECT split, CAST(sum(tp) AS DOUBLE) / CAST(sum(support) AS DOUBLE) AS accuracy,
+  round(avg(precision), 6) AS precision_macro, round(avg(recall), 6) AS recall_macro,
+  round(avg(f1), 6) AS f1_macro,
+  round(sum(precision * support) / sum(support), 6) AS precision_weighted,
+  round(sum(recall * support) / sum(support), 6) AS recall_weighted,
+  round(sum(f1 * support) / sum(support), 6) AS f1_weighted,
+  sum(support) AS n_rows
+FROM pc GROUP BY split""")
