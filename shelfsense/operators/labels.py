@@ -71,20 +71,26 @@ def split_column(df: DataFrame, params: RiskParams = RiskParams(), time_col: str
          .otherwise("test"))
 
 
-def fill_train_median(df: DataFrame, cols=MEDIAN_FILL_COLS) -> DataFrame:
+def train_medians(df: DataFrame, cols=MEDIAN_FILL_COLS) -> dict[str, float | None]:
+    """Exact medians of the train split (fit step; k numbers reach the driver)."""
+    from shelfsense.operators.stats import exact_quantiles
+
+    row = exact_quantiles(df.filter(F.col("split") == "train"), list(cols), [0.5]).collect()
+    return {c: (row[0][f"{c}_q0"] if row else None) for c in cols}
+
+
+def fill_train_median(df: DataFrame, cols=MEDIAN_FILL_COLS, medians: dict | None = None) -> DataFrame:
     """Fill nulls with the exact median of the train split, for every split.
 
-    The medians come from one distributed exact quantile pass (no per-group
-    value buffer); the one-row result is cross-joined (broadcast, 1 row).
+    The medians are fitted once (one distributed exact-quantile pass, no
+    per-group value buffer) and applied as literals, so the output plan does
+    not carry the fitting sub-plan.
     """
-    from shelfsense.operators.stats import exact_quantiles
-
-    med = exact_quantiles(df.filter(F.col("split") == "train"), list(cols), [0.5])
-    med = med.select(*[F.col(f"{c}_q0").alias(f"__med_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(med))
+    medians = medians if medians is not None else train_medians(df, cols)
     for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"__med_{c}")))
-    return out.drop(*[f"__med_{c}" for c in cols])
+        if medians.get(c) is not None:
+            df = df.withColumn(c, F.coalesce(F.col(c), F.lit(float(medians[c]))))
+    return df
 
 
 def leakage_check(df: DataFrame, params: RiskParams = RiskParams(), time_col: str = TIME_COL) -> DataFrame:

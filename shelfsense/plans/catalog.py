@@ -320,3 +320,83 @@ def rule_baseline_metrics(spark, sf_dir):
     out = met.metric_table(_rule_predictions(spark, sf_dir), "risk_label", "prediction_label", ["split"])
     return _round_cols(out, ["precision_macro", "recall_macro", "f1_macro", "precision_weighted",
                              "recall_weighted", "f1_weighted"])
+
+
+# --- encoding ----------------------------------------------------------------------------
+
+from shelfsense.operators import encode as enc  # noqa: E402
+from shelfsense.operators import scoring as scr  # noqa: E402
+
+
+@query("encoded_categories")
+def encoded_categories(spark, sf_dir):
+    """Alphabetical ordinal codes fitted on train, applied to every split."""
+    df = base.split_frame(spark, sf_dir)
+    model = enc.fit_ordinal(df.filter("split = 'train'"), CATEGORICAL_FEATURES)
+    out = enc.apply_ordinal(df, model, CATEGORICAL_FEATURES)
+    return out.select(*KEYS, "split", *[c + "_enc" for c in CATEGORICAL_FEATURES])
+
+
+@query("onehot_first_dropped")
+def onehot_first_dropped(spark, sf_dir):
+    """Active indicators of the first-level-dropped one-hot, long form."""
+    df = base.split_frame(spark, sf_dir)
+    out = enc.active_indicators(df, df.filter("split = 'train'"), CATEGORICAL_FEATURES)
+    return out.select(*KEYS, "column", "level")
+
+
+@query("standardized_features")
+def standardized_features(spark, sf_dir):
+    """z-scores of the numeric inputs with train mean and population std."""
+    df = base.split_frame(spark, sf_dir)
+    out = enc.standardize(df, df.filter("split = 'train'"), NUMERICAL_FEATURES)
+    zs = [c + "_z" for c in NUMERICAL_FEATURES]
+    return _round_cols(out.select(*KEYS, "split", *zs), zs)
+
+
+# --- scoring contract --------------------------------------------------------------------
+
+def _requests(spark, sf_dir):
+    """Score requests as they arrive (API names, text values) for every day
+    of every series, including each series' first day (no sales history)."""
+    df = feat.series_features(base.panel(spark, sf_dir), drop_incomplete=False)
+    req = scr.to_request_frame(df, keep=KEYS)
+    return req.select(*KEYS, *[F.col(c).cast("string").alias(c) for c in req.columns if c not in KEYS])
+
+
+@query("score_contract")
+def score_contract(spark, sf_dir):
+    """Per request: typed model columns, failing fields and validity."""
+    checked = scr.validate_requests(_requests(spark, sf_dir), keep=KEYS)
+    return checked.withColumn("errors", F.concat_ws(",", "error_columns")).drop("error_columns")
+
+
+@query("score_quarantine_counts")
+def score_quarantine_counts(spark, sf_dir):
+    """Valid vs quarantined request counts per failing-field set."""
+    checked = scr.validate_requests(_requests(spark, sf_dir), keep=KEYS)
+    return (checked.withColumn("errors", F.concat_ws(",", "error_columns"))
+                   .groupBy("is_valid", "errors").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("label_decode")
+def label_decode(spark, sf_dir):
+    """Code -> class name with out-of-range codes kept as text; codes come
+    from the rule prediction shifted by the day of month (-1 .. 3)."""
+    df = scr.encode_labels(_rule_predictions(spark, sf_dir), "prediction_label", out="code")
+    df = df.withColumn("code", F.col("code") + F.dayofmonth("dt") % 3 - 1)
+    return scr.decode_predictions(df, "code", out="decoded").select(*KEYS, "code", "decoded")
+
+
+@query("cold_start_rows")
+def cold_start_rows(spark, sf_dir):
+    """Full feature rows built from 8-field snapshots of every panel row."""
+    snap = base.panel(spark, sf_dir).select(
+        *KEYS, "inventory_level", "units_sold", "demand_forecast", "price", "competitor_pricing",
+        "discount", "category", "seasonality")
+    panel = base.panel(spark, sf_dir)
+    fitted = enc.ordinal_indexer(CATEGORICAL_FEATURES).fit(panel)   # levels: category cardinality
+    levels = {c: list(lv) for c, lv in zip(CATEGORICAL_FEATURES, fitted.labelsArray)}
+    out = scr.cold_start_rows(snap, levels)
+    return out.drop("competitor_pricing", "price", "discount", "category", "seasonality",
+                    "region_fixed", "weather_fixed")

@@ -323,3 +323,105 @@ SELECT split, CAST(sum(tp) AS DOUBLE) / CAST(sum(support) AS DOUBLE) AS accuracy
   round(sum(f1 * support) / sum(support), 6) AS f1_weighted,
   sum(support) AS n_rows
 FROM pc GROUP BY split""")
+
+# --- encoding ------------------------------------------------------------------------------
+
+_CATS4 = ["category", "region", "weather_condition", "seasonality"]
+sql("encoded_categories", _SPLIT + "," + ",".join(f"""
+c_{c} AS (SELECT {c}, CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INT) AS {c}_enc
+          FROM (SELECT DISTINCT {c} FROM filled WHERE split = 'train'))""" for c in _CATS4) + """
+SELECT store_id, product_id, dt, split, """ + ", ".join(f"{c}_enc" for c in _CATS4) + """
+FROM filled """ + " ".join(f"JOIN c_{c} USING ({c})" for c in _CATS4))
+
+sql("onehot_first_dropped", _SPLIT + """,
+long AS (""" + " UNION ALL ".join(
+    f"SELECT store_id, product_id, dt, split, '{c}' AS \"column\", {c} AS level FROM filled" for c in _CATS4) + """),
+known AS (SELECT "column", level FROM (
+  SELECT DISTINCT "column", level FROM long WHERE split = 'train')
+  QUALIFY level <> min(level) OVER (PARTITION BY "column"))
+SELECT store_id, product_id, dt, "column", level FROM long SEMI JOIN known USING ("column", level)""")
+
+_NUM12 = ["inventory_reconstructed", "units_sold", "units_ordered", "price", "discount",
+          "units_sold_lag1", "inventory_change_pct", "days_of_stock", "sales_velocity",
+          "coverage_ratio", "forecast_error", "order_to_inventory"]
+sql("standardized_features", _SPLIT + """,
+st AS (SELECT """ + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}"
+                             for c in _NUM12) + """ FROM filled WHERE split = 'train')
+SELECT store_id, product_id, dt, split, """ + ", ".join(
+    f"round((CAST({c} AS DOUBLE) - m_{c}) / CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN 1.0 ELSE s_{c} END, 6) AS {c}_z"
+    for c in _NUM12) + " FROM filled CROSS JOIN st")
+
+# --- scoring contract ----------------------------------------------------------------------
+
+_REQ = [("Inventory_Reconstructed", "inventory_reconstructed", "double"),
+        ("Units_Sold", "units_sold", "bigint"), ("Units_Ordered", "units_ordered", "bigint"),
+        ("Price", "price", "double"), ("Discount", "discount", "bigint"),
+        ("Units_Sold_Lag1", "units_sold_lag1", "double"),
+        ("Inventory_Change_Pct", "inventory_change_pct", "double"),
+        ("Days_of_Stock", "days_of_stock", "double"), ("Sales_Velocity", "sales_velocity", "double"),
+        ("Coverage_Ratio", "coverage_ratio", "double"), ("Forecast_Error", "forecast_error", "double"),
+        ("Order_to_Inventory", "order_to_inventory", "double"), ("Category", "category", "string"),
+        ("Region", "region", "string"), ("Weather_Condition", "weather_condition", "string"),
+        ("Seasonality", "seasonality", "string")]
+
+
+def _bad(ours: str, typ: str) -> str:
+    if typ == "string":
+        return f"{ours} IS NULL"
+    if typ == "bigint":
+        return f"({ours} IS NULL OR CAST({ours} AS DOUBLE) <> floor(CAST({ours} AS DOUBLE)))"
+    return f"({ours} IS NULL OR isnan({ours}) OR isinf({ours}))"
+
+
+_CHECKED = with_ctes(RETAIL_DAILY, CLEAN, _FEAT_NOFILTER) + """,
+checked AS (
+  SELECT store_id, product_id, dt, """ + ", ".join(
+    f"CASE WHEN {_bad(o, t)} THEN NULL ELSE "
+    + (f"CAST({o} AS VARCHAR)" if t == "string" else f"CAST({o} AS {'BIGINT' if t == 'bigint' else 'DOUBLE'})")
+    + f" END AS {o}" for _, o, t in _REQ) + """,
+    concat_ws(',', """ + ", ".join(f"CASE WHEN {_bad(o, t)} THEN '{a}' END" for a, o, t in _REQ) + """) AS errors
+  FROM features)
+"""
+sql("score_contract", _CHECKED + " SELECT *, errors = '' AS is_valid FROM checked")
+sql("score_quarantine_counts", _CHECKED + """
+SELECT errors = '' AS is_valid, errors, count(*) AS n FROM checked GROUP BY ALL""")
+
+sql("label_decode", _RULE + """
+SELECT store_id, product_id, dt, code,
+  CASE WHEN code >= 0 AND code < 3 THEN ['Overstock Risk', 'Safe Zone', 'Stockout Risk'][code + 1]
+       ELSE CAST(code AS VARCHAR) END AS decoded
+FROM (SELECT store_id, product_id, dt,
+        CAST(CASE prediction_label WHEN 'Overstock Risk' THEN 0 WHEN 'Safe Zone' THEN 1
+                                   WHEN 'Stockout Risk' THEN 2 END + day(dt) % 3 - 1 AS INT) AS code
+      FROM rp)""")
+
+
+def _rhu(x: str, d: int) -> str:
+    p = f"{10 ** d}.0"
+    return f"(sign({x}) * floor(abs({x}) * {p} + 0.5) / {p})"
+
+
+_INV, _SOLD, _FORE = "CAST(inventory_level AS DOUBLE)", "CAST(units_sold AS DOUBLE)", "demand_forecast"
+_LAG = _rhu(f"{_INV} * 1.1", 2)
+_R7 = _rhu(f"{_INV} * 1.05", 2)
+sql("cold_start_rows", _RD + """,
+lv AS (SELECT * FROM """ + " CROSS JOIN ".join(f"""
+  (SELECT list({c} ORDER BY {c}) AS lv_{c} FROM (SELECT DISTINCT {c} FROM retail_daily))""" for c in _CATS4) + """)
+SELECT store_id, product_id, dt, inventory_level, units_sold, demand_forecast,
+  """ + _LAG + """ AS inventory_lag1,
+  """ + _rhu(f"{_SOLD} * 0.95", 2) + """ AS units_sold_lag1,
+  """ + _R7 + """ AS rolling7_inventory,
+  """ + _rhu(f"{_INV} - {_LAG}", 2) + """ AS inventory_change,
+  CASE WHEN """ + _LAG + " <> 0 THEN " + _rhu(_rhu(f"{_INV} - {_LAG}", 2) + " / " + _LAG, 4) + """ ELSE 0.0 END AS inventory_change_pct,
+  """ + _rhu(f"{_INV} - {_R7}", 2) + """ AS inventory_vs_rolling7,
+  CASE WHEN """ + _SOLD + " > 0 THEN " + _rhu(f"{_INV} / {_SOLD}", 2) + """ ELSE 0.0 END AS days_of_stock,
+  CASE WHEN """ + _FORE + " > 0 THEN " + _rhu(f"{_SOLD} / {_FORE}", 3) + """ ELSE 0.0 END AS sales_velocity,
+  CASE WHEN """ + _FORE + " > 0 THEN " + _rhu(f"{_INV} / {_FORE}", 3) + """ ELSE 0.0 END AS coverage_ratio,
+  """ + _rhu(f"{_SOLD} - {_FORE}", 2) + """ AS forecast_error,
+  CASE WHEN """ + _INV + " > 0 THEN " + _rhu(f"{_FORE} / {_INV}", 3) + """ ELSE 0.0 END AS order_to_inventory,
+  0 AS holiday_flag,
+  CAST(coalesce(list_position(lv_category, category) - 1, 0) AS INT) AS category_enc,
+  CAST(coalesce(list_position(lv_region, 'North') - 1, 0) AS INT) AS region_enc,
+  CAST(coalesce(list_position(lv_weather_condition, 'Sunny') - 1, 0) AS INT) AS weather_condition_enc,
+  CAST(coalesce(list_position(lv_seasonality, seasonality) - 1, 0) AS INT) AS seasonality_enc
+FROM retail_daily CROSS JOIN lv""")
