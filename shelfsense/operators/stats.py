@@ -208,3 +208,35 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                     F.max(F.when(inside, F.col("v"))).alias("whisker_hi"),
                     F.sum(F.when(~inside, 1).otherwise(0)).alias("n_outliers")))
     return agg
+
+
+def running_totals(vc: DataFrame, key: Sequence[str], value: str, sums: Sequence[str],
+                   buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+    """Inclusive running sums of ``sums`` over ``value`` within ``key``, and
+    the next distinct value (``next_v``), for a table with one row per
+    (key, value).
+
+    Same bucketing as the quantiles: value-range buckets from a bounded
+    sketch, bucket offsets from a small per-bucket table, then a window per
+    (key, bucket), so no task holds a whole key.
+    """
+    key = list(key)
+    edges_p = [i / buckets for i in range(1, buckets)]
+    edges = vc.groupBy(*key).agg(F.percentile_approx(value, edges_p, accuracy).alias("__edges"))
+    vb = (vc.join(edges, key)
+            .withColumn("__b", F.size(F.filter("__edges", lambda e: e <= F.col(value))))
+            .drop("__edges"))
+    per_b = vb.groupBy(*key, "__b").agg(*[F.sum(s).alias(f"__bs_{s}") for s in sums],
+                                          F.min(value).alias("__bmin"))
+    wk = Window.partitionBy(*key).orderBy("__b")
+    prev = wk.rowsBetween(Window.unboundedPreceding, -1)
+    per_b = per_b.select(*key, "__b",
+                         *[F.coalesce(F.sum(f"__bs_{s}").over(prev), F.lit(0)).alias(f"__off_{s}") for s in sums],
+                         F.lead("__bmin").over(wk).alias("__next_bmin"))
+    wb = Window.partitionBy(*key, "__b").orderBy(value)
+    upto = wb.rowsBetween(Window.unboundedPreceding, 0)
+    out = vb.join(per_b, key + ["__b"])
+    for s in sums:
+        out = out.withColumn(f"cum_{s}", F.col(f"__off_{s}") + F.sum(s).over(upto))
+    out = out.withColumn("next_v", F.coalesce(F.lead(value).over(wb), F.col("__next_bmin")))
+    return out.drop("__b", "__next_bmin", *[f"__off_{s}" for s in sums])

@@ -400,3 +400,77 @@ def cold_start_rows(spark, sf_dir):
     out = scr.cold_start_rows(snap, levels)
     return out.drop("competitor_pricing", "price", "discount", "category", "seasonality",
                     "region_fixed", "weather_fixed")
+
+
+# --- prediction log, monitoring and drift ------------------------------------------------
+
+from shelfsense.config import MONITOR_NUMERIC, REQUEST_FIELDS  # noqa: E402
+from shelfsense.operators import drift as drf  # noqa: E402
+
+REQ_NUM = [api for api, _, t in REQUEST_FIELDS if t != "string"]
+REQ_CAT = [api for api, _, t in REQUEST_FIELDS if t == "string"]
+
+
+def _prediction_table(spark, sf_dir):
+    """Scored requests: every feature row with the rule prediction of its
+    next-day class, in the flat prediction-log layout."""
+    df = lab.current_label(base.features(spark, sf_dir), variant="pipeline", out="pred_label")
+    df = scr.encode_labels(df, "pred_label", out="prediction")
+    return scr.prediction_log(df, "rule-baseline", "prediction", keep=KEYS)
+
+
+@query("prediction_log")
+def prediction_log_q(spark, sf_dir):
+    return _prediction_table(spark, sf_dir)
+
+
+@query("monitor_prediction_counts")
+def monitor_prediction_counts(spark, sf_dir):
+    """Row count, counts per prediction code and per label (long form)."""
+    log = _prediction_table(spark, sf_dir)
+    codes = prof.value_counts(log, "prediction_encoded").select(
+        F.lit("prediction_encoded").alias("field"), F.col("prediction_encoded").cast("string").alias("value"), "n")
+    labels = prof.value_counts(log, "prediction_label").select(
+        F.lit("prediction_label").alias("field"), F.col("prediction_label").alias("value"), "n")
+    rows = log.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows").alias("field"),
+                                                       F.lit(None).cast("string").alias("value"), "n")
+    return rows.unionByName(codes).unionByName(labels)
+
+
+@query("monitor_missing")
+def monitor_missing(spark, sf_dir):
+    return prof.missing_values(_prediction_table(spark, sf_dir))
+
+
+@query("monitor_numeric_summary")
+def monitor_numeric_summary(spark, sf_dir):
+    """describe() of the monitored numeric columns that exist in the log."""
+    log = _prediction_table(spark, sf_dir)
+    api = {ours: a for a, ours, _ in REQUEST_FIELDS}
+    cols = [api[c] for c in MONITOR_NUMERIC if api.get(c) in log.columns]
+    return _round_cols(stats.describe(log, cols), ["mean", "std", "p25", "p50", "p75"])
+
+
+@query("drift_halves")
+def drift_halves(spark, sf_dir):
+    """Reference / current halves by (day, store, product) order."""
+    h = drf.half_split(_prediction_table(spark, sf_dir), "dt", ["store_id", "product_id"])
+    return h.groupBy("half").agg(F.count(F.lit(1)).alias("n"), F.min("dt").alias("min_dt"),
+                                 F.max("dt").alias("max_dt"))
+
+
+@query("drift_statistics")
+def drift_statistics(spark, sf_dir):
+    """Per column: chosen test and its statistic (KS D, Wasserstein / std,
+    Jensen-Shannon distance or chi-square)."""
+    h = drf.half_split(_prediction_table(spark, sf_dir), "dt", ["store_id", "product_id"])
+    st = drf.choose_test(drf.column_statistics(drf.value_counts_by_half(
+        h, REQ_NUM + ["prediction_encoded"], REQ_CAT + ["prediction_label"])))
+    return _round_cols(st.select("column", "kind", "total_ref", "total_cur", "n_unique", "stat_test", "statistic"),
+                       ["statistic"])
+
+
+@query("drift_report")
+def drift_report_q(spark, sf_dir):
+    return drf.drift_report(_prediction_table(spark, sf_dir), REQ_NUM + ["prediction_encoded"],
+                            REQ_CAT + ["prediction_label"], "dt", ["store_id", "product_id"])

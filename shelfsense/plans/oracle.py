@@ -425,3 +425,105 @@ SELECT store_id, product_id, dt, inventory_level, units_sold, demand_forecast,
   CAST(coalesce(list_position(lv_weather_condition, 'Sunny') - 1, 0) AS INT) AS weather_condition_enc,
   CAST(coalesce(list_position(lv_seasonality, seasonality) - 1, 0) AS INT) AS seasonality_enc
 FROM retail_daily CROSS JOIN lv""")
+
+# --- prediction log, monitoring and drift ----------------------------------------------------
+
+_PRED = _FEAT + """,
+pl AS (
+  SELECT store_id, product_id, dt, inventory_reconstructed AS Inventory_Reconstructed,
+    units_sold AS Units_Sold, units_ordered AS Units_Ordered, price AS Price, discount AS Discount,
+    units_sold_lag1 AS Units_Sold_Lag1, inventory_change_pct AS Inventory_Change_Pct,
+    days_of_stock AS Days_of_Stock, sales_velocity AS Sales_Velocity, coverage_ratio AS Coverage_Ratio,
+    forecast_error AS Forecast_Error, order_to_inventory AS Order_to_Inventory, category AS Category,
+    region AS Region, weather_condition AS Weather_Condition, seasonality AS Seasonality,
+    'rule-baseline' AS model_run_id,
+    CAST(CASE """ + rule_sql("inventory_level", "demand_forecast_clean") + """
+      WHEN 'Overstock Risk' THEN 0 WHEN 'Safe Zone' THEN 1 ELSE 2 END AS INT) AS prediction_encoded,
+    """ + rule_sql("inventory_level", "demand_forecast_clean") + """ AS prediction_label
+  FROM features)
+"""
+sql("prediction_log", _PRED + " SELECT * FROM pl")
+
+sql("monitor_prediction_counts", _PRED + """
+SELECT 'rows' AS field, CAST(NULL AS VARCHAR) AS value, count(*) AS n FROM pl
+UNION ALL SELECT 'prediction_encoded', CAST(prediction_encoded AS VARCHAR), count(*) FROM pl GROUP BY prediction_encoded
+UNION ALL SELECT 'prediction_label', prediction_label, count(*) FROM pl GROUP BY prediction_label""")
+
+_PL_COLS = ["store_id", "product_id", "dt", "Inventory_Reconstructed", "Units_Sold", "Units_Ordered",
+            "Price", "Discount", "Units_Sold_Lag1", "Inventory_Change_Pct", "Days_of_Stock",
+            "Sales_Velocity", "Coverage_Ratio", "Forecast_Error", "Order_to_Inventory", "Category",
+            "Region", "Weather_Condition", "Seasonality", "model_run_id", "prediction_encoded",
+            "prediction_label"]
+_PL_DBL = {"Inventory_Reconstructed", "Price", "Units_Sold_Lag1", "Inventory_Change_Pct", "Days_of_Stock",
+           "Sales_Velocity", "Coverage_Ratio", "Forecast_Error", "Order_to_Inventory"}
+
+
+def _pl_missing(c: str) -> str:
+    cond = f"({c} IS NULL OR isnan({c}))" if c in _PL_DBL else f"{c} IS NULL"
+    return (f"SELECT '{c}' AS \"column\", sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS n_missing, "
+            f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) "
+            f"AS pct_missing FROM pl")
+
+
+sql("monitor_missing", _PRED + " " + " UNION ALL ".join(_pl_missing(c) for c in _PL_COLS))
+
+_MON = ["Inventory_Reconstructed", "Units_Sold", "Units_Ordered", "Price", "Discount", "Units_Sold_Lag1",
+        "Inventory_Change_Pct", "Days_of_Stock", "Sales_Velocity", "Coverage_Ratio", "Forecast_Error",
+        "Order_to_Inventory"]
+sql("monitor_numeric_summary", _PRED + " " + " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std,
+  min(v) AS min, round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50,
+  round(quantile_cont(v, 0.75), 6) AS p75, max(v) AS max
+FROM (SELECT CAST({c} AS DOUBLE) AS v FROM pl)""" for c in _MON))
+
+_HALVES = _PRED + """,
+h AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY dt, store_id, product_id) <= floor(count(*) OVER () / 2)
+                     THEN 'reference' ELSE 'current' END AS half FROM pl)
+"""
+sql("drift_halves", _HALVES + " SELECT half, count(*) AS n, min(dt) AS min_dt, max(dt) AS max_dt FROM h GROUP BY half")
+
+_DNUM = ["Inventory_Reconstructed", "Units_Sold", "Units_Ordered", "Price", "Discount", "Units_Sold_Lag1",
+         "Inventory_Change_Pct", "Days_of_Stock", "Sales_Velocity", "Coverage_Ratio", "Forecast_Error",
+         "Order_to_Inventory", "prediction_encoded"]
+_DCAT = ["Category", "Region", "Weather_Condition", "Seasonality", "prediction_label"]
+sql("drift_statistics", _HALVES + """,
+long AS (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS col, 'num' AS kind, CAST({c} AS DOUBLE) AS v_num, CAST(NULL AS VARCHAR) AS v_cat, half FROM h"
+    for c in _DNUM) + " UNION ALL " + " UNION ALL ".join(
+    f"SELECT '{c}', 'cat', CAST(NULL AS DOUBLE), CAST({c} AS VARCHAR), half FROM h" for c in _DCAT) + """),
+vc AS (SELECT col, kind, v_num, v_cat, sum(CASE WHEN half = 'reference' THEN 1 ELSE 0 END) AS n_ref,
+         sum(CASE WHEN half = 'current' THEN 1 ELSE 0 END) AS n_cur
+       FROM long WHERE v_num IS NOT NULL OR v_cat IS NOT NULL GROUP BY ALL),
+tot AS (SELECT col, kind, sum(n_ref) AS total_ref, sum(n_cur) AS total_cur, count(*) AS n_unique FROM vc GROUP BY ALL),
+run AS (SELECT vc.col, v_num, n_ref, n_cur, total_ref, total_cur,
+          abs(sum(n_ref) OVER w / total_ref - sum(n_cur) OVER w / total_cur) AS fdiff,
+          lead(v_num) OVER (PARTITION BY vc.col ORDER BY v_num) AS next_v
+        FROM vc JOIN tot USING (col) WHERE vc.kind = 'num'
+        WINDOW w AS (PARTITION BY vc.col ORDER BY v_num ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+nums AS (SELECT col, max(fdiff) AS ks_d,
+           sum(CASE WHEN next_v IS NOT NULL THEN fdiff * (next_v - v_num) ELSE 0.0 END) AS wasserstein
+         FROM run GROUP BY col),
+mref AS (SELECT col, sum(n_ref * v_num) / sum(n_ref) AS mean FROM vc WHERE kind = 'num' GROUP BY col),
+sref AS (SELECT col, sqrt(sum(n_ref * (v_num - mean) * (v_num - mean)) / sum(n_ref)) AS std_ref
+         FROM vc JOIN mref USING (col) GROUP BY col),
+sh0 AS (SELECT vc.col, n_ref, n_cur, total_ref, total_cur,
+          CASE WHEN n_ref = 0 THEN 0.0001 ELSE n_ref / total_ref END AS p0,
+          CASE WHEN n_cur = 0 THEN 0.0001 ELSE n_cur / total_cur END AS q0
+        FROM vc JOIN tot USING (col)),
+sh AS (SELECT *, p0 / sum(p0) OVER (PARTITION BY col) AS p, q0 / sum(q0) OVER (PARTITION BY col) AS q FROM sh0),
+dist AS (SELECT col, sqrt(greatest(0.0, 0.5 * sum(p * ln(p / ((p + q) / 2))) + 0.5 * sum(q * ln(q / ((p + q) / 2)))))
+                AS js_distance,
+           sum(CASE WHEN n_ref * (total_cur / total_ref) > 0
+                    THEN (n_cur - n_ref * (total_cur / total_ref)) * (n_cur - n_ref * (total_cur / total_ref)) / (n_ref * (total_cur / total_ref))
+                    WHEN n_cur > 0 THEN 'inf'::DOUBLE ELSE 0.0 END) AS chi2
+         FROM sh GROUP BY col),
+st AS (SELECT t.col, t.kind, total_ref, total_cur, n_unique,
+         CASE WHEN total_ref <= 1000 AND t.kind = 'num' AND n_unique > 5 THEN 'ks'
+              WHEN total_ref <= 1000 THEN 'chisquare'
+              WHEN t.kind = 'num' AND n_unique > 5 THEN 'wasserstein' ELSE 'jensenshannon' END AS stat_test,
+         ks_d, wasserstein / CASE WHEN std_ref > 0 THEN std_ref ELSE 1.0 END AS wn, js_distance, chi2
+       FROM tot t LEFT JOIN nums USING (col) LEFT JOIN sref USING (col) LEFT JOIN dist USING (col))
+SELECT col AS "column", kind, total_ref, total_cur, n_unique, stat_test,
+  round(CASE stat_test WHEN 'ks' THEN ks_d WHEN 'chisquare' THEN chi2 WHEN 'wasserstein' THEN wn
+        ELSE js_distance END, 6) AS statistic
+FROM st""")

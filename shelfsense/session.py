@@ -29,6 +29,9 @@ def get_spark(master: str | None = None, app: str = "shelfsense",
         builder = builder.master(master)
     for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", os.environ.get("SHELFSENSE_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
