@@ -32,8 +32,12 @@ def to_long(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
 
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    group_cols: Sequence[str] = (), buckets: int = 64,
-                   accuracy: int = 10000) -> DataFrame:
-    """Exact linear-interpolated quantiles; one row per (group..., column, q_index, prob)."""
+                   accuracy: int = 10000, rank_of=None) -> DataFrame:
+    """Exact linear-interpolated quantiles; one row per (group..., column, q_index, prob).
+
+    ``rank_of(n, prob)`` may replace the position rule: it maps the column
+    count ``n`` and ``prob`` to a (0-based, possibly fractional) rank.
+    """
     g = list(group_cols)
     key = g + ["column"]
     long = to_long(df, cols, g).where(F.col("v").isNotNull())
@@ -60,7 +64,8 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         [(i, float(p)) for i, p in enumerate(probs)], "q_index int, prob double")
     targets = (per_bucket.select(*key, "n").distinct()
                .crossJoin(F.broadcast(probs_df))
-               .withColumn("pos", (F.col("n") - 1).cast("double") * F.col("prob"))
+               .withColumn("pos", (F.col("n") - 1).cast("double") * F.col("prob") if rank_of is None
+                           else rank_of(F.col("n"), F.col("prob")).cast("double"))
                .withColumn("lo", F.floor("pos").cast("bigint"))
                .withColumn("hi", F.ceil("pos").cast("bigint")))
 
@@ -240,3 +245,11 @@ def running_totals(vc: DataFrame, key: Sequence[str], value: str, sums: Sequence
         out = out.withColumn(f"cum_{s}", F.col(f"__off_{s}") + F.sum(s).over(upto))
     out = out.withColumn("next_v", F.coalesce(F.lead(value).over(wb), F.col("__next_bmin")))
     return out.drop("__b", "__next_bmin", *[f"__off_{s}" for s in sums])
+
+
+def kth_smallest(df: DataFrame, col: str, k_of, group_cols: Sequence[str] = ()) -> DataFrame:
+    """The value of rank ``k_of(n) - 1`` (``k_of`` maps the group count to k)
+    per group, exact and distributed: (group..., kth)."""
+    out = quantiles_long(df, [col], [0.0], group_cols,
+                         rank_of=lambda n, p: F.greatest(k_of(n) - 1, F.lit(0)))
+    return out.select(*group_cols, F.col("value").alias("kth"))

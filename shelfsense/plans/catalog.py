@@ -474,3 +474,129 @@ def drift_statistics(spark, sf_dir):
 def drift_report_q(spark, sf_dir):
     return drf.drift_report(_prediction_table(spark, sf_dir), REQ_NUM + ["prediction_encoded"],
                             REQ_CAT + ["prediction_label"], "dt", ["store_id", "product_id"])
+
+
+# --- sources and sinks (write, then read back) ------------------------------------------
+
+from shelfsense.session import scratch_path  # noqa: E402
+from shelfsense.sources import files as io  # noqa: E402
+
+
+@query("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """Panel written as CSV with the original header names, read back with a
+    declared schema and date parsing, duplicates merged on read."""
+    path = scratch_path(spark, "retail-csv")
+    io.write_retail_csv(base.panel(spark, sf_dir), path)
+    return io.read_retail_csv(spark, path)
+
+
+@query("split_parquet_roundtrip")
+def split_parquet_roundtrip(spark, sf_dir):
+    """Splits written partitioned by ``split``; reading ``val`` prunes the others."""
+    path = scratch_path(spark, "splits")
+    io.write_splits(base.split_frame(spark, sf_dir).select(*KEYS, *NUMERICAL_FEATURES, *CATEGORICAL_FEATURES,
+                                                           "risk_label", "split"), path)
+    return io.read_splits(spark, path, "val")
+
+
+@query("prediction_log_json")
+def prediction_log_json(spark, sf_dir):
+    """Nested JSON-lines prediction log (struct input, array predictions)
+    written and read back with a declared schema, flattened per prediction."""
+    log = _prediction_table(spark, sf_dir)
+    feats = base.features(spark, sf_dir).select(*KEYS, "inventory_level")
+    j = log.join(feats, KEYS)
+    input_struct = F.struct(*[
+        (F.col("inventory_level") if n == "Inventory_Level" else F.col(n)).cast(t.simpleString()).alias(n)
+        for n, t in io.LOG_INPUT_FIELDS])
+    lines = j.select(F.to_json(F.struct(
+        F.date_format(F.col("dt").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        input_struct.alias("input"),
+        F.array(F.col("prediction_encoded")).alias("prediction"),
+        F.array(F.col("prediction_label")).alias("prediction_label"))).alias("value"))
+    path = scratch_path(spark, "prediction-log")
+    lines.write.mode("overwrite").text(path)
+    return io.read_prediction_log_json(spark, path)
+
+
+@query("label_classes_roundtrip")
+def label_classes_roundtrip(spark, sf_dir):
+    """Class list of the labelled data written as JSON metadata and read back."""
+    names = [r[0] for r in base.labelled(spark, sf_dir).select("risk_label").distinct()
+             .orderBy("risk_label").collect()]   # at most the class vocabulary
+    path = scratch_path(spark, "label-classes")
+    io.write_label_classes(spark, path, names)
+    back = io.read_label_classes(spark, path)
+    return spark.createDataFrame(list(enumerate(back)), "code int, class_name string")
+
+
+@query("run_metrics_table")
+def run_metrics_table(spark, sf_dir):
+    """Run-metrics sink: one row per (run, model, split, metric), appended."""
+    m = rule_baseline_metrics(spark, sf_dir)
+    names = ["accuracy", "precision_macro", "recall_macro", "f1_macro"]
+    long = m.select("split", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])).alias("p"))
+    runs = long.select(F.lit("rule-baseline").alias("run_id"), F.lit("Rule").alias("model"), "split",
+                       "p.metric", F.round("p.value", 6).alias("value"))
+    path = scratch_path(spark, "runs")
+    runs.write.mode("append").parquet(path)
+    return spark.read.parquet(path).filter(F.col("run_id") == "rule-baseline")
+
+
+@query("report_tables_csv")
+def report_tables_csv(spark, sf_dir):
+    """Monitoring count table written as a CSV report and read back."""
+    path = scratch_path(spark, "report")
+    io.write_table(monitor_prediction_counts(spark, sf_dir), path, "csv", single_file=True)
+    return spark.read.schema("field string, value string, n bigint").option("header", True).csv(path)
+
+
+# --- sampling ------------------------------------------------------------------------------
+
+from shelfsense.operators import sampling as smp  # noqa: E402
+
+
+@query("series_sample")
+def series_sample(spark, sf_dir):
+    """All rows of 30 % of the (store, product) series, chosen by seeded hash."""
+    return smp.sample_series(base.panel(spark, sf_dir), 0.3, seed=42)
+
+
+@query("stratified_split")
+def stratified_split(spark, sf_dir):
+    """80 / 20 split inside every next-day class by seeded hash."""
+    df = base.labelled(spark, sf_dir).withColumn(
+        "row_id", F.concat_ws("|", "store_id", "product_id", F.col("dt").cast("string")))
+    return smp.stratified_split(df, "risk_label", 0.8, 42).select(*KEYS, "risk_label", "is_train")
+
+
+# --- streaming -------------------------------------------------------------------------------
+
+from shelfsense.functions.columns import ratio_label  # noqa: E402
+from shelfsense.streaming import jobs as stream  # noqa: E402
+
+
+@query("stream_scoring")
+def stream_scoring(spark, sf_dir):
+    """Request files -> streaming contract check -> coverage / days-of-stock
+    scorer -> Parquet sink (invalid rows to quarantine)."""
+    src, out, bad, ck = (scratch_path(spark, n) for n in ("req-src", "scored", "quarantine", "ck-score"))
+    _requests(spark, sf_dir).repartition(4).write.mode("overwrite").json(src)
+    stream.score_stream(spark, src, out, bad, ck,
+                        lambda b: b.withColumn("prediction_label", ratio_label("coverage_ratio", "days_of_stock")))
+    res = spark.read.parquet(out)
+    return res.select(F.col("store_id"), F.col("product_id"), F.to_date("dt").alias("dt"),
+                      *[ours for _, ours, _ in REQUEST_FIELDS], "prediction_label")
+
+
+@query("stream_label_counts")
+def stream_label_counts(spark, sf_dir):
+    """Watermarked 7-day tumbling-window counts per predicted label."""
+    src, out, ck = (scratch_path(spark, n) for n in ("events", "win-counts", "ck-count"))
+    ev = _prediction_table(spark, sf_dir).select(
+        F.col("dt").cast("timestamp").alias("event_time"), "prediction_label")
+    ev.write.mode("overwrite").parquet(src)
+    stream.label_count_stream(spark, src, ev.schema, out, ck)
+    return stream.latest_counts(spark, out)

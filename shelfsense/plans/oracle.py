@@ -527,3 +527,48 @@ SELECT col AS "column", kind, total_ref, total_cur, n_unique, stat_test,
   round(CASE stat_test WHEN 'ks' THEN ks_d WHEN 'chisquare' THEN chi2 WHEN 'wasserstein' THEN wn
         ELSE js_distance END, 6) AS statistic
 FROM st""")
+
+# --- sources and sinks ---------------------------------------------------------------------------
+
+sql("csv_roundtrip", with_ctes(RETAIL_DAILY) + " SELECT * FROM retail_daily")
+
+sql("split_parquet_roundtrip", _SPLIT + """
+SELECT store_id, product_id, dt, """ + ", ".join(_NUM12) + """, category, region, weather_condition,
+  seasonality, risk_label, split FROM filled WHERE split = 'val'""")
+
+sql("prediction_log_json", _PRED + """
+SELECT CAST(p.dt AS TIMESTAMP) AS ts, CAST(f.inventory_level AS DOUBLE) AS Inventory_Level,
+  CAST(p.Units_Sold AS DOUBLE) AS Units_Sold, CAST(p.Units_Ordered AS DOUBLE) AS Units_Ordered,
+  p.Price AS Price, CAST(p.Discount AS DOUBLE) AS Discount, p.Units_Sold_Lag1 AS Units_Sold_Lag1,
+  p.Inventory_Change_Pct AS Inventory_Change_Pct, p.Days_of_Stock AS Days_of_Stock,
+  p.Sales_Velocity AS Sales_Velocity, p.Coverage_Ratio AS Coverage_Ratio, p.Forecast_Error AS Forecast_Error,
+  p.Order_to_Inventory AS Order_to_Inventory, p.Category AS Category, p.Region AS Region,
+  p.Weather_Condition AS Weather_Condition, p.Seasonality AS Seasonality, p.prediction_encoded,
+  p.prediction_label
+FROM pl p JOIN features f USING (store_id, product_id, dt)""")
+
+sql("label_classes_roundtrip", _LAB + """
+SELECT CAST(row_number() OVER (ORDER BY risk_label) - 1 AS INT) AS code, risk_label AS class_name
+FROM (SELECT DISTINCT risk_label FROM labelled)""")
+
+sql("run_metrics_table", _RULE + """,
+m AS (SELECT split, CAST(sum(tp) AS DOUBLE) / CAST(sum(support) AS DOUBLE) AS accuracy,
+        round(avg(precision), 6) AS precision_macro, round(avg(recall), 6) AS recall_macro,
+        round(avg(f1), 6) AS f1_macro FROM pc GROUP BY split)
+SELECT 'rule-baseline' AS run_id, 'Rule' AS model, split, metric, round(value, 6) AS value FROM m
+UNPIVOT (value FOR metric IN (accuracy, precision_macro, recall_macro, f1_macro))""")
+
+sql("report_tables_csv", ORACLE["monitor_prediction_counts"])
+
+sql("stream_scoring", _CHECKED + """
+SELECT store_id, product_id, dt, """ + ", ".join(o for _, o, _ in _REQ) + """,
+  CASE WHEN coverage_ratio < 0.2 OR days_of_stock < 3 THEN 'Stockout Risk'
+       WHEN coverage_ratio > 2.0 AND days_of_stock > 30 THEN 'Overstock Risk' ELSE 'Safe Zone' END
+    AS prediction_label
+FROM checked WHERE errors = ''""")
+
+sql("stream_label_counts", _PRED + """
+SELECT time_bucket(INTERVAL '7 days', CAST(dt AS TIMESTAMP), TIMESTAMP '1970-01-01') AS window_start,
+  time_bucket(INTERVAL '7 days', CAST(dt AS TIMESTAMP), TIMESTAMP '1970-01-01') + INTERVAL '7 days' AS window_end,
+  prediction_label, count(*) AS n
+FROM pl GROUP BY ALL""")
