@@ -98,14 +98,18 @@ def _fit_forest(train: DataFrame, spec: ModelSpec) -> PipelineModel:
         x = smote(train.select("row_id", "label", *[F.col(c).cast("double").alias(c) for c in NUMERICAL_FEATURES],
                                *CATEGORICAL_FEATURES),
                   "label", NUMERICAL_FEATURES, CATEGORICAL_FEATURES, id_col="row_id")
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", **spec.params)
+    # maxMemoryInMB only sets how many tree nodes share one pass over the data
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", maxMemoryInMB=1024,
+                                cacheNodeIds=True, **spec.params)
     return Pipeline(stages=_tree_stages() + [rf]).fit(x)
 
 
 def _fit_boosting(train: DataFrame, spec: ModelSpec) -> PipelineModel:
     x, _ = with_balanced_weight(train)
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", **spec.params)
-    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label", weightCol="weight")
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", cacheNodeIds=True, **spec.params)
+    # the three one-vs-rest boosters are independent: fit them concurrently
+    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label", weightCol="weight",
+                    parallelism=3)
     return Pipeline(stages=_tree_stages() + [ovr]).fit(x)
 
 
