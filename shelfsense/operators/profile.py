@@ -58,8 +58,14 @@ def value_counts(df: DataFrame, col: str, group: Sequence[str] = ()) -> DataFram
     """Counts and percent of each non-null value (within ``group``)."""
     g = list(group)
     counts = df.where(F.col(col).isNotNull()).groupBy(*g, col).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(*g)) if g else F.sum("n").over(Window.partitionBy())
-    return counts.withColumn("pct", F.col("n").cast("double") * 100.0 / total.cast("double"))
+    if g:
+        total = F.sum("n").over(Window.partitionBy(*g))
+        return counts.withColumn("pct", F.col("n").cast("double") * 100.0 / total.cast("double"))
+    # no group: the total is a one-row aggregate, never a window over all values
+    tot = counts.agg(F.sum("n").alias("__t"))
+    return (counts.crossJoin(F.broadcast(tot))
+                  .withColumn("pct", F.col("n").cast("double") * 100.0 / F.col("__t").cast("double"))
+                  .drop("__t"))
 
 
 def label_counts(df: DataFrame, label: str = "risk_label", group: Sequence[str] = (),

@@ -600,3 +600,100 @@ def stream_label_counts(spark, sf_dir):
     ev.write.mode("overwrite").parquet(src)
     stream.label_count_stream(spark, src, ev.schema, out, ck)
     return stream.latest_counts(spark, out)
+
+
+# --- models (Spark ML) -------------------------------------------------------------------------
+
+from shelfsense.operators import models as mdl  # noqa: E402
+
+
+def _fit_and_rank(spark, sf_dir, specs):
+    ranked, _ = mdl.train_and_compare(base.split_frame(spark, sf_dir), specs)
+    return ranked
+
+
+@query("model_logistic")
+def model_logistic(spark, sf_dir):
+    """One-hot (first level dropped) + population scaling + SMOTE +
+    balanced multinomial logistic regression; accuracy / macro P R F1 per split."""
+    return _fit_and_rank(spark, sf_dir, [mdl.DEFAULT_SPECS[0]])
+
+
+@query("model_forest")
+def model_forest(spark, sf_dir):
+    """SMOTENC + one-hot + random forest (300 trees, depth 10, leaf >= 10)."""
+    return _fit_and_rank(spark, sf_dir, [mdl.DEFAULT_SPECS[1]])
+
+
+@query("model_selection")
+def model_selection(spark, sf_dir):
+    """All three models (the boosted trees are fitted only here), ranked by
+    val F1, recall, precision, accuracy; the best is saved, loaded back and
+    must reproduce its val predictions."""
+    frame = base.split_frame(spark, sf_dir)
+    path = scratch_path(spark, "models")
+    ranked, models = mdl.train_and_compare(frame, mdl.DEFAULT_SPECS, save_dir=path)
+    best = ranked.first()
+    loaded = mdl.PipelineModel.load(f"{path}/{best['run_id']}")
+    data = mdl.model_input(frame).filter("split = 'val'")
+    a = mdl.predict(models[best["model_name"]], data).select("row_id", F.col("prediction").alias("p1"))
+    b = mdl.predict(loaded, data).select("row_id", F.col("prediction").alias("p2"))
+    same = a.join(b, "row_id").agg(F.sum((F.col("p1") != F.col("p2")).cast("long")).alias("d")).first()["d"]
+    w = Window.orderBy(F.desc("val_f1_macro"), F.desc("val_recall_macro"), F.desc("val_precision_macro"),
+                       F.desc("val_accuracy"), "model_name")   # three rows
+    return (ranked.withColumn("rank", F.row_number().over(w))
+                  .withColumn("is_best", F.col("rank") == 1)
+                  .withColumn("reload_mismatches", F.when(F.col("rank") == 1, F.lit(same))))
+
+
+@query("model_scoring")
+def model_scoring(spark, sf_dir):
+    """Requests -> contract -> saved-and-loaded logistic model -> decoded
+    labels, confidence and per-class probabilities -> prediction log."""
+    frame = base.split_frame(spark, sf_dir)
+    data = mdl.model_input(frame)
+    model = mdl.fit(data.filter("split = 'train'"), mdl.DEFAULT_SPECS[0])
+    path = scratch_path(spark, "scoring-model")
+    model.write().overwrite().save(path)
+    loaded = mdl.PipelineModel.load(path)
+    valid, _ = scr.split_valid(scr.validate_requests(_requests(spark, sf_dir), keep=KEYS))
+    scored = mdl.predict(loaded, valid)
+    probs = mdl.vector_to_array("probability")
+    from shelfsense.config import CLASS_NAMES
+    scored = (scored.withColumn("confidence", F.array_max(probs))
+                    .withColumn("probabilities", F.map_from_arrays(
+                        F.array(*[F.lit(c) for c in CLASS_NAMES]), F.transform(probs, lambda p: F.round(p, 4)))))
+    log = scr.prediction_log(scored, path.rsplit("/", 1)[-1], "prediction", keep=KEYS)
+    return log.join(scored.select(*KEYS, "confidence", "probabilities"), KEYS)
+
+
+@query("baseline_comparison")
+def baseline_comparison(spark, sf_dir):
+    """Stage-1 logistic model (raw numbers + ordinal codes, balanced) vs the
+    rule baseline on val: weighted F1 and the gain in percentage points."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    df = _rule_predictions(spark, sf_dir)     # stage-1 labels, split, rule prediction
+    names = F.array(*[F.lit(n) for n in CLASS_NAMES_])
+    df = df.withColumn("label", (F.array_position(names, F.col("risk_label")) - 1).cast("double"))
+    train = df.filter("split = 'train'")
+    w = met.class_weights(train, "label").select("label", "weight")
+    train = met.with_class_weight(train, w, "label")
+    cats = [c + "_idx" for c in CATEGORICAL_FEATURES]
+    num = ["inventory_level", "units_sold", "units_ordered", "demand_forecast_clean", "price",
+           "discount", "competitor_pricing"]
+    pipe = Pipeline(stages=[enc.ordinal_indexer(CATEGORICAL_FEATURES, invalid="keep"),
+                            VectorAssembler(inputCols=num + cats, outputCol="features"),
+                            LogisticRegression(family="multinomial", weightCol="weight", maxIter=1000,
+                                               regParam=1.0 / max(1, train.count()), standardization=False)])
+    model = pipe.fit(train)
+    val = df.filter("split = 'val'")
+    pred = model.transform(val).withColumn("model_label",
+                                           mdl.decode_label(F.col("prediction").cast("int")))
+    lr = met.metric_table(pred, "risk_label", "model_label").select(F.col("f1_weighted").alias("model_f1"))
+    rule = met.metric_table(val, "risk_label", "prediction_label").select(F.col("f1_weighted").alias("rule_f1"))
+    return lr.crossJoin(rule).withColumn("gain_pp", (F.col("model_f1") - F.col("rule_f1")) * 100.0)
+
+
+from shelfsense.config import CLASS_NAMES as CLASS_NAMES_  # noqa: E402
