@@ -48,12 +48,18 @@ def half_split(df: DataFrame, day_col: str = "dt", tie_cols: Sequence[str] = ())
     per_day = per_day.withColumn("__mid", F.floor(F.col("__total") / 2))
     j = df.join(F.broadcast(per_day.select(day_col, "__before", "__n", "__mid")), day_col)
     straddle = (F.col("__before") < F.col("__mid")) & (F.col("__before") + F.col("__n") > F.col("__mid"))
-    in_day = Window.partitionBy(day_col).orderBy(*tie_cols) if tie_cols else Window.partitionBy(day_col).orderBy(day_col)
-    rn = F.when(straddle, F.row_number().over(in_day))
-    half = (F.when(F.col("__before") + F.col("__n") <= F.col("__mid"), "reference")
-             .when(F.col("__before") >= F.col("__mid"), "current")
-             .when(F.col("__before") + rn <= F.col("__mid"), "reference").otherwise("current"))
-    return j.withColumn("half", half).drop("__before", "__n", "__mid")
+    drop = ["__before", "__n", "__mid"]
+    # every day but one falls wholly into one half: no window over them
+    whole = j.where(~straddle).withColumn(
+        "half", F.when(F.col("__before") + F.col("__n") <= F.col("__mid"), "reference").otherwise("current"))
+    # only the day holding the middle row is numbered (bounded by one day's rows)
+    order = list(tie_cols) or [day_col]
+    mid_day = (j.where(straddle)
+                .withColumn("__rn", F.row_number().over(Window.partitionBy(day_col).orderBy(*order)))
+                .withColumn("half", F.when(F.col("__before") + F.col("__rn") <= F.col("__mid"), "reference")
+                            .otherwise("current"))
+                .drop("__rn"))
+    return whole.unionByName(mid_day).drop(*drop)
 
 
 def value_counts_by_half(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str]) -> DataFrame:
@@ -141,6 +147,8 @@ def chi2_sf(x: float, dof: int) -> float:
         return float("nan")
     if math.isinf(x):
         return 0.0
+    if x <= 0:
+        return 1.0
     a, z = dof / 2.0, x / 2.0
     if z < a + 1:   # series for P, then Q = 1 - P
         term = total = 1.0 / a

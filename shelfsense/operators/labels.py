@@ -72,11 +72,22 @@ def split_column(df: DataFrame, params: RiskParams = RiskParams(), time_col: str
 
 
 def train_medians(df: DataFrame, cols=MEDIAN_FILL_COLS) -> dict[str, float | None]:
-    """Exact medians of the train split (fit step; k numbers reach the driver)."""
+    """Exact medians of the train split for the columns that need filling
+    (fit step; k numbers reach the driver).
+
+    One cheap aggregate counts the gaps first; the distributed exact-quantile
+    pass runs only for columns that have any, over the train rows.
+    """
     from shelfsense.operators.stats import exact_quantiles
 
-    row = exact_quantiles(df.filter(F.col("split") == "train"), list(cols), [0.5]).collect()
-    return {c: (row[0][f"{c}_q0"] if row else None) for c in cols}
+    gaps = df.agg(*[F.sum((F.col(c).isNull() | F.isnan(c)).cast("long")).alias(c) for c in cols]).first()
+    need = [c for c in cols if gaps[c]]
+    med = {c: None for c in cols}
+    if need:
+        train = df.filter(F.col("split") == "train")
+        row = exact_quantiles(train, need, [0.5]).collect()
+        med.update({c: (row[0][f"{c}_q0"] if row else None) for c in need})
+    return med
 
 
 def fill_train_median(df: DataFrame, cols=MEDIAN_FILL_COLS, medians: dict | None = None) -> DataFrame:
@@ -89,7 +100,8 @@ def fill_train_median(df: DataFrame, cols=MEDIAN_FILL_COLS, medians: dict | None
     medians = medians if medians is not None else train_medians(df, cols)
     for c in cols:
         if medians.get(c) is not None:
-            df = df.withColumn(c, F.coalesce(F.col(c), F.lit(float(medians[c]))))
+            v = F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(F.col(c))
+            df = df.withColumn(c, F.coalesce(v, F.lit(float(medians[c]))))
     return df
 
 

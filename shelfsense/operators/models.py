@@ -18,6 +18,7 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
@@ -52,19 +53,31 @@ DEFAULT_SPECS = [
 
 
 def model_input(df: DataFrame, label: str = "risk_label") -> DataFrame:
-    """Feature columns + ``label`` code (alphabetical class order) + row id."""
+    """Feature columns + ``label`` code (alphabetical class order) + row id.
+
+    The leakage list is dropped with a presence check first, then the model
+    columns are selected in their fixed order.
+    """
+    from shelfsense.config import DROP_COLS
+    from shelfsense.operators.profile import drop_checked
+
     names = F.array(*[F.lit(n) for n in CLASS_NAMES])
+    keyed = df.withColumn("__row_id", F.concat_ws("|", "store_id", "product_id", F.col("dt").cast("string")))
+    keyed = keyed.withColumn("__label", F.col(label))
+    df = drop_checked(keyed, DROP_COLS).withColumnRenamed("__label", label)
     return df.select(
-        F.concat_ws("|", "store_id", "product_id", F.col("dt").cast("string")).alias("row_id"),
+        F.col("__row_id").alias("row_id"),
         *NUMERICAL_FEATURES, *CATEGORICAL_FEATURES, *([c for c in ("split",) if c in df.columns]),
         (F.array_position(names, F.col(label)) - 1).cast("double").alias("label"))
 
 
 def with_balanced_weight(train: DataFrame) -> tuple[DataFrame, float]:
-    w = met.class_weights(train, "label").select("label", "weight")
-    out = met.with_class_weight(train, w, "label")
-    total = float(train.count())   # sum of balanced weights equals the row count
-    return out, total
+    """Balanced class weight per row as a literal map lookup (k classes), and
+    the weight total (equal to the row count)."""
+    w = met.class_weights(train, "label").collect()      # one row per class
+    lookup = F.create_map(*[x for r in w for x in (F.lit(r["label"]), F.lit(float(r["weight"])))])
+    total = float(sum(r["n_class"] for r in w))
+    return train.withColumn("weight", lookup[F.col("label")]), total
 
 
 def _fit_logistic(train: DataFrame, spec: ModelSpec) -> PipelineModel:
@@ -78,12 +91,16 @@ def _fit_logistic(train: DataFrame, spec: ModelSpec) -> PipelineModel:
         arr = x.select("row_id", "label", vector_to_array("features").alias("fa"))
         x = (smote(arr, "label", ["fa"], id_col="row_id")
              .select("row_id", "label", array_to_vector("fa").alias("features")))
-    x, wsum = with_balanced_weight(x)
+    cached = x.persist(StorageLevel.MEMORY_AND_DISK)   # weights pass + all optimiser passes
+    x, wsum = with_balanced_weight(cached)
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
                             family="multinomial", standardization=False,
                             regParam=1.0 / wsum, elasticNetParam=0.0,
                             maxIter=spec.params.get("maxIter", 2000), tol=1e-6)
-    return PipelineModel(stages=[oh, sc, asm, lr.fit(x)])
+    try:
+        return PipelineModel(stages=[oh, sc, asm, lr.fit(x)])
+    finally:
+        cached.unpersist()
 
 
 def _tree_stages():
@@ -98,10 +115,14 @@ def _fit_forest(train: DataFrame, spec: ModelSpec) -> PipelineModel:
         x = smote(train.select("row_id", "label", *[F.col(c).cast("double").alias(c) for c in NUMERICAL_FEATURES],
                                *CATEGORICAL_FEATURES),
                   "label", NUMERICAL_FEATURES, CATEGORICAL_FEATURES, id_col="row_id")
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)   # indexer fit + tree passes
     # maxMemoryInMB only sets how many tree nodes share one pass over the data
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", maxMemoryInMB=1024,
                                 cacheNodeIds=True, **spec.params)
-    return Pipeline(stages=_tree_stages() + [rf]).fit(x)
+    try:
+        return Pipeline(stages=_tree_stages() + [rf]).fit(x)
+    finally:
+        x.unpersist()
 
 
 def _fit_boosting(train: DataFrame, spec: ModelSpec) -> PipelineModel:
@@ -152,8 +173,6 @@ def train_and_compare(frame: DataFrame, specs: Sequence[ModelSpec] = DEFAULT_SPE
     """Fit each spec on the train split, score all splits once, return
     (ranked metrics table, {name: model}). The assembled input is persisted
     for the fits and released at the end."""
-    from pyspark import StorageLevel
-
     data = model_input(frame).persist(StorageLevel.MEMORY_AND_DISK)
     train = data.filter("split = 'train'")
     rows, models = [], {}

@@ -12,10 +12,32 @@ from shelfsense.config import CLASS_NAMES, SERIES_KEYS, TIME_COL
 from shelfsense.functions.columns import isin_or_false
 
 
+NUMERIC_TYPES = ("long", "integer", "double", "float", "short", "byte", "decimal")
+
+
+def columns_of_type(df: DataFrame, kind: str) -> list[str]:
+    """Column names by type family: ``numeric``, ``string``, ``boolean``, ``date``."""
+    fam = {"numeric": NUMERIC_TYPES, "string": ("string",), "boolean": ("boolean",),
+           "date": ("date", "timestamp", "timestamp_ntz")}[kind]
+    return [f.name for f in df.schema.fields if f.dataType.typeName() in fam]
+
+
+def drop_checked(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``drop`` that fails on a missing name (Spark ignores it silently)."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise KeyError(f"columns not found: {missing}")
+    return df.drop(*cols)
+
+
+def head(df: DataFrame, n: int = 5, order: Sequence[str] = (*SERIES_KEYS, TIME_COL)) -> DataFrame:
+    """First ``n`` rows under a total order (TakeOrderedAndProject, n rows per task)."""
+    return df.orderBy(*order).limit(n)
+
+
 def shape_summary(df: DataFrame, time_col: str = TIME_COL) -> DataFrame:
     """Rows, first/last day, distinct stores and products, numeric column count."""
-    numeric = sum(1 for f in df.schema.fields
-                  if f.dataType.typeName() in ("long", "integer", "double", "float", "short", "decimal"))
+    numeric = len(columns_of_type(df, "numeric"))
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(time_col).alias("start_dt"),
         F.max(time_col).alias("end_dt"), F.countDistinct("store_id").alias("n_stores"),

@@ -697,3 +697,20 @@ def baseline_comparison(spark, sf_dir):
 
 
 from shelfsense.config import CLASS_NAMES as CLASS_NAMES_  # noqa: E402
+
+
+@query("prediction_log_csv")
+def prediction_log_csv(spark, sf_dir):
+    """Flat prediction log written as CSV and read back with its schema."""
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "predictions-csv")
+    _prediction_table(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    keys = T.StructType([T.StructField("store_id", T.StringType()), T.StructField("product_id", T.StringType()),
+                         T.StructField("dt", T.DateType())])
+    return io.read_prediction_csv(spark, path, keys)
+
+
+@query("panel_head")
+def panel_head(spark, sf_dir):
+    """First five rows of the panel in (store, product, day) order."""
+    return prof.head(base.panel(spark, sf_dir), 5)

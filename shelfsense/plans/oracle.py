@@ -572,3 +572,6 @@ SELECT time_bucket(INTERVAL '7 days', CAST(dt AS TIMESTAMP), TIMESTAMP '1970-01-
   time_bucket(INTERVAL '7 days', CAST(dt AS TIMESTAMP), TIMESTAMP '1970-01-01') + INTERVAL '7 days' AS window_end,
   prediction_label, count(*) AS n
 FROM pl GROUP BY ALL""")
+
+sql("prediction_log_csv", _PRED + " SELECT * FROM pl")
+sql("panel_head", _RD + " SELECT * FROM retail_daily ORDER BY store_id, product_id, dt LIMIT 5")

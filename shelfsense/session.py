@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # AQE sizes shuffle partitions at run time towards this target.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     # Parquet files of the panel are read in splits of at most 128 MB.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }

@@ -136,3 +136,20 @@ def read_label_classes(spark: SparkSession, path: str) -> list[str]:
     if not row:
         raise ValueError("label class file holds no class list")
     return list(row[0]["names"])
+
+
+# --- flat prediction log (CSV) ----------------------------------------------------
+
+def prediction_csv_schema() -> T.StructType:
+    from shelfsense.config import REQUEST_FIELDS
+    typ = {"double": T.DoubleType(), "bigint": T.LongType(), "string": T.StringType()}
+    return T.StructType([T.StructField(api, typ[t]) for api, _, t in REQUEST_FIELDS] + [
+        T.StructField("model_run_id", T.StringType()), T.StructField("prediction_encoded", T.IntegerType()),
+        T.StructField("prediction_label", T.StringType())])
+
+
+def read_prediction_csv(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
+    """Flat prediction log written by the scoring job, with its declared schema
+    (``extra`` fields first, e.g. keys). A missing path is the caller's check."""
+    fields = (list(extra.fields) if extra else []) + list(prediction_csv_schema().fields)
+    return spark.read.schema(T.StructType(fields)).option("header", True).csv(path)
