@@ -77,56 +77,58 @@ def value_counts_by_half(df: DataFrame, num_cols: Sequence[str], cat_cols: Seque
         F.sum((F.col("half") == "current").cast("long")).alias("n_cur"))
 
 
-def column_statistics(vc: DataFrame) -> DataFrame:
-    """Per column: sizes, distinct values, KS D, Wasserstein / ref std,
-    Jensen-Shannon distance and the chi-square statistic (raw numbers)."""
-    totals = vc.groupBy("column", "kind").agg(
+def column_totals(vc: DataFrame) -> DataFrame:
+    return vc.groupBy("column", "kind").agg(
         F.sum("n_ref").alias("total_ref"), F.sum("n_cur").alias("total_cur"),
-        F.count(F.lit(1)).alias("n_unique"),
-        F.sum(F.when(F.col("n_ref") > 0, 1).otherwise(0)).alias("n_unique_ref"))
+        F.count(F.lit(1)).alias("n_unique"))
+
+
+def choose_test(kind: str, total_ref: int, n_unique: int) -> str:
+    """Default test choice: sample size, column kind and distinct values."""
+    numeric_many = kind == "num" and n_unique > FEW_VALUES
+    if total_ref <= SMALL_N:
+        return "ks" if numeric_many else "chisquare"
+    return "wasserstein" if numeric_many else "jensenshannon"
+
+
+def distance_statistics(vc: DataFrame, totals: DataFrame) -> DataFrame:
+    """KS D and Wasserstein / reference std for numeric columns, from
+    bucketed running sums of the two halves' counts over the sorted values."""
     num = vc.where(F.col("kind") == "num").select("column", "v_num", "n_ref", "n_cur")
     run = running_totals(num, ["column"], "v_num", ["n_ref", "n_cur"]).join(
-        totals.select("column", "total_ref", "total_cur"), "column")
+        F.broadcast(totals.select("column", "total_ref", "total_cur")), "column")   # one row per column
     fdiff = F.abs(F.col("cum_n_ref") / F.col("total_ref") - F.col("cum_n_cur") / F.col("total_cur"))
-    num_stats = run.groupBy("column").agg(
+    stats = run.groupBy("column").agg(
         F.max(fdiff).alias("ks_d"),
         F.sum(F.when(F.col("next_v").isNotNull(), fdiff * (F.col("next_v") - F.col("v_num"))).otherwise(0.0))
          .alias("wasserstein"))
-    # reference std (population) from a two-pass formula for stability
-    mean_ref = vc.where(F.col("kind") == "num").groupBy("column").agg(
-        (F.sum(F.col("n_ref") * F.col("v_num")) / F.sum("n_ref")).alias("__mean"))
-    std_ref = (vc.where(F.col("kind") == "num").join(mean_ref, "column")
+    mean_ref = num.groupBy("column").agg((F.sum(F.col("n_ref") * F.col("v_num")) / F.sum("n_ref")).alias("__mean"))
+    std_ref = (num.join(F.broadcast(mean_ref), "column")
                .groupBy("column").agg(F.sqrt(F.sum(F.col("n_ref") * F.pow(F.col("v_num") - F.col("__mean"), 2))
                                              / F.sum("n_ref")).alias("std_ref")))
-    # shares per value with zero fill, for JS and chi-square (any kind)
-    sh = vc.join(totals.select("column", "total_ref", "total_cur"), "column")
+    return (stats.join(std_ref, "column", "left")
+                 .withColumn("wasserstein_norm", F.col("wasserstein")
+                             / F.when(F.col("std_ref") > 0, F.col("std_ref")).otherwise(F.lit(1.0))))
+
+
+def share_statistics(vc: DataFrame, totals: DataFrame) -> DataFrame:
+    """Jensen-Shannon distance (zero shares filled, renormalised) and the
+    chi-square statistic against reference shares scaled to the current size."""
+    t = F.broadcast(totals.select("column", "total_ref", "total_cur"))   # one row per column
+    sh = vc.join(t, "column")
     p = F.col("n_ref") / F.col("total_ref")
     q = F.col("n_cur") / F.col("total_cur")
-    sh = sh.withColumn("p", F.when(p == 0, ZERO_FILL).otherwise(p)).withColumn(
-        "q", F.when(q == 0, ZERO_FILL).otherwise(q))
-    norm = sh.groupBy("column").agg(F.sum("p").alias("sp"), F.sum("q").alias("sq"))
-    sh = sh.join(norm, "column").withColumn("p", F.col("p") / F.col("sp")).withColumn("q", F.col("q") / F.col("sq"))
+    sh = (sh.withColumn("p", F.when(p == 0, ZERO_FILL).otherwise(p))
+            .withColumn("q", F.when(q == 0, ZERO_FILL).otherwise(q)))
+    wc = Window.partitionBy("column")
+    sh = sh.withColumn("p", F.col("p") / F.sum("p").over(wc)).withColumn("q", F.col("q") / F.sum("q").over(wc))
     m = (F.col("p") + F.col("q")) / 2
     expected = F.col("n_ref") * (F.col("total_cur") / F.col("total_ref"))
-    dist_stats = sh.groupBy("column").agg(
+    return sh.groupBy("column").agg(
         F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.sum(F.col("p") * F.log(F.col("p") / m))
                           + 0.5 * F.sum(F.col("q") * F.log(F.col("q") / m)))).alias("js_distance"),
         F.sum(F.when(expected > 0, F.pow(F.col("n_cur") - expected, 2) / expected)
                .when(F.col("n_cur") > 0, F.lit(float("inf"))).otherwise(0.0)).alias("chi2"))
-    return (totals.join(num_stats, "column", "left")
-                  .join(std_ref, "column", "left").join(dist_stats, "column", "left")
-                  .withColumn("wasserstein_norm", F.col("wasserstein")
-                              / F.when(F.col("std_ref") > 0, F.col("std_ref")).otherwise(F.lit(1.0))))
-
-
-def choose_test(stats: DataFrame) -> DataFrame:
-    small = F.col("total_ref") <= SMALL_N
-    numeric_many = (F.col("kind") == "num") & (F.col("n_unique") > FEW_VALUES)
-    test = (F.when(small & numeric_many, "ks").when(small, "chisquare")
-             .when(numeric_many, "wasserstein").otherwise("jensenshannon"))
-    stat = (F.when(test == "ks", F.col("ks_d")).when(test == "chisquare", F.col("chi2"))
-             .when(test == "wasserstein", F.col("wasserstein_norm")).otherwise(F.col("js_distance")))
-    return stats.withColumn("stat_test", test).withColumn("statistic", stat)
 
 
 def ks_pvalue(d: float, n: int, m: int) -> float:
@@ -176,14 +178,49 @@ def chi2_sf(x: float, dof: int) -> float:
     return min(1.0, h * math.exp(-z + a * math.log(z) - math.lgamma(a)))
 
 
+def statistics_table(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
+                     day_col: str = "dt", tie_cols: Sequence[str] = ()) -> DataFrame:
+    """Per-column test choice and statistic, computed eagerly.
+
+    The per-(column, value) counts of the two halves are the only input of
+    every statistic, so they are persisted for the few passes over them and
+    released. The test of each column is chosen from its totals first, and
+    only the statistic it needs is computed: running sums for the distance
+    tests, share tables for the others. The result is one row per column.
+    """
+    from pyspark import StorageLevel
+
+    halves = half_split(df, day_col, tie_cols)
+    vc = value_counts_by_half(halves, num_cols, cat_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tot_df = column_totals(vc)
+        tot = {r["column"]: r for r in tot_df.collect()}        # one row per column
+        test = {c: choose_test(r["kind"], r["total_ref"], r["n_unique"]) for c, r in tot.items()}
+        dist_cols = [c for c, t in test.items() if t in ("ks", "wasserstein")]
+        share_cols = [c for c, t in test.items() if t not in ("ks", "wasserstein")]
+        stat = {}
+        if dist_cols:
+            for r in distance_statistics(vc.where(F.col("column").isin(dist_cols)),
+                                         tot_df.where(F.col("column").isin(dist_cols))).collect():
+                stat[r["column"]] = r["ks_d"] if test[r["column"]] == "ks" else r["wasserstein_norm"]
+        if share_cols:
+            for r in share_statistics(vc.where(F.col("column").isin(share_cols)),
+                                      tot_df.where(F.col("column").isin(share_cols))).collect():
+                stat[r["column"]] = r["chi2"] if test[r["column"]] == "chisquare" else r["js_distance"]
+    finally:
+        vc.unpersist()
+    rows = [(c, r["kind"], int(r["total_ref"]), int(r["total_cur"]), int(r["n_unique"]), test[c], stat.get(c))
+            for c, r in tot.items()]
+    schema = ("column string, kind string, total_ref bigint, total_cur bigint, n_unique bigint, "
+              "stat_test string, statistic double")
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def drift_report(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
                  day_col: str = "dt", tie_cols: Sequence[str] = ()) -> DataFrame:
     """Per-column test, statistic, p-value (tests with one), threshold and
     drift flag; plus ``dataset_drift`` on every row."""
-    halves = half_split(df, day_col, tie_cols)
-    st = choose_test(column_statistics(value_counts_by_half(halves, num_cols, cat_cols)))
-    rows = st.select("column", "kind", "total_ref", "total_cur", "n_unique", "n_unique_ref", "stat_test",
-                     "statistic").collect()   # one row per column
+    rows = statistics_table(df, num_cols, cat_cols, day_col, tie_cols).collect()
     out = []
     for r in rows:
         if r["stat_test"] == "ks":

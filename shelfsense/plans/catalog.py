@@ -463,11 +463,9 @@ def drift_halves(spark, sf_dir):
 def drift_statistics(spark, sf_dir):
     """Per column: chosen test and its statistic (KS D, Wasserstein / std,
     Jensen-Shannon distance or chi-square)."""
-    h = drf.half_split(_prediction_table(spark, sf_dir), "dt", ["store_id", "product_id"])
-    st = drf.choose_test(drf.column_statistics(drf.value_counts_by_half(
-        h, REQ_NUM + ["prediction_encoded"], REQ_CAT + ["prediction_label"])))
-    return _round_cols(st.select("column", "kind", "total_ref", "total_cur", "n_unique", "stat_test", "statistic"),
-                       ["statistic"])
+    st = drf.statistics_table(_prediction_table(spark, sf_dir), REQ_NUM + ["prediction_encoded"],
+                              REQ_CAT + ["prediction_label"], "dt", ["store_id", "product_id"])
+    return _round_cols(st, ["statistic"])
 
 
 @query("drift_report")
