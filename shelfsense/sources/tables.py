@@ -38,14 +38,14 @@ def retail_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
 
-    geo = (supplier
-           .join(F.broadcast(nation), supplier.s_nationkey == nation.n_nationkey)
-           .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey)
-           .select("s_suppkey", "n_name", "r_name"))
-
+    # Fact-to-dimension joins one at a time, each against a plain scan, so the
+    # planner's size estimates stay meaningful (a join's static estimate is
+    # the product of its inputs, which would make the fact side look smaller).
     d = F.to_date("l_shipdate")
     qty = F.col("l_quantity")
-    joined = (li.join(geo, li.l_suppkey == geo.s_suppkey)
+    joined = (li.join(supplier, li.l_suppkey == supplier.s_suppkey)
+              .join(F.broadcast(nation), F.col("s_nationkey") == nation.n_nationkey)
+              .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey)
               .join(part, li.l_partkey == part.p_partkey)
               .select(F.col("n_name").alias("store_id"), F.col("p_type").alias("product_id"),
                       F.col("r_name").alias("region"), d.alias("dt"), qty,
