@@ -41,8 +41,12 @@ def reconstruct_inventory(df: DataFrame, level: str = "inventory_level", sold: s
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     delta = (F.col(ordered) - F.col(sold)).cast("bigint")
-    tmp_rn, tmp_cum = "__rn", "__cum"
+    tmp_rn, tmp_cum, tmp_gap = "__rn", "__cum", "__gap"
+    # A missing flow breaks the running balance for the rest of the series
+    # (the sequential loop turns into NaN from there on); sum() would skip it.
+    gap = F.sum(F.when(delta.isNull(), 1).otherwise(0)).over(before)
     out_df = (df
+              .withColumn(tmp_gap, F.coalesce(gap, F.lit(0)))
               .withColumn(tmp_rn, F.row_number().over(w))
               .withColumn(tmp_cum, F.first(F.col(level).cast("bigint")).over(upto)
                           + F.coalesce(F.sum(delta).over(before), F.lit(0).cast("bigint")))
@@ -51,7 +55,8 @@ def reconstruct_inventory(df: DataFrame, level: str = "inventory_level", sold: s
                               F.lit(0).cast("bigint"),
                               F.min(F.when(F.col(tmp_rn) > 1, F.col(tmp_cum))).over(upto)))
                           .cast("double"))
-              .drop(tmp_rn, tmp_cum))
+              .withColumn(out, F.when(F.col(tmp_gap) == 0, F.col(out)))
+              .drop(tmp_rn, tmp_cum, tmp_gap))
     return out_df
 
 

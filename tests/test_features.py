@@ -74,3 +74,11 @@ def test_flat_variant_fills_lags_with_self(spark):
     out = feat.flat_features(panel_rows(spark, rows)).orderBy("dt").collect()
     assert out[0].inventory_lag1 == 10.0 and out[0].rolling7_inventory == 10.0
     assert out[2].rolling7_inventory == 11.0 and out[2].order_to_inventory == 4.0 / 12
+
+
+def test_missing_flow_breaks_the_rest_of_the_series(spark):
+    df = panel_rows(spark, [("A", "P", d, 10, 1, 0, 1.0) for d in range(4)])
+    from pyspark.sql import functions as F
+    df = df.withColumn("units_sold", F.when(F.dayofmonth("dt") == 2, None).otherwise(F.col("units_sold")))
+    got = [r.inventory_reconstructed for r in feat.reconstruct_inventory(df).orderBy("dt").collect()]
+    assert got == [10.0, 9.0, None, None]
