@@ -12,6 +12,7 @@ pos = p * (n - 1); v = v[floor] + (v[ceil] - v[floor]) * (pos - floor).
 
 from __future__ import annotations
 
+import os
 from typing import Sequence
 
 import numpy as np
@@ -20,6 +21,25 @@ from pyspark.sql import functions as F
 
 from shelfsense.functions.columns import nan_to_null
 
+# Value-range buckets per (group, column) for ranks and running sums: each
+# window task holds about 1 / DEFAULT_BUCKETS of a column's distinct values.
+DEFAULT_BUCKETS = int(os.environ.get("SHELFSENSE_QUANTILE_BUCKETS", "64"))
+
+
+def bucket_of(edges: str, v, n_edges: int):
+    """Number of sorted ``edges`` that are <= v, as a static binary-search
+    expression tree (log2 comparisons per row, codegen-friendly)."""
+    v = F.col(v) if isinstance(v, str) else v
+
+    def count(lo: int, hi: int):
+        if lo >= hi:
+            return F.lit(0)
+        mid = (lo + hi) // 2
+        e = F.element_at(F.col(edges), mid + 1)
+        return F.when(e <= v, F.lit(mid - lo + 1) + count(mid + 1, hi)).otherwise(count(lo, mid))
+
+    return count(0, n_edges)
+
 
 def to_long(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
             name: str = "column", value: str = "v") -> DataFrame:
@@ -31,7 +51,7 @@ def to_long(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
 
 
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   group_cols: Sequence[str] = (), buckets: int = 64,
+                   group_cols: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
                    accuracy: int = 10000, rank_of=None) -> DataFrame:
     """Exact linear-interpolated quantiles; one row per (group..., column, q_index, prob).
 
@@ -50,7 +70,7 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     edges_p = [i / buckets for i in range(1, buckets)]
     edges = vc.groupBy(*key).agg(F.percentile_approx("v", edges_p, accuracy).alias("edges"))
     vb = (vc.join(edges, key)
-            .withColumn("b", F.size(F.filter("edges", lambda e: e <= F.col("v"))))
+            .withColumn("b", bucket_of("edges", "v", len(edges_p)))
             .drop("edges"))
 
     per_bucket = vb.groupBy(*key, "b").agg(F.sum("c").alias("bc"))
@@ -216,7 +236,7 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def running_totals(vc: DataFrame, key: Sequence[str], value: str, sums: Sequence[str],
-                   buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+                   buckets: int = DEFAULT_BUCKETS, accuracy: int = 10000) -> DataFrame:
     """Inclusive running sums of ``sums`` over ``value`` within ``key``, and
     the next distinct value (``next_v``), for a table with one row per
     (key, value).
@@ -229,7 +249,7 @@ def running_totals(vc: DataFrame, key: Sequence[str], value: str, sums: Sequence
     edges_p = [i / buckets for i in range(1, buckets)]
     edges = vc.groupBy(*key).agg(F.percentile_approx(value, edges_p, accuracy).alias("__edges"))
     vb = (vc.join(edges, key)
-            .withColumn("__b", F.size(F.filter("__edges", lambda e: e <= F.col(value))))
+            .withColumn("__b", bucket_of("__edges", value, len(edges_p)))
             .drop("__edges"))
     per_b = vb.groupBy(*key, "__b").agg(*[F.sum(s).alias(f"__bs_{s}") for s in sums],
                                           F.min(value).alias("__bmin"))

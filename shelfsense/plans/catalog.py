@@ -8,11 +8,28 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfsense.config import RiskParams
+from shelfsense.config import (CATEGORICAL_FEATURES, CLASS_NAMES, MONITOR_NUMERIC, NUMERICAL_FEATURES,
+                               REQUEST_FIELDS, SCENARIOS, SERIES_KEYS, RiskParams)
+from shelfsense.functions.columns import decode_label, ratio_label
+from shelfsense.operators import drift as drf
+from shelfsense.operators import encode as enc
+from shelfsense.operators import features as feat
+from shelfsense.operators import labels as lab
+from shelfsense.operators import metrics as met
+from shelfsense.operators import models as mdl
+from shelfsense.operators import profile as prof
+from shelfsense.operators import sampling as smp
+from shelfsense.operators import scoring as scr
+from shelfsense.operators import stats
 from shelfsense.plans import base
+from shelfsense.session import scratch_path
+from shelfsense.sources import files as io
+from shelfsense.streaming import jobs as stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -63,13 +80,6 @@ def labels_reconstructed(spark, sf_dir):
 
 # --- helpers --------------------------------------------------------------------
 
-from shelfsense.config import (CATEGORICAL_FEATURES, NUMERICAL_FEATURES, SCENARIOS,  # noqa: E402
-                               SERIES_KEYS)
-from shelfsense.operators import features as feat  # noqa: E402
-from shelfsense.operators import labels as lab  # noqa: E402
-from shelfsense.operators import metrics as met  # noqa: E402
-from shelfsense.operators import profile as prof  # noqa: E402
-from shelfsense.operators import stats  # noqa: E402
 
 FEATURE_11 = ["inventory_lag1", "units_sold_lag1", "rolling7_inventory", "inventory_change",
               "inventory_change_pct", "days_of_stock", "inventory_vs_rolling7", "sales_velocity",
@@ -324,9 +334,6 @@ def rule_baseline_metrics(spark, sf_dir):
 
 # --- encoding ----------------------------------------------------------------------------
 
-from shelfsense.operators import encode as enc  # noqa: E402
-from shelfsense.operators import scoring as scr  # noqa: E402
-
 
 @query("encoded_categories")
 def encoded_categories(spark, sf_dir):
@@ -404,8 +411,6 @@ def cold_start_rows(spark, sf_dir):
 
 # --- prediction log, monitoring and drift ------------------------------------------------
 
-from shelfsense.config import MONITOR_NUMERIC, REQUEST_FIELDS  # noqa: E402
-from shelfsense.operators import drift as drf  # noqa: E402
 
 REQ_NUM = [api for api, _, t in REQUEST_FIELDS if t != "string"]
 REQ_CAT = [api for api, _, t in REQUEST_FIELDS if t == "string"]
@@ -476,9 +481,6 @@ def drift_report_q(spark, sf_dir):
 
 # --- sources and sinks (write, then read back) ------------------------------------------
 
-from shelfsense.session import scratch_path  # noqa: E402
-from shelfsense.sources import files as io  # noqa: E402
-
 
 @query("csv_roundtrip")
 def csv_roundtrip(spark, sf_dir):
@@ -553,8 +555,6 @@ def report_tables_csv(spark, sf_dir):
 
 # --- sampling ------------------------------------------------------------------------------
 
-from shelfsense.operators import sampling as smp  # noqa: E402
-
 
 @query("series_sample")
 def series_sample(spark, sf_dir):
@@ -572,9 +572,6 @@ def stratified_split(spark, sf_dir):
 
 # --- streaming -------------------------------------------------------------------------------
 
-from shelfsense.functions.columns import ratio_label  # noqa: E402
-from shelfsense.streaming import jobs as stream  # noqa: E402
-
 
 @query("stream_scoring")
 def stream_scoring(spark, sf_dir):
@@ -602,8 +599,6 @@ def stream_label_counts(spark, sf_dir):
 
 # --- models (Spark ML) -------------------------------------------------------------------------
 
-from shelfsense.operators import models as mdl  # noqa: E402
-
 
 def _fit_and_rank(spark, sf_dir, specs):
     ranked, _ = mdl.train_and_compare(base.split_frame(spark, sf_dir), specs)
@@ -632,7 +627,7 @@ def model_selection(spark, sf_dir):
     path = scratch_path(spark, "models")
     ranked, models = mdl.train_and_compare(frame, mdl.DEFAULT_SPECS, save_dir=path)
     best = ranked.first()
-    loaded = mdl.PipelineModel.load(f"{path}/{best['run_id']}")
+    loaded = PipelineModel.load(f"{path}/{best['run_id']}")
     data = mdl.model_input(frame).filter("split = 'val'")
     a = mdl.predict(models[best["model_name"]], data).select("row_id", F.col("prediction").alias("p1"))
     b = mdl.predict(loaded, data).select("row_id", F.col("prediction").alias("p2"))
@@ -653,11 +648,10 @@ def model_scoring(spark, sf_dir):
     model = mdl.fit(data.filter("split = 'train'"), mdl.DEFAULT_SPECS[0])
     path = scratch_path(spark, "scoring-model")
     model.write().overwrite().save(path)
-    loaded = mdl.PipelineModel.load(path)
+    loaded = PipelineModel.load(path)
     valid, _ = scr.split_valid(scr.validate_requests(_requests(spark, sf_dir), keep=KEYS))
     scored = mdl.predict(loaded, valid)
-    probs = mdl.vector_to_array("probability")
-    from shelfsense.config import CLASS_NAMES
+    probs = vector_to_array("probability")
     scored = (scored.withColumn("confidence", F.array_max(probs))
                     .withColumn("probabilities", F.map_from_arrays(
                         F.array(*[F.lit(c) for c in CLASS_NAMES]), F.transform(probs, lambda p: F.round(p, 4)))))
@@ -673,7 +667,7 @@ def baseline_comparison(spark, sf_dir):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     df = _rule_predictions(spark, sf_dir)     # stage-1 labels, split, rule prediction
-    names = F.array(*[F.lit(n) for n in CLASS_NAMES_])
+    names = F.array(*[F.lit(n) for n in CLASS_NAMES])
     df = df.withColumn("label", (F.array_position(names, F.col("risk_label")) - 1).cast("double"))
     train = df.filter("split = 'train'")
     w = met.class_weights(train, "label").select("label", "weight")
@@ -688,15 +682,12 @@ def baseline_comparison(spark, sf_dir):
     model = pipe.fit(train)
     val = df.filter("split = 'val'")
     pred = model.transform(val).withColumn("model_label",
-                                           mdl.decode_label(F.col("prediction").cast("int")))
+                                           decode_label(F.col("prediction").cast("int")))
     lr = met.metric_table(pred, "risk_label", "model_label").select(F.col("f1_weighted").alias("model_f1"))
     rule = met.metric_table(val, "risk_label", "prediction_label").select(F.col("f1_weighted").alias("rule_f1"))
     return lr.crossJoin(rule).withColumn("gain_pp", (F.col("model_f1") - F.col("rule_f1")) * 100.0)
 
 
-from shelfsense.config import CLASS_NAMES as CLASS_NAMES_  # noqa: E402
-
-
 @query("prediction_log_csv")
 def prediction_log_csv(spark, sf_dir):
     """Flat prediction log written as CSV and read back with its schema."""
