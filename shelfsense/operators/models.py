@@ -96,7 +96,8 @@ def _fit_logistic(train: DataFrame, spec: ModelSpec) -> PipelineModel:
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
                             family="multinomial", standardization=False,
                             regParam=1.0 / wsum, elasticNetParam=0.0,
-                            maxIter=spec.params.get("maxIter", 2000), tol=1e-6)
+                            maxIter=spec.params.get("maxIter", 2000),
+                            tol=spec.params.get("tol", 1e-4))   # the reference's solver tolerance
     try:
         return PipelineModel(stages=[oh, sc, asm, lr.fit(x)])
     finally:
