@@ -87,12 +87,15 @@ def _fit_logistic(train: DataFrame, spec: ModelSpec) -> PipelineModel:
     asm = VectorAssembler(inputCols=z_cols + oh_cols, outputCol="features")
     prep = PipelineModel(stages=[oh, sc, asm])
     x = prep.transform(train).select("row_id", "label", "features")
+    held = []
     if spec.resample:
         arr = x.select("row_id", "label", vector_to_array("features").alias("fa"))
-        x = (smote(arr, "label", ["fa"], id_col="row_id")
+        x = (smote(arr, "label", ["fa"], id_col="row_id", held=held)
              .select("row_id", "label", array_to_vector("fa").alias("features")))
     cached = x.persist(StorageLevel.MEMORY_AND_DISK)   # weights pass + all optimiser passes
     x, wsum = with_balanced_weight(cached)
+    for h in held:                                     # the resampled rows are cached now
+        h.unpersist()
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
                             family="multinomial", standardization=False,
                             regParam=1.0 / wsum, elasticNetParam=0.0,
@@ -111,12 +114,15 @@ def _tree_stages():
 
 
 def _fit_forest(train: DataFrame, spec: ModelSpec) -> PipelineModel:
-    x = train
+    x, held = train, []
     if spec.resample:
         x = smote(train.select("row_id", "label", *[F.col(c).cast("double").alias(c) for c in NUMERICAL_FEATURES],
                                *CATEGORICAL_FEATURES),
-                  "label", NUMERICAL_FEATURES, CATEGORICAL_FEATURES, id_col="row_id")
+                  "label", NUMERICAL_FEATURES, CATEGORICAL_FEATURES, id_col="row_id", held=held)
     x = x.persist(StorageLevel.MEMORY_AND_DISK)   # indexer fit + tree passes
+    x.count()
+    for h in held:                                 # the resampled rows are cached now
+        h.unpersist()
     # maxMemoryInMB only sets how many tree nodes share one pass over the data
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", maxMemoryInMB=1024,
                                 cacheNodeIds=True, **spec.params)
