@@ -1,9 +1,10 @@
-"""Token-id output: flat unsigned 32-bit files with 64-bit document offsets.
+"""Token-id output: flat unsigned integer files with 64-bit document offsets.
 
 Layout of one written corpus (a folder in the shared file system):
 
 * ``part-00007-<attempt>.bin`` - the ids of a range of documents, little-endian
-  unsigned 32-bit, in ascending document order, nothing else;
+  unsigned integers in ascending document order, nothing else: of 16 bits where
+  the vocabulary fits (half the disk), else of 32; the manifest says which;
 * ``part-00007-<attempt>.off`` - per document two little-endian 64-bit
   integers: the global start of its ids and its document id (``.idx``: the same
   with starts counted in the part, from which the offsets are made);
@@ -33,51 +34,86 @@ from pyspark.sql import functions as F
 from shelfsense.llm.common import attempt_name, filesystem, make_folder
 from shelfsense.session import scratch_path
 
-PARTS = "part int, bin string, idx string, n_docs bigint, n_tokens bigint"
+PARTS = "part int, bin string, idx string, dtype string, n_docs bigint, n_tokens bigint"
 ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, part int"
-#: Entries of a worker's cache of encoded pieces; beyond it the cache starts anew.
-CACHE_ENTRIES = 400_000
-#: Bytes of text per part aimed at.
-PART_BYTES = 64 << 20
+#: Entries of a generation of a worker's cache of encoded pieces (there are two).
+CACHE_ENTRIES = 600_000
+
+
+class PieceCache(dict):
+    """Piece -> its ids' bytes (None: white space next to the cut joins it). Bounded: two generations.
+
+    What a group of texts needs is in this dict after ``ready``; pieces not
+    needed since the last turn-over are forgotten.
+    """
+
+    def __init__(self, tok, lead: str, dtype: str):
+        super().__init__()
+        self.tok, self.lead, self.dtype, self.older = tok, lead, dtype, {}
+
+    def ready(self, need: set[str]) -> None:
+        new = need - self.keys()
+        if len(self) + len(new) > CACHE_ENTRIES:
+            self.older = dict(self)
+            self.clear()
+            new = need
+        unknown = []
+        for p in new:
+            if p in self.older:
+                self[p] = self.older[p]
+            else:
+                unknown.append(p)
+        for lo in range(0, len(unknown), 8192):
+            some = unknown[lo:lo + 8192]
+            for p, enc in zip(some, self.tok.encode_batch_fast([self.lead + x for x in some], add_special_tokens=False)):
+                whole = not p or p[0].isspace() or p[-1].isspace()
+                self[p] = None if whole else np.array(enc.ids, self.dtype).tobytes()
 
 
 class PieceEncoder:
-    """Encodes texts with a byte-level tokenizer, remembering pieces between spaces."""
+    """Encodes texts with a byte-level tokenizer, remembering pieces between spaces.
+
+    Such a tokenizer never joins across a single space between other
+    characters, so a piece with the space before it is encoded once. Texts
+    with more white space around a cut are encoded whole.
+    """
 
     def __init__(self, path: str, end_id: int):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.end = np.array([end_id], "<u4").tobytes()
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _ready(self, cache: dict[str, bytes | None], need: set[str], lead: str) -> None:
-        new = need - cache.keys()
-        if len(cache) + len(new) > CACHE_ENTRIES:
-            cache.clear()
-            new = need
-        pieces = list(new)
-        for lo in range(0, len(pieces), 8192):
-            some = pieces[lo:lo + 8192]
-            for p, enc in zip(some, self.tok.encode_batch_fast([lead + x for x in some], add_special_tokens=False)):
-                # White space next to the cut would join it: such texts are encoded whole.
-                whole = not p or p[0].isspace() or p[-1].isspace()
-                cache[p] = None if whole else np.array(enc.ids, "<u4").tobytes()
+        self.dtype = id_type(max(self.tok.get_vocab_size() - 1, end_id))
+        self.end = np.array([end_id], self.dtype).tobytes()
+        self.first, self.later = PieceCache(self.tok, "", self.dtype), PieceCache(self.tok, " ", self.dtype)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Bytes of the ids of each text, with the end id; null is empty."""
         for lo in range(0, len(texts), 64):
             group = [t or "" for t in texts[lo:lo + 64]]
             cut = [t.split(" ") for t in group]
-            self._ready(self.first, {c[0] for c in cut}, "")
-            self._ready(self.later, set().union(*(c[1:] for c in cut)), " ")
+            self.first.ready({c[0] for c in cut})
+            self.later.ready(set().union(*(c[1:] for c in cut)))
             for t, c in zip(group, cut):
                 try:
                     yield b"".join([self.first[c[0]], *map(self.later.__getitem__, c[1:]), self.end])
                 except TypeError:
-                    yield np.array(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() + self.end
+                    yield np.array(self.tok.encode(t, add_special_tokens=False).ids, self.dtype).tobytes() + self.end
+
+
+def id_type(largest: int) -> str:
+    """The narrowest unsigned little-endian type that holds every id: 16 or 32 bits."""
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
+_encoders: dict[tuple[str, int], PieceEncoder] = {}
+
+
+def encoder(path: str, end_id: int) -> PieceEncoder:
+    """This worker process's encoder; tasks that follow find its cache filled."""
+    if (path, end_id) not in _encoders:
+        _encoders[path, end_id] = PieceEncoder(path, end_id)
+    return _encoders[path, end_id]
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
@@ -105,7 +141,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
             if not b.num_rows:
                 continue
             if sink is None:
-                enc = PieceEncoder(tokenizer, end_id)
+                enc = encoder(tokenizer, end_id)
+                width = np.dtype(enc.dtype).itemsize
                 name = attempt_name(f"part-{part:05d}", "")
                 sink = fs.open_output_stream(f"{root}/{name}.bin", buffer_size=1 << 20)
             ids = b.column(0)
@@ -114,7 +151,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
             for lo in range(0, b.num_rows, 64):
                 for j, out in enumerate(enc.encode(text.slice(lo, 64).to_pylist())):
                     sink.write(out)
-                    sizes[lo + j] = len(out) // 4
+                    sizes[lo + j] = len(out) // width
             row = np.zeros((b.num_rows, 2), "<i8")
             row[:, 0] = n_tokens + np.cumsum(sizes) - sizes
             row[:, 1] = ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
@@ -127,7 +164,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
                 for row in starts:
                     out.write(row.tobytes())
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "bin": [f"{name}.bin"],
-                                              "idx": [f"{name}.idx"], "n_docs": [n_docs], "n_tokens": [n_tokens]})
+                                              "idx": [f"{name}.idx"], "dtype": [enc.dtype],
+                                              "n_docs": [n_docs], "n_tokens": [n_tokens]})
 
     stage = f"{folder}/parts"
     ranged.mapInArrow(write, PARTS).write.parquet(stage)
@@ -182,18 +220,18 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
         fs, root = filesystem(folder)
         for f in frames:
             for r in f.itertuples():
-                ids = open_array(fs, f"{root}/{r.bin}", "<u4")
+                ids = open_array(fs, f"{root}/{r.bin}", r.dtype)
                 off = open_array(fs, f"{root}/{r.idx[:-4]}.off", "<i8").reshape(-1, 2)
                 start = np.asarray(off[:, 0])
                 end = np.append(start[1:], r.base + r.n_tokens)
                 for lo in range(0, len(start), 4096):
                     s, e = start[lo:lo + 4096], end[lo:lo + 4096]
-                    crc = [zlib.crc32(ids[a:b]) for a, b in zip(s - r.base, e - r.base)]
+                    crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(s - r.base, e - r.base)]
                     doc = pd.array(off[lo:lo + 4096, 1], dtype="Int64")
                     doc[off[lo:lo + 4096, 1] == np.iinfo(np.int64).min] = pd.NA
                     yield pd.DataFrame({"doc_id": doc, "start": s, "n_tokens": e - s, "ids_crc32": crc, "part": r.part})
 
-    return manifest.select("part", "bin", "idx", "base", "n_tokens").repartition("part").mapInPandas(load, ROWS)
+    return manifest.select("part", "bin", "idx", "dtype", "base", "n_tokens").repartition("part").mapInPandas(load, ROWS)
 
 
 def token_output(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
