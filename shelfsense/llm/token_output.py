@@ -36,46 +36,44 @@ from shelfsense.session import scratch_path
 
 PARTS = "part int, bin string, idx string, dtype string, n_docs bigint, n_tokens bigint"
 ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, part int"
-#: Entries of a generation of a worker's cache of encoded pieces (there are two).
-CACHE_ENTRIES = 600_000
+#: Entries of each cache of encoded pieces in a worker (of tokenized parts: of each of two generations).
+CACHE_ENTRIES = 700_000
 
 
-class PieceCache(dict):
-    """Piece -> its ids' bytes (None: white space next to the cut joins it). Bounded: two generations.
+class Memo(dict):
+    """Bounded memory of ``make(keys) -> values``; of dear values the last generation is kept too."""
 
-    What a group of texts needs is in this dict after ``ready``; pieces not
-    needed since the last turn-over are forgotten.
-    """
-
-    def __init__(self, tok, lead: str, dtype: str):
+    def __init__(self, make, entries: int, dear: bool = False):
         super().__init__()
-        self.tok, self.lead, self.dtype, self.older = tok, lead, dtype, {}
+        self.make, self.entries, self.dear, self.older = make, entries, dear, {}
 
     def ready(self, need: set[str]) -> None:
-        new = need - self.keys()
-        if len(self) + len(new) > CACHE_ENTRIES:
-            self.older = dict(self)
+        """Have all of ``need`` in this dict."""
+        new = [k for k in need if k not in self]
+        if len(self) + len(new) > self.entries:
+            self.older = dict(self) if self.dear else {}
             self.clear()
-            new = need
-        unknown = []
-        for p in new:
-            if p in self.older:
-                self[p] = self.older[p]
-            else:
-                unknown.append(p)
+            new = list(need)
+        unknown = new
+        if self.older:
+            self.update((k, self.older[k]) for k in new if k in self.older)
+            unknown = [k for k in new if k not in self.older]
         for lo in range(0, len(unknown), 8192):
             some = unknown[lo:lo + 8192]
-            for p, enc in zip(some, self.tok.encode_batch_fast([self.lead + x for x in some], add_special_tokens=False)):
-                whole = not p or p[0].isspace() or p[-1].isspace()
-                self[p] = None if whole else np.array(enc.ids, self.dtype).tobytes()
+            self.update(zip(some, self.make(some)))
+
+
+#: Signs that end a letter run as a piece of their own whatever letters come before.
+ENDINGS = ".,;:!?*#$%&|)"
 
 
 class PieceEncoder:
     """Encodes texts with a byte-level tokenizer, remembering pieces between spaces.
 
     Such a tokenizer never joins across a single space between other
-    characters, so a piece with the space before it is encoded once. Texts
-    with more white space around a cut are encoded whole.
+    characters, a single line feed between others, or from a letter to the
+    signs after it, so these parts are encoded once. Texts with more white
+    space around a space are encoded whole.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -85,7 +83,49 @@ class PieceEncoder:
         self.tok = Tokenizer.from_file(path)
         self.dtype = id_type(max(self.tok.get_vocab_size() - 1, end_id))
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.first, self.later = PieceCache(self.tok, "", self.dtype), PieceCache(self.tok, " ", self.dtype)
+        self.parts = Memo(self._encode_parts, CACHE_ENTRIES, dear=True)
+        self.first = Memo(lambda p: self._encode_pieces(p, ""), CACHE_ENTRIES // 8)
+        self.later = Memo(lambda p: self._encode_pieces(p, " "), CACHE_ENTRIES)
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _encode_pieces(self, pieces: list[str], lead: str) -> list[bytes | None]:
+        """Ids of pieces after ``lead``; None where white space next to the cut would join it."""
+        cores, tails, odd = [], [], {}
+        for p in pieces:
+            core = p if p.isalpha() else p.rstrip(ENDINGS)
+            if core.isalpha():
+                cores.append(lead + core)
+                tails.append(p[len(core):])
+            else:
+                odd[len(cores)] = self._cut(p, lead)
+                cores.append("")
+                tails.append("")
+        self.parts.ready({*cores, *tails, *(y for x in odd.values() if x for y in x)})
+        get = self.parts.__getitem__
+        out = [get(c) + get(t) if t else get(c) for c, t in zip(cores, tails)]
+        for i, x in odd.items():
+            out[i] = None if x is None else b"".join(map(get, x))
+        return out
+
+    @staticmethod
+    def _cut(piece: str, lead: str) -> list[str] | None:
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            return None
+        lines, own, before = piece.split("\n"), [], lead
+        if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+            lines = [piece]
+        for i, x in enumerate(lines):
+            if i:
+                own.append("\n")
+            core = x.rstrip(ENDINGS)
+            if core and len(core) < len(x) and core[-1].isalpha():
+                own += [before + core, x[len(core):]]
+            else:
+                own.append(before + x)
+            before = ""
+        return own
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Bytes of the ids of each text, with the end id; null is empty."""
