@@ -1,3 +1,17 @@
 """DuckDB statements of the queries that SQL can express."""
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op10_warc_dictionary"] = """
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS body FROM pages),
+d AS (SELECT *, sha1(body) AS hex, min(page_id) OVER (PARTITION BY body) AS first_id FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41),
+        lambda i: lpad(bin(strpos('0123456789abcdef', substr(hex, i, 1)) - 1), 4, '0')), '') AS bits FROM d)
+SELECT page_id, strlen(body) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + list_sum(list_transform(range(0, 5), lambda j: substr(bits, i * 5 + j + 1, 1)::INT * (16 >> j)))::INT, 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to, url
+FROM b
+"""
