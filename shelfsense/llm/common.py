@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -35,9 +36,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs (it does so when the driver's garbage is collected)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(key, doc_id, text)`` with a unique non-null ``key`` in document order.
 

@@ -37,7 +37,7 @@ from shelfsense.session import scratch_path
 PARTS = "part int, bin string, idx string, dtype string, n_docs bigint, n_tokens bigint"
 ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, part int"
 #: Entries of each cache of encoded pieces in a worker (of tokenized parts: of each of two generations).
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 300_000
 
 
 class Memo(dict):
