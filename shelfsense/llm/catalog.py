@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from shelfsense.llm import oracle
 from shelfsense.llm.common import read
 
@@ -82,3 +83,14 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the 200-byte strings that occur elsewhere too."""
     from shelfsense.llm.suffix_dedup import suffix_dedup
     return suffix_dedup(read(spark, sf_dir, "documents"))
+
+
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best and N-best segmentations of all documents, decoded again."""
+    import public_tokenizers
+    from shelfsense.llm.pieces import encode_pieces
+    return encode_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
+QUERIES["pipeline"] = corpus_pipeline.run

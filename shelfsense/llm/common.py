@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsense.session import scratch_path
@@ -46,24 +46,33 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
     """``(key, doc_id, text)`` with a unique non-null ``key`` in document order.
 
     Where ids are unique and present, the id is the key and nothing is moved.
     Otherwise (null or repeated ids) rows are put in order of (id, text), nulls
     first, written once and numbered; equal rows are separate documents next
-    to each other.
+    to each other. With ``carry`` the struct ``row`` has all columns of ``docs``.
     """
-    d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *row)
     odd = (d.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
            .filter((F.col("n") > 1) | F.col("doc_id").isNull()))
     if odd.isEmpty():
-        return d.select(F.col("doc_id").alias("key"), "doc_id", "text")
+        return d.select(F.col("doc_id").alias("key"), *d.columns)
     n = max(1, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = ["doc_id", F.sha2(F.coalesce("text", F.lit("")), 256)]
     ranged = d.repartitionByRange(n, *order).sortWithinPartitions(*order)
     ranged = ranged.withColumn("key", F.monotonically_increasing_id())
-    return materialise(ranged.select("key", "doc_id", "text"), "keyed")
+    return materialise(ranged.select("key", *d.columns), "keyed")
+
+
+def with_text(rows: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """The rows carried by ``keyed``, as in ``docs`` but with another text (and its length in ``n_chars``)."""
+    out = rows.select("row", text.alias("new"))
+    return out.select(*[F.col("new").alias(c) if c == "text"
+                        else F.char_length("new").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+                        else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 # ------------------------------------------------------------------ shared files

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import ALNUM_WORD, LOWER, U, keyed, materialise, mix, slices, word_bounds, word_hashes
+from shelfsense.llm.common import (ALNUM_WORD, LOWER, U, keyed, materialise, mix, slices, with_text, word_bounds,
+                                   word_hashes)
 
 #: Words of a window; words of items per broadcast automaton.
 WINDOW, BLOCK_WORDS = 13, 2_000_000
@@ -219,14 +220,15 @@ def blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int, s
 FOUND = "key bigint, doc_id bigint, n_words bigint, starts array<int>, ends array<int>, items array<bigint>"
 
 
-def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,
+                 is_keyed: bool = False) -> DataFrame:
     """Per document: words, ranges of words inside item windows, ids of the items found.
 
     Null texts and items have no words and match nothing. Repeated rows and ids
     are documents of their own; items of equal id count once. An empty
     benchmark hits nothing.
     """
-    d = keyed(docs)
+    d = docs if is_keyed else keyed(docs)
     passes = []
     for block in blocks(benchmark, block_words):
         # A null item id has no name to report; its windows still hit.
@@ -295,13 +297,29 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options: int) -> Data
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options: int) -> DataFrame:
-    """Rows of ``docs`` (all columns) that are not contaminated, without the words hit.
+    """The rows of ``docs``, all columns, that are not contaminated, without the words hit.
 
     A document over the coverage limit goes; in the others the hit words, with
-    what stands between them, are cut from the text. Untouched texts stay as
-    they are, character by character.
+    what stands between them, are cut from the text (and ``n_chars`` follows).
+    Texts without a hit stay as they are, character by character.
     """
-    import json
-    names = docs.columns
-    d = docs.select("doc_id", "text", F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("row"))
-    raise NotImplementedError(json.dumps(names))
+    d = keyed(docs, carry=True)
+    hit = materialise(contamination(d.select("key", "doc_id", "text"), benchmark, is_keyed=True, **options)
+                      .filter("n_hit > 0").select("key", "ranges", "contaminated"), "hit")
+
+    @F.arrow_udf("string")
+    def cut(text: pa.Array, ranges: pa.Array) -> pa.Array:
+        out = []
+        for t, r in zip(text, ranges):
+            if not r.is_valid or not t.is_valid:
+                out.append(t.as_py())
+                continue
+            raw = t.as_buffer().to_pybytes()
+            s, e, _ = word_bounds(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM_WORD)
+            spans = merge_ranges([(x["starts"], x["ends"]) for x in r.as_py()])
+            edges = [0, *(y for a, z in spans for y in (int(s[a]), int(e[z - 1]))), len(raw)]
+            out.append(b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2])).decode())
+        return pa.array(out, pa.string())
+
+    left = d.join(hit, "key", "left").filter("contaminated IS NULL OR NOT contaminated")
+    return with_text(left, docs, cut("text", "ranges"))

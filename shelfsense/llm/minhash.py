@@ -168,7 +168,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     is named by the first non-null id it links to, else null. An empty table gives
     an empty result. Columns other than ``doc_id`` and ``text`` are not read.
     """
-    d = keyed(docs)
+    return _components(keyed(docs), percent, shingle, bands, rows)
+
+
+def keep_first(docs: DataFrame, **options: int) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``near_duplicates`` keeps: the first of every component."""
+    d = keyed(docs, carry=True)
+    settings = {"percent": PERCENT, "shingle": SHINGLE, "bands": BANDS, "rows": ROWS} | options
+    kept = _components(d.select("key", "doc_id", "text"), **settings).filter("kept").select("key")
+    return d.join(materialise(kept, "kept"), "key", "left_semi").select("row.*")
+
+
+def _components(d: DataFrame, percent: int, shingle: int, bands: int, rows: int) -> DataFrame:
     base = materialise(d.mapInArrow(_sketches(bands, rows, shingle), SKETCHES), "sketches")
     classes = materialise(base.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("key").alias("rep")), "classes")
     reps = base.join(classes.select(F.col("rep").alias("key")), "key", "left_semi")

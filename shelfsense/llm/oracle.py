@@ -15,3 +15,95 @@ SELECT page_id, strlen(body) AS payload_bytes,
   CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to, url
 FROM b
 """
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _quality_rules() -> str:
+    from shelfsense.llm.quality_rules import MIN_ROWS, RATIOS, SLACK, SPREAD, TWO_SIDED
+    ratios = ", ".join(f"({scale} * {a}) // greatest({b}, 1) AS r_{m}" for m, (a, b, scale) in RATIOS.items())
+    long = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS rule, r_{m} AS v FROM rated" for m in SLACK)
+    slack = "CASE rule " + " ".join(f"WHEN '{m}' THEN {s}" for m, s in SLACK.items()) + " END"
+    ok = [f"r_{m} <= max(hi) FILTER (rule = '{m}')" for m in SLACK] + [f"r_{m} >= max(lo) FILTER (rule = '{m}')" for m in TWO_SIDED]
+    names = [f"CASE WHEN r_{m} > max(hi) FILTER (rule = '{m}') THEN 'high_{m}' END" for m in SLACK]
+    names += [f"CASE WHEN r_{m} < max(lo) FILTER (rule = '{m}') THEN 'low_{m}' END" for m in TWO_SIDED]
+    return rf"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+lines AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+win AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+twice AS (SELECT doc_id, k FROM win GROUP BY ALL HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM win JOIN twice USING (doc_id, k))
+        GROUP BY doc_id),
+m AS (SELECT d.doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines,
+        len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+        length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals
+      FROM d JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
+rated AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {ratios} FROM m),
+sketch AS (SELECT lang, source, rule, CASE WHEN v < 128 THEN v ELSE v - v % (1::BIGINT << (length(bin(v)) - 7)) END AS b,
+             count(*) AS n FROM ({long}) GROUP BY ALL),
+groups AS (SELECT lang, source, sum(n) AS n FROM sketch WHERE rule = 'symbols' GROUP BY ALL),
+level AS (SELECT lang, source, CASE WHEN n >= {MIN_ROWS} THEN 2 WHEN sum(n) OVER (PARTITION BY lang) >= {MIN_ROWS} THEN 1 ELSE 0 END AS level
+          FROM groups),
+merged AS (SELECT 2 AS level, lang, source, rule, b, n FROM sketch
+           UNION ALL SELECT 1, lang, NULL, rule, b, sum(n) FROM sketch GROUP BY lang, rule, b
+           UNION ALL SELECT 0, NULL, NULL, rule, b, sum(n) FROM sketch GROUP BY rule, b),
+ranked AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rule ORDER BY b) AS c,
+             sum(n) OVER (PARTITION BY level, lang, source, rule) AS total FROM merged),
+q AS (SELECT level, lang, source, rule, min(b) FILTER (4 * c >= total) AS q25, min(b) FILTER (4 * c >= 3 * total) AS q75
+      FROM ranked GROUP BY ALL),
+fence AS (SELECT g.lang, g.source, rule, q75 + {SPREAD} * (q75 - q25) + {slack} AS hi, q25 - {SPREAD} * (q75 - q25) - {slack} AS lo
+          FROM level g JOIN q ON g.level = q.level AND (CASE WHEN g.level >= 1 THEN g.lang END) IS NOT DISTINCT FROM q.lang
+            AND (CASE WHEN g.level = 2 THEN g.source END) IS NOT DISTINCT FROM q.source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND {" AND ".join(ok)} AS kept, concat_ws(',', {", ".join(names)}) AS broken
+FROM rated r JOIN fence f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source
+GROUP BY doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, {", ".join(f"r_{m}" for m in SLACK)}
+"""
+
+
+ORACLE["op3_quality_rules"] = _quality_rules()
+
+ORACLE["op5_substring_dedup"] = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)),
+later AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+word AS (SELECT doc_id, w[i] AS x, i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE["op6_minhash"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM d),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS k FROM sets),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.k = b.k AND a.doc_id < b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON r.other = e.a)
+SELECT doc_id, len(s) AS n_shingles, m.component_id, doc_id = m.component_id AS kept
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)
+"""
+
+_NORMAL = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE["op9_decontamination"] = rf"""
+WITH d AS (SELECT doc_id, {_NORMAL} AS w FROM documents),
+b AS (SELECT item_id, {_NORMAL} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 13) AS m, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS k
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+own AS (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS k
+        FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM win))),
+found AS (SELECT doc_id, item_id, i, m FROM own JOIN win USING (m, k)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS l
+          FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+  sha256(coalesce(items.l, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.llm.bwt import DEPTH, Shard, repeated
-from shelfsense.llm.common import BASE_W, U, keyed, materialise, mix, signed, slices, window_hashes
+from shelfsense.llm.common import (BASE_W, U, keyed, materialise, mix, signed, slices, window_hashes,
+                                   with_text)
 from shelfsense.llm.spans import Units, merge_spans, minimizers, repeated_contexts, runs
 
 #: Bytes of a minimizer and of the second one; contexts of one minimizer that a task takes together.
@@ -210,3 +211,26 @@ def suffix_dedup(docs: DataFrame, keep_text: bool = False, **options: int) -> Da
     done = d.join(per_doc, "key", "left").select("key", "doc_id", "text", "own").mapInArrow(_finish(DEPTH, keep_text), DONE)
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + (["key", "kept"] if keep_text else [])
     return done.select(*columns)
+
+
+def cut_repeats(docs: DataFrame, **options: int) -> DataFrame:
+    """The rows of ``docs``, all columns, without repeated strings in ``text``; ``n_chars`` follows it."""
+    d = keyed(docs, carry=True)
+    spans = materialise(repeated_windows(d.select("key", "doc_id", "text"), **options), "spans")
+    per_doc = spans.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("own"))
+
+    @F.arrow_udf("string")
+    def cut(text: pa.Array, own: pa.Array) -> pa.Array:
+        out = []
+        for t, o in zip(text, own):
+            if not o.is_valid or not t.is_valid:
+                out.append(t.as_py())
+                continue
+            raw, p = t.as_buffer().to_pybytes(), o.values
+            a = p.field(0).to_numpy().astype(np.int64)
+            a, z = merge_spans(a, a + p.field(1).to_numpy() + DEPTH - 1)
+            edges = [0, *(x for s in zip(a.tolist(), z.tolist()) for x in s), len(raw)]
+            out.append(b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2])).decode("utf-8", "ignore"))
+        return pa.array(out, pa.string())
+
+    return with_text(d.join(per_doc, "key", "left"), docs, cut("text", "own"))

@@ -213,3 +213,21 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
         scored = d.mapInArrow(score, "doc_id bigint, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not predicted toxic; nothing is moved."""
+    model = fit(docs, labels, max_train)
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.offset))
+
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        weight, offset = shared.value
+        words = WordScores(weight)
+        for t in texts:
+            parts = [score_texts(t.slice(lo, 128).to_pylist(), words, offset) for lo in range(0, len(t), 128)]
+            yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+    return docs.filter(score(F.col("text").cast("string")) < 0.5)
