@@ -24,6 +24,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfsense.functions.columns import nan_to_null
 from shelfsense.operators.stats import running_totals
@@ -37,7 +38,11 @@ ZERO_FILL = 0.0001
 
 def half_split(df: DataFrame, day_col: str = "dt", tie_cols: Sequence[str] = ()) -> DataFrame:
     """Adds ``half`` = 'reference' for the first floor(n/2) rows in
-    (day, *tie_cols) order, else 'current'."""
+    (day, *tie_cols) order, null days first, else 'current'. A timestamp is
+    cut to its day, which bounds the broadcast day table."""
+    if isinstance(df.schema[day_col].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return half_split(df.withColumn("__cut", F.to_date(day_col)), "__cut",
+                          [day_col, *tie_cols]).drop("__cut")
     # One row per day: the day table is bounded by the calendar, not by the
     # data volume, so its single-partition running sum and broadcast are safe.
     per_day = df.groupBy(day_col).agg(F.count(F.lit(1)).alias("__n"))
@@ -46,7 +51,9 @@ def half_split(df: DataFrame, day_col: str = "dt", tie_cols: Sequence[str] = ())
                    w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                       .withColumn("__total", F.sum("__n").over(Window.partitionBy())))
     per_day = per_day.withColumn("__mid", F.floor(F.col("__total") / 2))
-    j = df.join(F.broadcast(per_day.select(day_col, "__before", "__n", "__mid")), day_col)
+    # null days come first; the join keeps them
+    day = per_day.select(F.col(day_col).alias("__day"), "__before", "__n", "__mid")
+    j = df.join(F.broadcast(day), F.col(day_col).eqNullSafe(F.col("__day"))).drop("__day")
     straddle = (F.col("__before") < F.col("__mid")) & (F.col("__before") + F.col("__n") > F.col("__mid"))
     drop = ["__before", "__n", "__mid"]
     # every day but one falls wholly into one half: no window over them

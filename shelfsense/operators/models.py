@@ -46,7 +46,7 @@ DEFAULT_SPECS = [
     ModelSpec("Logistic Regression", "logistic", {"maxIter": 2000}),
     ModelSpec("Random Forest", "forest", {"numTrees": 300, "maxDepth": 10, "minInstancesPerNode": 10,
                                           "featureSubsetStrategy": "sqrt", "seed": 42}),
-    ModelSpec("XGBoost", "boosting", {"maxIter": 300, "maxDepth": 6, "stepSize": 0.05,
+    ModelSpec("Boosted trees (one-vs-rest)", "boosting", {"maxIter": 300, "maxDepth": 6, "stepSize": 0.05,
                                       "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
                                       "seed": 42}, resample=False),
 ]
@@ -100,7 +100,7 @@ def _fit_logistic(train: DataFrame, spec: ModelSpec) -> PipelineModel:
                             family="multinomial", standardization=False,
                             regParam=1.0 / wsum, elasticNetParam=0.0,
                             maxIter=spec.params.get("maxIter", 2000),
-                            tol=spec.params.get("tol", 1e-4))   # the reference's solver tolerance
+                            tol=spec.params.get("tol", 1e-6))
     try:
         return PipelineModel(stages=[oh, sc, asm, lr.fit(x)])
     finally:

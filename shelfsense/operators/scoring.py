@@ -101,11 +101,11 @@ def prediction_log(scored: DataFrame, run_id: str, code_col: str = "prediction",
     return out if code_col == "prediction_encoded" else out.drop(code_col)
 
 
-def round_half_up(c, digits: int):
-    """Half away from zero on the binary value: floor(|x| * 10^d + 0.5) / 10^d."""
+def round_half_even(c, digits: int):
+    """Round the scaled binary value to the nearest whole number, ties to even."""
     c = F.col(c) if isinstance(c, str) else c
     p = float(10 ** digits)
-    return F.signum(c) * F.floor(F.abs(c) * p + 0.5) / p
+    return F.rint(c * p) / p
 
 
 def cold_start_rows(snap: DataFrame, cat_levels: dict[str, list[str]] | None = None) -> DataFrame:
@@ -119,7 +119,7 @@ def cold_start_rows(snap: DataFrame, cat_levels: dict[str, list[str]] | None = N
     inv = F.col("inventory_level").cast("double")
     sold = F.col("units_sold").cast("double")
     fore = F.col("demand_forecast").cast("double")
-    r = round_half_up
+    r = round_half_even
     inv_lag1 = r(inv * 1.1, 2)
     out = snap.select(
         "*",

@@ -175,16 +175,37 @@ def covariance_moments(df: DataFrame, cols: Sequence[str]):
 def vif(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Variance inflation factor of every column, plus the constant term.
 
-    VIF_j = 1 / (1 - R_j^2) is the j-th diagonal element of the inverse
-    correlation matrix; for the intercept VIF = 1 + m' S^-1 m (S population
-    covariance, m means). Only the k x k moment matrix reaches the driver.
+    VIF_j = 1 / (1 - R_j^2), R_j^2 from the other columns' correlations; for the
+    intercept VIF = 1 + m' S^-1 m (S population covariance, m means). A column
+    that the others determine has an infinite factor, and so has a constant
+    column (the intercept determines it) unless it is zero, whose factor is
+    undefined (null). Only the k x k moment matrix reaches the driver.
     """
     n, m, cov = covariance_moments(df, cols)
-    sd = np.sqrt(np.diag(cov))
+    var = np.diag(cov)
+    varies = np.array([v > 1e-12 * max(1.0, mean * mean) for v, mean in zip(var, m)], bool)
+    sd = np.sqrt(np.where(varies, var, 1.0))
     corr = cov / np.outer(sd, sd)
-    inv_corr = np.linalg.pinv(corr)
-    rows = [("const", float(1.0 + m @ np.linalg.pinv(cov) @ m))]
-    rows += [(c, float(inv_corr[i, i])) for i, c in enumerate(cols)]
+    live = np.flatnonzero(varies)
+
+    def factor(j: int) -> float:
+        rest = [i for i in live if i != j]
+        if not rest:
+            return 1.0
+        c = corr[rest, j]
+        free = 1.0 - float(c @ np.linalg.pinv(corr[np.ix_(rest, rest)], rcond=1e-10, hermitian=True) @ c)
+        return float("inf") if free < 1e-9 else 1.0 / free
+
+    if (~varies & (m != 0)).any():
+        const = float("inf")
+    else:
+        z = m[live] / sd[live]
+        back = np.linalg.pinv(corr[np.ix_(live, live)], rcond=1e-10, hermitian=True) if len(live) else np.zeros((0, 0))
+        lost = z - corr[np.ix_(live, live)] @ back @ z     # part of the means outside the columns' span
+        const = float("inf") if np.abs(lost).max(initial=0.0) > 1e-6 * max(1.0, np.abs(z).max(initial=0.0)) \
+            else float(1.0 + z @ back @ z)
+    rows = [("const", const)]
+    rows += [(c, factor(i) if varies[i] else (float("inf") if m[i] else None)) for i, c in enumerate(cols)]
     out = df.sparkSession.createDataFrame(rows, "feature string, vif double")
     return out.orderBy(F.desc("vif"))
 
@@ -269,7 +290,7 @@ def running_totals(vc: DataFrame, key: Sequence[str], value: str, sums: Sequence
 
 def kth_smallest(df: DataFrame, col: str, k_of, group_cols: Sequence[str] = ()) -> DataFrame:
     """The value of rank ``k_of(n) - 1`` (``k_of`` maps the group count to k)
-    per group, exact and distributed: (group..., kth)."""
-    out = quantiles_long(df, [col], [0.0], group_cols,
-                         rank_of=lambda n, p: F.greatest(k_of(n) - 1, F.lit(0)))
+    per group, exact and distributed: (group..., kth). A group with k = 0 has
+    no row."""
+    out = quantiles_long(df, [col], [0.0], group_cols, rank_of=lambda n, p: k_of(n) - 1)
     return out.select(*group_cols, F.col("value").alias("kth"))

@@ -226,7 +226,7 @@ def explorer_top200(spark, sf_dir):
     """Membership filters, then the 200 most recent rows."""
     df = lab.label(base.panel(spark, sf_dir), variant="explorer")
     df = prof.filter_panel(df, ["SIZED", "PROMO"], ["AMERICA", "ASIA", "EUROPE"],
-                           [f"NATION_{i}" for i in range(25)])
+                           [f"S{i}" for i in range(1, 26)])
     return prof.top_recent(df, 200, ["dt", "store_id", "product_id", "category", "region",
                                      "inventory_level", "units_sold", "demand_forecast", "risk_label"])
 
@@ -272,7 +272,8 @@ def correlation_matrix(spark, sf_dir):
 
 @query("vif")
 def vif_q(spark, sf_dir):
-    return stats.vif(base.features(spark, sf_dir), NUMERICAL_FEATURES)
+    """Of the train split, as the model sees it."""
+    return stats.vif(base.split_frame(spark, sf_dir).filter("split = 'train'"), NUMERICAL_FEATURES)
 
 
 @query("histogram_units_sold")
@@ -578,7 +579,7 @@ def stream_scoring(spark, sf_dir):
     """Request files -> streaming contract check -> coverage / days-of-stock
     scorer -> Parquet sink (invalid rows to quarantine)."""
     src, out, bad, ck = (scratch_path(spark, n) for n in ("req-src", "scored", "quarantine", "ck-score"))
-    _requests(spark, sf_dir).repartition(4).write.mode("overwrite").json(src)
+    _requests(spark, sf_dir).write.mode("overwrite").json(src)
     stream.score_stream(spark, src, out, bad, ck,
                         lambda b: b.withColumn("prediction_label", ratio_label("coverage_ratio", "days_of_stock")))
     res = spark.read.parquet(out)
@@ -586,15 +587,28 @@ def stream_scoring(spark, sf_dir):
                       *[ours for _, ours, _ in REQUEST_FIELDS], "prediction_label")
 
 
-@query("stream_label_counts")
-def stream_label_counts(spark, sf_dir):
-    """Watermarked 7-day tumbling-window counts per predicted label."""
-    src, out, ck = (scratch_path(spark, n) for n in ("events", "win-counts", "ck-count"))
+def _count_events(spark, sf_dir, chunks: int = 4):
+    """The predictions as event files in order of time, counted over several batches."""
+    src, out, late, ck = (scratch_path(spark, n) for n in ("events", "win-counts", "late", "ck-count"))
     ev = _prediction_table(spark, sf_dir).select(
         F.col("dt").cast("timestamp").alias("event_time"), "prediction_label")
-    ev.write.mode("overwrite").parquet(src)
-    stream.label_count_stream(spark, src, ev.schema, out, ck)
-    return stream.latest_counts(spark, out)
+    files = stream.write_in_time_order(ev, src, "event_time", chunks)
+    stream.label_count_stream(spark, src, ev.schema, out, ck, max_files_per_trigger=files, late=late)
+    return stream.latest_counts(spark, out), stream.late_rows(spark, late, ev.schema)
+
+
+@query("stream_label_counts")
+def stream_label_counts(spark, sf_dir):
+    """Watermarked 7-day tumbling-window counts per predicted label, over four batches."""
+    return _count_events(spark, sf_dir)[0]
+
+
+@query("stream_late_rows")
+def stream_late_rows(spark, sf_dir):
+    """Events counted and events behind the watermark (none: the files are in order of time)."""
+    counts, late = _count_events(spark, sf_dir)
+    return (counts.agg(F.sum("n").alias("counted"))
+            .crossJoin(late.agg(F.count(F.lit(1)).alias("late"))))   # one row each
 
 
 # --- models (Spark ML) -------------------------------------------------------------------------
@@ -673,9 +687,9 @@ def baseline_comparison(spark, sf_dir):
     w = met.class_weights(train, "label").select("label", "weight")
     train = met.with_class_weight(train, w, "label")
     cats = [c + "_idx" for c in CATEGORICAL_FEATURES]
-    num = ["inventory_level", "units_sold", "units_ordered", "demand_forecast_clean", "price",
-           "discount", "competitor_pricing"]
-    pipe = Pipeline(stages=[enc.ordinal_indexer(CATEGORICAL_FEATURES, invalid="keep"),
+    df = df.withColumn("holiday", F.col("holiday_promotion").cast("int"))
+    num = ["inventory_level", "units_sold", "demand_forecast", "price", "discount", "competitor_pricing", "holiday"]
+    pipe = Pipeline(stages=[enc.ordinal_indexer(CATEGORICAL_FEATURES, invalid="error"),
                             VectorAssembler(inputCols=num + cats, outputCol="features"),
                             LogisticRegression(family="multinomial", weightCol="weight", maxIter=1000,
                                                regParam=1.0 / max(1, train.count()), standardization=False)])

@@ -197,7 +197,7 @@ sql("explorer_top200", _EXPL + """
 SELECT dt, store_id, product_id, category, region, inventory_level, units_sold, demand_forecast, risk_label
 FROM expl
 WHERE category IN ('SIZED', 'PROMO') AND region IN ('AMERICA', 'ASIA', 'EUROPE')
-  AND store_id IN (""" + ", ".join(f"'NATION_{i}'" for i in range(25)) + """)
+  AND store_id IN (""" + ", ".join(f"'S{i}'" for i in range(1, 26)) + """)
 ORDER BY dt DESC, store_id, product_id LIMIT 200""")
 
 sql("rows_affected", _RD + """
@@ -396,29 +396,29 @@ FROM (SELECT store_id, product_id, dt,
       FROM rp)""")
 
 
-def _rhu(x: str, d: int) -> str:
-    p = f"{10 ** d}.0"
-    return f"(sign({x}) * floor(abs({x}) * {p} + 0.5) / {p})"
+def _round(x: str, d: int) -> str:
+    p = f"{10 ** d}.0::DOUBLE"
+    return f"(round_even(({x}) * {p}, 0) / {p})"
 
 
 _INV, _SOLD, _FORE = "CAST(inventory_level AS DOUBLE)", "CAST(units_sold AS DOUBLE)", "demand_forecast"
-_LAG = _rhu(f"{_INV} * 1.1", 2)
-_R7 = _rhu(f"{_INV} * 1.05", 2)
+_LAG = _round(f"{_INV} * 1.1", 2)
+_R7 = _round(f"{_INV} * 1.05", 2)
 sql("cold_start_rows", _RD + """,
 lv AS (SELECT * FROM """ + " CROSS JOIN ".join(f"""
   (SELECT list({c} ORDER BY {c}) AS lv_{c} FROM (SELECT DISTINCT {c} FROM retail_daily))""" for c in _CATS4) + """)
 SELECT store_id, product_id, dt, inventory_level, units_sold, demand_forecast,
   """ + _LAG + """ AS inventory_lag1,
-  """ + _rhu(f"{_SOLD} * 0.95", 2) + """ AS units_sold_lag1,
+  """ + _round(f"{_SOLD} * 0.95", 2) + """ AS units_sold_lag1,
   """ + _R7 + """ AS rolling7_inventory,
-  """ + _rhu(f"{_INV} - {_LAG}", 2) + """ AS inventory_change,
-  CASE WHEN """ + _LAG + " <> 0 THEN " + _rhu(_rhu(f"{_INV} - {_LAG}", 2) + " / " + _LAG, 4) + """ ELSE 0.0 END AS inventory_change_pct,
-  """ + _rhu(f"{_INV} - {_R7}", 2) + """ AS inventory_vs_rolling7,
-  CASE WHEN """ + _SOLD + " > 0 THEN " + _rhu(f"{_INV} / {_SOLD}", 2) + """ ELSE 0.0 END AS days_of_stock,
-  CASE WHEN """ + _FORE + " > 0 THEN " + _rhu(f"{_SOLD} / {_FORE}", 3) + """ ELSE 0.0 END AS sales_velocity,
-  CASE WHEN """ + _FORE + " > 0 THEN " + _rhu(f"{_INV} / {_FORE}", 3) + """ ELSE 0.0 END AS coverage_ratio,
-  """ + _rhu(f"{_SOLD} - {_FORE}", 2) + """ AS forecast_error,
-  CASE WHEN """ + _INV + " > 0 THEN " + _rhu(f"{_FORE} / {_INV}", 3) + """ ELSE 0.0 END AS order_to_inventory,
+  """ + _round(f"{_INV} - {_LAG}", 2) + """ AS inventory_change,
+  CASE WHEN """ + _LAG + " <> 0 THEN " + _round(_round(f"{_INV} - {_LAG}", 2) + " / " + _LAG, 4) + """ ELSE 0.0 END AS inventory_change_pct,
+  """ + _round(f"{_INV} - {_R7}", 2) + """ AS inventory_vs_rolling7,
+  CASE WHEN """ + _SOLD + " > 0 THEN " + _round(f"{_INV} / {_SOLD}", 2) + """ ELSE 0.0 END AS days_of_stock,
+  CASE WHEN """ + _FORE + " > 0 THEN " + _round(f"{_SOLD} / {_FORE}", 3) + """ ELSE 0.0 END AS sales_velocity,
+  CASE WHEN """ + _FORE + " > 0 THEN " + _round(f"{_INV} / {_FORE}", 3) + """ ELSE 0.0 END AS coverage_ratio,
+  """ + _round(f"{_SOLD} - {_FORE}", 2) + """ AS forecast_error,
+  CASE WHEN """ + _INV + " > 0 THEN " + _round(f"{_FORE} / {_INV}", 3) + """ ELSE 0.0 END AS order_to_inventory,
   0 AS holiday_flag,
   CAST(coalesce(list_position(lv_category, category) - 1, 0) AS INT) AS category_enc,
   CAST(coalesce(list_position(lv_region, 'North') - 1, 0) AS INT) AS region_enc,
@@ -575,3 +575,25 @@ FROM pl GROUP BY ALL""")
 
 sql("prediction_log_csv", _PRED + " SELECT * FROM pl")
 sql("panel_head", _RD + " SELECT * FROM retail_daily ORDER BY store_id, product_id, dt LIMIT 5")
+
+sql("stream_late_rows", _PRED + " SELECT count(*) AS counted, 0 AS late FROM pl")
+
+# --- seeded choices: 52 bits of an md5, the lowest win ------------------------------------
+
+
+def _hash52(parts: str, seed: int) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', {parts}, '{seed}')), 1, 13) AS BIGINT)"
+
+
+sql("series_sample", _RD + """,
+pairs AS (SELECT *, row_number() OVER (ORDER BY """ + _hash52("store_id, product_id", 42) + """) AS r, count(*) OVER () AS n
+          FROM (SELECT DISTINCT store_id, product_id FROM retail_daily))
+SELECT d.* FROM retail_daily d SEMI JOIN (SELECT * FROM pairs WHERE r <= round(0.3::DOUBLE * n)) p
+  ON d.store_id = p.store_id AND d.product_id = p.product_id""")
+
+sql("stratified_split", _LAB + """
+SELECT store_id, product_id, dt, risk_label,
+  row_number() OVER (PARTITION BY risk_label ORDER BY """ + _hash52(
+    "concat_ws('|', store_id, product_id, CAST(dt AS VARCHAR))", 42) + """)
+    <= floor(0.8::DOUBLE * count(*) OVER (PARTITION BY risk_label)) AS is_train
+FROM labelled""")

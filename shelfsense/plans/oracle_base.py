@@ -7,7 +7,7 @@ loop), where the Spark plan uses the window closed form.
 
 RETAIL_DAILY = """
 retail_daily AS (
-SELECT n_name AS store_id, p_type AS product_id, CAST(l_shipdate AS DATE) AS dt,
+SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS store_id, p_type AS product_id, CAST(l_shipdate AS DATE) AS dt,
   CASE WHEN p_type IN ('SMALL','MEDIUM','LARGE') THEN 'SIZED'
        WHEN p_type = 'PROMO' THEN 'PROMO' ELSE 'GENERAL' END AS category,
   r_name AS region,
@@ -28,7 +28,7 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
   JOIN part ON l_partkey = p_partkey
-GROUP BY n_name, p_type, r_name, CAST(l_shipdate AS DATE)
+GROUP BY s_suppkey, p_type, r_name, CAST(l_shipdate AS DATE)
 )"""
 
 CLEAN = """

@@ -21,6 +21,20 @@ _RAW_TYPES = {
 RAW_SCHEMA = T.StructType([T.StructField(orig, _RAW_TYPES[ours], True) for orig, ours in RAW_COLUMNS])
 
 
+def header_names(spark: SparkSession, path: str) -> list[str]:
+    """Column names in the order of the files' header, blanks trimmed."""
+    return [c.strip() for c in spark.read.option("header", True).option("inferSchema", False).csv(path).columns]
+
+
+def schema_by_name(names: list[str], fields: dict[str, T.DataType], what: str) -> T.StructType:
+    """The declared types in the order of ``names``; unknown, missing or repeated names are errors."""
+    unknown, missing = sorted(set(names) - set(fields)), sorted(set(fields) - set(names))
+    if unknown or missing or len(set(names)) < len(names):
+        raise ValueError(f"{what}: columns do not fit the declared ones; unknown {unknown}, missing {missing}, "
+                         f"header {names}")
+    return T.StructType([T.StructField(n, fields[n], True) for n in names])
+
+
 def strip_header(df: DataFrame) -> DataFrame:
     """Trim blanks around column names."""
     return df.toDF(*[c.strip() for c in df.columns])
@@ -28,16 +42,17 @@ def strip_header(df: DataFrame) -> DataFrame:
 
 def read_retail_csv(spark: SparkSession, path: str, merge_duplicates: bool = True,
                     date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """Daily panel CSV (original header names) -> snake_case typed frame.
+    """Daily panel CSV (original header names, in any order, blanks around them
+    allowed) -> snake_case typed frame. Columns are bound by name.
 
     ``Holiday/Promotion`` may be 0/1 or true/false. NaN becomes null. With
     ``merge_duplicates`` a repeated (store, product, day) is merged into one
-    row (flows summed, stock and prices maxed, attributes first), which also
-    bounds every series to one row per day.
+    row (flows summed, stock and competitor price maxed, price and attributes
+    minimal), which also bounds every series to one row per day.
     """
-    raw = (spark.read.schema(RAW_SCHEMA).option("header", True)
+    schema = schema_by_name(header_names(spark, path), {orig: _RAW_TYPES[ours] for orig, ours in RAW_COLUMNS}, path)
+    raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
            .option("dateFormat", date_format).option("mode", "FAILFAST").csv(path))
-    raw = strip_header(raw)
     df = raw.select(*[F.col(f"`{orig}`").alias(ours) for orig, ours in RAW_COLUMNS])
     hp = F.lower(F.trim(F.col("holiday_promotion")))
     df = df.withColumn("holiday_promotion", F.when(hp.isin("1", "true", "1.0"), True)
@@ -48,9 +63,9 @@ def read_retail_csv(spark: SparkSession, path: str, merge_duplicates: bool = Tru
         return df
     keys = SERIES_KEYS + [TIME_COL]
     return df.groupBy(*keys).agg(
-        F.first("category").alias("category"), F.first("region").alias("region"),
-        F.first("weather_condition").alias("weather_condition"),
-        F.first("seasonality").alias("seasonality"),
+        F.min("category").alias("category"), F.min("region").alias("region"),
+        F.min("weather_condition").alias("weather_condition"),
+        F.min("seasonality").alias("seasonality"),
         F.max("inventory_level").alias("inventory_level"),
         F.sum("units_sold").alias("units_sold"), F.sum("units_ordered").alias("units_ordered"),
         F.sum("demand_forecast").alias("demand_forecast"), F.min("price").alias("price"),
@@ -150,6 +165,8 @@ def prediction_csv_schema() -> T.StructType:
 
 def read_prediction_csv(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
     """Flat prediction log written by the scoring job, with its declared schema
-    (``extra`` fields first, e.g. keys). A missing path is the caller's check."""
+    (``extra`` fields first, e.g. keys), bound by header name. A missing path is
+    the caller's check."""
     fields = (list(extra.fields) if extra else []) + list(prediction_csv_schema().fields)
-    return spark.read.schema(T.StructType(fields)).option("header", True).csv(path)
+    schema = schema_by_name(header_names(spark, path), {f.name: f.dataType for f in fields}, path)
+    return spark.read.schema(schema).option("header", True).csv(path).select(*[f.name for f in fields])

@@ -19,7 +19,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def retail_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (store, product, day), derived from the TPC-H-like tables.
 
-    store = supplier nation, product = part type, region = supplier region.
+    store = supplier, product = part type, region = supplier region: the
+    number of series grows with the data.
     Quantities stay integral so ratios are single correctly rounded divisions.
 
     Plan: lineitem is scanned once with only the 9 columns used; nation (25
@@ -47,7 +48,7 @@ def retail_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(F.broadcast(nation), F.col("s_nationkey") == nation.n_nationkey)
               .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey)
               .join(part, li.l_partkey == part.p_partkey)
-              .select(F.col("n_name").alias("store_id"), F.col("p_type").alias("product_id"),
+              .select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("store_id"), F.col("p_type").alias("product_id"),
                       F.col("r_name").alias("region"), d.alias("dt"), qty,
                       "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"))
 

@@ -6,8 +6,9 @@
   through the batch-id partition column).
 * ``label_count_stream``: predictions with an event time -> watermark ->
   tumbling-window counts per label, update mode, each batch's updates
-  appended with their batch id; the latest row per (window, label) is the
-  running result, equal to the batch group-by once drained.
+  written under their batch id; the latest row per (window, label) is the
+  running result, equal to the batch group-by once drained. Rows behind the
+  watermark go to a side table.
 
 Both run with ``Trigger.AvailableNow`` and keep state and offsets in a
 checkpoint folder, so a restarted job resumes where it stopped.
@@ -39,13 +40,14 @@ def score_stream(spark: SparkSession, src: str, out: str, quarantine: str, check
     checked = validate_requests(requests, keep=list(keep))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("batch_id", F.lit(batch_id))
+        b = batch.withColumn("batch_id", F.lit(batch_id)).persist()   # checked once for both outputs
         good = scorer(b.filter("is_valid").drop("is_valid", "error_columns"))
         good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("batch_id").parquet(out)
         (b.filter(~F.col("is_valid")).withColumn("errors", F.concat_ws(",", "error_columns"))
           .drop("error_columns").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy("batch_id").parquet(quarantine))
+        b.unpersist()
 
     q = (checked.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -53,31 +55,84 @@ def score_stream(spark: SparkSession, src: str, out: str, quarantine: str, check
     return q
 
 
+def write_in_time_order(events: DataFrame, path: str, time_col: str, chunks: int, files: int = 4) -> int:
+    """Event files in ``chunks`` runs of days, each run written after the one before.
+
+    A file stream takes files by modification time, so ``files`` at a trigger
+    (returned) make one batch of each run and no batch goes back in time.
+    """
+    day = F.to_date(time_col)
+    lo, hi = events.agg(F.min(day), F.max(day)).first()
+    span = ((hi - lo).days if lo is not None else 0) // chunks + 1
+    run = F.coalesce(F.floor(F.datediff(day, F.lit(lo)) / span), F.lit(0)) if lo is not None else F.lit(0)
+    for i in range(chunks):
+        part = events.filter(run == i)
+        part.repartition(files).write.mode("append").parquet(path)
+    return files
+
+
 def label_count_stream(spark: SparkSession, src: str, schema: T.StructType, out: str, checkpoint: str,
                        time_col: str = "event_time", label_col: str = "prediction_label",
                        window: str = "7 days", delay: str = "1 day",
-                       max_files_per_trigger: int | None = None):
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    events = reader.parquet(src)
-    counts = (events.withWatermark(time_col, delay)
+                       max_files_per_trigger: int | None = None, late: str | None = None):
+    """Window counts; with ``late`` also a table of the rows that came too late for them.
+
+    Both outputs are written by batch id, so a replayed batch replaces itself.
+    A row is late when its window ended before the watermark that the batch before
+    began with (the largest event time of the batches before that, less ``delay``):
+    the rule by which the state drops it.
+    The second query reads the same files in the same batches; counted and late
+    rows make up the input (rows without an event time are late too).
+    """
+    def reader():
+        r = spark.readStream.schema(schema)
+        return (r.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else r).parquet(src)
+
+    counts = (reader().withWatermark(time_col, delay)
               .groupBy(F.window(time_col, window).alias("w"), F.col(label_col))
               .agg(F.count(F.lit(1)).alias("n")))
 
+    def by_batch(df: DataFrame, path: str) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      label_col, "n", F.lit(batch_id).alias("batch_id"))
-              .write.mode("append").parquet(out))
+        by_batch(batch.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                              label_col, "n", F.lit(batch_id).alias("batch_id")), out)
 
     q = (counts.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    if late is None:
+        return q
+    marks = f"{late}-watermarks"
+
+    def sink_late(batch: DataFrame, batch_id: int) -> None:
+        seen = spark.read.schema("largest timestamp, batch_id int").parquet(marks) if batch_id else None
+        before = seen.filter(F.col("batch_id") < batch_id - 1).agg(F.max("largest")).first()[0] if seen else None
+        mark = F.lit(before).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        end = F.window(time_col, window).end
+        behind = batch.withColumn("window_end", end) if before is not None else batch.withColumn(
+            "window_end", F.lit(None).cast("timestamp"))
+        is_late = F.col("window_end") <= mark if before is not None else F.lit(False)
+        nulls = batch.filter(F.col(time_col).isNull()).withColumn("window_end", F.lit(None).cast("timestamp"))
+        by_batch(behind.filter(is_late).unionByName(nulls).withColumn("batch_id", F.lit(batch_id)), late)
+        by_batch(batch.agg(F.max(time_col).alias("largest")).withColumn("batch_id", F.lit(batch_id)), marks)
+
+    ql = (reader().writeStream.foreachBatch(sink_late).option("checkpointLocation", f"{checkpoint}-late")
+          .trigger(availableNow=True).start())
+    ql.awaitTermination()
     return q
 
 
+def late_rows(spark: SparkSession, late: str, schema: T.StructType) -> DataFrame:
+    """The rows that came too late (an empty table where no batch had one)."""
+    full = T.StructType([*schema.fields, T.StructField("window_end", T.TimestampType()),
+                         T.StructField("batch_id", T.IntegerType())])
+    return spark.read.schema(full).parquet(late)
+
+
 def latest_counts(spark: SparkSession, out: str, label_col: str = "prediction_label") -> DataFrame:
-    """Latest update per (window, label) from the appended update log."""
+    """Latest update per (window, label) from the update log."""
     log = spark.read.parquet(out)
     w = Window.partitionBy("window_start", label_col).orderBy(F.desc("batch_id"))
     return (log.withColumn("__r", F.row_number().over(w)).where("__r = 1")

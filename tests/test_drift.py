@@ -32,3 +32,11 @@ def test_statistics_on_shifted_sample(spark):
     std = math.sqrt(sum((v - 24.5) ** 2 for v in ref) / len(ref))
     assert rep.stat_test == "wasserstein" and rep.statistic == pytest.approx(10 / std, rel=1e-9)
     assert rep.drift_detected and rep.dataset_drift
+
+
+def test_half_split_keeps_rows_without_a_day(spark):
+    rows = [(None, "a"), (None, "b"), (dt.date(2020, 1, 1), "a"), (dt.date(2020, 1, 1), "b"), (dt.date(2020, 1, 2), "a"),
+            (dt.date(2020, 1, 3), "a"), (dt.date(2020, 1, 3), "b")]
+    got = drift.half_split(spark.createDataFrame(rows, "dt date, s string"), "dt", ["s"]).collect()
+    assert len(got) == 7
+    assert sorted((str(r.dt), r.s) for r in got if r.half == "reference") == [("2020-01-01", "a"), ("None", "a"), ("None", "b")]

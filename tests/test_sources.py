@@ -52,3 +52,17 @@ def test_unseen_category_is_an_error_and_one_hot_unknown_is_zero(spark):
     ind, names = enc.indicator_sql(enc.first_dropped_levels(train, ["category"]))
     row = ind.transform(other).first()
     assert names == ["category__oh1"] and row["category__oh1"] == 0.0
+
+
+def test_csv_columns_are_bound_by_name(spark):
+    path = write_text(spark, [" Units Sold , Inventory Level," + ",".join(
+        c for c in HEADER.split(",") if c not in ("Units Sold", "Inventory Level")),
+        "5,100,2022-01-01,S1,P1,Toys,North,0,10.5,9.99,5,Sunny,1,10.0,Winter"])
+    row = io.read_retail_csv(spark, path).first()
+    assert (row.units_sold, row.inventory_level, row.category) == (5, 100, "Toys")
+
+
+@pytest.mark.parametrize("header", [HEADER.replace("Price", "Cost", 1), HEADER + ",Extra", HEADER.replace(",Seasonality", "")])
+def test_csv_with_unknown_or_missing_columns_is_an_error(spark, header):
+    with pytest.raises(ValueError, match="columns do not fit"):
+        io.read_retail_csv(spark, write_text(spark, [header, "x"]))

@@ -42,3 +42,18 @@ def test_histogram_last_bin_closed(spark):
     df = spark.createDataFrame([(float(v),) for v in [0, 1, 2, 3, 4, 10]], "x double")
     h = stats.histogram(df, "x", 5).orderBy("bin").collect()
     assert [r.n for r in h] == [2, 2, 1, 0, 1] and sum(r.n for r in h) == 6
+
+
+def test_vif_of_dependent_and_constant_columns(spark):
+    rows = [(float(i), 2.0 * i + 1, float((i * 7) % 11), 5.0, 0.0) for i in range(50)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double, z double")
+    got = {r.feature: r.vif for r in stats.vif(df, ["a", "b", "c", "k", "z"]).collect()}
+    assert got["a"] == got["b"] == got["k"] == got["const"] == float("inf")
+    assert 1.0 <= got["c"] < 2.0 and got["z"] is None
+
+
+def test_kth_smallest_of_rank_zero_has_no_row(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0)], "g string, v double")
+    got = stats.kth_smallest(df, "v", lambda n: F.floor(F.lit(0.8) * n).cast("bigint"), ["g"]).collect()
+    assert [tuple(r) for r in got] == [("a", 1.0)]
