@@ -30,14 +30,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs nothing that was already written,
-    and a table used several times is computed once.
+    and a table used several times is computed once. ``discard`` deletes it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
     release(spark)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote and nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import (BASE_D, BASE_W, BYTES_A, BYTES_B, PLAIN_WORD, U, prefix_hash, signed, slices,
-                                   sliding_min, span_hash, window_hashes, word_bounds, word_hashes)
+from shelfsense.llm.common import (BASE_D, BASE_W, BYTES_A, BYTES_B, PLAIN_WORD, U, discard, materialise, prefix_hash,
+                                   signed, slices, sliding_min, span_hash, window_hashes, word_bounds, word_hashes)
 
 CONTEXTS = "key bigint, fp bigint, dig bigint, start int, n int"
 
@@ -107,10 +107,17 @@ def context_rows(docs: DataFrame, length: int, anchor: int, words: bool) -> Data
 
 
 def repeated_contexts(docs: DataFrame, length: int, anchor: int, words: bool) -> DataFrame:
-    """The contexts whose minimizer occurs more than once (partial counts before the shuffle)."""
+    """The contexts whose minimizer occurs more than once, written.
+
+    Minimizers are counted first (partial counts before the shuffle) and the
+    repeated ones written, so the join's sides are plain and a hot one's rows
+    can be split over tasks.
+    """
     rows = context_rows(docs, length, anchor, words)
-    again = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("fp")
-    return context_rows(docs, length, anchor, words).join(again, "fp", "left_semi")
+    again = materialise(rows.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("fp"), "minimizers")
+    out = materialise(context_rows(docs, length, anchor, words).join(again, "fp", "left_semi"), "contexts")
+    discard(again)
+    return out
 
 
 def merge_spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

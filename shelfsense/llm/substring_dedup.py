@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import PLAIN_WORD, U, keyed, materialise, signed, slices, word_bounds
+from shelfsense.llm.common import PLAIN_WORD, U, discard, keyed, materialise, signed, slices, word_bounds
 from shelfsense.llm.spans import Units, merge_spans, repeated_contexts
 
 #: Words of a window and of a minimizer.
@@ -112,8 +112,8 @@ def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, length: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """``SPANS`` of a keyed table: n windows from ``start`` repeat those of an earlier place."""
-    cand = materialise(repeated_contexts(docs, length, anchor, words=True), "contexts")
+    """``SPANS`` of a keyed table, written: n windows from ``start`` repeat those of an earlier place."""
+    cand = repeated_contexts(docs, length, anchor, words=True)
     place = F.struct("key", "start")
     paths = materialise(cand.groupBy("fp", "dig", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")),
                         "paths")
@@ -125,7 +125,7 @@ def repeated_spans(docs: DataFrame, length: int = WINDOW, anchor: int = ANCHOR)
     lists = (paths.join(several, "fp", "left_semi")
              .select(F.col("first.key").alias("key"), F.struct(F.col("first.start").alias("start"), "n").alias("run"))
              .groupBy("key").agg(F.collect_list("run").alias("runs")))
-    edges = docs.select("key", "text").join(lists, "key").mapInArrow(_edges(length), EDGES)
+    edges = docs.select("key", "text").join(lists.hint("merge"), "key").mapInArrow(_edges(length), EDGES)
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     edges = edges.repartition(n, "ka", "kb")  # one exchange serves the counts and the join
     nodes = (edges.groupBy("ka", "kb").agg(
@@ -135,9 +135,12 @@ def repeated_spans(docs: DataFrame, length: int = WINDOW, anchor: int = ANCHOR)
     single = (edges.join(nodes, ["ka", "kb"]).filter(F.struct("key", "pos") != F.col("first"))
               .select("key", F.col("pos").alias("start"), F.lit(1).alias("n"), F.col("first.key").alias("src_key"),
                       F.col("first.pos").alias("src_start"), (F.col("in_lo") == F.col("in_hi")).alias("joined")))
+    single = materialise(single, "edges")
     pieces = later.unionAll(single).groupBy("key").agg(
         F.collect_list(F.struct("start", "n", "src_key", "src_start", "joined")).alias("p"))
-    return pieces.mapInArrow(_compact, SPANS)
+    out = materialise(pieces.mapInArrow(_compact, SPANS), "spans")
+    discard(cand, paths, single)
+    return out
 
 
 def _finish(length: int, keep_text: bool):
@@ -201,13 +204,13 @@ def substring_dedup(docs: DataFrame, length: int = WINDOW, anchor: int = ANCHOR,
     gives an empty result. Columns other than ``doc_id`` and ``text`` are not read.
     """
     d = keyed(docs)
-    spans = materialise(repeated_spans(d, length, anchor), "spans")
+    spans = repeated_spans(d, length, anchor)
     while True:
         own = spans.groupBy("key").agg(F.collect_list(F.struct("start", "n", "src_key", "src_start")).alias("own"))
         wanted = (spans.select(F.col("src_key").alias("key"), "src_start", "n").distinct()
                   .groupBy("key").agg(F.collect_list(F.struct("src_start", "n")).alias("wanted")))
         asked = own.join(wanted, "key", "full")
-        done = materialise(d.join(asked, "key", "left").select("key", "doc_id", "text", "own", "wanted")
+        done = materialise(d.join(asked.hint("merge"), "key", "left").select("key", "doc_id", "text", "own", "wanted")
                            .mapInArrow(_finish(length, keep_text), DONE), "deduplicated")
         mine = done.filter("kind = 1").select("key", "start", "n", "src_key", "src_start", "digest")
         source = done.filter("kind = 2").select("src_key", "src_start", "n", F.col("digest").alias("source"))

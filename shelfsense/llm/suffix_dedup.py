@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.llm.bwt import DEPTH, Shard, repeated
-from shelfsense.llm.common import (BASE_W, U, keyed, materialise, mix, signed, slices, window_hashes,
+from shelfsense.llm.common import (BASE_W, U, discard, keyed, materialise, mix, signed, slices, window_hashes,
                                    with_text)
 from shelfsense.llm.spans import Units, merge_spans, minimizers, repeated_contexts, runs
 
@@ -130,12 +130,14 @@ def _windows(length: int):
 
 
 def repeated_windows(docs: DataFrame, hot: int = HOT, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
-    """(key, start, n) of a keyed table: n windows from byte ``start`` occur elsewhere too."""
+    """(key, start, n) of a keyed table, written: n windows from byte ``start`` occur elsewhere too."""
     spark, length = docs.sparkSession, DEPTH
-    cand = materialise(repeated_contexts(docs, length, ANCHOR, words=False), "contexts")
+    cand = repeated_contexts(docs, length, ANCHOR, words=False)
     ctx = materialise(cand.groupBy("fp", "dig", "n").agg(F.min(F.struct("key", "start")).alias("first"),
                                                          F.count(F.lit(1)).alias("c")), "distinct")
-    whole = cand.join(ctx.filter("c > 1").select("fp", "dig", "n"), ["fp", "dig", "n"], "left_semi").select("key", "start", "n")
+    whole = materialise(cand.join(ctx.filter("c > 1").select("fp", "dig", "n"), ["fp", "dig", "n"], "left_semi")
+                        .select("key", "start", "n"), "whole")
+    discard(cand)
     several = ctx.groupBy("fp").agg(F.count(F.lit(1)).alias("different")).filter("different > 1")
     lists = (ctx.join(several, "fp")
              .select(F.col("first.key").alias("key"), F.struct("fp", F.col("first.start").alias("start"), "n",
@@ -161,7 +163,9 @@ def repeated_windows(docs: DataFrame, hot: int = HOT, partition_bytes: int = PAR
     parts = max(1, -(-size // partition_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
     intervals = (merged.repartition(parts, "fp").select("key", "start", "n", "body")
                  .mapInArrow(_merge_partition, "key bigint, start int, n int"))
-    return whole.unionAll(again).unionAll(single).unionAll(intervals)
+    out = materialise(whole.unionAll(again).unionAll(single).unionAll(intervals), "spans")
+    discard(ctx, whole, pieces, kinds)
+    return out
 
 
 def _finish(length: int, keep_text: bool):
@@ -206,7 +210,7 @@ def suffix_dedup(docs: DataFrame, keep_text: bool = False, **options: int) -> Da
     Columns other than ``doc_id`` and ``text`` are not read.
     """
     d = keyed(docs)
-    spans = materialise(repeated_windows(d, **options), "spans")
+    spans = repeated_windows(d, **options)
     per_doc = spans.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("own"))
     done = d.join(per_doc, "key", "left").select("key", "doc_id", "text", "own").mapInArrow(_finish(DEPTH, keep_text), DONE)
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + (["key", "kept"] if keep_text else [])
@@ -216,7 +220,7 @@ def suffix_dedup(docs: DataFrame, keep_text: bool = False, **options: int) -> Da
 def cut_repeats(docs: DataFrame, **options: int) -> DataFrame:
     """The rows of ``docs``, all columns, without repeated strings in ``text``; ``n_chars`` follows it."""
     d = keyed(docs, carry=True)
-    spans = materialise(repeated_windows(d.select("key", "doc_id", "text"), **options), "spans")
+    spans = repeated_windows(d.select("key", "doc_id", "text"), **options)
     per_doc = spans.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("own"))
 
     @F.arrow_udf("string")
