@@ -321,5 +321,5 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options: int) -
             out.append(b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2])).decode())
         return pa.array(out, pa.string())
 
-    left = d.join(hit, "key", "left").filter("contaminated IS NULL OR NOT contaminated")
+    left = d.join(hit.hint("merge"), "key", "left").filter("contaminated IS NULL OR NOT contaminated")
     return with_text(left, docs, cut("text", "ranges"))

@@ -15,9 +15,10 @@ Work on Spark:
 2. Representatives meet in buckets of ``BANDS`` bands of ``ROWS`` coordinates. At
    similarity 0.75 a pair misses all buckets with probability
    (1 - 0.75^5)^40 = 2e-5.
-3. Buckets are worked off in rounds with pivots, not by all pairs: in round j
-   the members at ranks 2^j to 2^(j+1) - 1 are compared with those after them
-   that aren't in the same component yet. A bucket is done when every pair was
+3. Buckets are worked off in rounds with pivots, not by all pairs: first the
+   most central member (the one that meets most documents in all its buckets,
+   so the least edited of a group of copies) is compared with all others, then those of ranks 2 to 15,
+   16 to 127 and so on with those after them that aren't in the same component yet. A bucket is done when every pair was
    compared or is in one component. So a bucket of mutual copies costs one
    comparison per member; only pairs that could still change a component are
    ever emitted, and none is skipped.
@@ -34,12 +35,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import (BASE_D, LOWER, PLAIN_WORD, U, keyed, materialise, mix, prefix_hash, signed, slices,
-                                   span_hash, window_hashes, word_bounds, word_hashes)
+from shelfsense.llm.common import (BASE_D, LOWER, PLAIN_WORD, U, discard, keyed, materialise, mix, prefix_hash, signed,
+                                   slices, span_hash, window_hashes, word_bounds, word_hashes)
 from shelfsense.llm.components import components
 
 #: Words of a shingle; similarity in per cent; bands and coordinates per band.
 SHINGLE, PERCENT, BANDS, ROWS = 5, 75, 40, 5
+#: Growth of the ranks worked off in a round.
+GROWTH = 8
 SKETCHES = "key bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>"
 
 
@@ -143,12 +146,8 @@ def sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose full shingle sets reach the similarity."""
-    pairs = materialise(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
-    sets = materialise(docs.select("key", "text").join(needed, "key", "left_semi")
-                       .mapInArrow(_sets(shingle), "key bigint, s array<bigint>"), "sets")
+def confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of ``pairs`` whose full shingle sets reach the similarity, written."""
     x, y = sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), sets.select(F.col("key").alias("b"), F.col("s").alias("sb"))
     both = pairs.join(x, "a").join(y, "b")
     both = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"),
@@ -176,7 +175,7 @@ def keep_first(docs: DataFrame, **options: int) -> DataFrame:
     d = keyed(docs, carry=True)
     settings = {"percent": PERCENT, "shingle": SHINGLE, "bands": BANDS, "rows": ROWS} | options
     kept = _components(d.select("key", "doc_id", "text"), **settings).filter("kept").select("key")
-    return d.join(materialise(kept, "kept"), "key", "left_semi").select("row.*")
+    return d.join(materialise(kept, "kept").hint("merge"), "key", "left_semi").select("row.*")
 
 
 def _components(d: DataFrame, percent: int, shingle: int, bands: int, rows: int) -> DataFrame:
@@ -184,37 +183,49 @@ def _components(d: DataFrame, percent: int, shingle: int, bands: int, rows: int)
     classes = materialise(base.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("key").alias("rep")), "classes")
     reps = base.join(classes.select(F.col("rep").alias("key")), "key", "left_semi")
     bucket = Window.partitionBy("bucket")
-    members = materialise(
-        reps.select("key", "n", F.explode("bands").alias("bucket"))
-        .withColumns({"m": F.count(F.lit(1)).over(bucket), "rank": F.row_number().over(bucket.orderBy("key")),
-                      "pivot": F.min(F.struct("key", "n")).over(bucket)})
-        .filter("m > 1"), "buckets")
-    pairs = (members.filter((F.col("rank") > 1) & sizes_fit(F.col("n"), F.col("pivot.n"), percent))
-             .select(F.col("pivot.key").alias("a"), F.col("key").alias("b")).distinct())
-    links = confirm(d, pairs, percent, shingle)
+    shared = (reps.select("key", "n", F.explode("bands").alias("bucket"))
+              .withColumn("m", F.count(F.lit(1)).over(bucket)).filter("m > 1"))
+    # A document's centrality: how many it meets in all its buckets.
+    central = shared.groupBy("key").agg(F.first("n").alias("n"), F.sum("m").alias("c"),
+                                        F.collect_list(F.struct("bucket", "m")).alias("own"))
+    order = F.struct((-F.col("c")).alias("c"), "key", "n")
+    placed = (central.select("key", "n", "c", F.explode("own").alias("x")).select("key", "n", "c", "x.*")
+              .withColumns({"rank": F.row_number().over(bucket.orderBy(F.desc("c"), "key")), "pivot": F.min(order).over(bucket)}))
+    # One row per document again (at most BANDS entries), so that labels are joined to documents, not to entries.
+    members = materialise(placed.groupBy("key").agg(F.first("n").alias("n"), F.collect_list(
+        F.struct("bucket", "rank", "m", F.col("pivot.key").alias("pivot"), F.col("pivot.n").alias("pivot_n"))).alias("own")),
+        "members")
+    pairs = (members.select("key", "n", F.explode("own").alias("x"))
+             .filter((F.col("x.rank") > 1) & sizes_fit(F.col("n"), F.col("x.pivot_n"), percent))
+             .select(F.col("x.pivot").alias("a"), F.col("key").alias("b")).distinct())
+    sets = materialise(d.select("key", "text").join(members.select("key").hint("merge"), "key", "left_semi")
+                       .mapInArrow(_sets(shingle), "key bigint, s array<bigint>"), "sets")
+    links = confirm(sets, pairs, percent)
     labels = components(links)
     lo = 2
     while True:
-        # Members with their component; only buckets with pairs not compared and not in one component go on.
-        m = (members.filter(F.col("m") > lo).select("bucket", "rank", "key", "n").alias("m")
-             .join(labels.alias("l"), F.col("m.key") == F.col("l.key"), "left")
-             .select("m.*", F.coalesce("l.label", "m.key").alias("label")))
-        rest = (m.filter(F.col("rank") >= lo).groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-                .filter("x <> y").select("bucket"))
-        open_ = materialise(m.filter(F.col("rank") >= lo).join(rest, "bucket", "left_semi"), "open")
+        # Entries not worked off; only buckets with more than one component among them go on.
+        m = (members.alias("m").join(labels.alias("l"), F.col("m.key") == F.col("l.key"), "left")
+             .select("m.key", "m.n", F.coalesce("l.label", "m.key").alias("label"),
+                     F.explode(F.filter("m.own", lambda x: x["rank"] >= lo)).alias("x")))
+        open_ = materialise(
+            m.select("key", "n", "label", "x.bucket", "x.rank")
+            .withColumns({"first": F.min("label").over(bucket), "last": F.max("label").over(bucket)})
+            .filter(F.col("first") != F.col("last")).drop("first", "last"), "open")
         if open_.isEmpty():
             break
-        hi = 2 * lo
-        p = open_.filter(F.col("rank") < hi).alias("p")
-        o = open_.alias("o")
+        hi = GROWTH * lo
+        p, o = open_.filter(F.col("rank") < hi).alias("p"), open_.alias("o")
         pairs = (o.join(p, (F.col("o.bucket") == F.col("p.bucket")) & (F.col("o.rank") > F.col("p.rank"))
                         & (F.col("o.label") != F.col("p.label")) & sizes_fit(F.col("o.n"), F.col("p.n"), percent))
-                 .select(F.col("p.key").alias("a"), F.col("o.key").alias("b")).distinct())
-        found = confirm(d, pairs, percent, shingle)
+                 .select(F.least("p.key", "o.key").alias("a"), F.greatest("p.key", "o.key").alias("b")).distinct())
+        found = confirm(sets, pairs, percent)
+        discard(open_)
         if not found.isEmpty():
             links = links.unionAll(found)
             labels = components(links)
         lo = hi
+    discard(members, sets)
     # Every document: its class, the class's component, the component's first document.
     c = base.alias("b").join(classes.alias("c"), F.expr("b.n = c.n AND b.d1 = c.d1 AND b.d2 = c.d2"), "left").select(
         "b.key", "b.doc_id", "b.n", F.coalesce("c.rep", "b.key").alias("rep"))
