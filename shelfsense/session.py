@@ -26,6 +26,10 @@ DEFAULT_CONF = {
 def get_spark(master: str | None = None, app: str = "shelfsense",
               shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     """Return the active session, creating one with the defaults above."""
+    # Python workers import this package wherever the driver was started.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if root not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [root, os.environ.get("PYTHONPATH")]))
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -33,7 +37,7 @@ def get_spark(master: str | None = None, app: str = "shelfsense",
         builder = builder.config(k, v)
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
-        builder = builder.config("spark.driver.memory", os.environ.get("SHELFSENSE_DRIVER_MEMORY", "16g"))
+        builder = builder.config("spark.driver.memory", os.environ.get("SHELFSENSE_DRIVER_MEMORY", "10g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -45,12 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is used as
-    is. Only when it is unset (local runs, tests) a scratch folder is created
-    and registered.
+    is; without it nothing may be written, as executors would not see each
+    other's files. Only in local mode (tests) a scratch folder is created and
+    registered instead.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="shelfsense-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
