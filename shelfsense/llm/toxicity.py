@@ -33,8 +33,11 @@ from shelfsense.llm.labelled import held_out, training_ids, training_rows
 BUCKETS, DIM, STEPS = 1 << 18, 4, 80
 #: Words added to a document's number of words, so that a few words alone don't decide.
 SMOOTH = 4
-#: Step sizes of table, softmax weights and bias, and how much their largest gradient damps small ones.
-RATE, DAMP = (1.0, 0.3, 0.1), (0.005, 0.0, 0.0)
+#: Documents of the sample that a feature must occur in (counted by its words).
+MIN_DOCS = 10
+#: Step sizes of table, softmax weights and bias; share of the table's largest gradient that damps small ones is DAMP by the
+#: number of documents in the smaller class, as few documents tell chance from rule less well.
+RATE, DAMP, DAMP_RANGE = (1.0, 0.3, 0.1), 8.0, (0.005, 0.1)
 GRAMS = (3, 4, 5)
 #: Labelled rows to train on (half of each class where there are so many) and their characters in all.
 MAX_TRAIN, MAX_TRAIN_CHARS = 4000, 30_000_000
@@ -107,18 +110,36 @@ def train(texts: list[str], y: list[int], seed: int = 7, steps: int = STEPS) ->
         return None
     rng = np.random.default_rng(seed)
     feats, begin = subwords(list(vocab))
+    whole = np.diff(begin)
+    word, count = np.concatenate(own), np.array([len(x) for x in own])
+    doc = np.repeat(np.arange(len(own)), count)
+    # Features of a few documents only could just be learnt by heart; words of none else say nothing.
+    seen = np.bincount(feats, np.repeat(np.bincount(word, minlength=len(vocab)), whole), minlength=BUCKETS)
+    common = seen[feats] >= MIN_DOCS
+    feat_of = np.repeat(np.arange(len(vocab)), whole)[common]
+    left = np.unique(feat_of)
+    number = np.full(len(vocab), -1)
+    number[left] = np.arange(len(left))
+    feat_of, feats = number[feat_of], feats[common]
+    known = number[word] >= 0
+    word, doc = number[word[known]], doc[known]
+    if not len(word):
+        return None
     used, feats = np.unique(feats, return_inverse=True)
-    size = np.diff(begin)
-    begin = begin[:-1]
+    size, inv = np.bincount(feat_of), (1 / whole[left]).astype(np.float32)
+    begin = np.cumsum(size) - size
     # Document x word, by document and by word; word x feature, by feature. No group is empty.
-    word, count = np.concatenate(own), np.array([len(x) for x in own])
-    doc, doc_begin = np.repeat(np.arange(len(own)), count), np.cumsum(count) - count
+    some, doc = np.unique(doc, return_inverse=True)
+    labels, count = labels[some], count[some]
+    doc_begin = np.searchsorted(doc, np.arange(len(some)))
+    if len(set(labels.tolist())) < 2:
+        return None
     by_word = np.argsort(word, kind="stable")
-    word_begin, doc_by_word = np.searchsorted(word[by_word], np.arange(len(vocab))), doc[by_word]
+    word_begin, doc_by_word = np.searchsorted(word[by_word], np.arange(len(left))), doc[by_word]
     by_feat = np.argsort(feats, kind="stable")
     feat_begin = np.searchsorted(feats[by_feat], np.arange(len(used)))
-    feat_word = np.repeat(np.arange(len(vocab)), size)[by_feat]
-    inv, per_doc = (1 / size).astype(np.float32), (1 / np.sqrt(count + SMOOTH)).astype(np.float32)
+    feat_word = feat_of[by_feat]
+    per_doc = (1 / np.sqrt(count + SMOOTH)).astype(np.float32)
     # Classes weigh the same in all, so a rare class is learnt too.
     n1, n0 = (labels == 1).sum(), (labels != 1).sum()
     weight = np.where(labels == 1, 0.5 / n1, 0.5 / n0).astype(np.float32)
@@ -127,6 +148,7 @@ def train(texts: list[str], y: list[int], seed: int = 7, steps: int = STEPS) ->
     params = [rng.normal(0, 0.1, (DIM, len(used))).astype(np.float32), rng.normal(0, 1, (2, DIM)).astype(np.float32),
               np.zeros((2, 1), np.float32)]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    damp = min(max(DAMP / min(n1, n0), DAMP_RANGE[0]), DAMP_RANGE[1])
     for step in range(1, steps + 1):
         table, head, bias = params
         mean = np.stack([np.add.reduceat((np.add.reduceat(t[feats], begin) * inv)[word], doc_begin) * per_doc
@@ -141,7 +163,7 @@ def train(texts: list[str], y: list[int], seed: int = 7, steps: int = STEPS) ->
             first[i] = 0.9 * first[i] + 0.1 * g
             second[i] = 0.98 * second[i] + 0.02 * g * g
             m, v = first[i] / (1 - 0.9 ** step), np.sqrt(second[i] / (1 - 0.98 ** step))
-            p -= RATE[i] * m / (v + DAMP[i] * v.max() + 1e-12)
+            p -= RATE[i] * m / (v + (damp * v.max() if i == 0 else 0.0) + 1e-12)
     full = np.zeros((BUCKETS, DIM), np.float32)
     full[used] = params[0].T
     return ToxicityModel(full, params[1].T, params[2][:, 0])

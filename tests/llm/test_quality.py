@@ -81,7 +81,7 @@ def test_toxicity_learns_words_and_unseen_misspellings():
     vocab = ["".join(r.choice("abcdeimnorstu") for _ in range(r.randint(3, 8))) for _ in range(600)]
     bad = ["vilethug", "scumwad", "trashlord"]
     make = lambda toxic: " ".join(r.sample(bad, 2) * toxic + [r.choice(vocab) for _ in range(r.randint(20, 80))])
-    y = [i % 2 for i in range(500)]
+    y = [i % 2 for i in range(3000)]
     model = toxicity.train([make(v) for v in y], y)
     words = toxicity.WordScores(model.weight)
     clean = toxicity.score_texts([make(0) for _ in range(100)], words, model.offset)
