@@ -126,6 +126,7 @@ def train(texts: list[str], y: list[int], seed: int = 7, steps: int = STEPS) ->
     if not len(word):
         return None
     used, feats = np.unique(feats, return_inverse=True)
+    feats, feat_of = feats.astype(np.int32), feat_of.astype(np.int32)
     size, inv = np.bincount(feat_of), (1 / whole[left]).astype(np.float32)
     begin = np.cumsum(size) - size
     # Document x word, by document and by word; word x feature, by feature. No group is empty.
@@ -136,9 +137,10 @@ def train(texts: list[str], y: list[int], seed: int = 7, steps: int = STEPS) ->
         return None
     by_word = np.argsort(word, kind="stable")
     word_begin, doc_by_word = np.searchsorted(word[by_word], np.arange(len(left))), doc[by_word]
-    by_feat = np.argsort(feats, kind="stable")
+    by_feat = np.argsort(feats, kind="stable").astype(np.int32)
     feat_begin = np.searchsorted(feats[by_feat], np.arange(len(used)))
     feat_word = feat_of[by_feat]
+    del by_feat, feat_of
     per_doc = (1 / np.sqrt(count + SMOOTH)).astype(np.float32)
     # Classes weigh the same in all, so a rare class is learnt too.
     n1, n0 = (labels == 1).sum(), (labels != 1).sum()
