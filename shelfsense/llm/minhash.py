@@ -20,8 +20,10 @@ Work on Spark:
    so the least edited of a group of copies) is compared with all others, then those of ranks 2 to 15,
    16 to 127 and so on with those after them that aren't in the same component yet. A bucket is done when every pair was
    compared or is in one component. So a bucket of mutual copies costs one
-   comparison per member; only pairs that could still change a component are
-   ever emitted, and none is skipped.
+   comparison per member; only pairs that could still change a component, and
+   whose finer sketches (1024 coordinates, for members of shared buckets) agree as
+   they must (see ``alike``; a pair at similarity 0.75 fails with probability 1e-6),
+   are ever emitted.
 4. Pairs of fitting sizes are confirmed on the full sets with
    ``100 * intersection >= 75 * union``, and components formed by Spark joins.
 """
@@ -43,6 +45,8 @@ from shelfsense.llm.components import components
 SHINGLE, PERCENT, BANDS, ROWS = 5, 75, 40, 5
 #: Growth of the ranks worked off in a round.
 GROWTH = 8
+#: Coordinates of the finer sketch by which pairs are sorted out before the exact check.
+FINE = 1024
 SKETCHES = "key bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>"
 
 
@@ -108,6 +112,26 @@ def band_keys(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix(h ^ mix(np.arange(1, bands + 1, dtype=U) * U(0x8CB92BA72F3D8DD7)))
 
 
+def marks_of(coordinates: np.ndarray) -> np.ndarray:
+    """Four bits of every coordinate, sixteen coordinates in a number."""
+    n, t = coordinates.shape
+    bits = np.zeros((n, -(-t // 16) * 16), U)
+    bits[:, :t] = mix(coordinates ^ U(0x1B873593CC9E2D51)) & U(15)
+    return (bits.reshape(n, -1, 16) << (np.arange(16, dtype=U) * U(4))).sum(2, dtype=U)
+
+
+def alike(t: int, percent: int, a: str, b: str) -> Column:
+    """Sketches agree often enough for the similarity: within five standard deviations of what it makes expected.
+
+    Coordinates of a pair at similarity s agree in four bits with probability s + (1 - s) / 16.
+    """
+    equal = percent / 100 + (1 - percent / 100) / 16
+    least = t * equal - 5 * (t * equal * (1 - equal)) ** 0.5
+    any_bit = "(u ^ v) | shiftrightunsigned(u ^ v, 1) | shiftrightunsigned(u ^ v, 2) | shiftrightunsigned(u ^ v, 3)"
+    return F.expr(f"aggregate(zip_with({a}, {b}, (u, v) -> bit_count(({any_bit}) & {0x1111111111111111}L)), 0, "
+                  f"(s, x) -> s + x) <= {int(t - least)}")
+
+
 def _sketches(bands: int, rows: int, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -134,9 +158,12 @@ def _sets(shingle: int):
         for b in batches:
             for lo, hi, buf, off in slices(b.column(1)):
                 sets, begin = shingle_sets(buf, off, shingle)
+                marks = marks_of(sketch(sets, begin, FINE))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo),
-                     pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(signed(sets)))], ["key", "s"])
+                     pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(signed(sets))),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(marks) + 1, dtype=np.int32) * marks.shape[1]),
+                                              pa.array(signed(marks.reshape(-1))))], ["key", "s", "marks"])
 
     return run
 
@@ -199,17 +226,18 @@ def _components(d: DataFrame, percent: int, shingle: int, bands: int, rows: int)
              .filter((F.col("x.rank") > 1) & sizes_fit(F.col("n"), F.col("x.pivot_n"), percent))
              .select(F.col("x.pivot").alias("a"), F.col("key").alias("b")).distinct())
     sets = materialise(d.select("key", "text").join(members.select("key").hint("merge"), "key", "left_semi")
-                       .mapInArrow(_sets(shingle), "key bigint, s array<bigint>"), "sets")
+                       .mapInArrow(_sets(shingle), "key bigint, s array<bigint>, marks array<bigint>"), "sets")
     links = confirm(sets, pairs, percent)
     labels = components(links)
     lo = 2
     while True:
         # Entries not worked off; only buckets with more than one component among them go on.
-        m = (members.alias("m").join(labels.alias("l"), F.col("m.key") == F.col("l.key"), "left")
-             .select("m.key", "m.n", F.coalesce("l.label", "m.key").alias("label"),
+        m = (members.join(sets.select("key", "marks"), "key").alias("m")
+             .join(labels.alias("l"), F.col("m.key") == F.col("l.key"), "left")
+             .select("m.key", "m.n", "m.marks", F.coalesce("l.label", "m.key").alias("label"),
                      F.explode(F.filter("m.own", lambda x: x["rank"] >= lo)).alias("x")))
         open_ = materialise(
-            m.select("key", "n", "label", "x.bucket", "x.rank")
+            m.select("key", "n", "marks", "label", "x.bucket", "x.rank")
             .withColumns({"first": F.min("label").over(bucket), "last": F.max("label").over(bucket)})
             .filter(F.col("first") != F.col("last")).drop("first", "last"), "open")
         if open_.isEmpty():
@@ -217,7 +245,8 @@ def _components(d: DataFrame, percent: int, shingle: int, bands: int, rows: int)
         hi = GROWTH * lo
         p, o = open_.filter(F.col("rank") < hi).alias("p"), open_.alias("o")
         pairs = (o.join(p, (F.col("o.bucket") == F.col("p.bucket")) & (F.col("o.rank") > F.col("p.rank"))
-                        & (F.col("o.label") != F.col("p.label")) & sizes_fit(F.col("o.n"), F.col("p.n"), percent))
+                        & (F.col("o.label") != F.col("p.label")) & sizes_fit(F.col("o.n"), F.col("p.n"), percent)
+                        & alike(FINE, percent, "o.marks", "p.marks"))
                  .select(F.least("p.key", "o.key").alias("a"), F.greatest("p.key", "o.key").alias("b")).distinct())
         found = confirm(sets, pairs, percent)
         discard(open_)
