@@ -36,8 +36,8 @@ from shelfsense.session import scratch_path
 
 PARTS = "part int, bin string, idx string, dtype string, n_docs bigint, n_tokens bigint"
 ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, part int"
-#: Entries of each cache of encoded pieces in a worker (of tokenized parts: of each of two generations).
-CACHE_ENTRIES = 300_000
+#: Entries of a worker's caches: whole pieces, and tokenized parts in each of two generations.
+CACHE_PIECES, CACHE_PARTS = 350_000, 450_000
 
 
 class Memo(dict):
@@ -83,9 +83,9 @@ class PieceEncoder:
         self.tok = Tokenizer.from_file(path)
         self.dtype = id_type(max(self.tok.get_vocab_size() - 1, end_id))
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.parts = Memo(self._encode_parts, CACHE_ENTRIES, dear=True)
-        self.first = Memo(lambda p: self._encode_pieces(p, ""), CACHE_ENTRIES // 8)
-        self.later = Memo(lambda p: self._encode_pieces(p, " "), CACHE_ENTRIES)
+        self.parts = Memo(self._encode_parts, CACHE_PARTS, dear=True)
+        self.first = Memo(lambda p: self._encode_pieces(p, ""), CACHE_PIECES // 8)
+        self.later = Memo(lambda p: self._encode_pieces(p, " "), CACHE_PIECES)
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
