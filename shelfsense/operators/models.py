@@ -15,6 +15,7 @@ each, compared and ranked; models saved as ``PipelineModel``.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -107,6 +108,20 @@ def _fit_logistic(train: DataFrame, spec: ModelSpec) -> PipelineModel:
         cached.unpersist()
 
 
+#: Bytes of assembled features per partition of a cached training table. Tree fits run one or two jobs per level,
+#: so small tables want few tasks per job and large ones as many as their bytes need.
+FIT_PARTITION_BYTES = 16 << 20
+
+
+def sized_for_fit(df: DataFrame) -> DataFrame:
+    """The training rows in partitions of about ``FIT_PARTITION_BYTES``, cached and counted."""
+    levels = sum(r for r in df.agg(*[F.approx_count_distinct(c) for c in CATEGORICAL_FEATURES]).first())
+    size = df.count() * 8 * (len(NUMERICAL_FEATURES) + levels)
+    out = df.repartition(max(1, -(-size // FIT_PARTITION_BYTES))).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
+
+
 def _tree_stages():
     stages, oh_cols = enc.onehot_all_levels(CATEGORICAL_FEATURES)
     asm = VectorAssembler(inputCols=list(NUMERICAL_FEATURES) + oh_cols, outputCol="features")
@@ -119,8 +134,7 @@ def _fit_forest(train: DataFrame, spec: ModelSpec) -> PipelineModel:
         x = smote(train.select("row_id", "label", *[F.col(c).cast("double").alias(c) for c in NUMERICAL_FEATURES],
                                *CATEGORICAL_FEATURES),
                   "label", NUMERICAL_FEATURES, CATEGORICAL_FEATURES, id_col="row_id", held=held)
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)   # indexer fit + tree passes
-    x.count()
+    x = sized_for_fit(x)   # indexer fit + tree passes
     for h in held:                                 # the resampled rows are cached now
         h.unpersist()
     # maxMemoryInMB only sets how many tree nodes share one pass over the data
@@ -134,11 +148,15 @@ def _fit_forest(train: DataFrame, spec: ModelSpec) -> PipelineModel:
 
 def _fit_boosting(train: DataFrame, spec: ModelSpec) -> PipelineModel:
     x, _ = with_balanced_weight(train)
+    x = sized_for_fit(x)
     gbt = GBTClassifier(featuresCol="features", labelCol="label", cacheNodeIds=True, **spec.params)
     # the three one-vs-rest boosters are independent: fit them concurrently
     ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label", weightCol="weight",
                     parallelism=3)
-    return Pipeline(stages=_tree_stages() + [ovr]).fit(x)
+    try:
+        return Pipeline(stages=_tree_stages() + [ovr]).fit(x)
+    finally:
+        x.unpersist()
 
 
 FITTERS = {"logistic": _fit_logistic, "forest": _fit_forest, "boosting": _fit_boosting}
@@ -178,14 +196,17 @@ def rank_models(results: DataFrame) -> DataFrame:
 def train_and_compare(frame: DataFrame, specs: Sequence[ModelSpec] = DEFAULT_SPECS,
                       save_dir: str | None = None):
     """Fit each spec on the train split, score all splits once, return
-    (ranked metrics table, {name: model}). The assembled input is persisted
-    for the fits and released at the end."""
+    (ranked metrics table, {name: model}). The fits don't depend on each other
+    and run side by side; the input is persisted for them and released at the
+    end."""
     data = model_input(frame).persist(StorageLevel.MEMORY_AND_DISK)
     train = data.filter("split = 'train'")
+    train.count()
     rows, models = [], {}
     try:
-        for spec in specs:
-            model = fit(train, spec)
+        with ThreadPoolExecutor(len(specs)) as pool:
+            fitted = list(pool.map(lambda spec: fit(train, spec), specs))
+        for spec, model in zip(specs, fitted):
             run_id = uuid.uuid4().hex
             rows.append(metrics_row(spec.name, run_id, split_metrics(predict(model, data))))
             models[spec.name] = model

@@ -98,11 +98,12 @@ def label_counts(df: DataFrame, label: str = "risk_label", group: Sequence[str]
         *[F.sum(F.when(F.col(label) == c, 1).otherwise(0)).alias(_slug(c)) for c in classes])
 
 
-def crosstab(df: DataFrame, row: str, label: str = "risk_label",
+def crosstab(df: DataFrame, row: str | Sequence[str], label: str = "risk_label",
              classes: Sequence[str] = CLASS_NAMES) -> DataFrame:
     """``row`` x class counts (pivot with a fixed value list, zeros kept)."""
-    return (df.groupBy(row).pivot(label, list(classes)).count().na.fill(0, list(classes))
-              .select(row, *[F.col(f"`{c}`").alias(_slug(c)) for c in classes]))
+    rows = [row] if isinstance(row, str) else list(row)
+    return (df.groupBy(*rows).pivot(label, list(classes)).count().na.fill(0, list(classes))
+              .select(*rows, *[F.col(f"`{c}`").alias(_slug(c)) for c in classes]))
 
 
 def subgroup_breakdown(df: DataFrame, by: str, label: str = "risk_label",

@@ -69,6 +69,8 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     # per-bucket window below. The sketch is bounded-size per key.
     edges_p = [i / buckets for i in range(1, buckets)]
     edges = vc.groupBy(*key).agg(F.percentile_approx("v", edges_p, accuracy).alias("edges"))
+    if not g:
+        edges = F.broadcast(edges)   # one row per named column: the values are not shuffled by column
     vb = (vc.join(edges, key)
             .withColumn("b", bucket_of("edges", "v", len(edges_p)))
             .drop("edges"))
@@ -99,6 +101,8 @@ def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     t = targets.select(*key, "q_index", "prob", "pos", "lo", "hi")
     hit_lo = (F.col("lo") >= F.col("start")) & (F.col("lo") <= F.col("end"))
     hit_hi = (F.col("hi") >= F.col("start")) & (F.col("hi") <= F.col("end"))
+    if not g:
+        t = F.broadcast(t)           # columns x probabilities
     res = (ranked.join(t, key).where(hit_lo | hit_hi)
                  .groupBy(*key, "q_index", "prob", "pos", "lo", "hi")
                  .agg(F.max(F.when(hit_lo, F.col("v"))).alias("v_lo"),
@@ -135,23 +139,17 @@ def describe(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ())
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair (pairwise complete), long form (a, b, corr).
 
-    Each row is exploded into its k(k+1)/2 unordered pairs and one grouped
-    ``corr`` runs over them: partial aggregation keeps the shuffle at
-    k(k+1)/2 rows per partition, and the plan stays small enough for codegen.
+    One global aggregate of all pairs: a task sends one row of k(k+1)/2
+    partial states, and only the resulting row is unpivoted.
     """
     cols = list(cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     xs = [nan_to_null(F.col(c).cast("double")) for c in cols]
-    arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), xs[i].alias("x"), xs[j].alias("y"))
-                    for i, j in pairs])
-    exploded = (df.select(F.explode(arr).alias("p")).select("p.*")
-                  .where(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    tri = exploded.groupBy("i", "j").agg(F.corr("x", "y").alias("corr"))
-    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "k int, name string")
-    full = tri.unionByName(tri.where("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "corr"))
-    na, nb = names.select(F.col("k").alias("i"), F.col("name").alias("a")), \
-        names.select(F.col("k").alias("j"), F.col("name").alias("b"))
-    return full.join(F.broadcast(na), "i").join(F.broadcast(nb), "j").select("a", "b", "corr")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    one = df.agg(*[F.corr(xs[i], xs[j]).alias(f"c{i}_{j}") for i, j in pairs])
+    both = [(i, j, i, j) for i, j in pairs] + [(j, i, i, j) for i, j in pairs if i != j]
+    out = F.array(*[F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"c{x}_{y}").alias("corr"))
+                    for i, j, x, y in both])
+    return one.select(F.explode(out).alias("p")).select("p.*")
 
 
 def covariance_moments(df: DataFrame, cols: Sequence[str]):

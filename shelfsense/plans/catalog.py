@@ -207,12 +207,10 @@ def label_value_counts(spark, sf_dir):
 def crosstab_dims(spark, sf_dir):
     """Category / Region / Seasonality x next-day class (stage-1 labels)."""
     df = lab.label(feat.clean_demand(base.panel(spark, sf_dir)), variant="stage1")
-    parts = [prof.crosstab(df, d).withColumnRenamed(d, "value").withColumn("dimension", F.lit(d))
-             for d in ("category", "region", "seasonality")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    dims = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value"))
+                     for d in ("category", "region", "seasonality")])
+    long = df.select("risk_label", F.explode(dims).alias("x")).select("risk_label", "x.*")   # one pass for all three
+    return prof.crosstab(long, ["dimension", "value"])
 
 
 @query("subgroup_breakdown")
@@ -417,12 +415,12 @@ REQ_NUM = [api for api, _, t in REQUEST_FIELDS if t != "string"]
 REQ_CAT = [api for api, _, t in REQUEST_FIELDS if t == "string"]
 
 
-def _prediction_table(spark, sf_dir):
+def _prediction_table(spark, sf_dir, also=()):
     """Scored requests: every feature row with the rule prediction of its
-    next-day class, in the flat prediction-log layout."""
+    next-day class, in the flat prediction-log layout (and columns ``also``)."""
     df = lab.current_label(base.features(spark, sf_dir), variant="pipeline", out="pred_label")
     df = scr.encode_labels(df, "pred_label", out="prediction")
-    return scr.prediction_log(df, "rule-baseline", "prediction", keep=KEYS)
+    return scr.prediction_log(df, "rule-baseline", "prediction", keep=[*KEYS, *also])
 
 
 @query("prediction_log")
@@ -434,13 +432,11 @@ def prediction_log_q(spark, sf_dir):
 def monitor_prediction_counts(spark, sf_dir):
     """Row count, counts per prediction code and per label (long form)."""
     log = _prediction_table(spark, sf_dir)
-    codes = prof.value_counts(log, "prediction_encoded").select(
-        F.lit("prediction_encoded").alias("field"), F.col("prediction_encoded").cast("string").alias("value"), "n")
-    labels = prof.value_counts(log, "prediction_label").select(
-        F.lit("prediction_label").alias("field"), F.col("prediction_label").alias("value"), "n")
-    rows = log.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows").alias("field"),
-                                                       F.lit(None).cast("string").alias("value"), "n")
-    return rows.unionByName(codes).unionByName(labels)
+    fields = F.array(F.struct(F.lit("rows").alias("field"), F.lit(None).cast("string").alias("value")),
+                     *[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value"))
+                       for c in ("prediction_encoded", "prediction_label")])
+    return (log.select(F.explode(fields).alias("x")).groupBy("x.field", "x.value")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("monitor_missing")
@@ -505,9 +501,7 @@ def split_parquet_roundtrip(spark, sf_dir):
 def prediction_log_json(spark, sf_dir):
     """Nested JSON-lines prediction log (struct input, array predictions)
     written and read back with a declared schema, flattened per prediction."""
-    log = _prediction_table(spark, sf_dir)
-    feats = base.features(spark, sf_dir).select(*KEYS, "inventory_level")
-    j = log.join(feats, KEYS)
+    j = _prediction_table(spark, sf_dir, also=["inventory_level"])
     input_struct = F.struct(*[
         (F.col("inventory_level") if n == "Inventory_Level" else F.col(n)).cast(t.simpleString()).alias(n)
         for n, t in io.LOG_INPUT_FIELDS])
@@ -619,6 +613,49 @@ def _fit_and_rank(spark, sf_dir, specs):
     return ranked
 
 
+def _resampled(spark, sf_dir, cats):
+    """Train rows and what SMOTE (without ``cats``) or SMOTENC makes of them."""
+    from shelfsense.operators.resample import smote
+    train = mdl.model_input(base.split_frame(spark, sf_dir)).filter("split = 'train'")
+    train = train.select("row_id", "label", *[F.col(c).cast("double").alias(c) for c in NUMERICAL_FEATURES], *cats)
+    return train, smote(train, "label", NUMERICAL_FEATURES, cats, id_col="row_id")
+
+
+def _resample_counts(spark, sf_dir, cats):
+    """Per class: original and synthetic rows, and three counts that must be 0 -
+    originals that changed, numbers outside the class's range (an interpolation
+    can't leave it), categories the class doesn't have."""
+    train, out = _resampled(spark, sf_dir, cats)
+    names = [*NUMERICAL_FEATURES, *cats]
+    content = F.xxhash64(*names)
+    originals = (out.filter("NOT synthetic").select("row_id", content.alias("h")).alias("o")
+                 .join(train.select("row_id", "label", content.alias("h")).alias("t"), "row_id", "right")
+                 .groupBy("label").agg(F.sum((~F.col("o.h").eqNullSafe(F.col("t.h"))).cast("bigint")).alias("changed")))
+    ranges = train.groupBy("label").agg(
+        *[F.min(c).alias(f"lo_{c}") for c in NUMERICAL_FEATURES], *[F.max(c).alias(f"hi_{c}") for c in NUMERICAL_FEATURES],
+        *[F.collect_set(c).alias(f"in_{c}") for c in cats])          # one row per class
+    tol = 1e-9
+    outside = [((F.col(c) < F.col(f"lo_{c}") - tol * F.abs(f"lo_{c}")) | (F.col(c) > F.col(f"hi_{c}") + tol * F.abs(f"hi_{c}")))
+               .cast("bigint") for c in NUMERICAL_FEATURES]
+    strange = [(~F.array_contains(f"in_{c}", F.col(c))).cast("bigint") for c in cats] or [F.lit(0).cast("bigint")]
+    checked = out.join(F.broadcast(ranges), "label").groupBy("label").agg(
+        F.sum((~F.col("synthetic")).cast("bigint")).alias("n_original"),
+        F.sum(F.col("synthetic").cast("bigint")).alias("n_synthetic"),
+        F.sum(sum(outside[1:], outside[0])).alias("outside"), F.sum(sum(strange[1:], strange[0])).alias("strange"))
+    return checked.join(originals, "label").select(decode_label(F.col("label").cast("int")).alias("risk_label"),
+                                                   "n_original", "n_synthetic", "changed", "outside", "strange")
+
+
+@query("smote_class_counts")
+def smote_class_counts(spark, sf_dir):
+    return _resample_counts(spark, sf_dir, [])
+
+
+@query("smotenc_class_counts")
+def smotenc_class_counts(spark, sf_dir):
+    return _resample_counts(spark, sf_dir, list(CATEGORICAL_FEATURES))
+
+
 @query("model_logistic")
 def model_logistic(spark, sf_dir):
     """One-hot (first level dropped) + population scaling + SMOTE +
@@ -632,10 +669,15 @@ def model_forest(spark, sf_dir):
     return _fit_and_rank(spark, sf_dir, [mdl.DEFAULT_SPECS[1]])
 
 
+@query("model_boosting")
+def model_boosting(spark, sf_dir):
+    """One-hot + one-vs-rest boosted trees (300 rounds, depth 6, balanced weights)."""
+    return _fit_and_rank(spark, sf_dir, [mdl.DEFAULT_SPECS[2]])
+
+
 @query("model_selection")
 def model_selection(spark, sf_dir):
-    """All three models (the boosted trees are fitted only here), ranked by
-    val F1, recall, precision, accuracy; the best is saved, loaded back and
+    """All three models, ranked by val F1, recall, precision, accuracy; the best is saved, loaded back and
     must reproduce its val predictions."""
     frame = base.split_frame(spark, sf_dir)
     path = scratch_path(spark, "models")
@@ -669,8 +711,8 @@ def model_scoring(spark, sf_dir):
     scored = (scored.withColumn("confidence", F.array_max(probs))
                     .withColumn("probabilities", F.map_from_arrays(
                         F.array(*[F.lit(c) for c in CLASS_NAMES]), F.transform(probs, lambda p: F.round(p, 4)))))
-    log = scr.prediction_log(scored, path.rsplit("/", 1)[-1], "prediction", keep=KEYS)
-    return log.join(scored.select(*KEYS, "confidence", "probabilities"), KEYS)
+    return scr.prediction_log(scored, path.rsplit("/", 1)[-1], "prediction",
+                              keep=[*KEYS, "confidence", "probabilities"])
 
 
 @query("baseline_comparison")

@@ -597,3 +597,9 @@ SELECT store_id, product_id, dt, risk_label,
     "concat_ws('|', store_id, product_id, CAST(dt AS VARCHAR))", 42) + """)
     <= floor(0.8::DOUBLE * count(*) OVER (PARTITION BY risk_label)) AS is_train
 FROM labelled""")
+
+for _name in ("smote_class_counts", "smotenc_class_counts"):
+    sql(_name, _SPLIT + """
+SELECT risk_label, count(*) AS n_original, max(count(*)) OVER () - count(*) AS n_synthetic,
+  0 AS changed, 0 AS outside, 0 AS strange
+FROM filled WHERE split = 'train' GROUP BY risk_label""")
