@@ -28,7 +28,7 @@ from shelfsense.llm.common import materialise
 MIN_ROWS = 200
 SPREAD = 3
 #: Measure -> slack in its unit: per mille of word characters, of lines, of words, of word characters; tenths of a character.
-SLACK = {"symbols": 30, "dup_lines": 500, "repeats": 350, "capitals": 200, "word_length": 20}
+SLACK = {"symbols": 30, "dup_lines": 500, "repeats": 500, "capitals": 200, "word_length": 20}
 TWO_SIDED = ("word_length",)
 #: Sketch tables of up to so many (language, source) groups are broadcast; larger ones are joined by shuffle.
 BROADCAST_GROUPS = 20_000
