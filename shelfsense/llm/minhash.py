@@ -234,10 +234,11 @@ def _components(d: DataFrame, percent: int, shingle: int, bands: int, rows: int)
         # Entries not worked off; only buckets with more than one component among them go on.
         m = (members.join(sets.select("key", "marks"), "key").alias("m")
              .join(labels.alias("l"), F.col("m.key") == F.col("l.key"), "left")
-             .select("m.key", "m.n", "m.marks", F.coalesce("l.label", "m.key").alias("label"),
+             .select("m.key", "m.n", "m.marks", F.col("m.own.bucket").alias("buckets"),
+                     F.coalesce("l.label", "m.key").alias("label"),
                      F.explode(F.filter("m.own", lambda x: x["rank"] >= lo)).alias("x")))
         open_ = materialise(
-            m.select("key", "n", "marks", "label", "x.bucket", "x.rank")
+            m.select("key", "n", "marks", "buckets", "label", "x.bucket", "x.rank")
             .withColumns({"first": F.min("label").over(bucket), "last": F.max("label").over(bucket)})
             .filter(F.col("first") != F.col("last")).drop("first", "last"), "open")
         if open_.isEmpty():
@@ -246,7 +247,9 @@ def _components(d: DataFrame, percent: int, shingle: int, bands: int, rows: int)
         p, o = open_.filter(F.col("rank") < hi).alias("p"), open_.alias("o")
         pairs = (o.join(p, (F.col("o.bucket") == F.col("p.bucket")) & (F.col("o.rank") > F.col("p.rank"))
                         & (F.col("o.label") != F.col("p.label")) & sizes_fit(F.col("o.n"), F.col("p.n"), percent)
-                        & alike(FINE, percent, "o.marks", "p.marks"))
+                        & alike(FINE, percent, "o.marks", "p.marks")
+                        # of the buckets that a pair shares, only the first emits it
+                        & (F.array_min(F.array_intersect("o.buckets", "p.buckets")) == F.col("o.bucket")))
                  .select(F.least("p.key", "o.key").alias("a"), F.greatest("p.key", "o.key").alias("b")).distinct())
         found = confirm(sets, pairs, percent)
         discard(open_)
