@@ -33,6 +33,7 @@ from shelfsense.functions.columns import decode_label
 from shelfsense.operators import encode as enc
 from shelfsense.operators import metrics as met
 from shelfsense.operators.resample import smote
+from shelfsense.operators.sampling import stratified_split
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,8 @@ class ModelSpec:
     kind: str                      # logistic | forest | boosting
     params: dict = field(default_factory=dict)
     resample: bool = True
+    #: Labelled rows to fit on at most (every class in proportion, lowest seeded hashes); None: all.
+    fit_rows: int | None = 100_000
 
 
 DEFAULT_SPECS = [
@@ -162,8 +165,18 @@ def _fit_boosting(train: DataFrame, spec: ModelSpec) -> PipelineModel:
 FITTERS = {"logistic": _fit_logistic, "forest": _fit_forest, "boosting": _fit_boosting}
 
 
+def bounded_rows(train: DataFrame, rows: int | None, seed: int = 42) -> DataFrame:
+    """All rows, or a stratified seeded sample where there are more than ``rows``."""
+    if rows is None:
+        return train
+    n = train.count()
+    if n <= rows:
+        return train
+    return stratified_split(train, "label", rows / n, seed, ["row_id"]).filter("is_train").drop("is_train")
+
+
 def fit(train: DataFrame, spec: ModelSpec) -> PipelineModel:
-    return FITTERS[spec.kind](train, spec)
+    return FITTERS[spec.kind](bounded_rows(train, spec.fit_rows), spec)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
