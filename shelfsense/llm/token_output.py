@@ -37,7 +37,7 @@ from shelfsense.session import scratch_path
 PARTS = "part int, bin string, idx string, dtype string, n_docs bigint, n_tokens bigint"
 ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, part int"
 #: Entries of a worker's caches: whole pieces, and tokenized parts in each of two generations.
-CACHE_PIECES, CACHE_PARTS = 350_000, 450_000
+CACHE_PIECES, CACHE_PARTS = 350_000, 350_000
 
 
 class Memo(dict):
@@ -63,6 +63,16 @@ class Memo(dict):
             self.update(zip(some, self.make(some)))
 
 
+def byte_signs() -> dict[int, str]:
+    """The character by which a byte-level vocabulary writes each byte.
+
+    Printable bytes stand for themselves, the others are numbered from 256 on.
+    """
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 #: Signs that end a letter run as a piece of their own whatever letters come before.
 ENDINGS = ".,;:!?*#$%&|)"
 
@@ -83,12 +93,24 @@ class PieceEncoder:
         self.tok = Tokenizer.from_file(path)
         self.dtype = id_type(max(self.tok.get_vocab_size() - 1, end_id))
         self.end = np.array([end_id], self.dtype).tobytes()
+        self.signs = byte_signs()
         self.parts = Memo(self._encode_parts, CACHE_PARTS, dear=True)
         self.first = Memo(lambda p: self._encode_pieces(p, ""), CACHE_PIECES // 8)
         self.later = Memo(lambda p: self._encode_pieces(p, " "), CACHE_PIECES)
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
+        """Letter runs (with the blank before them) are one pre-token: the tokenizer's BPE model takes them at once."""
+        merge, signs, out = self.tok.model.tokenize, self.signs, [b""] * len(parts)
+        other = []
+        for i, p in enumerate(parts):
+            if (p[1:] if p[:1] == " " else p).isalpha():
+                run = p.encode().decode("latin-1").translate(signs)
+                out[i] = np.array([t.id for t in merge(run)], self.dtype).tobytes()
+            else:
+                other.append(i)
+        for i, e in zip(other, self.tok.encode_batch_fast([parts[i] for i in other], add_special_tokens=False)):
+            out[i] = np.array(e.ids, self.dtype).tobytes()
+        return out
 
     def _encode_pieces(self, pieces: list[str], lead: str) -> list[bytes | None]:
         """Ids of pieces after ``lead``; None where white space next to the cut would join it."""
