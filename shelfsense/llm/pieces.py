@@ -36,6 +36,7 @@ from shelfsense.llm.token_output import Memo
 SPACE = "▁"
 #: Segmentations per text; entries of a worker's caches; how far below the lowest score a byte piece weighs.
 NBEST, CACHE_WORDS, BYTE_PENALTY = 4, 250_000, 10.0
+NO_START = ()
 ROWS = ("doc_id bigint, n_pieces bigint, score double, ids_crc32 bigint, nbest_scores array<double>, "
         "nbest_pieces array<bigint>, round_trip boolean, ids array<int>")
 
@@ -119,31 +120,31 @@ class PieceModel:
 
     def best_two(self, word: str) -> tuple[bytes, int, float, float]:
         """(ids of the best segmentation as 16-bit integers, their number, its score, loss of the second best)."""
-        starts, n, longest = self.starts, len(word), self.longest
+        get, n = self.starts.get, len(word)
         best, second = [-1e300] * (n + 1), [-1e300] * (n + 1)
         back: list[tuple[int, tuple[int, ...] | int]] = [(0, 0)] * (n + 1)
         best[0] = 0.0
         for i in range(n):
             b, s = best[i], second[i]
-            for j in range(i + 1, min(n, i + longest) + 1):
-                part = word[i:j]
-                hit = starts.get(part)
+            for j in range(i + 1, n + 1):
+                hit = get(word[i:j], NO_START)
                 if hit:
                     own, score = hit
-                elif j == i + 1:
-                    own = tuple(self.bytes[x] for x in part.replace(SPACE, " ").encode())
+                elif j == i + 1:  # no piece of its own: bytes
+                    own = tuple(self.bytes[x] for x in word[i].replace(SPACE, " ").encode())
                     score = self.byte_score * len(own)
-                elif part in starts:
+                elif hit is None:
                     continue
                 else:
                     break
-                x = b + score
+                x, y = b + score, best[j]
                 # Of equal scores the edge from furthest left wins, as in search_back.
-                if x > best[j]:
-                    second[j] = max(best[j], s + score)
+                if x > y:
+                    z = s + score
+                    second[j] = y if y > z else z
                     best[j], back[j] = x, (i, own)
-                else:
-                    second[j] = max(second[j], x)
+                elif x > second[j]:
+                    second[j] = x
         ids: list[int] = []
         j = n
         while j:
