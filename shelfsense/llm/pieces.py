@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +36,8 @@ from pyspark.sql import functions as F
 from shelfsense.llm.token_output import Memo
 
 SPACE = "▁"
-#: Segmentations per text; entries of a worker's caches; how far below the lowest score a byte piece weighs.
-NBEST, CACHE_WORDS, BYTE_PENALTY = 4, 250_000, 10.0
+#: Segmentations per text; entries of a worker's caches (parts of words: of each of two generations); how far below the lowest score a byte piece weighs.
+NBEST, CACHE_WORDS, BYTE_PENALTY = 4, 400_000, 10.0
 NO_START = ()
 ROWS = ("doc_id bigint, n_pieces bigint, score double, ids_crc32 bigint, nbest_scores array<double>, "
         "nbest_pieces array<bigint>, round_trip boolean, ids array<int>")
@@ -94,6 +96,8 @@ class PieceModel:
         #: Every beginning of a piece, so that longer strings need not be tried; the piece itself where it is one.
         self.starts: dict[str, tuple[int, float] | None] = {p[:k]: None for p in self.pieces for k in range(1, len(p))}
         self.starts.update(self.pieces)
+        #: Neighbours inside pieces: no piece crosses between any other two characters.
+        self.inside = {p[k:k + 2] for p in self.pieces for k in range(len(p) - 1)}
         self.byte_score = low - BYTE_PENALTY
         self.longest = max(map(len, self.pieces))
 
@@ -111,6 +115,18 @@ class PieceModel:
                     into[j].append((i, self.byte_score * len(own), own))
         return into
 
+    def parts(self, word: str) -> list[str]:
+        """The word cut where no piece crosses; the lattices of the parts are independent."""
+        if word[1:].isalpha():  # seldom has a cut
+            return [word]
+        inside, out, a = self.inside, [], 0
+        for i in range(1, len(word)):
+            if word[i - 1:i + 1] not in inside:
+                out.append(word[a:i])
+                a = i
+        out.append(word[a:])
+        return out
+
     @staticmethod
     def forward(edges: list[list[tuple[int, float, tuple[int, ...]]]]) -> list[float]:
         ahead = [0.0] * len(edges)
@@ -118,8 +134,8 @@ class PieceModel:
             ahead[j] = max(ahead[i] + s for i, s, _ in edges[j])
         return ahead
 
-    def best_two(self, word: str) -> tuple[bytes, int, float, float]:
-        """(ids of the best segmentation as 16-bit integers, their number, its score, loss of the second best)."""
+    def best_two(self, word: str) -> tuple[bytes, float, float]:
+        """(ids of the best segmentation as 16-bit integers, its score, loss of the second best)."""
         get, n = self.starts.get, len(word)
         best, second = [-1e300] * (n + 1), [-1e300] * (n + 1)
         back: list[tuple[int, tuple[int, ...] | int]] = [(0, 0)] * (n + 1)
@@ -152,7 +168,7 @@ class PieceModel:
             ids += own[::-1] if isinstance(own, tuple) else (own,)
             j = i
         loss = best[n] - second[n] if second[n] > -1e200 else float("inf")
-        return np.array(ids[::-1], "<u2").tobytes(), len(ids), best[n], loss
+        return array("H", ids[::-1]).tobytes(), best[n], loss
 
     def n_best(self, word: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a word: (score, ids), best first."""
@@ -181,9 +197,25 @@ class Encoder:
     """Whole texts to ids and N-best scores, with what is known of words kept."""
 
     def __init__(self, path: str, n: int):
+        if sys.byteorder != "little" or array("H").itemsize != 2:
+            raise RuntimeError("ids are kept as 16-bit little-endian integers")
         self.model, self.n = PieceModel(path), n
-        self.known = Memo(lambda words: map(self.model.best_two, words), CACHE_WORDS, dear=True)
-        self.lists = Memo(lambda words: [self.model.n_best(w, n) for w in words], CACHE_WORDS // 8)
+        self.best = Memo(lambda parts: map(self.model.best_two, parts), CACHE_WORDS, dear=True)
+        self.known = Memo(self._know, CACHE_WORDS)
+        self.lists = Memo(lambda words: [self.model.n_best(w, n) for w in words], CACHE_WORDS // 20)
+
+    def _know(self, words: list[str]) -> list[tuple[bytes, float, float]]:
+        """Best ids, score and least loss of words, from those of their parts."""
+        cut = [self.model.parts(w) for w in words]
+        self.best.ready({p for x in cut for p in x})
+        out = []
+        for x in cut:
+            if len(x) == 1:
+                out.append(self.best[x[0]])
+            else:
+                ids, scores, losses = zip(*map(self.best.__getitem__, x))
+                out.append((b"".join(ids), sum(scores), min(losses)))
+        return out
 
     def encode(self, text: str | None) -> tuple[np.ndarray, float, list[float], list[int]]:
         """Ids of the best segmentation, its score, scores and piece counts of the n best."""
@@ -191,8 +223,9 @@ class Encoder:
         if not words:
             return np.zeros(0, "<u2"), 0.0, [0.0], [0]
         self.known.ready(set(words))
-        ids, sizes, scores, losses = zip(*map(self.known.__getitem__, words))
-        total, count = float(sum(scores)), sum(sizes)
+        ids, scores, losses = zip(*map(self.known.__getitem__, words))
+        ids = np.frombuffer(b"".join(ids), "<u2")
+        total, count = float(sum(scores)), len(ids)
         loss = np.array(losses)
         few = np.argsort(loss, kind="stable")[:self.n - 1] if len(loss) > self.n else np.argsort(loss, kind="stable")
         few = np.sort(few[:max(1, self.n - 1)])
@@ -203,8 +236,7 @@ class Encoder:
             own = self.lists[w]
             chain.append([(k, s - own[0][0], len(x) - len(own[0][1])) for s, x in own])
         found = search_back(chain, [0.0] * len(chain), self.n)
-        return (np.frombuffer(b"".join(ids), "<u2"), total, [total + s for s, _ in found],
-                [count + sum(more) for _, more in found])
+        return ids, total, [total + s for s, _ in found], [count + sum(more) for _, more in found]
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
