@@ -18,7 +18,7 @@ from shelfsense.session import scratch_path
 
 U = np.uint64
 #: Bytes of text handled at once inside a task (a longer document is one slice).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 # ------------------------------------------------------------------ tables
@@ -140,6 +140,11 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return got
 
 
+def forget() -> None:
+    """Drop the tables that byte-level operators left in this worker."""
+    _powers.clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> U(31))
     x = x * U(0x9E3779B97F4A7C15)

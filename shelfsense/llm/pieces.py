@@ -33,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfsense.llm.common import forget
 from shelfsense.llm.token_output import Memo
 
 SPACE = "▁"
 #: Segmentations per text; entries of a worker's caches (parts of words: of each of two generations); how far below the lowest score a byte piece weighs.
-NBEST, CACHE_WORDS, BYTE_PENALTY = 4, 400_000, 10.0
+NBEST, CACHE_WORDS, BYTE_PENALTY = 4, 250_000, 10.0
 NO_START = ()
 ROWS = ("doc_id bigint, n_pieces bigint, score double, ids_crc32 bigint, nbest_scores array<double>, "
         "nbest_pieces array<bigint>, round_trip boolean, ids array<int>")
@@ -245,6 +246,7 @@ _encoders: dict[tuple[str, int], Encoder] = {}
 def encoder(path: str, n: int) -> Encoder:
     """This worker process's encoder; tasks that follow find its caches filled."""
     if (path, n) not in _encoders:
+        forget()
         _encoders[path, n] = Encoder(path, n)
     return _encoders[path, n]
 
