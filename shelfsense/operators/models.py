@@ -172,7 +172,7 @@ def bounded_rows(train: DataFrame, rows: int | None, seed: int = 42) -> DataFram
     n = train.count()
     if n <= rows:
         return train
-    return stratified_split(train, "label", rows / n, seed, ["row_id"]).filter("is_train").drop("is_train")
+    return stratified_split(train, "label", rows / n, seed, ["row_id"]).filter("is_train").select(*train.columns)
 
 
 def fit(train: DataFrame, spec: ModelSpec) -> PipelineModel:
