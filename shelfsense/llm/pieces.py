@@ -197,12 +197,12 @@ def words_of(text: str) -> list[str]:
 class Encoder:
     """Whole texts to ids and N-best scores, with what is known of words kept."""
 
-    def __init__(self, path: str, n: int):
+    def __init__(self, path: str, n: int, remember: int = CACHE_WORDS):
         if sys.byteorder != "little" or array("H").itemsize != 2:
             raise RuntimeError("ids are kept as 16-bit little-endian integers")
         self.model, self.n = PieceModel(path), n
-        self.best = Memo(lambda parts: map(self.model.best_two, parts), CACHE_WORDS, dear=True)
-        self.known = Memo(self._know, CACHE_WORDS)
+        self.best = Memo(lambda parts: map(self.model.best_two, parts), max(CACHE_WORDS, remember * 2 // 5), dear=True)
+        self.known = Memo(self._know, remember)
         self.lists = Memo(lambda words: [self.model.n_best(w, n) for w in words], CACHE_WORDS // 20)
 
     def _know(self, words: list[str]) -> list[tuple[bytes, float, float]]:
@@ -240,20 +240,23 @@ class Encoder:
         return ids, total, [total + s for s, _ in found], [count + sum(more) for _, more in found]
 
 
-_encoders: dict[tuple[str, int], Encoder] = {}
+_encoders: dict[tuple[str, int, int], Encoder] = {}
 
 
-def encoder(path: str, n: int) -> Encoder:
+def encoder(path: str, n: int, remember: int = CACHE_WORDS) -> Encoder:
     """This worker process's encoder; tasks that follow find its caches filled."""
-    if (path, n) not in _encoders:
+    if (path, n, remember) not in _encoders:
         forget()
-        _encoders[path, n] = Encoder(path, n)
-    return _encoders[path, n]
+        _encoders[path, n, remember] = Encoder(path, n, remember)
+    return _encoders[path, n, remember]
 
 
-def encode_pieces(docs: DataFrame, model: str, n: int = NBEST, with_ids: bool = True) -> DataFrame:
+def encode_pieces(docs: DataFrame, model: str, n: int = NBEST, with_ids: bool = True,
+                  remember: int = CACHE_WORDS) -> DataFrame:
     """Encode every whole text, decode it again; one row per row of ``docs``.
 
+    ``remember`` is the number of words a worker keeps (about 200 bytes each).
+
     ``score`` is the best segmentation's, ``nbest_scores`` and ``nbest_pieces``
     belong to the n best ones (fewer where a text has fewer); ``round_trip`` says that the
     decoded ids give the text. The sign for white space itself counts as a
@@ -264,7 +267,7 @@ def encode_pieces(docs: DataFrame, model: str, n: int = NBEST, with_ids: bool =
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(model, n)
+        enc = encoder(model, n, remember)
         schema = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("score", pa.float64()),
                             ("ids_crc32", pa.int64()), ("nbest_scores", pa.list_(pa.float64())),
                             ("nbest_pieces", pa.list_(pa.int64())), ("round_trip", pa.bool_()), ("ids", pa.list_(pa.int32()))])
