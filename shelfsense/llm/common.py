@@ -62,9 +62,9 @@ def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
     Where ids are unique and present, the id is the key and nothing is moved.
     Otherwise (null or repeated ids) rows are put in order of (id, text), nulls
     first, written once and numbered; equal rows are separate documents next
-    to each other. With ``carry`` the struct ``row`` has all columns of ``docs``.
+    to each other. With ``carry`` the struct ``row`` has all other columns of ``docs``.
     """
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")] if carry else []
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *row)
     odd = (d.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
            .filter((F.col("n") > 1) | F.col("doc_id").isNull()))
@@ -77,11 +77,11 @@ def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
     return materialise(ranged.select("key", *d.columns), "keyed")
 
 
-def with_text(rows: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
-    """The rows carried by ``keyed``, as in ``docs`` but with another text (and its length in ``n_chars``)."""
-    out = rows.select("row", text.alias("new"))
+def with_text(rows: DataFrame, docs: DataFrame, text: Column | None = None) -> DataFrame:
+    """The rows carried by ``keyed``, as in ``docs``; with another text (and its length in ``n_chars``) if one is given."""
+    out = rows.select("row", (F.col("text") if text is None else text).alias("new"))
     return out.select(*[F.col("new").alias(c) if c == "text"
-                        else F.char_length("new").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+                        else F.char_length("new").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" and text is not None
                         else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
@@ -140,9 +140,24 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return got
 
 
-def forget() -> None:
-    """Drop the tables that byte-level operators left in this worker."""
-    _powers.clear()
+#: What operators remember in a worker process between tasks, and the operator that ran last.
+_remembered: list[dict] = [_powers]
+_current = ""
+
+
+def remember(cache: dict) -> dict:
+    """Register a worker's cache: it is emptied when another kind of operator takes the worker over."""
+    _remembered.append(cache)
+    return cache
+
+
+def enter(kind: str) -> None:
+    """A task of this kind of operator begins; caches of other kinds are dropped."""
+    global _current
+    if kind != _current:
+        for cache in _remembered:
+            cache.clear()
+        _current = kind
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -171,6 +186,7 @@ def slices(col: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, i
 
     Yields (first row, end row, bytes, offsets of the rows and the end); null is empty.
     """
+    enter("bytes")
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     if not len(col):

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsense.llm.common import (BASE_D, LOWER, PLAIN_WORD, U, discard, keyed, materialise, mix, prefix_hash, signed,
-                                   slices, span_hash, window_hashes, word_bounds, word_hashes)
+                                   slices, span_hash, window_hashes, with_text, word_bounds, word_hashes)
 from shelfsense.llm.components import components
 
 #: Words of a shingle; similarity in per cent; bands and coordinates per band.
@@ -202,7 +202,7 @@ def keep_first(docs: DataFrame, **options: int) -> DataFrame:
     d = keyed(docs, carry=True)
     settings = {"percent": PERCENT, "shingle": SHINGLE, "bands": BANDS, "rows": ROWS} | options
     kept = _components(d.select("key", "doc_id", "text"), **settings).filter("kept").select("key")
-    return d.join(materialise(kept, "kept").hint("merge"), "key", "left_semi").select("row.*")
+    return with_text(d.join(materialise(kept, "kept").hint("merge"), "key", "left_semi"), docs)
 
 
 def _components(d: DataFrame, percent: int, shingle: int, bands: int, rows: int) -> DataFrame:

@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import forget
+from shelfsense.llm import common
+from shelfsense.llm.common import enter
 from shelfsense.llm.token_output import Memo
 
 SPACE = "▁"
@@ -240,13 +241,13 @@ class Encoder:
         return ids, total, [total + s for s, _ in found], [count + sum(more) for _, more in found]
 
 
-_encoders: dict[tuple[str, int, int], Encoder] = {}
+_encoders: dict[tuple[str, int, int], Encoder] = common.remember({})
 
 
 def encoder(path: str, n: int, remember: int = CACHE_WORDS) -> Encoder:
     """This worker process's encoder; tasks that follow find its caches filled."""
+    enter("pieces")
     if (path, n, remember) not in _encoders:
-        forget()
         _encoders[path, n, remember] = Encoder(path, n, remember)
     return _encoders[path, n, remember]
 

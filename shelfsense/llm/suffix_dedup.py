@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.llm.bwt import DEPTH, Shard, repeated
-from shelfsense.llm.common import (BASE_W, U, discard, keyed, materialise, mix, signed, slices, window_hashes,
+from shelfsense.llm.common import (BASE_W, U, discard, enter, keyed, materialise, mix, signed, slices, window_hashes,
                                    with_text)
 from shelfsense.llm.spans import Units, merge_spans, minimizers, repeated_contexts, runs
 
@@ -225,6 +225,7 @@ def cut_repeats(docs: DataFrame, **options: int) -> DataFrame:
 
     @F.arrow_udf("string")
     def cut(text: pa.Array, own: pa.Array) -> pa.Array:
+        enter("bytes")
         out = []
         for t, o in zip(text, own):
             if not o.is_valid or not t.is_valid:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import attempt_name, filesystem, make_folder
+from shelfsense.llm.common import attempt_name, enter, filesystem, make_folder, remember
 from shelfsense.session import scratch_path
 
 PARTS = "part int, bin string, idx string, dtype string, n_docs bigint, n_tokens bigint"
@@ -168,11 +168,12 @@ def id_type(largest: int) -> str:
     return "<u2" if largest < 1 << 16 else "<u4"
 
 
-_encoders: dict[tuple[str, int], PieceEncoder] = {}
+_encoders: dict[tuple[str, int], PieceEncoder] = remember({})
 
 
 def encoder(path: str, end_id: int) -> PieceEncoder:
     """This worker process's encoder; tasks that follow find its cache filled."""
+    enter("tokens")
     if (path, end_id) not in _encoders:
         _encoders[path, end_id] = PieceEncoder(path, end_id)
     return _encoders[path, end_id]

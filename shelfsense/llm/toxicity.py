@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import U, mix, prefix_hash, span_hash
+from shelfsense.llm.common import U, enter, mix, prefix_hash, span_hash
 from shelfsense.llm.labelled import held_out, training_ids, training_rows
 
 BUCKETS, DIM, STEPS = 1 << 18, 4, 80
@@ -176,6 +176,7 @@ class WordScores(dict):
 
     def __init__(self, weight: np.ndarray):
         super().__init__()
+        enter("words")
         self.weight = weight
 
     def learn(self, tokens: set[str]) -> None:
