@@ -119,10 +119,13 @@ def subgroup_breakdown(df: DataFrame, by: str, label: str = "risk_label",
 
 
 def filter_panel(df: DataFrame, categories: Sequence[str], regions: Sequence[str],
-                 stores: Sequence[str]) -> DataFrame:
-    """Three membership filters; an empty selection in any of them gives no rows."""
-    return df.filter(isin_or_false("category", categories) & isin_or_false("region", regions)
-                     & isin_or_false("store_id", stores))
+                 stores: Sequence[str] | None = None) -> DataFrame:
+    """Three membership filters; an empty selection in any of them gives no rows.
+
+    Without ``stores`` all of them are selected, however many the data has.
+    """
+    chosen = F.col("store_id").isNotNull() if stores is None else isin_or_false("store_id", stores)
+    return df.filter(isin_or_false("category", categories) & isin_or_false("region", regions) & chosen)
 
 
 def top_recent(df: DataFrame, n: int = 200, cols: Sequence[str] | None = None) -> DataFrame:

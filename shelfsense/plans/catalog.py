@@ -221,10 +221,9 @@ def subgroup_breakdown(spark, sf_dir):
 
 @query("explorer_top200")
 def explorer_top200(spark, sf_dir):
-    """Membership filters, then the 200 most recent rows."""
+    """Membership filters over all stores, then the 200 most recent rows."""
     df = lab.label(base.panel(spark, sf_dir), variant="explorer")
-    df = prof.filter_panel(df, ["SIZED", "PROMO"], ["AMERICA", "ASIA", "EUROPE"],
-                           [f"S{i}" for i in range(1, 26)])
+    df = prof.filter_panel(df, ["SIZED", "PROMO"], ["AMERICA", "ASIA", "EUROPE"])
     return prof.top_recent(df, 200, ["dt", "store_id", "product_id", "category", "region",
                                      "inventory_level", "units_sold", "demand_forecast", "risk_label"])
 
