@@ -90,8 +90,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best and N-best segmentations of all documents, decoded again."""
     import public_tokenizers
     from shelfsense.llm.pieces import encode_pieces
-    return encode_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False,
-                         remember=900_000)
+    return encode_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), remember=900_000)
 
 
 QUERIES["pipeline"] = corpus_pipeline.run

@@ -13,7 +13,8 @@ A piece has white space only at its front, so lattices of white-space separated
 words are independent and a text's lattice is their chain. A word's best and
 second-best score are computed once and remembered; the N best segmentations of
 a text differ from the best one only in N - 1 words of the smallest loss, so
-the word lattices of these and the chain of them are searched, nothing else.
+the word lattices of these and the chain of them are searched, nothing else;
+the ids found are put between those of the other words.
 
 Tokenizers are not trained here. Tasks are independent of each other: one pass
 over the texts, no shuffle, bounded caches.
@@ -42,7 +43,8 @@ SPACE = "▁"
 NBEST, CACHE_WORDS, BYTE_PENALTY = 4, 250_000, 10.0
 NO_START = ()
 ROWS = ("doc_id bigint, n_pieces bigint, score double, ids_crc32 bigint, nbest_scores array<double>, "
-        "nbest_pieces array<bigint>, round_trip boolean, ids array<int>")
+        "nbest_pieces array<bigint>, nbest_crc32 array<bigint>, nbest_round_trip array<boolean>, round_trip boolean, "
+        "ids array<int>, nbest_ids array<array<int>>")
 
 
 def search_back(edges: list[list[tuple[int, float, object]]], ahead: list[float], n: int) -> list[tuple[float, list]]:
@@ -196,7 +198,7 @@ def words_of(text: str) -> list[str]:
 
 
 class Encoder:
-    """Whole texts to ids and N-best scores, with what is known of words kept."""
+    """Whole texts to their N best segmentations, with what is known of words kept."""
 
     def __init__(self, path: str, n: int, remember: int = CACHE_WORDS):
         if sys.byteorder != "little" or array("H").itemsize != 2:
@@ -204,7 +206,8 @@ class Encoder:
         self.model, self.n = PieceModel(path), n
         self.best = Memo(lambda parts: map(self.model.best_two, parts), max(CACHE_WORDS, remember * 2 // 5), dear=True)
         self.known = Memo(self._know, remember)
-        self.lists = Memo(lambda words: [self.model.n_best(w, n) for w in words], CACHE_WORDS // 20)
+        self.lists = Memo(lambda words: [[(s, array("H", x).tobytes()) for s, x in self.model.n_best(w, n)] for w in words],
+                          CACHE_WORDS // 20)
 
     def _know(self, words: list[str]) -> list[tuple[bytes, float, float]]:
         """Best ids, score and least loss of words, from those of their parts."""
@@ -219,26 +222,33 @@ class Encoder:
                 out.append((b"".join(ids), sum(scores), min(losses)))
         return out
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, float, list[float], list[int]]:
-        """Ids of the best segmentation, its score, scores and piece counts of the n best."""
+    def segmentations(self, text: str | None) -> list[tuple[float, np.ndarray]]:
+        """The n best segmentations of a text: (score, ids), best first."""
         words = words_of((text or "").replace(SPACE, " "))
         if not words:
-            return np.zeros(0, "<u2"), 0.0, [0.0], [0]
+            return [(0.0, np.zeros(0, "<u2"))]
         self.known.ready(set(words))
         ids, scores, losses = zip(*map(self.known.__getitem__, words))
-        ids = np.frombuffer(b"".join(ids), "<u2")
-        total, count = float(sum(scores)), len(ids)
+        total = float(sum(scores))
         loss = np.array(losses)
         few = np.argsort(loss, kind="stable")[:self.n - 1] if len(loss) > self.n else np.argsort(loss, kind="stable")
-        few = np.sort(few[:max(1, self.n - 1)])
+        few = np.sort(few[:max(1, self.n - 1)]).tolist()
         chosen = [words[i] for i in few]
         self.lists.ready(set(chosen))
         chain: list[list[tuple[int, float, object]]] = [[]]
         for k, w in enumerate(chosen):
             own = self.lists[w]
-            chain.append([(k, s - own[0][0], len(x) - len(own[0][1])) for s, x in own])
-        found = search_back(chain, [0.0] * len(chain), self.n)
-        return ids, total, [total + s for s, _ in found], [count + sum(more) for _, more in found]
+            chain.append([(k, s - own[0][0], x) for s, x in own])
+        # What stands between the chosen words is the same in all of them.
+        cuts = [-1, *few, len(words)]
+        between = [b"".join(ids[a + 1:b]) for a, b in zip(cuts, cuts[1:])]
+        return [(total + s, np.frombuffer(b"".join([between[0], *(x for pair in zip(path, between[1:]) for x in pair)]), "<u2"))
+                for s, path in search_back(chain, [0.0] * len(chain), self.n)]
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, float, list[float], list[int]]:
+        """Ids of the best segmentation, its score, scores and piece counts of the n best."""
+        found = self.segmentations(text)
+        return found[0][1], found[0][0], [s for s, _ in found], [len(ids) for _, ids in found]
 
 
 _encoders: dict[tuple[str, int, int], Encoder] = common.remember({})
@@ -252,15 +262,25 @@ def encoder(path: str, n: int, remember: int = CACHE_WORDS) -> Encoder:
     return _encoders[path, n, remember]
 
 
+def offsets(lists: list) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+
+
+def id_lists(lists: list[np.ndarray]) -> pa.ListArray:
+    flat = np.concatenate(lists) if lists else np.zeros(0)
+    return pa.ListArray.from_arrays(offsets(lists), pa.array(flat.astype(np.int32)))
+
+
 def encode_pieces(docs: DataFrame, model: str, n: int = NBEST, with_ids: bool = True,
                   remember: int = CACHE_WORDS) -> DataFrame:
     """Encode every whole text, decode it again; one row per row of ``docs``.
 
     ``remember`` is the number of words a worker keeps (about 200 bytes each).
 
-    ``score`` is the best segmentation's, ``nbest_scores`` and ``nbest_pieces``
-    belong to the n best ones (fewer where a text has fewer); ``round_trip`` says that the
-    decoded ids give the text. The sign for white space itself counts as a
+    ``score`` and ``ids`` are the best segmentation's; ``nbest_ids``, their numbers
+    ``nbest_pieces``, checksums ``nbest_crc32`` and ``nbest_scores`` belong to the n best
+    ones (fewer where a text has fewer). ``round_trip`` and ``nbest_round_trip`` say that the
+    decoded ids give the text. Without ``with_ids`` the two columns of ids are left out. The sign for white space itself counts as a
     blank, as in the model's own normalisation. Null and empty texts have one
     segmentation without pieces. Repeated rows are encoded alike, an empty table
     gives an empty result, columns other than ``doc_id`` and ``text`` are not read.
@@ -271,19 +291,30 @@ def encode_pieces(docs: DataFrame, model: str, n: int = NBEST, with_ids: bool =
         enc = encoder(model, n, remember)
         schema = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("score", pa.float64()),
                             ("ids_crc32", pa.int64()), ("nbest_scores", pa.list_(pa.float64())),
-                            ("nbest_pieces", pa.list_(pa.int64())), ("round_trip", pa.bool_()), ("ids", pa.list_(pa.int32()))])
+                            ("nbest_pieces", pa.list_(pa.int64())), ("nbest_crc32", pa.list_(pa.int64())),
+                            ("nbest_round_trip", pa.list_(pa.bool_())), ("round_trip", pa.bool_()),
+                            ("ids", pa.list_(pa.int32())), ("nbest_ids", pa.list_(pa.list_(pa.int32())))])
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 texts = b.column(1).slice(lo, 256).to_pylist()
-                out: list[list] = [[] for _ in range(7)]
+                out: list[list] = [[] for _ in range(8)]
+                best, every = [], []
                 for t in texts:
-                    ids, score, scores, counts = enc.encode(t)
-                    same = enc.model.decode(ids.tolist()) == (t or "").replace(SPACE, " ").encode()
-                    for x, v in zip(out, (len(ids), score, zlib.crc32(ids.astype("<u4")), scores, counts, same,
-                                          ids.astype(np.int32) if with_ids else None)):
+                    found = enc.segmentations(t)
+                    plain = (t or "").replace(SPACE, " ").encode()
+                    sums = [zlib.crc32(x.astype("<u4")) for _, x in found]
+                    same = [enc.model.decode(x.tolist()) == plain for _, x in found]
+                    for x, v in zip(out, (len(found[0][1]), found[0][0], sums[0], [s for s, _ in found],
+                                          [len(x) for _, x in found], sums, same, same[0])):
                         x.append(v)
+                    best.append(found[0][1])
+                    every.append([x for _, x in found])
+                if with_ids:
+                    ids = [id_lists(best), pa.ListArray.from_arrays(offsets(every), id_lists([x for own in every for x in own]))]
+                else:
+                    ids = [pa.nulls(len(texts), f.type) for f in list(schema)[-2:]]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, 256), *(pa.array(x, f.type) for x, f in
-                                                                              zip(out, list(schema)[1:]))], schema=schema)
+                                                                              zip(out, list(schema)[1:])), *ids], schema=schema)
 
     out = d.mapInArrow(run, ROWS)
-    return out if with_ids else out.drop("ids")
+    return out if with_ids else out.drop("ids", "nbest_ids")
