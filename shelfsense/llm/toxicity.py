@@ -39,7 +39,7 @@ MIN_DOCS = 10
 #: number of documents in the smaller class, as few documents tell chance from rule less well.
 RATE, DAMP, DAMP_RANGE = (1.0, 0.3, 0.1), 8.0, (0.005, 0.1)
 GRAMS = (3, 4, 5)
-#: Labelled rows to train on (half of each class where there are so many) and their characters in all.
+#: Labelled rows to train on (half of each class where there are so many) and their characters in all (see ``row_limit``).
 MAX_TRAIN, MAX_TRAIN_CHARS = 4000, 30_000_000
 CACHE_WORDS = 400_000
 EDGES = ".,;:!?\"'()[]{}*#$%&|<>-_/\\"
@@ -198,24 +198,65 @@ def score_texts(texts: list[str | None], scores: WordScores, offset: float) -> n
     return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> ToxicityModel | None:
-    """Train on a bounded sample of the labelled rows that are not held out."""
+def row_limit(sizes: list[int | None], most: int) -> int | None:
+    """The length up to which texts are trained on; None where all together have at most ``most`` characters.
+
+    It is the largest for which the texts stay within ``most`` when each longer
+    one, and each sampled id without a text (None), gives way to one of that length;
+    so it is never less than an equal share.
+    """
+    known, left = sorted(x for x in sizes if x is not None), most
+    if sum(known) <= most:
+        return None
+    for i, x in enumerate(known):
+        if x * (len(sizes) - i) > left:
+            return left // (len(sizes) - i)
+        left -= x
+    return known[-1]
+
+
+def sample(docs: DataFrame, labels: DataFrame, max_train: int, most: int) -> tuple[DataFrame, int | None]:
+    """(doc_id, text, y) of the rows to learn from, at most ``most`` characters in all, and the limit that held.
+
+    Of each class the rows lowest by hash. Where their texts are too long
+    together, the rows over ``row_limit`` give way to the next ones of their class.
+    """
     ids = training_ids(labels, "toxic", max_train, per_class=True)
-    size = F.sum(F.char_length("text")).over
-    from pyspark.sql import Window
-    rows = training_rows(docs, ids).fillna("", ["text"])
-    # The sample's texts are whole; their total is bounded by leaving out the last rows by hash.
-    rows = (rows.withColumn("upto", size(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "text")))
-            .filter(F.col("upto") <= MAX_TRAIN_CHARS).orderBy("doc_id", "text").select("text", "y"))
-    got = rows.toPandas()
-    return train(got["text"].tolist(), got["y"].astype(int).tolist())
+    length = F.sum(F.coalesce(F.char_length("text"), F.lit(0))).alias("chars")
+    sizes = ids.join(training_rows(docs, ids).groupBy("doc_id").agg(length), "doc_id", "left").select("chars").collect()
+    limit = row_limit([r.chars for r in sizes], most)
+    if limit is not None:
+        short = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+                 .groupBy("doc_id").agg(length).filter(F.col("chars") <= limit).select("doc_id"))
+        own = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic")
+        ids = training_ids(own.join(short, "doc_id", "left_semi"), "toxic", max_train, per_class=True)
+    return training_rows(docs, ids).fillna("", ["text"]), limit
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, most: int = MAX_TRAIN_CHARS) -> ToxicityModel | None:
+    """Train on a bounded sample of the labelled rows that are not held out.
+
+    None if the documents have labelled rows of one class at most, or too few of
+    both to learn from. If the sample lacks a class that they have, or texts gave
+    way to the limit and nothing could be learnt from the others, that is an error.
+    """
+    rows, limit = sample(docs, labels, max_train, most)
+    got = rows.orderBy("doc_id", "text").select("text", "y").toPandas()
+    model = train(got["text"].tolist(), got["y"].astype(int).tolist())
+    if model is None and (limit is not None or (got["y"] == 1).nunique() < 2):
+        every = training_ids(labels, "toxic", 2 ** 31 - 1)
+        there = every.join(docs.select(F.col("doc_id").cast("bigint").alias("doc_id")), "doc_id", "left_semi")
+        if there.select((F.col("y") == 1).alias("toxic")).distinct().count() == 2:
+            raise ValueError("there are labelled rows of both classes, but nothing can be learnt from the training sample: "
+                             f"{int((got['y'] == 1).sum())} toxic and {int((got['y'] != 1).sum())} other rows, length limit {limit}")
+    return model
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """Score every whole text: ``doc_id, held_out, score, predicted``, one row per row of ``docs``.
 
     Null and empty texts are scored by the bias alone; repeated rows alike.
-    Without labelled rows of both classes every score is 0. Columns other than
+    Without labelled rows of both classes every score is 0 (see ``fit``). Columns other than
     ``doc_id`` and ``text`` are not read.
     """
     spark = docs.sparkSession
