@@ -93,4 +93,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), remember=900_000)
 
 
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that an earlier document has."""
+    from shelfsense.llm.line_dedup import line_dedup
+    return line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run

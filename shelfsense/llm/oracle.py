@@ -107,3 +107,16 @@ SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n,
   sha256(coalesce(items.l, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+ORACLE["op11_line_dedup"] = f"""
+WITH line AS (SELECT doc_id, i, l[i] AS line, translate(trim(l[i], {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz') AS k
+              FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
+                    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+first AS (SELECT k, min(doc_id) AS owner FROM line WHERE length(k) >= 10 GROUP BY k),
+judged AS (SELECT doc_id, i, line, owner IS NULL OR owner = doc_id AS stays FROM line LEFT JOIN first USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
