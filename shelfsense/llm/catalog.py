@@ -100,4 +100,11 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for every benchmark item."""
+    from shelfsense.llm.lexical_search import lexical_search
+    return lexical_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run

@@ -120,3 +120,16 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE["op13_lexical_search"] = f"""
+WITH d AS (SELECT doc_id, t, len(t) AS n FROM (SELECT doc_id, {_TERMS} AS t FROM documents) WHERE len(t) > 0),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM d) GROUP BY ALL),
+item AS (SELECT item_id, unnest(list_distinct({_TERMS})) AS term FROM benchmark),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term, docs),
+scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+           FROM item JOIN w USING (term) JOIN tf USING (term), total GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
