@@ -100,6 +100,13 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie over the rebuilt conversations."""
+    from shelfsense.llm.prefix_trie import prefix_trie
+    return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best of all documents for every benchmark item."""

@@ -121,6 +121,33 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length(c::VARCHAR) + 1),
+  lambda i: [ascii(substr(c::VARCHAR, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END),
+  4294967295::BIGINT)"""
+ORACLE["op12_prefix_trie"] = f"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, length(coalesce(text, ''))) AS i,
+             coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT DISTINCT c, {_CRC32} % 6 AS h FROM t),
+own AS (SELECT h.c, 1 AS part, i, r, x FROM h JOIN t ON t.c = h.c AND i > h
+        UNION ALL SELECT h.c, 0, i, r, x FROM h JOIN t ON t.c = h.c - h.c % 100 AND i <= h),
+s AS (SELECT h.c, coalesce(list(struct_pack(r := r, x := x) ORDER BY part, i) FILTER (own.c IS NOT NULL), []) AS s
+      FROM h LEFT JOIN own ON h.c = own.c GROUP BY h.c),
+p AS (SELECT c, len(s) AS m, d, s[1:d] AS k, CASE WHEN d > 0 THEN length(s[d].x) ELSE 0 END AS n
+      FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM s)),
+node AS (SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (m = d), '')) AS ends FROM p GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS children FROM node WHERE d > 0 GROUP BY ALL),
+above AS (SELECT e, k[1:e] AS k, n_convs, n, children IS NULL AS leaf
+          FROM (SELECT node.*, children, unnest(range(0, node.d + 1)) AS e FROM node LEFT JOIN kids USING (d, k))),
+below AS (SELECT e AS d, k, count(*) FILTER (leaf) AS leaves, sum((n_convs - 1) * n) AS saved FROM above GROUP BY e, k)
+SELECT node.conv_id, node.d AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(children, 0) AS n_children,
+  leaves AS n_leaves, saved::BIGINT AS saved_tokens, node.ends AS ends_sha256
+FROM node JOIN below ON node.d = below.d AND node.k = below.k
+LEFT JOIN kids ON node.d = kids.d AND node.k = kids.k
+LEFT JOIN node up ON node.d > 0 AND up.d = node.d - 1 AND up.k = node.k[1:node.d - 1]
+"""
+
 _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 ORACLE["op13_lexical_search"] = f"""
 WITH d AS (SELECT doc_id, t, len(t) AS n FROM (SELECT doc_id, {_TERMS} AS t FROM documents) WHERE len(t) > 0),
