@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 LOW = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -105,3 +107,67 @@ def warc(pages):
     return {i: (len(raw(h)), base64.b32encode(hashlib.sha1(raw(h)).digest()).decode(),
                 "response" if first[raw(h)] == i else "revisit", None if first[raw(h)] == i else first[raw(h)])
             for i, _, h in pages}
+
+
+def lines(rows):
+    owner = {}
+    key = lambda x: x.strip(b" \t\n\x0b\x0c\r").translate(LOW)
+    for d, t in sorted(rows, key=lambda r: r[0]):
+        for x in raw(t).split(b"\n"):
+            if len(key(x).decode()) >= 10:
+                owner.setdefault(key(x), d)
+    out = {}
+    for d, t in rows:
+        own = raw(t).split(b"\n")
+        kept = [x for x in own if owner.get(key(x), d) == d]
+        out[d] = (len(own), len(own) - len(kept), hashlib.sha256(b"\n".join(kept)).hexdigest())
+    return out
+
+
+def trie(turns):
+    """Nodes {(conv_id, depth): ...} of (conv_id, turn, role, text) rows."""
+    own = defaultdict(list)
+    for c, t, r, x in turns:
+        if c is not None:
+            own[c].append((t is not None, t or 0, len(x or ""), r or "", x or ""))
+    own = {c: [(r, x) for *_, r, x in sorted(v)] for c, v in own.items()}
+    members = defaultdict(set)
+    ends = defaultdict(list)
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 6
+        s = tuple(own.get(c - int(math.fmod(c, 100)), [])[:h] + own[c][h:])
+        ends[s].append(c)
+        for d in range(len(s) + 1):
+            members[s[:d]].add(c)
+    kids = defaultdict(set)
+    for s in members:
+        if s:
+            kids[s[:-1]].add(s)
+    out = {}
+    for s, m in members.items():
+        below = [x for x in members if x[:len(s)] == s]
+        saved = sum((len(members[x]) - 1) * len(x[-1][1]) for x in below if x)
+        digest = hashlib.sha256(",".join(map(str, sorted(ends.get(s, [])))).encode()).hexdigest()
+        out[min(m), len(s)] = (min(members[s[:-1]]) if s else None, len(m), len(kids[s]), sum(not kids[x] for x in below), saved, digest)
+    return out
+
+
+TERM = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def search(rows, items, k=10):
+    docs = [(d, Counter(TERM.findall(raw(t).translate(LOW)))) for d, t in rows]
+    docs = [(d, c, sum(c.values())) for d, c in docs if c]
+    n_docs, total = len(docs), sum(n for *_, n in docs)
+    df = Counter(t for _, c, _ in docs for t in c)
+    out = []
+    for i, text in items:
+        found = []
+        for d, c, n in docs:
+            m = 10 + (90 * n * n_docs) // total
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m))
+                        for t in set(TERM.findall(raw(text).translate(LOW))) if t in c)
+            if score > 0:
+                found.append((-score, d is None, d or 0, d))
+        out += [(i, r + 1, d, -s) for r, (s, _, _, d) in enumerate(sorted(found)[:k])]
+    return out
