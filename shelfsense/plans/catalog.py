@@ -723,12 +723,12 @@ def baseline_comparison(spark, sf_dir):
     from pyspark.ml.feature import VectorAssembler
     df = _rule_predictions(spark, sf_dir)     # stage-1 labels, split, rule prediction
     names = F.array(*[F.lit(n) for n in CLASS_NAMES])
-    df = df.withColumn("label", (F.array_position(names, F.col("risk_label")) - 1).cast("double"))
+    df = (df.withColumn("label", (F.array_position(names, F.col("risk_label")) - 1).cast("double"))
+          .withColumn("holiday", F.col("holiday_promotion").cast("int")))
     train = df.filter("split = 'train'")
     w = met.class_weights(train, "label").select("label", "weight")
     train = met.with_class_weight(train, w, "label")
     cats = [c + "_idx" for c in CATEGORICAL_FEATURES]
-    df = df.withColumn("holiday", F.col("holiday_promotion").cast("int"))
     num = ["inventory_level", "units_sold", "demand_forecast", "price", "discount", "competitor_pricing", "holiday"]
     pipe = Pipeline(stages=[enc.ordinal_indexer(CATEGORICAL_FEATURES, invalid="error"),
                             VectorAssembler(inputCols=num + cats, outputCol="features"),

@@ -197,7 +197,6 @@ sql("explorer_top200", _EXPL + """
 SELECT dt, store_id, product_id, category, region, inventory_level, units_sold, demand_forecast, risk_label
 FROM expl
 WHERE category IN ('SIZED', 'PROMO') AND region IN ('AMERICA', 'ASIA', 'EUROPE')
-  AND store_id IN (""" + ", ".join(f"'S{i}'" for i in range(1, 26)) + """)
 ORDER BY dt DESC, store_id, product_id LIMIT 200""")
 
 sql("rows_affected", _RD + """
