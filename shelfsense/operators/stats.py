@@ -2,11 +2,8 @@
 histograms and box-plot numbers.
 
 Exact quantiles avoid Spark's ``percentile`` aggregate on purpose: it keeps
-every distinct value of a group in one in-memory map on one task. Here the
-values are first counted per distinct value (map-side combine), then split
-into value-range buckets whose edges come from ``percentile_approx`` (bounded
-memory), so the running rank is a window per (group, column, bucket) and no
-task ever holds a whole column. The interpolation is the usual linear one:
+every distinct value of a group in one in-memory map on one task. They are
+selected by counting values per range (``selection``). The interpolation is the usual linear one:
 pos = p * (n - 1); v = v[floor] + (v[ceil] - v[floor]) * (pos - floor).
 """
 
@@ -20,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsense.functions.columns import nan_to_null
+from shelfsense.operators.selection import RANGES, held, select_ranks, to_long, written
 
 # Value-range buckets per (group, column) for ranks and running sums: each
 # window task holds about 1 / DEFAULT_BUCKETS of a column's distinct values.
@@ -41,75 +39,15 @@ def bucket_of(edges: str, v, n_edges: int):
     return count(0, n_edges)
 
 
-def to_long(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
-            name: str = "column", value: str = "v") -> DataFrame:
-    """Unpivot numeric ``cols`` into (group..., column, v) with NaN as null."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("k"), nan_to_null(F.col(c).cast("double")).alias("x"))
-                      for c in cols])
-    return (df.select(*group_cols, F.explode(pairs).alias("__kv"))
-              .select(*group_cols, F.col("__kv.k").alias(name), F.col("__kv.x").alias(value)))
-
-
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   group_cols: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
-                   accuracy: int = 10000, rank_of=None) -> DataFrame:
+                   group_cols: Sequence[str] = (), rank_of=None, buckets: int = RANGES) -> DataFrame:
     """Exact linear-interpolated quantiles; one row per (group..., column, q_index, prob).
 
     ``rank_of(n, prob)`` may replace the position rule: it maps the column
-    count ``n`` and ``prob`` to a (0-based, possibly fractional) rank.
+    count ``n`` and ``prob`` to a (0-based, possibly fractional) rank. ``buckets``
+    is the number of value ranges a pass counts.
     """
-    g = list(group_cols)
-    key = g + ["column"]
-    long = to_long(df, cols, g).where(F.col("v").isNotNull())
-    # One pass over the input: count per distinct value (map-side combined).
-    vc = long.groupBy(*key, "v").agg(F.count(F.lit(1)).alias("c"))
-
-    # Bucket edges at quantiles of the *distinct* values: every bucket then
-    # holds about the same number of vc rows, which is what bounds the
-    # per-bucket window below. The sketch is bounded-size per key.
-    edges_p = [i / buckets for i in range(1, buckets)]
-    edges = vc.groupBy(*key).agg(F.percentile_approx("v", edges_p, accuracy).alias("edges"))
-    if not g:
-        edges = F.broadcast(edges)   # one row per named column: the values are not shuffled by column
-    vb = (vc.join(edges, key)
-            .withColumn("b", bucket_of("edges", "v", len(edges_p)))
-            .drop("edges"))
-
-    per_bucket = vb.groupBy(*key, "b").agg(F.sum("c").alias("bc"))
-    wk = Window.partitionBy(*key)
-    per_bucket = (per_bucket
-                  .withColumn("boff", F.coalesce(F.sum("bc").over(
-                      wk.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                  .withColumn("n", F.sum("bc").over(wk)))
-
-    probs_df = df.sparkSession.createDataFrame(
-        [(i, float(p)) for i, p in enumerate(probs)], "q_index int, prob double")
-    targets = (per_bucket.select(*key, "n").distinct()
-               .crossJoin(F.broadcast(probs_df))
-               .withColumn("pos", (F.col("n") - 1).cast("double") * F.col("prob") if rank_of is None
-                           else rank_of(F.col("n"), F.col("prob")).cast("double"))
-               .withColumn("lo", F.floor("pos").cast("bigint"))
-               .withColumn("hi", F.ceil("pos").cast("bigint")))
-
-    wb = Window.partitionBy(*key, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (vb.join(per_bucket.select(*key, "b", "boff"), key + ["b"])
-                .withColumn("end", F.col("boff") + F.sum("c").over(wb) - 1)
-                .withColumn("start", F.col("end") - F.col("c") + 1)
-                .select(*key, "v", "start", "end"))
-
-    # Both neighbours of every target position in one join + aggregate.
-    t = targets.select(*key, "q_index", "prob", "pos", "lo", "hi")
-    hit_lo = (F.col("lo") >= F.col("start")) & (F.col("lo") <= F.col("end"))
-    hit_hi = (F.col("hi") >= F.col("start")) & (F.col("hi") <= F.col("end"))
-    if not g:
-        t = F.broadcast(t)           # columns x probabilities
-    res = (ranked.join(t, key).where(hit_lo | hit_hi)
-                 .groupBy(*key, "q_index", "prob", "pos", "lo", "hi")
-                 .agg(F.max(F.when(hit_lo, F.col("v"))).alias("v_lo"),
-                      F.max(F.when(hit_hi, F.col("v"))).alias("v_hi")))
-    value = F.when(F.col("lo") == F.col("hi"), F.col("v_lo")).otherwise(
-        F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo")))
-    return res.select(*key, "q_index", "prob", value.alias("value"))
+    return select_ranks(df, cols, probs, group_cols, rank_of, buckets)
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -125,13 +63,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 def describe(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (exact, linear), max per column."""
     g = list(group_cols)
-    long = to_long(df, cols, g)
-    moments = long.groupBy(*g, "column").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    q = (quantiles_long(df, cols, [0.25, 0.5, 0.75], g)
-         .groupBy(*g, "column").pivot("q_index", [0, 1, 2]).agg(F.first("value"))
-         .withColumnRenamed("0", "p25").withColumnRenamed("1", "p50").withColumnRenamed("2", "p75"))
+    with held(df.select(*g, *cols)) as kept:
+        moments = written(to_long(kept, cols, g).groupBy(*g, "column").agg(
+            F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+            F.min("v").alias("min"), F.max("v").alias("max")), "moments")
+        q = quantiles_long(kept, cols, [0.25, 0.5, 0.75], g)
+    q = q.groupBy(*g, "column").agg(*[F.max(F.when(F.col("q_index") == i, F.col("value"))).alias(f"p{p}")
+                                      for i, p in enumerate((25, 50, 75))])
     return moments.join(q, g + ["column"], "left").select(
         *g, "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
