@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ from shelfsense.llm.common import enter
 from shelfsense.llm.token_output import Memo
 
 SPACE = "▁"
-#: Segmentations per text; entries of a worker's caches (parts of words: of each of two generations); how far below the lowest score a byte piece weighs.
+#: Segmentations per text; words a worker remembers; how far below the lowest score a byte piece weighs.
 NBEST, CACHE_WORDS, BYTE_PENALTY = 4, 250_000, 10.0
 NO_START = ()
 ROWS = ("doc_id bigint, n_pieces bigint, score double, ids_crc32 bigint, nbest_scores array<double>, "
@@ -197,6 +198,132 @@ def words_of(text: str) -> list[str]:
     return [SPACE + w for w in text.split(" ")]
 
 
+class Lattices:
+    """Forward Viterbi over many words at once.
+
+    Words of similar length form a matrix of characters; a substring is looked up by its hash in the
+    sorted hashes of all pieces, for all words of the matrix in one step.
+    """
+
+    SIEVE = 20
+    WORDS = 4096
+    #: Longer words are cut into parts and searched one by one.
+    LONGEST = 48
+
+    def __init__(self, model: PieceModel):
+        self.model = model
+        names = list(model.pieces)
+        value = np.array([model.pieces[p] for p in names], np.float64)
+        chars = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32)
+        size = np.array([len(p) for p in names])
+        up = common.powers(common.BASE_W, max(self.LONGEST, model.longest))[0]
+        self.down = common.powers(common.BASE_W, self.LONGEST)[1]
+        first = np.repeat(np.cumsum(size) - size, size)
+        h = np.add.reduceat(self._sign(chars) * up[np.arange(len(chars)) - first], np.cumsum(size) - size, dtype=np.uint64)
+        order = np.argsort(h)
+        self.known, self.ids, self.scores = h[order], value[order, 0].astype(np.int32), value[order, 1]
+        if (self.known[1:] == self.known[:-1]).any():
+            raise ValueError("two pieces have one hash")
+        self.sieve = np.zeros(1 << self.SIEVE, bool)
+        self.sieve[self.known >> np.uint64(64 - self.SIEVE)] = True
+        self.up = up
+
+    @staticmethod
+    def _sign(chars: np.ndarray) -> np.ndarray:
+        return common.mix(chars.astype(np.uint64) + np.uint64(0x51ED))
+
+    def best(self, words: list[str]) -> list[tuple[bytes, float, float]]:
+        """Per word: ids of the best segmentation as 16-bit integers, its score, loss of the second best."""
+        out: list = [None] * len(words)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(size, kind="stable")
+        for i in order[np.searchsorted(size[order], self.LONGEST, "right"):].tolist():
+            out[i] = self._in_parts(words[i])
+        order = order[:np.searchsorted(size[order], self.LONGEST, "right")]
+        for lo in range(0, len(order), self.WORDS):
+            rows = order[lo:lo + self.WORDS]
+            for i, found in zip(rows.tolist(), self._matrix([words[i] for i in rows.tolist()], size[rows])):
+                out[i] = found
+        return out
+
+    def _in_parts(self, word: str) -> tuple[bytes, float, float]:
+        ids, scores, losses = zip(*map(self.model.best_two, self.model.parts(word)))
+        return b"".join(ids), sum(scores), min(losses)
+
+    def _matrix(self, words: list[str], size: np.ndarray) -> list[tuple[bytes, float, float]]:
+        """Words in order of length, each of at least one character."""
+        n, longest = len(words), int(size[-1])
+        chars = np.zeros((n, longest), np.uint32)
+        chars[np.arange(longest) < size[:, None]] = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        run = np.zeros((longest + 1, n), np.uint64)
+        np.cumsum(self._sign(chars.T) * self.up[:longest, None], axis=0, dtype=np.uint64, out=run[1:])
+        best, second = np.full((longest + 1, n), -1e300), np.full((longest + 1, n), -1e300)
+        best[0] = 0.0
+        back, code = np.zeros((longest + 1, n), np.int16), np.zeros((longest + 1, n), np.int32)
+        begin = np.searchsorted(size, np.arange(longest + 1))  # the words that have so many characters
+        for j in range(1, longest + 1):
+            for i in range(max(0, j - self.model.longest), j):
+                a = begin[j]
+                h = (run[j, a:] - run[i, a:]) * self.down[i]
+                rows = np.flatnonzero(self.sieve[h >> np.uint64(64 - self.SIEVE)])
+                h = h[rows]
+                at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
+                hit = self.known[at] == h
+                rows, at = rows[hit] + a, at[hit]
+                score, own = self.scores[at], self.ids[at]
+                if j == i + 1 and len(rows) < n - a:  # characters without a piece are spelt in bytes
+                    rest = np.ones(n - a, bool)
+                    rest[rows - a] = False
+                    bare = np.flatnonzero(rest) + a
+                    c = chars[bare, i]
+                    width = 1 + (c > 0x7F).astype(np.int64) + (c > 0x7FF) + (c > 0xFFFF)
+                    width[c == ord(SPACE)] = 1
+                    rows = np.concatenate([rows, bare])
+                    score = np.concatenate([score, self.model.byte_score * width])
+                    own = np.concatenate([own, -1 - c.astype(np.int32)])
+                if not len(rows):
+                    continue
+                x, y = best[i, rows] + score, best[j, rows]
+                # Of equal scores the edge from furthest left wins, as in search_back.
+                won = x > y
+                second[j, rows] = np.where(won, np.maximum(y, second[i, rows] + score), np.maximum(second[j, rows], x))
+                rows, x, own = rows[won], x[won], own[won]
+                best[j, rows], back[j, rows], code[j, rows] = x, i, own
+        pos, count, rows = size.copy(), np.zeros(n, np.int64), np.arange(n)
+        ids = np.zeros((n, longest), np.int32)
+        while len(rows):
+            at = pos[rows]
+            ids[rows, longest - 1 - count[rows]] = code[at, rows]
+            count[rows] += 1
+            pos[rows] = back[at, rows]
+            rows = rows[pos[rows] > 0]
+        last = best[size, np.arange(n)]
+        behind = second[size, np.arange(n)]
+        loss = np.where(behind > -1e200, last - behind, np.inf)
+        spelt = (ids < 0).any(axis=1).tolist()
+        narrow = ids.astype(np.uint16)
+        return [(self._spell(ids[r, longest - c:]) if odd else narrow[r, longest - c:].tobytes(), s, x)
+                for r, (c, odd, s, x) in enumerate(zip(count.tolist(), spelt, last.tolist(), loss.tolist()))]
+
+    def _spell(self, codes: np.ndarray) -> bytes:
+        out: list[int] = []
+        for c in codes.tolist():
+            out += [c] if c >= 0 else [self.model.bytes[b] for b in chr(-1 - c).replace(SPACE, " ").encode()]
+        return array("H", out).tobytes()
+
+
+class Slice:
+    """The N best segmentations of a batch of texts, in flat arrays.
+
+    ``ids`` are those of all segmentations of all texts, text by text, best first;
+    segmentation k of all has ``ids[at[k]:at[k + 1]]``, score ``scores[k]`` and decodes to its text if ``same[k]``; text t
+    has the segmentations from ``first[t]`` to ``first[t + 1]``.
+    """
+
+    def __init__(self, ids: np.ndarray, at: np.ndarray, scores: list[float], same: list[bool], first: np.ndarray):
+        self.ids, self.at, self.scores, self.same, self.first = ids, at, scores, same, first
+
+
 class Encoder:
     """Whole texts to their N best segmentations, with what is known of words kept."""
 
@@ -204,46 +331,124 @@ class Encoder:
         if sys.byteorder != "little" or array("H").itemsize != 2:
             raise RuntimeError("ids are kept as 16-bit little-endian integers")
         self.model, self.n = PieceModel(path), n
-        self.best = Memo(lambda parts: map(self.model.best_two, parts), max(CACHE_WORDS, remember * 2 // 5), dear=True)
-        self.known = Memo(self._know, remember)
-        self.lists = Memo(lambda words: [[(s, array("H", x).tobytes()) for s, x in self.model.n_best(w, n)] for w in words],
-                          CACHE_WORDS // 20)
-
-    def _know(self, words: list[str]) -> list[tuple[bytes, float, float]]:
-        """Best ids, score and least loss of words, from those of their parts."""
-        cut = [self.model.parts(w) for w in words]
-        self.best.ready({p for x in cut for p in x})
+        self.lattices = Lattices(self.model)
+        self.known = Memo(self.lattices.best, remember)
+        self.lists = Memo(self._alternatives, CACHE_WORDS // 20)
+        size = np.fromiter(map(len, self.model.raw), np.int64, len(self.model.raw))
+        self.raw_size, self.raw_end = size, np.cumsum(size)
+        self.raw = np.frombuffer(b"".join(self.model.raw), np.uint8)
+
+    def _alternatives(self, words: list[str]) -> list[list[tuple[float, bytes, bool]]]:
+        """The n best of every word: score, ids, and whether they decode to the word."""
         out = []
-        for x in cut:
-            if len(x) == 1:
-                out.append(self.best[x[0]])
+        for w in words:
+            text = w.replace(SPACE, " ").encode()
+            out.append([(s, array("H", x).tobytes(), b"".join(map(self.model.raw.__getitem__, x)) == text)
+                        for s, x in self.model.n_best(w, self.n)])
+        return out
+
+    def _words(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct words of the texts, each occurrence's number in them, and the first occurrence of every text."""
+        col = pa.array(texts, pa.large_string())
+        odd = pc.or_(pc.or_(pc.starts_with(col, " "), pc.ends_with(col, " ")),
+                     pc.or_(pc.match_substring(col, "  "), pc.match_substring(col, SPACE)))
+        irregular = np.flatnonzero(odd.to_numpy(zero_copy_only=False) | (pc.binary_length(col).to_numpy() == 0))
+        if len(irregular):  # their words are found one by one; an empty text has none
+            own = [[w[1:] for w in words_of(texts[i].replace(SPACE, " "))] for i in irregular.tolist()]
+            keep = np.ones(len(texts), bool)
+            keep[irregular] = False
+            split = pc.split_pattern(col.filter(pa.array(keep)), " ")
+            size = np.zeros(len(texts), np.int64)
+            size[keep], size[irregular] = split.value_lengths().to_numpy(), [len(x) for x in own]
+            first = np.concatenate([[0], np.cumsum(size)])
+            flat = pa.concat_arrays([split.flatten(), pa.array([w for x in own for w in x], pa.large_string())])
+            coded = flat.dictionary_encode()
+            regular = np.repeat(keep, size)
+            word = np.empty(len(flat), np.int64)
+            n = int(size[keep].sum())
+            word[regular], word[~regular] = coded.indices.to_numpy()[:n], coded.indices.to_numpy()[n:]
+        else:
+            split = pc.split_pattern(col, " ")
+            first = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])
+            coded = split.flatten().dictionary_encode()
+            word = coded.indices.to_numpy().astype(np.int64)
+        return [SPACE + w for w in coded.dictionary.to_pylist()], word, first
+
+    def batch(self, texts: list[str | None]) -> Slice:
+        """All segmentations of a batch; a missing text is an empty one."""
+        full = [t or "" for t in texts]
+        names, word, first = self._words(full)
+        self.known.ready(set(names))
+        own_ids, own_scores, losses = zip(*map(self.known.__getitem__, names)) if names else ((), (), ())
+        own = np.frombuffer(b"".join(own_ids), "<u2")
+        size = np.fromiter(map(len, own_ids), np.int64, len(names)) // 2
+        begin = np.cumsum(size) - size
+        loss = np.array(losses, np.float64)[word]
+        score = np.concatenate([[0.0], np.cumsum(np.array(own_scores, np.float64)[word])])
+        # The best segmentation of everything, one word after the other.
+        length = size[word]
+        end = np.concatenate([[0], np.cumsum(length)])
+        best = own[np.repeat(begin[word] - end[:-1], length) + np.arange(end[-1])]
+        round_trip = self._decodes(best, end[first], full)
+        parts: list[bytes] = []
+        sizes: list[int] = []
+        scores: list[float] = []
+        same: list[bool] = []
+        count: list[int] = []
+        raw, few_of = best.tobytes(), self._least(loss, first)
+        self.lists.ready({names[word[k]] for few in few_of for k in few})
+        for t, few in enumerate(few_of):
+            a, b, ok = int(end[first[t]]), int(end[first[t + 1]]), round_trip[t]
+            total = float(score[first[t + 1]] - score[first[t]])
+            # What stands between the words of the smallest loss is the same in all segmentations.
+            chain: list[list[tuple[int, float, object]]] = [[]]
+            cuts = [2 * a]
+            for k, at in enumerate(few):
+                own_lists = self.lists[names[word[at]]]
+                chain.append([(k, s - own_lists[0][0], (x, fine)) for s, x, fine in own_lists])
+                cuts += [2 * int(end[at]), 2 * int(end[at + 1])]
+            cuts.append(2 * b)
+            between = [raw[x:y] for x, y in zip(cuts[::2], cuts[1::2])]
+            found = search_back(chain, [0.0] * len(chain), self.n)
+            for s, path in found:
+                ids = b"".join([between[0], *(x for (y, _), z in zip(path, between[1:]) for x in (y, z))])
+                parts.append(ids)
+                sizes.append(len(ids) // 2)
+                scores.append(total + s)
+                same.append(ok and all(fine for _, fine in path))
+            count.append(len(found))
+        return Slice(np.frombuffer(b"".join(parts), "<u2"), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), scores, same,
+                     np.concatenate([[0], np.cumsum(count)]).astype(np.int64))
+
+    def _least(self, loss: np.ndarray, first: np.ndarray) -> list[list[int]]:
+        """Per text the words of the smallest loss, in order of place; of equal losses the first words."""
+        out, n = [], max(1, self.n - 1)
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+            own = loss[a:b]
+            if b - a > 4 * n:  # only what does not exceed the n-th loss can be among them
+                near = np.flatnonzero(own <= np.partition(own, n - 1)[n - 1])
+                near = near[np.argsort(own[near], kind="stable")[:n]]
             else:
-                ids, scores, losses = zip(*map(self.best.__getitem__, x))
-                out.append((b"".join(ids), sum(scores), min(losses)))
+                near = np.argsort(own, kind="stable")[:n]
+            out.append(sorted((near + a).tolist()))
+        return out
+
+    def _decodes(self, ids: np.ndarray, at: np.ndarray, texts: list[str]) -> list[bool]:
+        """For every text: do its ids decode to it?"""
+        size = self.raw_size[ids]
+        end = np.concatenate([[0], np.cumsum(size)])
+        raw = self.raw[np.repeat(self.raw_end[ids] - size - end[:-1], size) + np.arange(end[-1])].tobytes()
+        out = []
+        for a, b, t in zip(end[at[:-1]].tolist(), end[at[1:]].tolist(), texts):
+            got = raw[a:b]
+            # Without the blank that encoding puts in front.
+            out.append((got[1:] if got[:1] == b" " else got) == t.replace(SPACE, " ").encode())
         return out
 
     def segmentations(self, text: str | None) -> list[tuple[float, np.ndarray]]:
         """The n best segmentations of a text: (score, ids), best first."""
-        words = words_of((text or "").replace(SPACE, " "))
-        if not words:
-            return [(0.0, np.zeros(0, "<u2"))]
-        self.known.ready(set(words))
-        ids, scores, losses = zip(*map(self.known.__getitem__, words))
-        total = float(sum(scores))
-        loss = np.array(losses)
-        few = np.argsort(loss, kind="stable")[:self.n - 1] if len(loss) > self.n else np.argsort(loss, kind="stable")
-        few = np.sort(few[:max(1, self.n - 1)]).tolist()
-        chosen = [words[i] for i in few]
-        self.lists.ready(set(chosen))
-        chain: list[list[tuple[int, float, object]]] = [[]]
-        for k, w in enumerate(chosen):
-            own = self.lists[w]
-            chain.append([(k, s - own[0][0], x) for s, x in own])
-        # What stands between the chosen words is the same in all of them.
-        cuts = [-1, *few, len(words)]
-        between = [b"".join(ids[a + 1:b]) for a, b in zip(cuts, cuts[1:])]
-        return [(total + s, np.frombuffer(b"".join([between[0], *(x for pair in zip(path, between[1:]) for x in pair)]), "<u2"))
-                for s, path in search_back(chain, [0.0] * len(chain), self.n)]
+        s = self.batch([text])
+        return [(score, s.ids[a:b]) for score, a, b in zip(s.scores, s.at[:-1], s.at[1:])]
 
     def encode(self, text: str | None) -> tuple[np.ndarray, float, list[float], list[int]]:
         """Ids of the best segmentation, its score, scores and piece counts of the n best."""
@@ -262,13 +467,19 @@ def encoder(path: str, n: int, remember: int = CACHE_WORDS) -> Encoder:
     return _encoders[path, n, remember]
 
 
-def offsets(lists: list) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+#: Texts and bytes of text encoded at once.
+SLICE_TEXTS, SLICE_TEXT_BYTES = 1024, 2 << 20
 
 
-def id_lists(lists: list[np.ndarray]) -> pa.ListArray:
-    flat = np.concatenate(lists) if lists else np.zeros(0)
-    return pa.ListArray.from_arrays(offsets(lists), pa.array(flat.astype(np.int32)))
+def text_slices(col: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of bounded size; a long text is a range of its own."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(col):
+        hi = int(np.searchsorted(size, (size[lo - 1] if lo else 0) + SLICE_TEXT_BYTES, "right"))
+        hi = min(max(hi, lo + 1), lo + SLICE_TEXTS, len(col))
+        yield lo, hi
+        lo = hi
 
 
 def encode_pieces(docs: DataFrame, model: str, n: int = NBEST, with_ids: bool = True,
@@ -295,26 +506,24 @@ def encode_pieces(docs: DataFrame, model: str, n: int = NBEST, with_ids: bool =
                             ("nbest_round_trip", pa.list_(pa.bool_())), ("round_trip", pa.bool_()),
                             ("ids", pa.list_(pa.int32())), ("nbest_ids", pa.list_(pa.list_(pa.int32())))])
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                texts = b.column(1).slice(lo, 256).to_pylist()
-                out: list[list] = [[] for _ in range(8)]
-                best, every = [], []
-                for t in texts:
-                    found = enc.segmentations(t)
-                    plain = (t or "").replace(SPACE, " ").encode()
-                    sums = [zlib.crc32(x.astype("<u4")) for _, x in found]
-                    same = [enc.model.decode(x.tolist()) == plain for _, x in found]
-                    for x, v in zip(out, (len(found[0][1]), found[0][0], sums[0], [s for s, _ in found],
-                                          [len(x) for _, x in found], sums, same, same[0])):
-                        x.append(v)
-                    best.append(found[0][1])
-                    every.append([x for _, x in found])
+            for lo, hi in text_slices(b.column(1)):
+                got = enc.batch(b.column(1).slice(lo, hi - lo).to_pylist())
+                first, wide = got.first, got.ids.astype(np.int32)
+                pieces, lead = np.diff(got.at), got.first[:-1]
+                crc = np.fromiter((zlib.crc32(wide[x:y]) for x, y in zip(got.at[:-1].tolist(), got.at[1:].tolist())),
+                                  np.int64, len(pieces))
+                scores, same = np.array(got.scores), np.array(got.same, bool)
+                own = pa.array(first.astype(np.int32))
+                columns = [pa.array(pieces[lead]), pa.array(scores[lead]), pa.array(crc[lead]),
+                           pa.ListArray.from_arrays(own, pa.array(scores)), pa.ListArray.from_arrays(own, pa.array(pieces)),
+                           pa.ListArray.from_arrays(own, pa.array(crc)), pa.ListArray.from_arrays(own, pa.array(same)),
+                           pa.array(same[lead])]
                 if with_ids:
-                    ids = [id_lists(best), pa.ListArray.from_arrays(offsets(every), id_lists([x for own in every for x in own]))]
+                    every = pa.ListArray.from_arrays(pa.array(got.at.astype(np.int32)), pa.array(wide))
+                    columns += [every.take(pa.array(lead)), pa.ListArray.from_arrays(own, every)]
                 else:
-                    ids = [pa.nulls(len(texts), f.type) for f in list(schema)[-2:]]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, 256), *(pa.array(x, f.type) for x, f in
-                                                                              zip(out, list(schema)[1:])), *ids], schema=schema)
+                    columns += [pa.nulls(hi - lo, f.type) for f in list(schema)[-2:]]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *columns], schema=schema)
 
     out = d.mapInArrow(run, ROWS)
     return out if with_ids else out.drop("ids", "nbest_ids")
