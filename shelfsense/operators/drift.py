@@ -1,16 +1,15 @@
 """Data drift between a reference half and a current half of a table.
 
 The halves follow a total row order (W7): the first floor(n/2) rows are the
-reference. The cut is found without a global sort: rows per day (a table of
-days), a running sum over days, then row numbers only inside the one day that
-straddles the middle.
+reference. The cut is found without a global sort: rows per day, then row
+numbers only inside the one day that straddles the middle, by range
+partitions and the counts before them.
 
-Per column, following the usual defaults of drift reports: with at most 1000
-reference rows, numeric columns with more than 5 distinct values use the
-two-sample Kolmogorov-Smirnov test and the others a chi-square test (drift if
-p < 0.05); with more rows, numeric columns use the Wasserstein distance
-divided by the reference std and the others the Jensen-Shannon distance
-(drift if >= 0.1). The table drifts when at least half of the columns do.
+The test of a column is a parameter, not a matter of its size: ``ks`` (two-sample
+Kolmogorov-Smirnov D) and ``wasserstein`` (distance divided by the reference std) for numbers,
+``jensenshannon`` (distance), ``chisquare`` and ``z`` (difference of the shares of a two-valued
+column) for any. Distances drift from 0.1 on, the others where p < 0.05. The table drifts when
+at least half of the columns do. ``all_statistics`` gives every statistic that a column has.
 
 All statistics come from per-(column, value) counts of the two halves (one
 grouped aggregate) and bucketed running sums; only per-column numbers reach
@@ -22,18 +21,22 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfsense.functions.columns import nan_to_null
+from shelfsense.operators.selection import held, written
 from shelfsense.operators.stats import running_totals
 
 KS_ALPHA = 0.05
 DIST_THRESHOLD = 0.1
-SMALL_N = 1000
-FEW_VALUES = 5
 ZERO_FILL = 0.0001
+#: Tests of a column without one of its own, by kind.
+DEFAULT_TESTS = {"num": "wasserstein", "cat": "jensenshannon"}
+#: Result column of every test.
+STATISTIC = {"ks": "ks_d", "wasserstein": "wasserstein_norm", "jensenshannon": "js_distance", "chisquare": "chi2", "z": "z"}
+NUMERIC_ONLY = ("ks", "wasserstein")
 
 
 def half_split(df: DataFrame, day_col: str = "dt", tie_cols: Sequence[str] = ()) -> DataFrame:
@@ -43,30 +46,45 @@ def half_split(df: DataFrame, day_col: str = "dt", tie_cols: Sequence[str] = ())
     if isinstance(df.schema[day_col].dataType, (T.TimestampType, T.TimestampNTZType)):
         return half_split(df.withColumn("__cut", F.to_date(day_col)), "__cut",
                           [day_col, *tie_cols]).drop("__cut")
-    # One row per day: the day table is bounded by the calendar, not by the
-    # data volume, so its single-partition running sum and broadcast are safe.
-    per_day = df.groupBy(day_col).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy(day_col)
-    per_day = (per_day.withColumn("__before", F.coalesce(F.sum("__n").over(
-                   w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                      .withColumn("__total", F.sum("__n").over(Window.partitionBy())))
-    per_day = per_day.withColumn("__mid", F.floor(F.col("__total") / 2))
-    # null days come first; the join keeps them
-    day = per_day.select(F.col(day_col).alias("__day"), "__before", "__n", "__mid")
-    j = df.join(F.broadcast(day), F.col(day_col).eqNullSafe(F.col("__day"))).drop("__day")
-    straddle = (F.col("__before") < F.col("__mid")) & (F.col("__before") + F.col("__n") > F.col("__mid"))
-    drop = ["__before", "__n", "__mid"]
-    # every day but one falls wholly into one half: no window over them
-    whole = j.where(~straddle).withColumn(
-        "half", F.when(F.col("__before") + F.col("__n") <= F.col("__mid"), "reference").otherwise("current"))
-    # only the day holding the middle row is numbered (bounded by one day's rows)
+    # One entry per day: the list is bounded by the calendar, not by the data volume. Null days come first.
+    days = (df.groupBy(F.col(day_col).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.sort_array(F.collect_list(F.struct("day", "n"))).alias("days")).first()["days"])
+    mid, before, cut = sum(d["n"] for d in days) // 2, 0, None
+    for d in days:
+        if before + d["n"] > mid:
+            cut = d
+            break
+        before += d["n"]
+    if cut is None:   # no rows
+        return df.withColumn("half", F.lit(None).cast("string"))
+    day, here = F.col(day_col), F.lit(cut["day"]).cast(df.schema[day_col].dataType)
+    earlier = F.lit(False) if cut["day"] is None else F.coalesce(day < here, F.lit(True))
+    name = lambda first: F.when(first, "reference").otherwise("current")
+    if before == mid:   # the cut is between two days
+        return df.withColumn("half", name(earlier))
+    whole = df.where(~day.eqNullSafe(here)).withColumn("half", name(earlier))
     order = list(tie_cols) or [day_col]
-    mid_day = (j.where(straddle)
-                .withColumn("__rn", F.row_number().over(Window.partitionBy(day_col).orderBy(*order)))
-                .withColumn("half", F.when(F.col("__before") + F.col("__rn") <= F.col("__mid"), "reference")
-                            .otherwise("current"))
-                .drop("__rn"))
-    return whole.unionByName(mid_day).drop(*drop)
+    numbered = row_numbers(df.where(day.eqNullSafe(here)), order, "__rn")
+    return whole.unionByName(numbered.withColumn("half", name(F.col("__rn") <= mid - before)).drop("__rn"))
+
+
+def row_numbers(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Numbers from 1 in ``order``: rows are dealt to sorted ranges, and a range starts after the rows of those before it.
+
+    No task holds more than its range; only the ranges' counts are added up (one number per range). The
+    ranges are written once, so the numbers are the same whenever they are read.
+    """
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    place = F.monotonically_increasing_id()   # range number and place inside it
+    ranged = written(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__place", place), "ranges")
+    part, at = F.shiftright("__place", 33), F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = sorted((r["p"], r["n"]) for r in ranged.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    starts, total = [], 0
+    for p, c in counts:
+        starts += [F.lit(p), F.lit(total)]
+        total += c
+    start = F.create_map(*starts)[part] if starts else F.lit(0)
+    return ranged.withColumn(name, (start + at + 1).cast("bigint")).drop("__place")
 
 
 def value_counts_by_half(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str]) -> DataFrame:
@@ -90,14 +108,6 @@ def column_totals(vc: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_unique"))
 
 
-def choose_test(kind: str, total_ref: int, n_unique: int) -> str:
-    """Default test choice: sample size, column kind and distinct values."""
-    numeric_many = kind == "num" and n_unique > FEW_VALUES
-    if total_ref <= SMALL_N:
-        return "ks" if numeric_many else "chisquare"
-    return "wasserstein" if numeric_many else "jensenshannon"
-
-
 def distance_statistics(vc: DataFrame, totals: DataFrame) -> DataFrame:
     """KS D and Wasserstein / reference std for numeric columns, from
     bucketed running sums of the two halves' counts over the sorted values."""
@@ -127,8 +137,8 @@ def share_statistics(vc: DataFrame, totals: DataFrame) -> DataFrame:
     q = F.col("n_cur") / F.col("total_cur")
     sh = (sh.withColumn("p", F.when(p == 0, ZERO_FILL).otherwise(p))
             .withColumn("q", F.when(q == 0, ZERO_FILL).otherwise(q)))
-    wc = Window.partitionBy("column")
-    sh = sh.withColumn("p", F.col("p") / F.sum("p").over(wc)).withColumn("q", F.col("q") / F.sum("q").over(wc))
+    whole = sh.groupBy("column").agg(F.sum("p").alias("__p"), F.sum("q").alias("__q"))   # one row per column
+    sh = sh.join(F.broadcast(whole), "column").withColumns({"p": F.col("p") / F.col("__p"), "q": F.col("q") / F.col("__q")})
     m = (F.col("p") + F.col("q")) / 2
     expected = F.col("n_ref") * (F.col("total_cur") / F.col("total_ref"))
     return sh.groupBy("column").agg(
@@ -138,6 +148,18 @@ def share_statistics(vc: DataFrame, totals: DataFrame) -> DataFrame:
                .when(F.col("n_cur") > 0, F.lit(float("inf"))).otherwise(0.0)).alias("chi2"))
 
 
+def z_statistics(vc: DataFrame, totals: DataFrame) -> DataFrame:
+    """z of the difference of shares (current less reference) of the larger value of two-valued columns."""
+    value = F.coalesce(F.col("v_cat"), F.col("v_num").cast("string"))
+    two = F.broadcast(totals.filter("n_unique = 2").select("column", "total_ref", "total_cur"))
+    top = (vc.join(two, "column").groupBy("column", "total_ref", "total_cur")
+           .agg(F.max_by(F.struct("n_ref", "n_cur"), F.struct("v_num", value)).alias("top")))
+    ref, cur = F.col("top.n_ref") / F.col("total_ref"), F.col("top.n_cur") / F.col("total_cur")
+    pooled = (F.col("top.n_ref") + F.col("top.n_cur")) / (F.col("total_ref") + F.col("total_cur"))
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("total_ref") + 1 / F.col("total_cur")))
+    return top.select("column", F.when(spread > 0, (cur - ref) / spread).alias("z"))
+
+
 def ks_pvalue(d: float, n: int, m: int) -> float:
     """Asymptotic two-sample KS p-value (Kolmogorov distribution)."""
     if d is None or n == 0 or m == 0:
@@ -185,64 +207,99 @@ def chi2_sf(x: float, dof: int) -> float:
     return min(1.0, h * math.exp(-z + a * math.log(z) - math.lgamma(a)))
 
 
-def statistics_table(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
-                     day_col: str = "dt", tie_cols: Sequence[str] = ()) -> DataFrame:
-    """Per-column test choice and statistic, computed eagerly.
-
-    The per-(column, value) counts of the two halves are the only input of
-    every statistic, so they are persisted for the few passes over them and
-    released. The test of each column is chosen from its totals first, and
-    only the statistic it needs is computed: running sums for the distance
-    tests, share tables for the others. The result is one row per column.
-    """
-    from pyspark import StorageLevel
+def normal_two_sided(z: float) -> float:
+    """Probability of a standard normal at least as far from 0 as ``z``."""
+    return float("nan") if z is None else math.erfc(abs(z) / math.sqrt(2))
 
+
+def _gather(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], day_col: str, tie_cols: Sequence[str],
+            wanted) -> tuple[dict, dict]:
+    """Totals per column, and its statistics by test; ``wanted`` maps totals to the tests of every column."""
     halves = half_split(df, day_col, tie_cols)
-    vc = value_counts_by_half(halves, num_cols, cat_cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(value_counts_by_half(halves, num_cols, cat_cols)) as vc:
         tot_df = column_totals(vc)
         tot = {r["column"]: r for r in tot_df.collect()}        # one row per column
-        test = {c: choose_test(r["kind"], r["total_ref"], r["n_unique"]) for c, r in tot.items()}
-        dist_cols = [c for c, t in test.items() if t in ("ks", "wasserstein")]
-        share_cols = [c for c, t in test.items() if t not in ("ks", "wasserstein")]
-        stat = {}
-        if dist_cols:
-            for r in distance_statistics(vc.where(F.col("column").isin(dist_cols)),
-                                         tot_df.where(F.col("column").isin(dist_cols))).collect():
-                stat[r["column"]] = r["ks_d"] if test[r["column"]] == "ks" else r["wasserstein_norm"]
-        if share_cols:
-            for r in share_statistics(vc.where(F.col("column").isin(share_cols)),
-                                      tot_df.where(F.col("column").isin(share_cols))).collect():
-                stat[r["column"]] = r["chi2"] if test[r["column"]] == "chisquare" else r["js_distance"]
-    finally:
-        vc.unpersist()
-    rows = [(c, r["kind"], int(r["total_ref"]), int(r["total_cur"]), int(r["n_unique"]), test[c], stat.get(c))
-            for c, r in tot.items()]
+        tests = wanted(tot)
+        got: dict[str, dict] = {c: {} for c in tot}
+        for names, compute in ((NUMERIC_ONLY, distance_statistics), (("jensenshannon", "chisquare"), share_statistics),
+                               (("z",), z_statistics)):
+            cols = [c for c, own in tests.items() if set(own) & set(names)]
+            if not cols:
+                continue
+            these = F.col("column").isin(cols)
+            for r in compute(vc.where(these), tot_df.where(these)).collect():
+                got[r["column"]].update({t: r[STATISTIC[t]] for t in names if t in tests[r["column"]]})
+    return tot, got
+
+
+def _check(tests: dict[str, str], kinds: dict[str, str]) -> None:
+    for c, t in tests.items():
+        if t not in STATISTIC:
+            raise ValueError(f"unknown test {t!r} of column {c!r}")
+        if t in NUMERIC_ONLY and kinds.get(c) == "cat":
+            raise ValueError(f"test {t!r} needs numbers, column {c!r} has text")
+
+
+def statistics_table(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
+                     day_col: str = "dt", tie_cols: Sequence[str] = (), tests: dict[str, str] | None = None) -> DataFrame:
+    """Per-column test and statistic, computed eagerly; one row per column.
+
+    ``tests`` names the test of a column; the others have that of their kind (``DEFAULT_TESTS``).
+    The per-(column, value) counts of the two halves are the only input of every statistic, so they are
+    kept for the few passes over them; only the statistics asked for are computed.
+    """
+    tests = dict(tests or {})
+    _check(tests, {**dict.fromkeys(num_cols, "num"), **dict.fromkeys(cat_cols, "cat")})
+    chosen = lambda tot: {c: [tests.get(c, DEFAULT_TESTS[r["kind"]])] for c, r in tot.items()}
+    tot, got = _gather(df, num_cols, cat_cols, day_col, tie_cols, chosen)
+    rows = [(c, r["kind"], int(r["total_ref"]), int(r["total_cur"]), int(r["n_unique"]), t, got[c].get(t))
+            for c, r in tot.items() for t in chosen(tot)[c]]
     schema = ("column string, kind string, total_ref bigint, total_cur bigint, n_unique bigint, "
               "stat_test string, statistic double")
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def drift_report(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
-                 day_col: str = "dt", tie_cols: Sequence[str] = ()) -> DataFrame:
-    """Per-column test, statistic, p-value (tests with one), threshold and
-    drift flag; plus ``dataset_drift`` on every row."""
-    rows = statistics_table(df, num_cols, cat_cols, day_col, tie_cols).collect()
+def all_statistics(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
+                   day_col: str = "dt", tie_cols: Sequence[str] = ()) -> DataFrame:
+    """Every test a column can have, with statistic, p-value (tests with one), threshold and flag.
+
+    Numbers have ``ks`` and ``wasserstein``, all columns ``jensenshannon`` and ``chisquare``, two-valued ones ``z``.
+    """
+    def every(tot):
+        return {c: [t for t in STATISTIC if (r["kind"] == "num" or t not in NUMERIC_ONLY) and (t != "z" or r["n_unique"] == 2)]
+                for c, r in tot.items()}
+
+    tot, got = _gather(df, num_cols, cat_cols, day_col, tie_cols, every)
+    rows = [(c, r["kind"], int(r["total_ref"]), int(r["total_cur"]), int(r["n_unique"]), t, got[c].get(t))
+            for c, r in tot.items() for t in every(tot)[c]]
+    return _judged(df, rows)
+
+
+def p_value(test: str, statistic: float | None, n_ref: int, n_cur: int, n_unique: int) -> float | None:
+    if test == "ks":
+        return ks_pvalue(statistic, n_ref, n_cur)
+    if test == "chisquare":
+        return chi2_sf(statistic, n_unique - 1)
+    return normal_two_sided(statistic) if test == "z" else None
+
+
+def _judged(df: DataFrame, rows: list[tuple]) -> DataFrame:
     out = []
-    for r in rows:
-        if r["stat_test"] == "ks":
-            p = ks_pvalue(r["statistic"], r["total_ref"], r["total_cur"])
-            drift, thr = p < KS_ALPHA, KS_ALPHA
-        elif r["stat_test"] == "chisquare":
-            p = chi2_sf(r["statistic"], r["n_unique"] - 1)
-            drift, thr = p < KS_ALPHA, KS_ALPHA
-        else:
-            p, thr = None, DIST_THRESHOLD
-            drift = r["statistic"] is not None and r["statistic"] >= DIST_THRESHOLD
-        out.append((r["column"], r["kind"], int(r["total_ref"]), int(r["total_cur"]), r["stat_test"],
-                    float(r["statistic"]) if r["statistic"] is not None else None, p, thr, bool(drift)))
-    share = sum(o[-1] for o in out) / len(out) if out else 0.0
+    for column, kind, n_ref, n_cur, n_unique, test, value in rows:
+        p = p_value(test, value, n_ref, n_cur, n_unique)
+        drift = (p < KS_ALPHA) if p is not None else (value is not None and value >= DIST_THRESHOLD)
+        out.append((column, kind, n_ref, n_cur, test, float(value) if value is not None else None, p,
+                    KS_ALPHA if p is not None else DIST_THRESHOLD, bool(drift)))
     schema = ("column string, kind string, n_reference bigint, n_current bigint, stat_test string, "
               "statistic double, p_value double, threshold double, drift_detected boolean")
-    return (df.sparkSession.createDataFrame(out, schema)
-            .withColumn("dataset_drift", F.lit(share >= 0.5)))
+    return df.sparkSession.createDataFrame(out, schema)
+
+
+def drift_report(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
+                 day_col: str = "dt", tie_cols: Sequence[str] = (), tests: dict[str, str] | None = None) -> DataFrame:
+    """Per-column test, statistic, p-value (tests with one), threshold and
+    drift flag; plus ``dataset_drift`` on every row."""
+    rows = [tuple(r) for r in statistics_table(df, num_cols, cat_cols, day_col, tie_cols, tests).collect()]
+    out = _judged(df, rows)
+    flags = [r["drift_detected"] for r in out.collect()]   # one row per column
+    return out.withColumn("dataset_drift", F.lit(bool(flags) and 2 * sum(flags) >= len(flags)))

@@ -17,9 +17,8 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -61,13 +60,13 @@ def first_dropped_levels(train: DataFrame, cols: Sequence[str]) -> dict[str, lis
 
 
 def indicator_sql(levels: dict[str, list[str]]) -> tuple[SQLTransformer, list[str]]:
-    """0/1 indicator columns for the given levels; anything else is all zeros."""
+    """0/1 indicator columns for the given levels; anything else, null too, is all zeros."""
     exprs, names = [], []
     for c, vals in levels.items():
         for i, v in enumerate(vals):
             name = f"{c}__oh{i + 1}"
             lit = v.replace("'", "''")
-            exprs.append(f"CAST(`{c}` = '{lit}' AS DOUBLE) AS `{name}`")
+            exprs.append(f"CAST(`{c}` <=> '{lit}' AS DOUBLE) AS `{name}`")
             names.append(name)
     stmt = "SELECT *" + "".join(", " + e for e in exprs) + " FROM __THIS__"
     return SQLTransformer(statement=stmt), names
@@ -91,27 +90,18 @@ def scaler_sql(params: dict[str, tuple[float, float]], suffix: str = "_z") -> tu
 
 
 def standardize(df: DataFrame, train: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataFrame:
-    """z-scores with train mean / population std, as column expressions."""
-    stats = train.agg(*[F.avg(c).alias(f"__m_{c}") for c in cols],
-                      *[F.stddev_pop(c).alias(f"__s_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(stats))   # one row
-    for c in cols:
-        sd = F.when(F.col(f"__s_{c}").isNull() | (F.col(f"__s_{c}") == 0), F.lit(1.0)).otherwise(F.col(f"__s_{c}"))
-        out = out.withColumn(c + suffix, (F.col(c).cast("double") - F.col(f"__m_{c}")) / sd)
-    return out.drop(*[f"__m_{c}" for c in cols], *[f"__s_{c}" for c in cols])
+    """z-scores with train mean / population std, by the stage the models use."""
+    stage, _ = scaler_sql(fit_population_scaler(train, cols), suffix)
+    return stage.transform(df)
 
 
 def active_indicators(df: DataFrame, train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Long form of the first-level-dropped one-hot: one (column, level) row
-    per active indicator. Levels: train values; the alphabetically first is
-    the dropped reference; unknown values activate nothing."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in cols])
-    known = (train.select(F.explode(pairs).alias("p")).select("p.*").distinct()
-             .withColumn("first", F.min("level").over(Window.partitionBy("column")))
-             .where(F.col("level") != F.col("first")).drop("first"))
-    long = df.select("*", F.explode(pairs).alias("p")).select("*", "p.column", "p.level").drop("p")
-    return long.join(known, ["column", "level"], "left_semi")
-
-
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    per active indicator, by the stage the models use. Levels: train values; the alphabetically
+    first is the dropped reference; unknown and null values activate nothing."""
+    levels = first_dropped_levels(train, cols)
+    stage, names = indicator_sql(levels)
+    told = [(c, v) for c, vals in levels.items() for v in vals]
+    on = F.filter(F.array(*[F.when(F.col(f"`{n}`") == 1.0, F.struct(F.lit(c).alias("column"), F.lit(v).alias("level")))
+                            for n, (c, v) in zip(names, told)]), lambda x: x.isNotNull())
+    return stage.transform(df).select(*df.columns, F.explode(on).alias("__p")).select(*df.columns, "__p.*")

@@ -412,6 +412,8 @@ def cold_start_rows(spark, sf_dir):
 
 REQ_NUM = [api for api, _, t in REQUEST_FIELDS if t != "string"]
 REQ_CAT = [api for api, _, t in REQUEST_FIELDS if t == "string"]
+#: The prediction code is a number with few values, compared by its shares.
+DRIFT_TESTS = {"prediction_encoded": "jensenshannon"}
 
 
 def _prediction_table(spark, sf_dir, also=()):
@@ -465,14 +467,25 @@ def drift_statistics(spark, sf_dir):
     """Per column: chosen test and its statistic (KS D, Wasserstein / std,
     Jensen-Shannon distance or chi-square)."""
     st = drf.statistics_table(_prediction_table(spark, sf_dir), REQ_NUM + ["prediction_encoded"],
-                              REQ_CAT + ["prediction_label"], "dt", ["store_id", "product_id"])
+                              REQ_CAT + ["prediction_label"], "dt", ["store_id", "product_id"], DRIFT_TESTS)
     return _round_cols(st, ["statistic"])
 
 
 @query("drift_report")
 def drift_report_q(spark, sf_dir):
     return drf.drift_report(_prediction_table(spark, sf_dir), REQ_NUM + ["prediction_encoded"],
-                            REQ_CAT + ["prediction_label"], "dt", ["store_id", "product_id"])
+                            REQ_CAT + ["prediction_label"], "dt", ["store_id", "product_id"], DRIFT_TESTS)
+
+
+@query("drift_all_statistics")
+def drift_all_statistics(spark, sf_dir):
+    """Every test of every column: KS, Wasserstein, Jensen-Shannon, chi-square, and z of the two-valued holiday flag."""
+    log = _prediction_table(spark, sf_dir, also=["holiday_promotion"])
+    out = drf.all_statistics(log, REQ_NUM + ["prediction_encoded"], REQ_CAT + ["prediction_label", "holiday_promotion"], "dt",
+                             ["store_id", "product_id"])
+    # The flag of a chi-square test needs the tail of its distribution and is not compared with SQL.
+    flag = F.when(F.col("stat_test") != "chisquare", F.col("drift_detected"))
+    return _round_cols(out.withColumn("drift_detected", flag).drop("p_value", "threshold"), ["statistic"])
 
 
 # --- sources and sinks (write, then read back) ------------------------------------------

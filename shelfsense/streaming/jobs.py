@@ -16,8 +16,9 @@ checkpoint folder, so a restarted job resumes where it stopped.
 
 from __future__ import annotations
 
-from typing import Callable
+from typing import Callable, Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +33,8 @@ REQUEST_JSON_SCHEMA = T.StructType(
 
 def score_stream(spark: SparkSession, src: str, out: str, quarantine: str, checkpoint: str,
                  scorer: Callable[[DataFrame], DataFrame], keep=("store_id", "product_id", "dt"),
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = None, with_batch: bool = False):
+    """Score all request files that are there; ``with_batch`` hands the batch id to the scorer, too."""
     reader = spark.readStream.schema(REQUEST_JSON_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -41,7 +43,8 @@ def score_stream(spark: SparkSession, src: str, out: str, quarantine: str, check
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn("batch_id", F.lit(batch_id)).persist()   # checked once for both outputs
-        good = scorer(b.filter("is_valid").drop("is_valid", "error_columns"))
+        valid = b.filter("is_valid").drop("is_valid", "error_columns")
+        good = scorer(valid, batch_id) if with_batch else scorer(valid)
         good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("batch_id").parquet(out)
         (b.filter(~F.col("is_valid")).withColumn("errors", F.concat_ws(",", "error_columns"))
@@ -55,17 +58,67 @@ def score_stream(spark: SparkSession, src: str, out: str, quarantine: str, check
     return q
 
 
-def write_in_time_order(events: DataFrame, path: str, time_col: str, chunks: int, files: int = 4) -> int:
+class PinnedModels:
+    """Which model version every batch is scored with.
+
+    ``current`` names the version for a batch that has none yet; the choice is written before the batch is
+    scored, so a batch that is run again after a failure is scored by the same version even
+    if ``current`` has moved on in between.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, current: Callable[[], str], load: Callable[[str], PipelineModel]):
+        self.spark, self.folder, self.current, self.load = spark, folder, current, load
+        self._loaded: dict[str, PipelineModel] = {}
+
+    def pins(self) -> DataFrame:
+        return self.spark.read.schema("version string, batch_id int").parquet(self.folder)
+
+    def version(self, batch_id: int) -> str:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/batch_id={batch_id}/_SUCCESS")
+        if path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return self.pins().filter(F.col("batch_id") == batch_id).first()["version"]
+        version = self.current()
+        (self.spark.createDataFrame([(version,)], "version string").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.folder}/batch_id={batch_id}"))
+        return version
+
+    def model(self, batch_id: int) -> tuple[str, PipelineModel]:
+        version = self.version(batch_id)
+        if version not in self._loaded:
+            self._loaded[version] = self.load(version)
+        return version, self._loaded[version]
+
+
+def score_model_stream(spark: SparkSession, src: str, out: str, quarantine: str, checkpoint: str, models: PinnedModels,
+                       score: Callable[[PipelineModel, DataFrame], DataFrame], keep=("store_id", "product_id", "dt"),
+                       max_files_per_trigger: int | None = None):
+    """``score_stream`` with saved models: every batch by the version pinned to it, named in ``model_version``."""
+    def scorer(batch: DataFrame, batch_id: int) -> DataFrame:
+        version, model = models.model(batch_id)
+        return score(model, batch).withColumn("model_version", F.lit(version))
+
+    return score_stream(spark, src, out, quarantine, checkpoint, scorer, keep, max_files_per_trigger, with_batch=True)
+
+
+#: Rows of an event file.
+FILE_ROWS = 2_000_000
+
+
+def write_in_time_order(events: DataFrame, path: str, time_col: str, chunks: int, files: int | None = None,
+                        order: Sequence[int] | None = None) -> int:
     """Event files in ``chunks`` runs of days, each run written after the one before.
 
     A file stream takes files by modification time, so ``files`` at a trigger
-    (returned) make one batch of each run and no batch goes back in time.
+    (returned; by default one per ``FILE_ROWS`` rows of a run) make one batch of each run and no batch goes
+    back in time - unless ``order`` says in which order the runs are written.
     """
     day = F.to_date(time_col)
+    if files is None:
+        files = max(1, -(-events.count() // (chunks * FILE_ROWS)))
     lo, hi = events.agg(F.min(day), F.max(day)).first()
     span = ((hi - lo).days if lo is not None else 0) // chunks + 1
     run = F.coalesce(F.floor(F.datediff(day, F.lit(lo)) / span), F.lit(0)) if lo is not None else F.lit(0)
-    for i in range(chunks):
+    for i in order if order is not None else range(chunks):
         part = events.filter(run == i)
         part.repartition(files).write.mode("append").parquet(path)
     return files

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfsense.operators import stats
 
@@ -57,3 +58,35 @@ def test_kth_smallest_of_rank_zero_has_no_row(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0)], "g string, v double")
     got = stats.kth_smallest(df, "v", lambda n: F.floor(F.lit(0.8) * n).cast("bigint"), ["g"]).collect()
     assert [tuple(r) for r in got] == [("a", 1.0)]
+
+
+def test_ranks_are_exact_whatever_the_values(spark):
+    """Ties, heavy tails, both signs, infinities, one value, nulls; against a sort."""
+    import random
+    from shelfsense.operators.selection import select_ranks
+    r = random.Random(8)
+    cols = {"tail": [10.0 ** r.uniform(-30, 30) * r.choice([1, -1]) for _ in range(700)],
+            "ties": [float(r.choice([1, 1, 1, 2, 7])) for _ in range(700)], "one": [3.5] * 700,
+            "gaps": [r.choice([None, float("nan"), r.gauss(0, 1)]) for _ in range(700)],
+            "ends": [r.choice([float("inf"), float("-inf"), 1e308, -1e308, 0.0]) for _ in range(700)]}
+    df = spark.createDataFrame(list(zip(*cols.values())), ", ".join(f"{c} double" for c in cols)).repartition(4)
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    for ranges in (2, 4096):
+        got = {(x["column"], x.prob): x.value for x in select_ranks(df, list(cols)[:4], probs, ranges=ranges).collect()}
+        for c, values in list(cols.items())[:4]:
+            v = sorted(x for x in values if x is not None and x == x)
+            for p in probs:
+                pos = p * (len(v) - 1)
+                lo = int(pos)
+                want = v[lo] if pos == lo else v[lo] + (v[lo + 1] - v[lo]) * (pos - lo)
+                assert got[c, p] == pytest.approx(want, rel=1e-12), (c, p)
+    whole = select_ranks(df, ["ends"], [0.5], rank_of=lambda n, p: F.floor(n / 2)).first().value
+    assert whole == sorted(cols["ends"])[350]
+
+
+def test_ranks_need_no_window_over_values(spark):
+    from shelfsense.operators import selection
+    long = selection.to_long(spark.range(1000).select(F.col("id").cast("double").alias("x")), ["x"])
+    ranks = selection._ranks(long, ["column"], [0.5], None)
+    plan = selection._one_pass(long, ranks, ["column"], True, 64)._jdf.queryExecution().toString()
+    assert "Window" not in plan
