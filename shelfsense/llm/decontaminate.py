@@ -11,9 +11,9 @@ Before streaming, a slice of texts is reduced with numpy to the runs in which
 every two neighbouring words are neighbours in some item; a match can't leave
 such a run, so the automaton sees all that can matter and nothing else.
 
-The automaton is broadcast. Its size is checked: items are put in blocks of at
-most ``BLOCK_WORDS`` words and every block is one pass over the texts, so a large
-benchmark costs passes, not memory; the passes' hits are united per document.
+The automaton is broadcast. Its size is bounded in bytes: a word of an item makes at most two states and takes at
+most ``WORD_BYTES``, items are put in blocks of at most ``BLOCK_BYTES``, and every block is one pass over the
+texts, so a large benchmark costs passes, not memory; the passes' hits are united per document.
 """
 
 from __future__ import annotations
@@ -30,8 +30,11 @@ from pyspark.sql import functions as F
 from shelfsense.llm.common import (ALNUM_WORD, LOWER, U, keyed, materialise, mix, slices, with_text, word_bounds,
                                    word_hashes)
 
-#: Words of a window; words of items per broadcast automaton.
-WINDOW, BLOCK_WORDS = 13, 2_000_000
+#: Words of a window.
+WINDOW = 13
+#: Bytes of a broadcast automaton, and of one word in it (measured: 840 at most while it is built).
+BLOCK_BYTES, WORD_BYTES = 160 << 20, 900
+BLOCK_WORDS = BLOCK_BYTES // WORD_BYTES
 #: Rejected from this share of words hit: n_hit * COVERAGE >= n_words.
 COVERAGE = 20
 

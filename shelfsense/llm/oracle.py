@@ -21,7 +21,7 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 
 def _quality_rules() -> str:
-    from shelfsense.llm.quality_rules import MIN_ROWS, RATIOS, SLACK, SPREAD, TWO_SIDED
+    from shelfsense.llm.quality_rules import PRIOR_ROWS, RATIOS, SCALE, SLACK, SPREAD, TWO_SIDED
     ratios = ", ".join(f"({scale} * {a}) // greatest({b}, 1) AS r_{m}" for m, (a, b, scale) in RATIOS.items())
     long = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS rule, r_{m} AS v FROM rated" for m in SLACK)
     slack = "CASE rule " + " ".join(f"WHEN '{m}' THEN {s}" for m, s in SLACK.items()) + " END"
@@ -44,19 +44,22 @@ m AS (SELECT d.doc_id, lang, source, len(w) AS n_words, length(array_to_string(w
 rated AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {ratios} FROM m),
 sketch AS (SELECT lang, source, rule, CASE WHEN v < 128 THEN v ELSE v - v % (1::BIGINT << (length(bin(v)) - 7)) END AS b,
              count(*) AS n FROM ({long}) GROUP BY ALL),
-groups AS (SELECT lang, source, sum(n) AS n FROM sketch WHERE rule = 'symbols' GROUP BY ALL),
-level AS (SELECT lang, source, CASE WHEN n >= {MIN_ROWS} THEN 2 WHEN sum(n) OVER (PARTITION BY lang) >= {MIN_ROWS} THEN 1 ELSE 0 END AS level
-          FROM groups),
-merged AS (SELECT 2 AS level, lang, source, rule, b, n FROM sketch
-           UNION ALL SELECT 1, lang, NULL, rule, b, sum(n) FROM sketch GROUP BY lang, rule, b
-           UNION ALL SELECT 0, NULL, NULL, rule, b, sum(n) FROM sketch GROUP BY rule, b),
-ranked AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rule ORDER BY b) AS c,
-             sum(n) OVER (PARTITION BY level, lang, source, rule) AS total FROM merged),
-q AS (SELECT level, lang, source, rule, min(b) FILTER (4 * c >= total) AS q25, min(b) FILTER (4 * c >= 3 * total) AS q75
+whole AS (SELECT rule, b, {SCALE} * sum(n) AS n FROM sketch GROUP BY ALL),
+whole_share AS (SELECT rule, b, ({SCALE * PRIOR_ROWS} * n) // sum(n) OVER (PARTITION BY rule) AS n FROM whole),
+by_lang AS (SELECT lang, rule, b, sum(n) AS n FROM (
+  SELECT lang, rule, b, {SCALE} * n AS n FROM sketch
+  UNION ALL SELECT g.lang, rule, b, n FROM (SELECT DISTINCT lang, rule FROM sketch) g JOIN whole_share USING (rule)) GROUP BY ALL),
+lang_share AS (SELECT lang, rule, b, ({SCALE * PRIOR_ROWS} * n) // sum(n) OVER (PARTITION BY lang, rule) AS n FROM by_lang),
+merged AS (SELECT lang, source, rule, b, sum(n) AS n FROM (
+  SELECT lang, source, rule, b, {SCALE} * n AS n FROM sketch
+  UNION ALL SELECT g.lang, g.source, g.rule, s.b, s.n FROM (SELECT DISTINCT lang, source, rule FROM sketch) g
+    JOIN lang_share s ON g.lang IS NOT DISTINCT FROM s.lang AND g.rule = s.rule) GROUP BY ALL),
+ranked AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, rule ORDER BY b) AS c,
+             sum(n) OVER (PARTITION BY lang, source, rule) AS total FROM merged),
+q AS (SELECT lang, source, rule, min(b) FILTER (4 * c >= total) AS q25, min(b) FILTER (4 * c >= 3 * total) AS q75
       FROM ranked GROUP BY ALL),
-fence AS (SELECT g.lang, g.source, rule, q75 + {SPREAD} * (q75 - q25) + {slack} AS hi, q25 - {SPREAD} * (q75 - q25) - {slack} AS lo
-          FROM level g JOIN q ON g.level = q.level AND (CASE WHEN g.level >= 1 THEN g.lang END) IS NOT DISTINCT FROM q.lang
-            AND (CASE WHEN g.level = 2 THEN g.source END) IS NOT DISTINCT FROM q.source)
+fence AS (SELECT lang, source, rule, q75 + {SPREAD} * (q75 - q25) + {slack} AS hi, q25 - {SPREAD} * (q75 - q25) - {slack} AS lo
+          FROM q)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND {" AND ".join(ok)} AS kept, concat_ws(',', {", ".join(names)}) AS broken
 FROM rated r JOIN fence f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source

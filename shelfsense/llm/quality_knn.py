@@ -32,7 +32,10 @@ TERMS = TRIGRAMS + SHAPES
 RANK, K, BLOCK = 64, 25, 512
 #: Labelled rows that vote.
 MAX_TRAIN = 4096
-SLICE = 1 << 20
+#: Bytes and rows of text counted at once (a row takes 10 kB of counts).
+SLICE, SLICE_ROWS = 1 << 20, 512
+#: Similarities are compared in steps of this, so equal vectors tie wherever they stand in a product.
+STEP = np.float32(2.0 ** -20)
 
 # Character classes of the shapes.
 _CLASS = np.zeros(256, np.uint8)
@@ -94,7 +97,7 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(TERMS + 1, np.int64)
         for b in batches:
-            for _, _, buf, off in slices(b.column(0), SLICE):
+            for _, _, buf, off in text_slices(b.column(0)):
                 total[:TERMS] += (term_counts(buf, off) > 0).sum(0)
                 total[TERMS] += len(off) - 1
         at = np.flatnonzero(total)
@@ -119,17 +122,28 @@ def right_vectors(x: np.ndarray, rank: int, seed: int = 11) -> np.ndarray:
     return np.linalg.svd(q.T @ x, full_matrices=False)[2][:rank].T.astype(np.float32)
 
 
+def text_slices(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Slices of bounded bytes and rows."""
+    for lo, hi, buf, off in slices(col, SLICE):
+        for a in range(0, hi - lo, SLICE_ROWS):
+            own = off[a:min(a + SLICE_ROWS, hi - lo) + 1]
+            yield lo + a, lo + a + len(own) - 1, buf[own[0]:own[-1]], own - own[0]
+
+
 def vote(vectors: np.ndarray, known: np.ndarray, y: np.ndarray, prior: float) -> np.ndarray:
     """Similarity-weighted share of label 1 among the K nearest; ties at the K-th go to earlier rows."""
     k = min(K, len(y))
     out = np.full(len(vectors), prior)
     for lo in range(0, len(vectors), BLOCK):
         sim = vectors[lo:lo + BLOCK] @ known.T
-        near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-        w = np.clip(np.take_along_axis(sim, near, 1), 0, None) ** 4
+        place = np.rint(sim / STEP).astype(np.int32)
+        kth = -np.partition(-place, k - 1, axis=1)[:, k - 1:k]
+        near, tied = place > kth, place == kth
+        near |= tied & (np.cumsum(tied, axis=1) <= k - near.sum(1, keepdims=True))
+        w = np.where(near, np.square(np.square(np.clip(sim, 0, None))), 0)
         total = w.sum(1)
-        out[lo:lo + BLOCK] = np.where(total > 1e-12, (w * y[near]).sum(1) / np.maximum(total, 1e-12), prior)
-    return out
+        out[lo:lo + BLOCK] = np.where(total > 1e-12, (w @ y) / np.maximum(total, 1e-12), prior)
+    return np.clip(out, 0.0, 1.0)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
@@ -146,7 +160,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAI
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, buf, off in slices(b.column(1), SLICE):
+            for lo, hi, buf, off in text_slices(b.column(1)):
                 x = weighted(term_counts(buf, off), idf).astype(np.float16)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo),
                                                   pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "y", "x"])
@@ -165,7 +179,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAI
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             idf, basis, known, y, prior = shared.value
             for b in batches:
-                for lo, hi, buf, off in slices(b.column(1), SLICE):
+                for lo, hi, buf, off in text_slices(b.column(1)):
                     v = unit(weighted(term_counts(buf, off), idf) @ basis)
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(vote(v, known, y, prior))],
                                                      ["doc_id", "score"])

@@ -9,9 +9,10 @@ The sketch is a histogram over log-linear buckets: a value keeps its seven top
 bits, so a bucket is at most 1/64 of its value wide and 64 bit lengths bound the
 number of buckets whatever the number of rows. Sketches merge by adding
 counts: partial sums in every task before the shuffle (a hot source is one row
-per bucket and task), then groups with fewer than ``MIN_ROWS`` rows take the merged
-sketch of their language, or that of all rows. The result does not depend on
-the order or partitioning of the rows.
+per bucket and task). Every group has a sketch of its own, merged with its language's one scaled to
+``PRIOR_ROWS`` rows, which in turn is merged with that of all rows in the same way. So a source of few
+documents is judged nearly as its language is, a large one by itself, and nothing
+switches at some size. The result does not depend on the order or partitioning of the rows.
 
 Fence of measure m: ``q75 + SPREAD * (q75 - q25) + slack``; the mean word
 length also has a lower one, ``q25 - SPREAD * (q75 - q25) - slack``.
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from shelfsense.llm.common import materialise
 
-#: Documents a (language, source) group needs for fences of its own.
-MIN_ROWS = 200
+#: Rows that the sketch of the level above counts as in a group's own; counts are kept in parts of 1 / ``SCALE``.
+PRIOR_ROWS, SCALE = 50, 100
 SPREAD = 3
 #: Measure -> slack in its unit: per mille of word characters, of lines, of words, of word characters; tenths of a character.
 SLACK = {"symbols": 30, "dup_lines": 500, "repeats": 500, "capitals": 200, "word_length": 20}
@@ -99,36 +100,39 @@ def fences(rated: DataFrame) -> DataFrame:
     long = rated.select("lang", "source", F.expr(f"stack({len(SLACK)}, {pairs}) AS (rule, v)"))
     sketch = long.groupBy("lang", "source", "rule", F.expr(bucket("v")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     sketch = materialise(sketch, "sketch")
-    groups = sketch.filter("rule = 'symbols'").groupBy("lang", "source").agg(F.sum("n").alias("n"))
-    langs = groups.groupBy("lang").agg(F.sum("n").alias("n_lang"))
-    # The level whose sketch a group uses: its own, its language's, or that of all rows.
-    level = (groups.alias("a").join(langs.alias("b"), F.expr("a.lang <=> b.lang")).select(
-        "a.lang", "a.source",
-        F.expr(f"CASE WHEN n >= {MIN_ROWS} THEN 2 WHEN n_lang >= {MIN_ROWS} THEN 1 ELSE 0 END").alias("level")))
-    merged = None
-    for lv, keys in ((2, ["lang", "source"]), (1, ["lang"]), (0, [])):
-        m = sketch.groupBy(*keys, "rule", "b").agg(F.sum("n").alias("n")).select(
-            F.lit(lv).alias("level"), (F.col("lang") if "lang" in keys else F.lit(None).cast("string")).alias("lang"),
-            (F.col("source") if "source" in keys else F.lit(None).cast("string")).alias("source"), "rule", "b", "n")
-        merged = m if merged is None else merged.unionAll(m)
+    whole = sketch.groupBy("rule", "b").agg((SCALE * F.sum("n")).alias("n"))
+    by_lang = _merged(sketch.groupBy("lang", "rule", "b").agg(F.sum("n").alias("n")), ["lang"], whole, [])
+    merged = _merged(sketch, ["lang", "source"], materialise(by_lang, "sketch-lang"), ["lang"])
     # A group's buckets are bounded in number, so these windows are too.
     from pyspark.sql import Window
-    own = Window.partitionBy("level", "lang", "source", "rule")
+    own = Window.partitionBy("lang", "source", "rule")
     ranked = merged.select("*", F.sum("n").over(own.orderBy("b")).alias("c"), F.sum("n").over(own).alias("total"))
-    q = ranked.groupBy("level", "lang", "source", "rule").agg(
+    q = ranked.groupBy("lang", "source", "rule").agg(
         F.min(F.expr("CASE WHEN 4 * c >= total THEN b END")).alias("q25"),
         F.min(F.expr("CASE WHEN 4 * c >= 3 * total THEN b END")).alias("q75"))
     slack = F.expr("CASE rule " + " ".join(f"WHEN '{m}' THEN {s}" for m, s in SLACK.items()) + " END")
     q = q.withColumn("hi", F.expr(f"q75 + {SPREAD} * (q75 - q25)") + slack).withColumn(
         "lo", F.expr(f"q25 - {SPREAD} * (q75 - q25)") - slack)
-    wide = q.groupBy("level", "lang", "source").agg(
+    return q.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("rule") == m, F.col("hi"))).alias(f"hi_{m}") for m in SLACK],
         *[F.max(F.when(F.col("rule") == m, F.col("lo"))).alias(f"lo_{m}") for m in TWO_SIDED])
-    g, f = level.alias("g"), wide.alias("f")
-    return g.join(f, (F.col("g.level") == F.col("f.level"))
-                  & F.expr("if(g.level >= 1, g.lang, null) <=> f.lang")
-                  & F.expr("if(g.level = 2, g.source, null) <=> f.source")).select(
-        "g.lang", "g.source", *[f"f.{c}" for c in wide.columns if c[:3] in ("hi_", "lo_")])
+
+
+def _merged(own: DataFrame, keys: list[str], above: DataFrame, above_keys: list[str]) -> DataFrame:
+    """Sketches of ``keys`` with ``PRIOR_ROWS`` rows of the level above in the same proportions as there.
+
+    ``own`` counts rows, ``above`` and the result parts of 1 / ``SCALE``. Every group gets a
+    row per bucket of its level above, and those are bounded in number.
+    """
+    total = above.groupBy(*above_keys, "rule").agg(F.sum("n").alias("total"))
+    same = lambda a, b, names: F.expr(" AND ".join(f"{a}.{c} <=> {b}.{c}" for c in names))
+    share = above.alias("a").join(total.alias("t"), same("a", "t", [*above_keys, "rule"])).select(
+        "a.*", F.expr(f"{SCALE * PRIOR_ROWS} * a.n DIV t.total").alias("prior")).drop("n")
+    groups = own.select(*keys, "rule").distinct()
+    prior = groups.alias("g").join(share.alias("s"), same("g", "s", [*above_keys, "rule"])).select(
+        *[f"g.{c}" for c in [*keys, "rule"]], "s.b", F.col("s.prior").alias("n"))
+    return (own.select(*keys, "rule", "b", (SCALE * F.col("n")).alias("n")).unionAll(prior)
+            .groupBy(*keys, "rule", "b").agg(F.sum("n").alias("n")))
 
 
 def quality_rules(docs: DataFrame, **columns: str) -> DataFrame:
