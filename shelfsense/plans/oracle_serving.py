@@ -13,9 +13,9 @@ m AS (SELECT quantile_cont(days_of_stock, 0.5) AS dos, quantile_cont(sales_veloc
 lv AS (SELECT DISTINCT region AS known FROM filled WHERE split = 'train'),
 g AS (SELECT *, day(dt) % 7 = 3 AS a, day(dt) % 5 = 2 AS b, day(dt) % 11 = 4 AS c FROM features)
 SELECT store_id, product_id, dt, a::BIGINT + b::BIGINT + c::BIGINT AS n_gaps,
-  round(CASE WHEN a THEN dos ELSE days_of_stock END, 6) AS days_of_stock,
-  round(CASE WHEN b THEN sv ELSE sales_velocity END, 6) AS sales_velocity,
-  round(CASE WHEN c THEN pr ELSE price END, 6) AS price,
+  CASE WHEN a THEN dos ELSE days_of_stock END AS days_of_stock,
+  CASE WHEN b THEN sv ELSE sales_velocity END AS sales_velocity,
+  CASE WHEN c THEN pr ELSE price END AS price,
   CASE WHEN day(dt) IN (13, 14) OR known IS NULL THEN '(unknown)' ELSE region END AS region
 FROM g CROSS JOIN m LEFT JOIN lv ON known = region""")
 
