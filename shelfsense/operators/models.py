@@ -32,6 +32,7 @@ from shelfsense.functions.columns import decode_label
 from shelfsense.operators import encode as enc
 from shelfsense.operators import metrics as met
 from shelfsense.operators.booster import SoftmaxBooster
+from shelfsense.operators.registry import RunRegistry
 from shelfsense.operators.resample import smote
 from shelfsense.operators.sampling import lowest_hashes
 
@@ -231,11 +232,12 @@ def rank_models(results: DataFrame) -> DataFrame:
 
 
 def train_and_compare(frame: DataFrame, specs: Sequence[ModelSpec] = DEFAULT_SPECS,
-                      save_dir: str | None = None):
+                      save_dir: str | None = None, registry: RunRegistry | None = None):
     """Fit each spec on the train split, score all splits once, return
     (ranked metrics table, {name: model}). The fits don't depend on each other
     and run side by side; the input is persisted for them and released at the
-    end."""
+    end. With ``save_dir`` the models are saved under their run ids; with ``registry``
+    every run is logged there: parameters, tags, metrics of all splits, place of the model."""
     data = model_input(frame).persist(StorageLevel.MEMORY_AND_DISK)
     train = data.filter("split = 'train'")
     train.count()
@@ -245,10 +247,19 @@ def train_and_compare(frame: DataFrame, specs: Sequence[ModelSpec] = DEFAULT_SPE
             fitted = list(pool.map(lambda spec: fit(train, spec), specs))
         for spec, model in zip(specs, fitted):
             run_id = uuid.uuid4().hex
-            rows.append(metrics_row(spec.name, run_id, split_metrics(predict(model, data))))
+            table = split_metrics(predict(model, data))
+            if registry is not None:
+                table = table.sparkSession.createDataFrame(table.collect(), table.schema)   # a row per split, read twice
+            rows.append(metrics_row(spec.name, run_id, table))
             models[spec.name] = model
-            if save_dir:
-                model.write().overwrite().save(f"{save_dir}/{run_id}")
+            path = f"{save_dir}/{run_id}" if save_dir else None
+            if path:
+                model.write().overwrite().save(path)
+            if registry is not None:
+                registry.log(run_id, spec.name, table, {**spec.params, "n_classes": len(CLASS_NAMES),
+                                                        "numerical_features": ",".join(NUMERICAL_FEATURES),
+                                                        "categorical_features": ",".join(CATEGORICAL_FEATURES)},
+                             {"model_type": spec.kind}, path)
         out = rows[0]
         for r in rows[1:]:
             out = out.unionByName(r)

@@ -27,7 +27,7 @@ class ContractError(ValueError):
 def check_fields(df: DataFrame, fields=REQUEST_FIELDS) -> None:
     missing = [api for api, _, _ in fields if api not in df.columns]
     if missing:
-        raise ContractError(f"Missing required features: {missing}")
+        raise ContractError(f"request table lacks the fields {', '.join(missing)}")
 
 
 def validate_requests(df: DataFrame, fields=REQUEST_FIELDS, ranges: dict | None = None,
@@ -67,8 +67,7 @@ def split_valid(checked: DataFrame, mode: str = "quarantine"):
     if mode == "reject_batch":
         first = bad.select("error_columns").limit(1).collect()
         if first:
-            raise ContractError("These numerical columns contain invalid or missing values: "
-                                f"{list(first[0]['error_columns'])}")
+            raise ContractError(f"request rejected, fields out of contract: {', '.join(first[0]['error_columns'])}")
     elif mode != "quarantine":
         raise ValueError(f"unknown mode {mode!r}")
     return valid, bad

@@ -25,6 +25,7 @@ from shelfsense.operators import models as mdl
 from shelfsense.operators import profile as prof
 from shelfsense.operators import sampling as smp
 from shelfsense.operators import scoring as scr
+from shelfsense.operators.registry import RunRegistry
 from shelfsense.operators import stats
 from shelfsense.plans import base
 from shelfsense.session import scratch_path
@@ -270,7 +271,8 @@ def correlation_matrix(spark, sf_dir):
 @query("vif")
 def vif_q(spark, sf_dir):
     """Of the train split, as the model sees it."""
-    return stats.vif(base.split_frame(spark, sf_dir).filter("split = 'train'"), NUMERICAL_FEATURES)
+    out = stats.vif(base.split_frame(spark, sf_dir).filter("split = 'train'"), NUMERICAL_FEATURES)
+    return out.withColumn("vif", F.round("vif", 4))
 
 
 @query("histogram_units_sold")
@@ -689,13 +691,15 @@ def model_boosting(spark, sf_dir):
 
 @query("model_selection")
 def model_selection(spark, sf_dir):
-    """All three models, ranked by val F1, recall, precision, accuracy; the best is saved, loaded back and
-    must reproduce its val predictions."""
+    """All three models, ranked by val F1, recall, precision, accuracy and logged in a run registry; the best run
+    is looked up there, its model loaded back, and must reproduce its val predictions."""
     frame = base.split_frame(spark, sf_dir)
-    path = scratch_path(spark, "models")
-    ranked, models = mdl.train_and_compare(frame, mdl.DEFAULT_SPECS, save_dir=path)
-    best = ranked.first()
-    loaded = PipelineModel.load(f"{path}/{best['run_id']}")
+    registry = RunRegistry(spark, scratch_path(spark, "registry"))
+    ranked, models = mdl.train_and_compare(frame, mdl.DEFAULT_SPECS, scratch_path(spark, "models"), registry)
+    best = {"run_id": registry.best()["run_id"], "model_name": registry.best()["model"]}
+    if best["run_id"] != ranked.first()["run_id"]:
+        raise AssertionError("the registry's best run is the first of the ranking")
+    loaded = registry.load(best["run_id"])
     data = mdl.model_input(frame).filter("split = 'val'")
     a = mdl.predict(models[best["model_name"]], data).select("row_id", F.col("prediction").alias("p1"))
     b = mdl.predict(loaded, data).select("row_id", F.col("prediction").alias("p2"))

@@ -19,6 +19,22 @@ SELECT store_id, product_id, dt, a::BIGINT + b::BIGINT + c::BIGINT AS n_gaps,
   CASE WHEN day(dt) IN (13, 14) OR known IS NULL THEN '(unknown)' ELSE region END AS region
 FROM g CROSS JOIN m LEFT JOIN lv ON known = region""")
 
+# Variance inflation: the diagonal of the inverse correlation matrix, inverted in place one column at a time.
+_N = len(o._NUM12)
+_AT = "a[k + 1][k + 1]"
+sql("vif", o._SPLIT + """,
+x AS (SELECT """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in o._NUM12) + """ FROM filled WHERE split = 'train'),
+m AS (SELECT [""" + ", ".join("[" + ", ".join(f"corr({a}, {b})" for b in o._NUM12) + "]" for a in o._NUM12) + """] AS r,
+  [""" + ", ".join(f"avg({c}) / stddev_pop({c})" for c in o._NUM12) + f"""] AS z FROM x),
+inv(k, a) AS (SELECT 0, r FROM m UNION ALL
+  SELECT k + 1, list_transform(range(1, {_N + 1}), lambda i: list_transform(range(1, {_N + 1}), lambda j:
+    CASE WHEN i = k + 1 AND j = k + 1 THEN 1 / {_AT} WHEN i = k + 1 THEN a[i][j] / {_AT} WHEN j = k + 1 THEN -a[i][j] / {_AT}
+         ELSE a[i][j] - a[i][k + 1] * a[k + 1][j] / {_AT} END)) FROM inv WHERE k < {_N}),
+done AS (SELECT a, z FROM inv, m WHERE k = {_N})
+SELECT 'const' AS feature, round(1 + list_sum(list_transform(range(1, {_N + 1}), lambda i: z[i] * list_sum(
+  list_transform(range(1, {_N + 1}), lambda j: a[i][j] * z[j])))), 4) AS vif FROM done
+""" + "".join(f"UNION ALL SELECT '{c}', round(a[{i + 1}][{i + 1}], 4) FROM done " for i, c in enumerate(o._NUM12)))
+
 _NONE = "0 AS bad_sums, 0 AS bad_labels, 0 AS bad_names"
 sql("requests_scored_after_reload", o._FEAT + f" SELECT count(*) AS n_rows, {_NONE}, 0 AS changed FROM features")
 sql("model_properties", o._SPLIT + f" SELECT split, count(*) AS n_rows, {_NONE}, 0 AS changed FROM filled GROUP BY split")
