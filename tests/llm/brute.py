@@ -66,6 +66,18 @@ def repeats(rows, length=200):
     return out
 
 
+def kept_bytes(rows, length=200):
+    count = Counter(raw(t)[i:i + length] for _, t in rows for i in range(len(raw(t)) - length + 1))
+    out = {}
+    for d, t in rows:
+        b, gone = raw(t), set()
+        for i in range(len(b) - length + 1):
+            if count[b[i:i + length]] > 1:
+                gone.update(range(i, i + length))
+        out[d] = bytes(x for i, x in enumerate(b) if i not in gone)
+    return out
+
+
 def contaminated(rows, items, window=13):
     found = defaultdict(set)
     for i, t in items:

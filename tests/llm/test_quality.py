@@ -47,6 +47,69 @@ def test_fences_follow_their_source(spark):
     assert all(got[d].kept for d in got if d != 5000)
 
 
+def test_a_small_source_leans_on_its_language_and_a_large_one_does_not(spark):
+    """No size switches the level: the more rows a source has, the more it is judged by its own habits."""
+    def one(n, s):
+        return "".join("ab%d%s " % (i, "||" if i < s else "") for i in range(100)) + str(n)
+    rows = [(i, one(i, 2), "en", "web", 0) for i in range(300)]
+    rows += [(1000 + i, one(i, 30), "en", "few", 0) for i in range(3)]
+    rows += [(2000 + i, one(i, 30), "en", "many", 0) for i in range(60)]
+    got = {x.doc_id: x for x in quality_rules.quality_rules(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all("high_symbols" in got[1000 + i].broken for i in range(3))
+    assert all(got[2000 + i].kept for i in range(60)) and all(got[i].kept for i in range(300))
+
+
+def test_rules_that_reject(spark):
+    """Each rule that can bind below the base rule does so for one document of an even corpus."""
+    r = random.Random(6)
+    word = lambda k: "".join(r.choice("abcdefgh") for _ in range(k))
+    plain = lambda: " ".join(word(5) for _ in range(120))
+    rows = [(i, plain(), "en", "web", 0) for i in range(80)]
+    odd = {900: ("high_symbols", plain().replace(" ", "|| ")), 901: ("high_capitals", plain().upper()),
+           902: ("high_word_length", " ".join(word(30) for _ in range(80))), 903: ("low_word_length", " ".join(word(1) for _ in range(80))),
+           904: ("high_dup_lines", "\n".join([plain()] + ["one two three"] * 30))}
+    rows += [(d, t, "en", "web", 0) for d, (_, t) in odd.items()]
+    got = {x.doc_id: x for x in quality_rules.quality_rules(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(got[i].kept for i in range(80))
+    for d, (rule, _) in odd.items():
+        assert rule in got[d].broken.split(",") and not got[d].kept
+
+
+def test_ties_at_the_last_neighbour_go_to_earlier_rows():
+    known = np.zeros((300, 4), np.float32)
+    known[:, 0] = 1
+    y = np.r_[np.ones(25), np.zeros(275)].astype(np.float32)
+    assert quality_knn.vote(known[:2], known, y, 0.5).tolist() == [1.0, 1.0]
+    assert quality_knn.vote(known[:1], known, y[::-1].copy(), 0.5).tolist() == [0.0]
+    known[10:, 0], known[10:, 1] = 0.6, 0.8   # ten nearer rows, then 290 that tie
+    w = 10 + 15 * 0.6 ** 4
+    y = np.r_[np.zeros(10), np.ones(15), np.zeros(275)].astype(np.float32)
+    assert quality_knn.vote(np.array([[1, 0, 0, 0]], np.float32), known, y, 0.5)[0] == pytest.approx(15 * 0.6 ** 4 / w, rel=1e-4)
+
+
+def test_votes_equal_a_plain_loop():
+    rng = np.random.default_rng(5)
+    known = quality_knn.unit(rng.normal(size=(400, 8)).astype(np.float32))
+    known[200:220] = known[:20]
+    y = (rng.random(400) < 0.3).astype(np.float32)
+    asked = quality_knn.unit(rng.normal(size=(60, 8)).astype(np.float32))
+    got = quality_knn.vote(asked, known, y, 0.5)
+    for v, s in zip(asked, got):
+        sim = np.rint((known @ v) / quality_knn.STEP) * quality_knn.STEP
+        near = sorted(range(400), key=lambda i: (-sim[i], i))[:quality_knn.K]
+        w = [max(float(sim[i]), 0) ** 4 for i in near]
+        assert s == pytest.approx(sum(a * y[i] for a, i in zip(w, near)) / sum(w), rel=1e-4)
+
+
+def test_slices_are_bounded_in_rows(spark):
+    import pyarrow as pa
+    texts = ["t%d" % i for i in range(2000)] + ["x" * 3_000_000, None, ""]
+    parts = list(quality_knn.text_slices(pa.array(texts)))
+    assert max(hi - lo for lo, hi, _, _ in parts) <= quality_knn.SLICE_ROWS
+    assert [b for lo, hi, buf, off in parts for b in (buf[off[i]:off[i + 1]].tobytes() for i in range(hi - lo))] == [
+        (t or "").encode() for t in texts]
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     docs, labels = read(spark, SF, "documents"), read(spark, SF, "labels")
@@ -146,6 +209,19 @@ def test_automaton_on_random_sequences():
             assert (int(n[0]), len(covered), len(found[0])) == want[d][:3]
 
 
+def test_an_automaton_stays_within_its_bytes_per_word():
+    import tracemalloc
+    r = random.Random(1)
+    for word in (lambda: "w%d" % r.randint(0, 10**9), lambda: r.choice(["aa", "bb", "cc", "dd"])):
+        items = [(i, " ".join(word() for _ in range(100))) for i in range(60)]
+        tracemalloc.start()
+        decontaminate.build_automaton(items)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak / 6000 <= decontaminate.WORD_BYTES
+    assert decontaminate.BLOCK_WORDS * decontaminate.WORD_BYTES <= decontaminate.BLOCK_BYTES
+
+
 def test_decontamination_edges(spark, docs, empty, odd_ids, clashing, rows):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert all(r.n_hit == 0 and not r.contaminated for r in decontaminate.contamination(docs, none).collect())
@@ -176,5 +252,51 @@ def test_pipeline_stages(spark, docs, rows):
             assert {r.doc_id for r in now.collect()} == {d for d, w in brute.near(own).items() if w[2]}
         if name == "suffix_dedup":
             want = brute.repeats([(r.doc_id, r.text) for r in before.collect()])
-            assert {r.doc_id: len((r.text or "").encode()) for r in now.collect()}.keys() == want.keys()
+            got = {r.doc_id: r.text for r in now.collect()}
+            assert got.keys() == want.keys()
+            # The kept bytes of a text, without the rest of a character that a cut went through.
+            kept = brute.kept_bytes([(r.doc_id, r.text) for r in before.collect()])
+            assert {d: (t or "") for d, t in got.items()} == {d: b.decode("utf-8", "ignore") for d, b in kept.items()}
+        if name == "decontamination":
+            items = [(r.item_id, r.text) for r in read(spark, "/root/testdata/sf0.001", "benchmark").collect()]
+            want = brute.contaminated([(r.doc_id, r.text) for r in before.collect()], items)
+            assert {r.doc_id for r in now.collect()} == {d for d, w in want.items() if not w[4]}
     assert all(r.round_trip for r in now.collect())
+
+
+def test_the_pipeline_runs_its_stages_in_order(spark):
+    """``run`` gives what its stages give one after the other, on the whole table."""
+    sf = "/root/testdata/sf0.001"
+    now = read(spark, sf, "documents")
+    n = now.count()
+    for _, stage in corpus_pipeline.STAGES:
+        now = stage(spark, now, sf)
+    want = sorted((r.doc_id, r.n_pieces, r.ids_crc32) for r in now.collect())
+    got = sorted((r.doc_id, r.n_pieces, r.ids_crc32) for r in corpus_pipeline.run(spark, sf).collect())
+    assert got == want and 0.5 * n < len(got) < n
+
+
+def test_toxicity_scores_equal_a_plain_loop():
+    r = np.random.default_rng(3)
+    weight, offset = r.normal(size=toxicity.BUCKETS).astype(np.float32), -0.3
+    texts = ["Some words, some W0RDS", None, "", "a", "vilethug vilethug " * 40, "x" * 5000, "é ß 中文 😀", "one\ntwo"]
+    got = toxicity.score_texts(texts, toxicity.WordScores(weight), offset)
+    for t, s in zip(texts, got):
+        z, tokens = offset, toxicity.tokens_of(t)
+        for w in tokens:   # each word by itself: the mean of its own subwords' weights
+            feats, begin = toxicity.subwords([toxicity.word_of(w)])
+            assert begin.tolist() == [0, len(feats)] and len(feats) > 0
+            z += float(np.mean(weight[feats].astype(np.float64))) / (len(tokens) + toxicity.SMOOTH) ** 0.5
+        assert s == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-6)
+
+
+def test_toxicity_training_separates_and_lowers_the_loss():
+    r = random.Random(4)
+    texts = ["good calm words here today" if i % 2 else "vile thug words here today" for i in range(60)]
+    texts = [t + " " + r.choice(["red", "blue", "green"]) for t in texts]
+    model = toxicity.train(texts, [(i + 1) % 2 for i in range(60)])
+    scores = toxicity.score_texts(texts, toxicity.WordScores(model.weight), model.offset)
+    assert all((s > 0.5) == (i % 2 == 0) for i, s in enumerate(scores))
+    flat = toxicity.score_texts(texts, toxicity.WordScores(model.weight * 0), model.offset)
+    loss = lambda p: -np.mean([np.log(x if i % 2 == 0 else 1 - x) for i, x in enumerate(p)])
+    assert loss(scores) < 0.5 * loss(flat)
