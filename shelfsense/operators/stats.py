@@ -13,6 +13,7 @@ import os
 from typing import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,20 +75,68 @@ def describe(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ())
         *g, "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+def pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(i, j, n, mi, mj, cii, cjj, cij) of every pair of columns, i <= j, over the rows that have both (NaN is a gap).
+
+    One pass: a task adds up its batches' centred sums of all pairs as matrices and hands on
+    one row per pair; the tasks' rows are merged pairwise, as exact as one running sum.
+    """
+    k = len(cols)
+
+    def sums(batches):
+        state = None
+        for b in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns])
+            m = (~np.isnan(x)).astype(float)
+            x = np.where(m > 0, x, 0.0)
+            shift = x.sum(0) / np.maximum(m.sum(0), 1.0)     # near the means, so that little is lost
+            x = np.where(m > 0, x - shift, 0.0)
+            n = m.T @ m
+            some = np.maximum(n, 1.0)
+            d = x.T @ m / some                               # [i, j]: mean of i over the rows that have j, too
+            new = (n, shift[:, None] * (n > 0) + d, (x * x).T @ m - n * d * d, x.T @ x - n * d * d.T)
+            state = new if state is None else _merged(state, new)
+        if state is not None:
+            i, j = np.triu_indices(k)
+            n, mean, sq, both = state
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (
+                i.astype(np.int32), j.astype(np.int32), n[i, j].astype(np.int64), mean[i, j], mean[j, i], sq[i, j], sq[j, i],
+                both[i, j])], ["i", "j", "n", "mi", "mj", "cii", "cjj", "cij"])
+
+    parts = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(
+        sums, "i int, j int, n bigint, mi double, mj double, cii double, cjj double, cij double")
+    one = F.struct("n", "mi", "mj", "cii", "cjj", "cij")
+    merge = """aggregate(slice(parts, 2, size(parts)), parts[0], (s, p) -> if(p.n = 0, s, if(s.n = 0, p, named_struct('n', s.n + p.n,
+        'mi', s.mi + (p.mi - s.mi) * p.n / (s.n + p.n), 'mj', s.mj + (p.mj - s.mj) * p.n / (s.n + p.n),
+        'cii', s.cii + p.cii + (p.mi - s.mi) * (p.mi - s.mi) * s.n * (p.n / (s.n + p.n)),
+        'cjj', s.cjj + p.cjj + (p.mj - s.mj) * (p.mj - s.mj) * s.n * (p.n / (s.n + p.n)),
+        'cij', s.cij + p.cij + (p.mi - s.mi) * (p.mj - s.mj) * s.n * (p.n / (s.n + p.n))))))"""
+    return (parts.groupBy("i", "j").agg(F.sort_array(F.collect_list(one)).alias("parts"))   # a row per task
+            .select("i", "j", F.expr(merge).alias("m")).select("i", "j", "m.*"))
+
+
+def _merged(a: tuple, b: tuple) -> tuple:
+    """Counts, means, squares and products of two sets of rows (matrices by pair)."""
+    n = a[0] + b[0]
+    share, gap = b[0] / np.maximum(n, 1.0), b[1] - a[1]
+    mean = np.where(a[0] == 0, b[1], np.where(b[0] == 0, a[1], a[1] + gap * share))
+    gap = np.where((a[0] == 0) | (b[0] == 0), 0.0, gap)
+    return n, mean, a[2] + b[2] + gap * gap * a[0] * share, a[3] + b[3] + gap * gap.T * a[0] * share
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair (pairwise complete), long form (a, b, corr).
+    """Pearson correlation of every pair (pairwise complete), long form (a, b, corr); null where a column doesn't vary.
 
-    One global aggregate of all pairs: a task sends one row of k(k+1)/2
-    partial states, and only the resulting row is unpivoted.
+    From ``pair_moments``: one pass over the rows for all pairs.
     """
     cols = list(cols)
-    xs = [nan_to_null(F.col(c).cast("double")) for c in cols]
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    one = df.agg(*[F.corr(xs[i], xs[j]).alias(f"c{i}_{j}") for i, j in pairs])
-    both = [(i, j, i, j) for i, j in pairs] + [(j, i, i, j) for i, j in pairs if i != j]
-    out = F.array(*[F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"c{x}_{y}").alias("corr"))
-                    for i, j, x, y in both])
-    return one.select(F.explode(out).alias("p")).select("p.*")
+    spread = F.sqrt(F.col("cii") * F.col("cjj"))
+    m = pair_moments(df, cols).select("i", "j", F.when((F.col("n") > 1) & (spread != 0), F.col("cij") / spread).alias("corr"))
+    names = F.array(*[F.lit(c) for c in cols])
+    sides = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    return m.select(F.explode(sides).alias("p"), "corr").select(
+        F.element_at(names, F.col("p.i") + 1).alias("a"), F.element_at(names, F.col("p.j") + 1).alias("b"), "corr")
 
 
 def covariance_moments(df: DataFrame, cols: Sequence[str]):

@@ -90,3 +90,28 @@ def test_ranks_need_no_window_over_values(spark):
     ranks = selection._ranks(long, ["column"], [0.5], None)
     plan = selection._one_pass(long, ranks, ["column"], True, 64)._jdf.queryExecution().toString()
     assert "Window" not in plan
+
+
+def test_correlations_of_all_pairs_come_from_one_pass_without_wide_aggregates(spark):
+    """Gaps are left out pair by pair, far-off means lose nothing, a constant column has no correlation."""
+    import numpy as np
+    from shelfsense.operators.stats import correlation_matrix
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 3))
+    x[:, 1] += 0.5 * x[:, 0]
+    x[:, 2] += 1e6
+    gaps = x.copy()
+    gaps[::7, 0], gaps[::5, 1] = np.nan, np.nan
+    rows = [(None if i % 14 == 0 else float(a), float(b), float(c), 4.0) for i, (a, b, c) in enumerate(gaps)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, same double").repartition(5)
+    out = correlation_matrix(df, ["a", "b", "c", "same"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "corr(" not in plan and "MapInArrow" in plan
+    got = {(r.a, r.b): r["corr"] for r in out.collect()}
+    assert len(got) == 16
+    for i, p in enumerate("abc"):
+        for j, q in enumerate("abc"):
+            both = ~np.isnan(gaps[:, i]) & ~np.isnan(gaps[:, j])
+            assert abs(got[p, q] - np.corrcoef(gaps[both, i], gaps[both, j])[0, 1]) < 1e-9
+        assert got[p, "same"] is None
+    assert correlation_matrix(df.limit(0), ["a", "b"]).filter("corr IS NOT NULL").isEmpty()
