@@ -45,11 +45,12 @@ def reconstruct_inventory(df: DataFrame, level: str = "inventory_level", sold: s
     # A missing flow breaks the running balance for the rest of the series
     # (the sequential loop turns into NaN from there on); sum() would skip it.
     gap = F.sum(F.when(delta.isNull(), 1).otherwise(0)).over(before)
-    out_df = (df
-              .withColumn(tmp_gap, F.coalesce(gap, F.lit(0)))
-              .withColumn(tmp_rn, F.row_number().over(w))
-              .withColumn(tmp_cum, F.first(F.col(level).cast("bigint")).over(upto)
-                          + F.coalesce(F.sum(delta).over(before), F.lit(0).cast("bigint")))
+    # One select: what doesn't depend on another window result is computed in one pass over the sorted rows.
+    first = df.select(
+        "*", F.coalesce(gap, F.lit(0)).alias(tmp_gap), F.row_number().over(w).alias(tmp_rn),
+        (F.first(F.col(level).cast("bigint")).over(upto)
+         + F.coalesce(F.sum(delta).over(before), F.lit(0).cast("bigint"))).alias(tmp_cum))
+    out_df = (first
               .withColumn(out, F.when(F.col(tmp_rn) == 1, F.col(level).cast("bigint"))
                           .otherwise(F.col(tmp_cum) - F.least(
                               F.lit(0).cast("bigint"),
@@ -77,10 +78,9 @@ def series_features(df: DataFrame, keys=SERIES_KEYS, order=TIME_COL,
     inv = F.col("inventory_reconstructed")
     inv_long = inv.cast("bigint")
     out = (df
-           .withColumn("inventory_lag1", F.lag(inv, 1).over(w))
-           .withColumn("units_sold_lag1", F.lag(F.col("units_sold").cast("double"), 1).over(w))
-           .withColumn("rolling7_inventory",
-                       F.when(F.count(inv_long).over(prev7) == 7, F.avg(inv_long).over(prev7)))
+           .select("*", F.lag(inv, 1).over(w).alias("inventory_lag1"),
+                   F.lag(F.col("units_sold").cast("double"), 1).over(w).alias("units_sold_lag1"),
+                   F.when(F.count(inv_long).over(prev7) == 7, F.avg(inv_long).over(prev7)).alias("rolling7_inventory"))
            .withColumn("inventory_change", inv - F.col("inventory_lag1"))
            .withColumn("inventory_change_pct", safe_div("inventory_change", "inventory_lag1", 0.0))
            .withColumn("days_of_stock", F.coalesce(

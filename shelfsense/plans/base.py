@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfsense.config import RiskParams
 from shelfsense.operators import features as feat
 from shelfsense.operators import labels as lab
+from shelfsense.operators.selection import written
 from shelfsense.sources.tables import retail_daily
 
 
@@ -24,6 +25,9 @@ def labelled(spark: SparkSession, sf_dir: str, params: RiskParams = RiskParams()
 
 
 def split_frame(spark: SparkSession, sf_dir: str, params: RiskParams = RiskParams()) -> DataFrame:
-    """Labelled rows with ``split`` and train-median fills (modelling input)."""
+    """Labelled rows with ``split`` and train-median fills (modelling input).
+
+    Written once: medians, encoders, scalers, fits and the result itself read the written
+    rows, and none of them builds panel and windows again."""
     df = lab.split_column(labelled(spark, sf_dir, params), params)
-    return lab.fill_train_median(df)
+    return lab.fill_train_median(written(df, "split-frame"))

@@ -27,9 +27,10 @@ def retail_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows) and region (5 rows) are fixed-size dimensions and are broadcast;
     supplier and part grow with the data, so their joins are left to the
     planner (broadcast only below ``autoBroadcastJoinThreshold`` or when AQE
-    measures them small at run time, otherwise a shuffle join). The group-by
-    does a map-side partial aggregation first, so a hot (store, product, day)
-    never reaches one task as raw rows.
+    measures them small at run time, otherwise a shuffle join). The joined rows
+    are dealt by (store, product) before the group-by, which then needs no
+    shuffle of its own, nor do the windows over a series: lineitem has hardly two
+    rows of a (store, product, day), so sums before the shuffle would save nothing.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
@@ -52,7 +53,10 @@ def retail_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("r_name").alias("region"), d.alias("dt"), qty,
                       "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"))
 
-    agg = joined.groupBy("store_id", "product_id", "region", "dt").agg(
+    # Dealt by series at once: the day's sums and every window over a series need no further shuffle. The windows cost
+    # more than their bytes tell, so the number of tasks is not left to a partition size in bytes.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    agg = joined.repartition(tasks, "store_id", "product_id").groupBy("store_id", "product_id", "region", "dt").agg(
         F.sum(qty * (F.lit(1) + F.round(F.col("l_tax") * 100).cast("int") % 4))
          .cast("bigint").alias("inventory_level"),
         F.sum(F.when(F.col("l_linestatus") == "F", qty).otherwise(0)).cast("bigint").alias("units_sold"),

@@ -33,3 +33,25 @@ def test_partition_invariance(spark):
         results.append(sorted(map(tuple, catalog.risk_share_by_region(spark, SF_SMALL).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def _shuffles(df):
+    import re
+    return len(re.findall(r"\bExchange hashpartitioning", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_panel_features_and_target_need_one_shuffle(spark):
+    from shelfsense.plans import base
+    df = base.labelled(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert _shuffles(df) == 1 and plan.count("+- Window ") <= 5
+
+
+def test_split_frame_and_drift_rows_are_read_back_not_built_again(spark):
+    from shelfsense.plans import base, catalog
+    df = base.split_frame(spark, "/root/testdata/sf0.001")
+    assert "lineitem" not in "".join(df.inputFiles()) and _shuffles(df) == 0
+    want = base.lab.fill_train_median(base.lab.split_column(base.labelled(spark, "/root/testdata/sf0.001")))
+    assert df.columns == want.columns and df.exceptAll(want).isEmpty() and want.exceptAll(df).isEmpty()
+    z = catalog.standardized_features(spark, "/root/testdata/sf0.001")
+    assert _shuffles(z) == 0
