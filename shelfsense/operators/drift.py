@@ -215,7 +215,9 @@ def normal_two_sided(z: float) -> float:
 def _gather(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], day_col: str, tie_cols: Sequence[str],
             wanted) -> tuple[dict, dict]:
     """Totals per column, and its statistics by test; ``wanted`` maps totals to the tests of every column."""
-    halves = half_split(df, day_col, tie_cols)
+    # Written once: the days' counts, the halves and the numbering of the middle day all read these rows.
+    needed = dict.fromkeys([*num_cols, *cat_cols, day_col, *tie_cols])
+    halves = half_split(written(df.select(*needed), "drift-rows"), day_col, tie_cols)
     with held(value_counts_by_half(halves, num_cols, cat_cols)) as vc:
         tot_df = column_totals(vc)
         tot = {r["column"]: r for r in tot_df.collect()}        # one row per column
