@@ -27,6 +27,7 @@ from shelfsense.operators import sampling as smp
 from shelfsense.operators import scoring as scr
 from shelfsense.operators.registry import RunRegistry
 from shelfsense.operators import stats
+from shelfsense.operators.selection import written
 from shelfsense.plans import base
 from shelfsense.session import scratch_path
 from shelfsense.sources import files as io
@@ -742,11 +743,13 @@ def baseline_comparison(spark, sf_dir):
     names = F.array(*[F.lit(n) for n in CLASS_NAMES])
     df = (df.withColumn("label", (F.array_position(names, F.col("risk_label")) - 1).cast("double"))
           .withColumn("holiday", F.col("holiday_promotion").cast("int")))
+    cats = [c + "_idx" for c in CATEGORICAL_FEATURES]
+    num = ["inventory_level", "units_sold", "demand_forecast", "price", "discount", "competitor_pricing", "holiday"]
+    # Written once, with the columns in use: weights, indexers, the solver and both metrics read these rows.
+    df = written(df.select(*num, *CATEGORICAL_FEATURES, "label", "risk_label", "prediction_label", "split"), "stage1-rows")
     train = df.filter("split = 'train'")
     w = met.class_weights(train, "label").select("label", "weight")
     train = met.with_class_weight(train, w, "label")
-    cats = [c + "_idx" for c in CATEGORICAL_FEATURES]
-    num = ["inventory_level", "units_sold", "demand_forecast", "price", "discount", "competitor_pricing", "holiday"]
     pipe = Pipeline(stages=[enc.ordinal_indexer(CATEGORICAL_FEATURES, invalid="error"),
                             VectorAssembler(inputCols=num + cats, outputCol="features"),
                             LogisticRegression(family="multinomial", weightCol="weight", maxIter=1000,
