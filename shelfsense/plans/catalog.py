@@ -588,7 +588,7 @@ def stream_scoring(spark, sf_dir):
     """Request files -> streaming contract check -> coverage / days-of-stock
     scorer -> Parquet sink (invalid rows to quarantine)."""
     src, out, bad, ck = (scratch_path(spark, n) for n in ("req-src", "scored", "quarantine", "ck-score"))
-    _requests(spark, sf_dir).write.mode("overwrite").json(src)
+    _requests(spark, sf_dir).write.mode("overwrite").option("compression", "gzip").json(src)
     stream.score_stream(spark, src, out, bad, ck,
                         lambda b: b.withColumn("prediction_label", ratio_label("coverage_ratio", "days_of_stock")))
     res = spark.read.parquet(out)
