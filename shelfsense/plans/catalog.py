@@ -526,7 +526,7 @@ def prediction_log_json(spark, sf_dir):
         F.array(F.col("prediction_encoded")).alias("prediction"),
         F.array(F.col("prediction_label")).alias("prediction_label"))).alias("value"))
     path = scratch_path(spark, "prediction-log")
-    lines.write.mode("overwrite").text(path)
+    lines.write.mode("overwrite").option("compression", "gzip").text(path)
     return io.read_prediction_log_json(spark, path)
 
 
