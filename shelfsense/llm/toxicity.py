@@ -44,7 +44,8 @@ MAX_TRAIN, MAX_TRAIN_CHARS = 4000, 30_000_000
 CACHE_WORDS = 400_000
 EDGES = ".,;:!?\"'()[]{}*#$%&|<>-_/\\"
 BASE = 0x9FB21C651E98DF25
-CHUNK = 1 << 16
+#: Words whose n-grams are coded at once by scoring tasks, and by the driver in training.
+CHUNK, TRAIN_CHUNK = 1 << 16, 1 << 13
 
 
 def word_of(token: str) -> str:
@@ -109,10 +110,16 @@ def train(texts: list[str], y: list[int], seed: int = 7, steps: int = STEPS) ->
     if len(set(labels.tolist())) < 2:
         return None
     rng = np.random.default_rng(seed)
-    feats, begin = subwords(list(vocab))
-    whole = np.diff(begin)
+    # Many words at a time: the ids of all n-grams at once would take more memory than all that follows.
+    names, some = list(vocab), []
+    for lo in range(0, len(names), TRAIN_CHUNK):
+        f, begin = subwords(names[lo:lo + TRAIN_CHUNK])
+        some.append((f, np.diff(begin)))
+    feats, whole = (np.concatenate(x) for x in zip(*some))
+    del names, some
     word, count = np.concatenate(own), np.array([len(x) for x in own])
     doc = np.repeat(np.arange(len(own)), count)
+    del own
     # Features of a few documents only could just be learnt by heart; words of none else say nothing.
     seen = np.bincount(feats, np.repeat(np.bincount(word, minlength=len(vocab)), whole), minlength=BUCKETS)
     common = seen[feats] >= MIN_DOCS
@@ -123,6 +130,7 @@ def train(texts: list[str], y: list[int], seed: int = 7, steps: int = STEPS) ->
     feat_of, feats = number[feat_of], feats[common]
     known = number[word] >= 0
     word, doc = number[word[known]], doc[known]
+    del number, known, seen, common
     if not len(word):
         return None
     used, feats = np.unique(feats, return_inverse=True)

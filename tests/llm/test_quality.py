@@ -300,3 +300,15 @@ def test_toxicity_training_separates_and_lowers_the_loss():
     flat = toxicity.score_texts(texts, toxicity.WordScores(model.weight * 0), model.offset)
     loss = lambda p: -np.mean([np.log(x if i % 2 == 0 else 1 - x) for i, x in enumerate(p)])
     assert loss(scores) < 0.5 * loss(flat)
+
+
+def test_training_codes_few_words_at_a_time(monkeypatch):
+    sizes, own = [], toxicity.subwords
+    monkeypatch.setattr(toxicity, "TRAIN_CHUNK", 16)
+    monkeypatch.setattr(toxicity, "subwords", lambda words: sizes.append(len(words)) or own(words))
+    texts = [f"{'foul' if i % 2 else 'fine'} word{i % 40} other{i % 30}" for i in range(120)]
+    model = toxicity.train(texts, [i % 2 for i in range(120)])
+    assert len(sizes) > 4 and max(sizes) <= 16
+    words = toxicity.WordScores(model.weight)
+    bad, good = toxicity.score_texts(["foul", "fine"], words, model.offset)
+    assert bad > 0.5 > good
