@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from shelfsense.config import REQUEST_FIELDS
 from shelfsense.operators.scoring import validate_requests
+from shelfsense.operators.selection import written
 
 REQUEST_JSON_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("store_id", "product_id", "dt")]
@@ -112,6 +113,7 @@ def write_in_time_order(events: DataFrame, path: str, time_col: str, chunks: int
     (returned; by default one per ``FILE_ROWS`` rows of a run) make one batch of each run and no batch goes
     back in time - unless ``order`` says in which order the runs are written.
     """
+    events = written(events, "event-rows")   # counted, bounded and dealt from there
     day = F.to_date(time_col)
     if files is None:
         files = max(1, -(-events.count() // (chunks * FILE_ROWS)))
