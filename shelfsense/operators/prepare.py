@@ -45,12 +45,18 @@ def source(df: DataFrame, column: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def number(c: Column) -> Column:
-    """A finite number, or null for gaps, text that is none, NaN and infinities."""
-    d = F.trim(c.cast("string")).try_cast("double")
+def number(c: Column, kind: str = "string") -> Column:
+    """A finite number, or null for gaps, text that is none, NaN and infinities. Columns that are numbers aren't read as text."""
+    d = c.cast("double") if kind in ("double", "bigint", "int") else F.trim(c.cast("string")).try_cast("double")
     return F.when(~F.isnan(d) & (F.abs(d) != float("inf")), d)
 
 
+def numeric_input(df: DataFrame, column: str) -> Column:
+    """The model column (or its request field) as a finite number or null."""
+    name = column if column in df.columns else API_NAMES.get(column, column)
+    return number(source(df, column), df.schema[name].dataType.simpleString() if name in df.columns else "string")
+
+
 class RequestPreparer(Estimator, _PreparerParams, DefaultParamsReadable, DefaultParamsWritable):
     """Learns medians and levels from the rows it is fitted on."""
 
@@ -62,7 +68,7 @@ class RequestPreparer(Estimator, _PreparerParams, DefaultParamsReadable, Default
 
     def _fit(self, dataset: DataFrame) -> RequestPreparerModel:
         nums, cats = self.numeric(), self.categorical()
-        typed = dataset.select(*[number(source(dataset, c)).alias(c) for c in nums],
+        typed = dataset.select(*[numeric_input(dataset, c).alias(c) for c in nums],
                                *[source(dataset, c).cast("string").alias(c) for c in cats])
         found = {r["column"]: r["value"] for r in select_ranks(typed, nums, [0.5]).collect()}   # one row per column
         levels = typed.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in cats]).first() if cats else None
@@ -88,7 +94,7 @@ class RequestPreparerModel(Model, _PreparerParams, DefaultParamsReadable, Defaul
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         nums, known = self.numeric(), self.known()
-        new = {c: F.coalesce(number(source(dataset, c)), F.lit(m)) for c, m in zip(nums, self.getOrDefault("medians"))}
+        new = {c: F.coalesce(numeric_input(dataset, c), F.lit(m)) for c, m in zip(nums, self.getOrDefault("medians"))}
         for c, names in known.items():
             v = source(dataset, c).cast("string")
             new[c] = F.when(v.isin(names), v).otherwise(F.lit(UNKNOWN)) if names else F.lit(UNKNOWN)
@@ -99,5 +105,5 @@ class RequestPreparerModel(Model, _PreparerParams, DefaultParamsReadable, Defaul
 
 def filled(df: DataFrame) -> Column:
     """How many numeric inputs of a request row are gaps."""
-    gaps = [number(source(df, c)).isNull().cast("int") for c in NUMERICAL_FEATURES]
+    gaps = [numeric_input(df, c).isNull().cast("int") for c in NUMERICAL_FEATURES]
     return sum(gaps[1:], gaps[0])
