@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfsense.operators import booster as bst
-from shelfsense.operators import metrics, models, selection, stats
+from shelfsense.operators import models, selection, stats
 from shelfsense.operators.prepare import RequestPreparer
 from shelfsense.operators.resample import smote
 from shelfsense.session import scratch_path
@@ -67,8 +67,8 @@ def test_events_are_built_once(spark):
 
 
 def test_predictions_are_made_once_for_all_metrics(spark):
-    pred, seen = counting(spark, [("train", "Safe Zone", "Safe Zone")] * 5, "split string, actual string, predicted string")
-    assert metrics.metric_table(pred, "actual", "predicted", ["split"]).first()["accuracy"] == 1.0
+    pred, seen = counting(spark, [("train", 1.0, models.CLASS_NAMES[1])] * 5, "split string, label double, prediction_label string")
+    assert models.split_metrics(pred).first()["accuracy"] == 1.0
     assert seen.value == 5
 
 
