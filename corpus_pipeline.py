@@ -40,8 +40,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of the best segmentation, N-best scores, round trip."""
-    return encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    """Ids of the best segmentation, N-best scores, round trip.
+
+    The executors' heaps are as large as the stages before have made them: the workers get along with less than alone."""
+    return encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"),
+                         remember=100_000, slice_bytes=512 << 10)
 
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -158,6 +160,31 @@ def enter(kind: str) -> None:
         for cache in _remembered:
             cache.clear()
         _current = kind
+        give_back()
+
+
+def give_back() -> None:
+    """Return this process's free memory to the system: Arrow's pool, and glibc's heap where there is one."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def returning(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, after which the worker keeps no free memory.
+
+    An executor's workers wait for further tasks, of other operators too; what they hold meanwhile is missing there.
+    """
+
+    @functools.wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -205,6 +232,17 @@ def slices(col: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, i
         lo = hi
 
 
+def text_slices(col: pa.Array, rows: int, max_bytes: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``rows`` texts and ``max_bytes``; a longer text is a range of its own."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(col):
+        hi = int(np.searchsorted(size, (size[lo - 1] if lo else 0) + max_bytes, "right"))
+        hi = min(max(hi, lo + 1), lo + rows, len(col))
+        yield lo, hi
+        lo = hi
+
+
 def word_bounds(buf: np.ndarray, off: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end) of every word and, per row, the index of its first word (with the total last)."""
     if not len(buf):

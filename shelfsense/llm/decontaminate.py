@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import (ALNUM_WORD, LOWER, U, keyed, materialise, mix, slices, with_text, word_bounds,
-                                   word_hashes)
+from shelfsense.llm.common import (ALNUM_WORD, LOWER, U, keyed, materialise, mix, returning, slices, with_text,
+                                   word_bounds, word_hashes)
 
 #: Words of a window.
 WINDOW = 13
@@ -254,7 +254,7 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bl
                          pa.array([sorted(x) for x in items], pa.list_(pa.int64()))],
                         ["key", "doc_id", "n_words", "starts", "ends", "items"])
 
-        passes.append(d.mapInArrow(scan, FOUND))
+        passes.append(d.mapInArrow(returning(scan), FOUND))
     if not passes:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -262,7 +262,7 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bl
                     first = word_bounds(buf, off, ALNUM_WORD)[2]
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo),
                                                       pa.array(np.diff(first).astype(np.int64))], ["key", "doc_id", "n_words"])
-        counted = d.mapInArrow(count, "key bigint, doc_id bigint, n_words bigint")
+        counted = d.mapInArrow(returning(count), "key bigint, doc_id bigint, n_words bigint")
         return counted.select("*", F.expr("cast(array() AS array<int>)").alias("starts"),
                               F.expr("cast(array() AS array<int>)").alias("ends"),
                               F.expr("cast(array() AS array<bigint>)").alias("items"))

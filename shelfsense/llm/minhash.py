@@ -37,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import (BASE_D, LOWER, PLAIN_WORD, U, discard, keyed, materialise, mix, prefix_hash, signed,
-                                   slices, span_hash, window_hashes, with_text, word_bounds, word_hashes)
+from shelfsense.llm.common import (BASE_D, LOWER, PLAIN_WORD, U, discard, keyed, materialise, mix, prefix_hash, returning,
+                                   signed, slices, span_hash, window_hashes, with_text, word_bounds, word_hashes)
 from shelfsense.llm.components import components
 
 #: Words of a shingle; similarity in per cent; bands and coordinates per band.
@@ -206,7 +206,7 @@ def keep_first(docs: DataFrame, **options: int) -> DataFrame:
 
 
 def _components(d: DataFrame, percent: int, shingle: int, bands: int, rows: int) -> DataFrame:
-    base = materialise(d.mapInArrow(_sketches(bands, rows, shingle), SKETCHES), "sketches")
+    base = materialise(d.mapInArrow(returning(_sketches(bands, rows, shingle)), SKETCHES), "sketches")
     classes = materialise(base.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("key").alias("rep")), "classes")
     reps = base.join(classes.select(F.col("rep").alias("key")), "key", "left_semi")
     bucket = Window.partitionBy("bucket")
@@ -226,7 +226,7 @@ def _components(d: DataFrame, percent: int, shingle: int, bands: int, rows: int)
              .filter((F.col("x.rank") > 1) & sizes_fit(F.col("n"), F.col("x.pivot_n"), percent))
              .select(F.col("x.pivot").alias("a"), F.col("key").alias("b")).distinct())
     sets = materialise(d.select("key", "text").join(members.select("key").hint("merge"), "key", "left_semi")
-                       .mapInArrow(_sets(shingle), "key bigint, s array<bigint>, marks array<bigint>"), "sets")
+                       .mapInArrow(returning(_sets(shingle)), "key bigint, s array<bigint>, marks array<bigint>"), "sets")
     links = confirm(sets, pairs, percent)
     labels = components(links)
     lo = 2

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.llm import common
-from shelfsense.llm.common import enter
+from shelfsense.llm.common import enter, returning, text_slices
 from shelfsense.llm.token_output import Memo
 
 SPACE = "▁"
@@ -471,22 +471,12 @@ def encoder(path: str, n: int, remember: int = CACHE_WORDS) -> Encoder:
 SLICE_TEXTS, SLICE_TEXT_BYTES = 1024, 2 << 20
 
 
-def text_slices(col: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of bounded size; a long text is a range of its own."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    lo = 0
-    while lo < len(col):
-        hi = int(np.searchsorted(size, (size[lo - 1] if lo else 0) + SLICE_TEXT_BYTES, "right"))
-        hi = min(max(hi, lo + 1), lo + SLICE_TEXTS, len(col))
-        yield lo, hi
-        lo = hi
-
-
 def encode_pieces(docs: DataFrame, model: str, n: int = NBEST, with_ids: bool = True,
-                  remember: int = CACHE_WORDS) -> DataFrame:
+                  remember: int = CACHE_WORDS, slice_bytes: int = SLICE_TEXT_BYTES) -> DataFrame:
     """Encode every whole text, decode it again; one row per row of ``docs``.
 
-    ``remember`` is the number of words a worker keeps (about 200 bytes each).
+    ``remember`` is the number of words a worker keeps (about 200 bytes each), ``slice_bytes`` the text it encodes at
+    once (it takes some 60 times as much); smaller ones take less memory and more time, the rows are the same.
 
     ``score`` and ``ids`` are the best segmentation's; ``nbest_ids``, their numbers
     ``nbest_pieces``, checksums ``nbest_crc32`` and ``nbest_scores`` belong to the n best
@@ -506,7 +496,7 @@ def encode_pieces(docs: DataFrame, model: str, n: int = NBEST, with_ids: bool =
                             ("nbest_round_trip", pa.list_(pa.bool_())), ("round_trip", pa.bool_()),
                             ("ids", pa.list_(pa.int32())), ("nbest_ids", pa.list_(pa.list_(pa.int32())))])
         for b in batches:
-            for lo, hi in text_slices(b.column(1)):
+            for lo, hi in text_slices(b.column(1), SLICE_TEXTS, slice_bytes):
                 got = enc.batch(b.column(1).slice(lo, hi - lo).to_pylist())
                 first, wide = got.first, got.ids.astype(np.int32)
                 pieces, lead = np.diff(got.at), got.first[:-1]
@@ -525,5 +515,5 @@ def encode_pieces(docs: DataFrame, model: str, n: int = NBEST, with_ids: bool =
                     columns += [pa.nulls(hi - lo, f.type) for f in list(schema)[-2:]]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *columns], schema=schema)
 
-    out = d.mapInArrow(run, ROWS)
+    out = d.mapInArrow(returning(run), ROWS)
     return out if with_ids else out.drop("ids", "nbest_ids")

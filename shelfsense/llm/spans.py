@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.llm.common import (BASE_D, BASE_W, BYTES_A, BYTES_B, PLAIN_WORD, U, discard, materialise, prefix_hash,
-                                   signed, slices, sliding_min, span_hash, window_hashes, word_bounds, word_hashes)
+                                   returning, signed, slices, sliding_min, span_hash, window_hashes, word_bounds, word_hashes)
 
 CONTEXTS = "key bigint, fp bigint, dig bigint, start int, n int"
 
@@ -103,7 +103,7 @@ def context_rows(docs: DataFrame, length: int, anchor: int, words: bool) -> Data
                      pa.array((start - u.first[row]).astype(np.int32)), pa.array(n.astype(np.int32))],
                     ["key", "fp", "dig", "start", "n"])
 
-    return docs.select("key", "text").mapInArrow(cut, CONTEXTS)
+    return docs.select("key", "text").mapInArrow(returning(cut), CONTEXTS)
 
 
 def repeated_contexts(docs: DataFrame, length: int, anchor: int, words: bool) -> DataFrame:

@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsense.llm.bwt import DEPTH, Shard, repeated
-from shelfsense.llm.common import (BASE_W, U, discard, enter, keyed, materialise, mix, signed, slices, window_hashes,
-                                   with_text)
+from shelfsense.llm.common import (BASE_W, U, discard, enter, keyed, materialise, mix, returning, signed, slices,
+                                   window_hashes, with_text)
 from shelfsense.llm.spans import Units, merge_spans, minimizers, repeated_contexts, runs
 
 #: Bytes of a minimizer and of the second one; contexts of one minimizer that a task takes together.
@@ -143,7 +143,7 @@ def repeated_windows(docs: DataFrame, hot: int = HOT, partition_bytes: int = PAR
              .select(F.col("first.key").alias("key"), F.struct("fp", F.col("first.start").alias("start"), "n",
                                                                (F.col("different") > hot).alias("hot")).alias("x"))
              .groupBy("key").agg(F.collect_list("x").alias("xs")))  # as many as the document has contexts
-    pieces = materialise(docs.select("key", "text").join(lists, "key").mapInArrow(_pieces(length, SECOND), PIECES), "pieces")
+    pieces = materialise(docs.select("key", "text").join(lists, "key").mapInArrow(returning(_pieces(length, SECOND)), PIECES), "pieces")
     # Second cut: equal pieces are counted again; one of each goes on.
     cut = pieces.filter("second")
     kinds = materialise(cut.groupBy("fp", "dig", "n").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "start")).alias("first")),
@@ -154,7 +154,7 @@ def repeated_windows(docs: DataFrame, hot: int = HOT, partition_bytes: int = PAR
                                              F.col("first.start").alias("start"), "different")
     second = cut.join(firsts, ["fp", "dig", "n", "key", "start"])
     single = second.filter(F.col("different") > hot).select("key", "start", "body").mapInArrow(
-        _windows(length), "ka bigint, kb bigint, key bigint, start int")
+        returning(_windows(length)), "ka bigint, kb bigint, key bigint, start int")
     twice = single.groupBy("ka", "kb").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("ka", "kb")
     single = single.join(twice, ["ka", "kb"], "left_semi").select("key", "start", F.lit(1).alias("n"))
     merged = pieces.filter("NOT second").select("fp", "key", "start", "n", "body").unionAll(
@@ -162,7 +162,7 @@ def repeated_windows(docs: DataFrame, hot: int = HOT, partition_bytes: int = PAR
     size = pieces.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     parts = max(1, -(-size // partition_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
     intervals = (merged.repartition(parts, "fp").select("key", "start", "n", "body")
-                 .mapInArrow(_merge_partition, "key bigint, start int, n int"))
+                 .mapInArrow(returning(_merge_partition), "key bigint, start int, n int"))
     out = materialise(whole.unionAll(again).unionAll(single).unionAll(intervals), "spans")
     discard(ctx, whole, pieces, kinds)
     return out
@@ -212,7 +212,8 @@ def suffix_dedup(docs: DataFrame, keep_text: bool = False, **options: int) -> Da
     d = keyed(docs)
     spans = repeated_windows(d, **options)
     per_doc = spans.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("own"))
-    done = d.join(per_doc, "key", "left").select("key", "doc_id", "text", "own").mapInArrow(_finish(DEPTH, keep_text), DONE)
+    done = d.join(per_doc, "key", "left").select("key", "doc_id", "text", "own").mapInArrow(
+        returning(_finish(DEPTH, keep_text)), DONE)
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + (["key", "kept"] if keep_text else [])
     return done.select(*columns)
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import U, enter, mix, prefix_hash, span_hash
+from shelfsense.llm.common import U, enter, mix, prefix_hash, returning, span_hash
 from shelfsense.llm.labelled import held_out, training_ids, training_rows
 
 BUCKETS, DIM, STEPS = 1 << 18, 4, 80
@@ -284,7 +284,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
                 if parts:
                     yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(parts))], ["doc_id", "score"])
 
-        scored = d.mapInArrow(score, "doc_id bigint, score double")
+        scored = d.mapInArrow(returning(score), "doc_id bigint, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
@@ -297,6 +297,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN)
     shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.offset))
 
     @F.arrow_udf("double")
+    @returning
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weight, offset = shared.value
         words = WordScores(weight)

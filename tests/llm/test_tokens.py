@@ -6,9 +6,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from shelfsense.llm import pieces, token_output, warc
+from shelfsense.llm import common, pieces, token_output, warc
 from shelfsense.session import scratch_path
 from tests.llm import brute
 
@@ -143,3 +144,29 @@ def test_archive_starts_with_its_dictionary(spark):
     # Every record is a frame of its own.
     record = zstandard.ZstdDecompressor(dict_data=words).decompressobj().decompress(rest)
     assert record.startswith(b"WARC/1.1\r\n") and record.count(b"WARC-Record-ID") == 1
+
+
+def test_smaller_slices_give_the_same_rows(docs):
+    """The pipeline's workers keep less and encode less at once; a slice never has more text than allowed, but for one long text."""
+    order = ["doc_id", "n_pieces", "score"]
+    assert pieces.encode_pieces(docs, PIECES, remember=50, slice_bytes=64).orderBy(order).collect() == \
+        pieces.encode_pieces(docs, PIECES).orderBy(order).collect()
+    col = pa.array(["a" * 40, "b" * 30, None, "c" * 300, "d"])
+    assert list(common.text_slices(col, 1024, 64)) == [(0, 1), (1, 3), (3, 4), (4, 5)]
+    assert list(common.text_slices(col, 2, 1000)) == [(0, 2), (2, 4), (4, 5)]
+
+
+def test_a_task_gives_its_memory_back():
+    """What a worker held for a task is free for the system after it, though something allocated later stays."""
+    import psutil
+    kept, seen = [], []
+
+    def run(batches):
+        held = [bytes(1000) for _ in range(100_000)]
+        kept.append(bytes(1000))
+        seen.append(psutil.Process().memory_info().rss)
+        yield from batches
+        del held
+
+    assert list(common.returning(run)(iter([1, 2]))) == [1, 2]
+    assert seen[0] - psutil.Process().memory_info().rss > 50 << 20
