@@ -28,16 +28,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfsense.llm.common import attempt_name, enter, filesystem, make_folder, remember
+from shelfsense.llm.common import attempt_name, enter, filesystem, make_folder, remember, text_slices
 from shelfsense.session import scratch_path
 
 PARTS = "part int, bin string, idx string, dtype string, n_docs bigint, n_tokens bigint"
 ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, part int"
 #: Entries of a worker's caches: whole pieces, and tokenized parts in each of two generations.
 CACHE_PIECES, CACHE_PARTS = 350_000, 350_000
+#: Texts and bytes of text encoded at once.
+SLICE_TEXTS, SLICE_TEXT_BYTES = 4096, 2 << 20
 
 
 class Memo(dict):
@@ -101,13 +104,25 @@ class PieceEncoder:
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         """Letter runs (with the blank before them) are one pre-token: the tokenizer's BPE model takes them at once."""
         merge, signs, out = self.tok.model.tokenize, self.signs, [b""] * len(parts)
-        other = []
+        runs, plain, other = [], [], []
         for i, p in enumerate(parts):
-            if (p[1:] if p[:1] == " " else p).isalpha():
-                run = p.encode().decode("latin-1").translate(signs)
-                out[i] = np.array([t.id for t in merge(run)], self.dtype).tobytes()
-            else:
+            if not p.lstrip(" ").isalpha() or p[1:2] == " ":
                 other.append(i)
+            elif p.isascii():
+                plain.append(i)
+            else:
+                runs.append((i, p.encode().decode("latin-1").translate(signs)))
+        # Of ASCII letters only the blank has another sign; no run has a line feed.
+        told = "\n".join([parts[i] for i in plain]).replace(" ", signs[0x20])
+        runs += zip(plain, told.split("\n"))
+        ids: list[int] = []
+        ends = [0]
+        for _, run in runs:
+            ids += [t.id for t in merge(run)]
+            ends.append(len(ids))
+        raw, width = np.array(ids, self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+        for (i, _), x, y in zip(runs, ends, ends[1:]):
+            out[i] = raw[x * width:y * width]
         for i, e in zip(other, self.tok.encode_batch_fast([parts[i] for i in other], add_special_tokens=False)):
             out[i] = np.array(e.ids, self.dtype).tobytes()
         return out
@@ -149,18 +164,62 @@ class PieceEncoder:
             before = ""
         return own
 
+    def batch(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a string column with their end ids, one after the other, and every text's number of them; null is empty.
+
+        Each piece of the batch is looked up once, however often it occurs.
+        """
+        col = pc.fill_null(col, "").cast(pa.large_string())
+        split = pc.split_pattern(col, " ")
+        size = split.value_lengths().to_numpy().astype(np.int64)
+        last = np.cumsum(size)
+        flat = split.flatten()
+        coded = flat.dictionary_encode()
+        later = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        word = coded.indices.to_numpy().astype(np.int64)
+        # The first piece of a text has no blank before it: it is numbered after the others.
+        heads = flat.take(pa.array(last - size)).dictionary_encode()
+        first = heads.dictionary.to_numpy(zero_copy_only=False).tolist()
+        word[last - size] = heads.indices.to_numpy().astype(np.int64) + len(later)
+        # A piece seen only as a first one is not asked for after a blank.
+        after = np.zeros(len(later) + len(first), bool)
+        after[word] = True
+        seen = [p for p, x in zip(later, after.tolist()) if x]
+        self.later.ready(set(seen))
+        self.first.ready(set(first))
+        got = [self.later[p] if x else b"" for p, x in zip(later, after.tolist())] + [self.first[p] for p in first]
+        own = [b"" if x is None else x for x in got] + [self.end]
+        # The end id is one more piece behind every text; a text with a piece that white space joins is encoded whole.
+        word = np.insert(word, last, len(got))
+        last = last + np.arange(1, len(last) + 1)
+        joined = np.fromiter((x is None for x in got), bool, len(got))
+        if joined.any():
+            text = np.repeat(np.arange(len(size)), size + 1)
+            whole = np.unique(text[np.append(joined, False)[word]])
+            own += [np.array(e.ids, self.dtype).tobytes() + self.end for e in self.tok.encode_batch_fast(
+                col.take(pa.array(whole)).to_pylist(), add_special_tokens=False)]
+            gone = np.zeros(len(size), bool)
+            gone[whole] = True
+            keep = ~gone[text]
+            keep[last[whole] - 1] = True
+            word[last[whole] - 1] = len(got) + 1 + np.arange(len(whole))
+            word = word[keep]
+            last = np.cumsum(np.where(gone, 1, size + 1))
+        flat_ids = np.frombuffer(b"".join(own), self.dtype)
+        length = np.fromiter(map(len, own), np.int64, len(own)) // flat_ids.itemsize
+        begin = np.cumsum(length) - length
+        n = length[word]
+        end = np.cumsum(n)
+        ids = flat_ids[np.repeat(begin[word] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+        return ids, np.diff(end[last - 1], prepend=0)
+
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Bytes of the ids of each text, with the end id; null is empty."""
-        for lo in range(0, len(texts), 64):
-            group = [t or "" for t in texts[lo:lo + 64]]
-            cut = [t.split(" ") for t in group]
-            self.first.ready({c[0] for c in cut})
-            self.later.ready(set().union(*(c[1:] for c in cut)))
-            for t, c in zip(group, cut):
-                try:
-                    yield b"".join([self.first[c[0]], *map(self.later.__getitem__, c[1:]), self.end])
-                except TypeError:
-                    yield np.array(self.tok.encode(t, add_special_tokens=False).ids, self.dtype).tobytes() + self.end
+        ids, n = self.batch(pa.array(texts, pa.large_string()))
+        at = 0
+        for x in n.tolist():
+            yield ids[at:at + x].tobytes()
+            at += x
 
 
 def id_type(largest: int) -> str:
@@ -205,16 +264,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
                 continue
             if sink is None:
                 enc = encoder(tokenizer, end_id)
-                width = np.dtype(enc.dtype).itemsize
                 name = attempt_name(f"part-{part:05d}", "")
                 sink = fs.open_output_stream(f"{root}/{name}.bin", buffer_size=1 << 20)
             ids = b.column(0)
             sizes = np.zeros(b.num_rows, np.int64)
-            text = b.column(1)
-            for lo in range(0, b.num_rows, 64):
-                for j, out in enumerate(enc.encode(text.slice(lo, 64).to_pylist())):
-                    sink.write(out)
-                    sizes[lo + j] = len(out) // width
+            for lo, hi in text_slices(b.column(1), SLICE_TEXTS, SLICE_TEXT_BYTES):
+                out, sizes[lo:hi] = enc.batch(b.column(1).slice(lo, hi - lo))
+                sink.write(out.tobytes())
             row = np.zeros((b.num_rows, 2), "<i8")
             row[:, 0] = n_tokens + np.cumsum(sizes) - sizes
             row[:, 1] = ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)

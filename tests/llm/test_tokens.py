@@ -146,6 +146,30 @@ def test_archive_starts_with_its_dictionary(spark):
     assert record.startswith(b"WARC/1.1\r\n") and record.count(b"WARC-Record-ID") == 1
 
 
+def test_batches_look_up_a_piece_once():
+    """Ids of many texts at once, sliced columns and nulls too; a piece that occurs often is looked up once."""
+    enc, r = token_output.PieceEncoder(BPE, 2), random.Random(6)
+    texts = [*ODD, None, *(" ".join(r.choice(["one", "two,", "é.", "", "x\ny"]) for _ in range(r.randint(0, 40))) for _ in range(80))]
+    ids, n = enc.batch(pa.array(["left out", *texts], pa.string()).slice(1))
+    want = [enc.tok.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    assert ids.tolist() == [x for w in want for x in w] and n.tolist() == [len(w) for w in want]
+    asked = []
+
+    class Told(dict):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+        def ready(self, need):
+            enc.later.ready(need)
+            self.update((k, dict.__getitem__(enc.later, k)) for k in need)
+
+    one = token_output.PieceEncoder(BPE, 2)
+    one.later, told = Told(), " ".join(["again"] * 50)
+    assert [len(x) for x in one.encode([told] * 3)] == [2 * 51] * 3 and asked == ["again"]
+    assert [len(x) for x in enc.batch(pa.array([], pa.string()))] == [0, 0]
+
+
 def test_smaller_slices_give_the_same_rows(docs):
     """The pipeline's workers keep less and encode less at once; a slice never has more text than allowed, but for one long text."""
     order = ["doc_id", "n_pieces", "score"]
