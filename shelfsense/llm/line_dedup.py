@@ -10,13 +10,14 @@ no two runs hold the same hash. Batches of documents come in document order. A
 batch is reduced to one row per key (partial sums in every task, so a line of a
 third of all documents is one row per task), anti-joined with every run - the
 runs are bucketed by the join key, so they are merged as they lie, without an
-exchange - and what is left becomes a new run of level 0. ``fanout`` runs of one
-level are compacted to one of the next, so a batch meets at most
-``(fanout - 1) * levels`` runs and a hash is rewritten once per level.
+exchange - and what is left becomes a new run of level 0. Where that would be the
+``fanout``-th run of a level, they are compacted to one of the next as the batch is written, so a
+batch meets at most ``(fanout - 1) * levels`` runs and a hash is rewritten at most once per level.
 
-Which lines go is an anti-join, too: a line stays if its run says that its own
+Which lines go is an anti-join, too: a line stays if the runs say that its own
 document is the first. That join's key has the document in it, so a
-frequent line spreads over all tasks.
+frequent line spreads over all tasks; it is made once, after the last batch. Every step writes a file
+per bucket, and on a local file system each file costs the executor some processes: few steps write.
 """
 
 from __future__ import annotations
@@ -104,34 +105,42 @@ class LineRuns:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     # ------------------------------------------------------------------ steps
-    def add(self, entries: DataFrame) -> DataFrame:
-        """Remember a batch; returns its entries ``(key, at)`` whose line stands in an earlier document."""
+    def learn(self, entries: DataFrame) -> None:
+        """Remember a batch; its hashes and all levels they fill are written as one run."""
         fresh = entries.groupBy("h1", "h2").agg(F.min("key").alias("first"))
         for run in self.runs:
             fresh = fresh.join(self.table(run).select("h1", "h2"), ["h1", "h2"], "left_anti")
-        run = self._write(fresh)
-        own = self.table(run).select("h1", "h2", F.col("first").alias("key"))
-        dropped = materialise(entries.join(own, ["h1", "h2", "key"], "left_anti").select("key", "at"), "dropped")
-        self.levels.setdefault(0, []).append(run)
-        self._note()
-        self.compact()
-        return dropped
-
-    def compact(self) -> None:
-        """Merge every level that is full into one run of the next."""
-        level = 0
-        while len(self.levels.get(level, [])) >= self.fanout:
-            old = self.levels[level]
-            merged = self.table(old[0])
-            for run in old[1:]:
-                merged = merged.unionAll(self.table(run))
-            new = self._write(merged.repartition(self.buckets, "h1", "h2").sortWithinPartitions("h1", "h2"))
+        level, old = 0, []
+        while len(self.levels.get(level, [])) + 1 >= self.fanout:
+            old += self.levels[level]
             self.levels[level] = []
-            self.levels.setdefault(level + 1, []).append(new)
-            self._note()
-            for run in old:
-                self._forget(run)
             level += 1
+        for run in old:
+            fresh = fresh.unionAll(self.table(run))
+        if old:
+            fresh = fresh.repartition(self.buckets, "h1", "h2").sortWithinPartitions("h1", "h2")
+        self.levels.setdefault(level, []).append(self._write(fresh))
+        self._note()
+        for run in old:
+            self._forget(run)
+
+    def later(self, entries: DataFrame, since: int | None = None) -> DataFrame:
+        """Of remembered entries those ``(key, at)`` whose line stands in an earlier document.
+
+        ``since``: no entry's key is smaller, so hashes first seen before it are not joined.
+        """
+        own = None
+        for run in self.runs:
+            own = self.table(run) if own is None else own.unionAll(self.table(run))
+        if since is not None:
+            own = own.filter(F.col("first") >= since)
+        own = own.select("h1", "h2", F.col("first").alias("key"))
+        return materialise(entries.join(own, ["h1", "h2", "key"], "left_anti").select("key", "at"), "dropped")
+
+    def add(self, entries: DataFrame) -> DataFrame:
+        """Remember a batch; returns its entries ``(key, at)`` whose line stands in an earlier document."""
+        self.learn(entries)
+        return self.later(entries, entries.agg(F.min("key")).first()[0])
 
     def clear(self) -> None:
         for run in self.runs:
@@ -139,8 +148,8 @@ class LineRuns:
         self.levels = {}
 
 
-def dropped_lines(rows: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> list[DataFrame]:
-    """``(key, at)`` of all lines that go, one table per batch of document keys."""
+def dropped_lines(rows: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
+    """``(key, at)`` of all lines that go."""
     spark = rows.sparkSession
     shares = F.array(*[F.lit(i / batches) for i in range(1, batches)])
     cuts = rows.agg(F.percentile_approx("key", shares, 10_000)).first()[0] if batches > 1 else None
@@ -153,7 +162,9 @@ def dropped_lines(rows: DataFrame, batches: int = BATCHES, fanout: int = FANOUT)
     entries = spark.read.schema("key bigint, at int, h1 bigint, h2 bigint, batch int").parquet(path)
     entries.scratch = path
     store = LineRuns(spark, scratch_path(spark, "line-runs"), fanout)
-    out = [store.add(entries.filter(F.col("batch") == b).drop("batch")) for b in range(batches)]
+    for b in range(batches):
+        store.learn(entries.filter(F.col("batch") == b).drop("batch"))
+    out = store.later(entries)
     store.clear()
     discard(entries)
     return out
@@ -172,9 +183,7 @@ def line_dedup(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) ->
     result. Columns besides ``doc_id`` and ``text`` are not read.
     """
     rows = keyed(docs)
-    gone = None
-    for part in dropped_lines(rows, batches, fanout):
-        gone = part if gone is None else gone.unionAll(part)
+    gone = dropped_lines(rows, batches, fanout)
     # At most one entry per line of the document.
     lists = gone.groupBy(F.col("key").alias("gone_key")).agg(F.collect_list("at").alias("gone"))
     text = F.coalesce("text", F.lit(""))

@@ -61,6 +61,18 @@ def test_line_store_keeps_levels_and_goes_on(spark):
     store.clear()
 
 
+def test_line_batches_are_written_once_and_joined_once(spark, monkeypatch):
+    """Seven batches make seven runs, compactions included, and one table of dropped lines."""
+    runs, tables = [], []
+    write, keep = ld.LineRuns._write, ld.materialise
+    monkeypatch.setattr(ld.LineRuns, "_write", lambda self, rows: runs.append(write(self, rows)) or runs[-1])
+    monkeypatch.setattr(ld, "materialise", lambda df, name: tables.append(name) or keep(df, name))
+    rows = line_rows()
+    got = ld.line_dedup(spark.createDataFrame(rows, DOCS), 7, 2)
+    assert table(got, *LINES) == brute.lines([(r[0], r[1]) for r in rows])
+    assert len(runs) == 7 and tables == ["dropped"]
+
+
 def test_lines_of_odd_tables(spark, empty, odd_ids, clashing, rows):
     assert ld.line_dedup(empty).collect() == []
     got = sorted((r.n_lines, r.n_dropped) for r in ld.line_dedup(odd_ids).collect())
