@@ -28,8 +28,8 @@ def ordinal_indexer(cols: Sequence[str], suffix: str = "_idx", invalid: str = "e
 
 
 def fit_ordinal(train: DataFrame, cols: Sequence[str]):
-    """StringIndexerModel with alphabetical codes fitted on ``train``."""
-    return ordinal_indexer(cols).fit(train)
+    """StringIndexerModel with alphabetical codes fitted on ``train`` (on its distinct levels: counts don't matter here)."""
+    return ordinal_indexer(cols).fit(train.select(*cols).distinct())
 
 
 def apply_ordinal(df: DataFrame, model, cols: Sequence[str], suffix: str = "_enc") -> DataFrame:
@@ -55,7 +55,7 @@ def onehot_all_levels(cols: Sequence[str]):
 
 def first_dropped_levels(train: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
     """Train levels 2..n of every column, alphabetical (level 1 is dropped)."""
-    model = ordinal_indexer(cols).fit(train)
+    model = fit_ordinal(train, cols)
     return {c: list(labels)[1:] for c, labels in zip(cols, model.labelsArray)}
 
 
@@ -101,7 +101,14 @@ def active_indicators(df: DataFrame, train: DataFrame, cols: Sequence[str]) -> D
     first is the dropped reference; unknown and null values activate nothing."""
     levels = first_dropped_levels(train, cols)
     stage, names = indicator_sql(levels)
-    told = [(c, v) for c, vals in levels.items() for v in vals]
-    on = F.filter(F.array(*[F.when(F.col(f"`{n}`") == 1.0, F.struct(F.lit(c).alias("column"), F.lit(v).alias("level")))
-                            for n, (c, v) in zip(names, told)]), lambda x: x.isNotNull())
-    return stage.transform(df).select(*df.columns, F.explode(on).alias("__p")).select(*df.columns, "__p.*")
+    # One struct per column, null where nothing is active: plain expressions that Spark compiles, unlike a lambda over all levels.
+    told, at = [], 0
+    for c, vals in levels.items():
+        on = [F.when(F.col(f"`{n}`") == 1.0, F.struct(F.lit(c).alias("column"), F.lit(v).alias("level")))
+              for n, v in zip(names[at:], vals)]
+        told += [F.coalesce(*on)] if on else []
+        at += len(vals)
+    if not told:
+        told = [F.lit(None).cast("struct<column:string,level:string>")]
+    long = stage.transform(df).select(*df.columns, F.explode(F.array(*told)).alias("__p"))
+    return long.filter(F.col("__p").isNotNull()).select(*df.columns, "__p.*")

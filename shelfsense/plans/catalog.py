@@ -339,7 +339,7 @@ def rule_baseline_metrics(spark, sf_dir):
 @query("encoded_categories")
 def encoded_categories(spark, sf_dir):
     """Alphabetical ordinal codes fitted on train, applied to every split."""
-    df = base.split_frame(spark, sf_dir)
+    df = base.split_frame(spark, sf_dir, columns=CATEGORICAL_FEATURES)
     model = enc.fit_ordinal(df.filter("split = 'train'"), CATEGORICAL_FEATURES)
     out = enc.apply_ordinal(df, model, CATEGORICAL_FEATURES)
     return out.select(*KEYS, "split", *[c + "_enc" for c in CATEGORICAL_FEATURES])
@@ -348,7 +348,7 @@ def encoded_categories(spark, sf_dir):
 @query("onehot_first_dropped")
 def onehot_first_dropped(spark, sf_dir):
     """Active indicators of the first-level-dropped one-hot, long form."""
-    df = base.split_frame(spark, sf_dir)
+    df = base.split_frame(spark, sf_dir, columns=CATEGORICAL_FEATURES)
     out = enc.active_indicators(df, df.filter("split = 'train'"), CATEGORICAL_FEATURES)
     return out.select(*KEYS, "column", "level")
 
@@ -356,7 +356,7 @@ def onehot_first_dropped(spark, sf_dir):
 @query("standardized_features")
 def standardized_features(spark, sf_dir):
     """z-scores of the numeric inputs with train mean and population std."""
-    df = base.split_frame(spark, sf_dir)
+    df = base.split_frame(spark, sf_dir, columns=NUMERICAL_FEATURES)
     out = enc.standardize(df, df.filter("split = 'train'"), NUMERICAL_FEATURES)
     zs = [c + "_z" for c in NUMERICAL_FEATURES]
     return _round_cols(out.select(*KEYS, "split", *zs), zs)

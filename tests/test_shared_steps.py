@@ -112,3 +112,24 @@ def test_neighbours_categories_are_not_taken_apart(spark):
     syn = out.filter("synthetic")
     assert syn.count() == 18 and {(r.k, r.l) for r in syn.collect()} == {("v", None)}
     assert syn.filter(F.col("x") > 11).isEmpty()
+
+
+def test_split_frame_writes_only_the_columns_asked_for(spark):
+    from shelfsense.plans import base
+    whole = base.split_frame(spark, "/root/testdata/sf0.001")
+    cols = ["store_id", "product_id", "dt", "split", "region", "days_of_stock", "sales_velocity"]
+    some = base.split_frame(spark, "/root/testdata/sf0.001", columns=["region"])
+    assert some.columns == cols and spark.read.parquet(*some.inputFiles()).columns == cols
+    assert sorted(some.collect()) == sorted(whole.select(*cols).collect())
+
+
+def test_active_indicators_of_two_columns_are_compiled(spark):
+    from shelfsense.operators import encode as enc
+    rows = [(1, "a", "x"), (2, "b", "x"), (3, "c", None), (4, None, "y"), (5, "new", "y")]
+    df = spark.createDataFrame(rows, "n int, k string, m string")
+    got = enc.active_indicators(df, df.filter("n in (1, 2, 4) and k is not null or m = 'y' and k = 'new'"), ["k", "m"])
+    assert sorted(map(tuple, got.select("n", "column", "level").collect())) == [
+        (2, "k", "b"), (4, "m", "y"), (5, "k", "new"), (5, "m", "y")]
+    assert "lambdafunction" not in got._jdf.queryExecution().toString()
+    one = df.filter("n = 1")
+    assert enc.active_indicators(df, one, ["k", "m"]).collect() == []
