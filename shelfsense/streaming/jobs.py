@@ -101,8 +101,8 @@ def score_model_stream(spark: SparkSession, src: str, out: str, quarantine: str,
     return score_stream(spark, src, out, quarantine, checkpoint, scorer, keep, max_files_per_trigger, with_batch=True)
 
 
-#: Rows of an event file.
-FILE_ROWS = 2_000_000
+#: Rows of an event or request file: one task reads it, so a batch has more files than there are cores where rows are many.
+FILE_ROWS = 250_000
 
 
 def write_in_time_order(events: DataFrame, path: str, time_col: str, chunks: int, files: int | None = None,

@@ -62,3 +62,23 @@ def test_two_batches_have_as_many_files_as_their_rows_need(spark, monkeypatch):
         serving.stream_model_scoring(spark, SF)
     src, kw = seen.value.args
     assert len(names(src)) == 6 and kw["max_files_per_trigger"] == 3 and all(n.endswith(".gz") for n in names(src))
+
+
+def test_streamed_requests_are_built_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    plain = catalog._requests(spark, SF)
+    rows = plain.count()
+    monkeypatch.setattr(catalog, "_requests", lambda *a: plain.mapInArrow(look, plain.schema))
+    got = serving.stream_model_scoring(spark, SF).first()
+    assert got.n_rows > 1000 and got.batches == 2 and got.changed == 0
+    assert seen.value == rows
+
+
+def test_a_million_requests_of_a_batch_are_read_by_several_tasks():
+    assert -(-1_000_000 // serving.stream.FILE_ROWS) >= 4
